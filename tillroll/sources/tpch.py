@@ -186,7 +186,7 @@ VIEW_SQL: dict[str, str] = {
         "group by product_id) u on i.product_id = u.product_id"),
     "dim_date": (
         "select cast(d as date) full_date, cast(strftime(d, '%Y%m%d') as int) date_key, "
-        "cast(year(d) as int) \"year\", cast(quarter(d) as int) "quarter", cast(month(d) as int) \"month\", "
+        "cast(year(d) as int) \"year\", cast(quarter(d) as int) \"quarter\", cast(month(d) as int) \"month\", "
         "strftime(d, '%B') month_name, cast(weekofyear(d) as int) week_of_year, "
         "cast(day(d) as int) day_of_month, strftime(d, '%A') day_name, isodow(d) >= 6 is_weekend "
         f"from generate_series(timestamp '{CALENDAR_START}', timestamp '{CALENDAR_END}', interval 1 day) t(d)"),
