@@ -1,4 +1,4 @@
 """Named queries.  Importing this package registers every query."""
 
-from . import abc, inventory, measures, sales, supplier, timeseries  # noqa: F401
+from . import abc, clean, inventory, io, measures, ml, profile, sales, supplier, timeseries  # noqa: F401
 from .registry import ORACLE_SQL, QUERIES, query  # noqa: F401
