@@ -29,3 +29,21 @@ def query(name: str, sql: str | None = None):
             ORACLE_SQL[name] = with_views(sql)
         return fn
     return deco
+
+
+def derive(name: str, base: str, cols: list[str], doc: str = "") -> None:
+    """Register ``name`` as a column projection of an existing query (same
+    plan, fewer columns); its oracle SQL projects the base query's SQL."""
+    base_fn = QUERIES[base]
+
+    def fn(spark: SparkSession, sf: str) -> DataFrame:
+        return base_fn(spark, sf).select(*cols)
+
+    fn.__doc__ = doc or f"{name}: columns {cols} of {base}"
+    fn.__name__ = name
+    if name in QUERIES:
+        raise ValueError(f"duplicate query {name}")
+    QUERIES[name] = fn
+    if base in ORACLE_SQL:
+        quoted = ", ".join(f'"{c}"' for c in cols)
+        ORACLE_SQL[name] = f"select {quoted} from ({ORACLE_SQL[base]}) _base"
