@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clip, null_false, safe_divide, standardize_columns, str_title
-from .ordered import exact_quantiles, with_scalars
+from .ordered import exact_quantiles, quantile_table, with_scalars
 
 # Fixed values of the cleaning step.
 LONG_LEAD_DAYS = 30
@@ -61,14 +61,12 @@ def parse_dates(df: DataFrame, cols: Sequence[str], formats: Sequence[str] = ())
 
 
 def impute_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Fill NULLs of each column with that column's exact median."""
-    meds = None
-    for c in cols:
-        q = exact_quantiles(df, c, [0.5], names=[f"__med_{c}"])
-        meds = q if meds is None else with_scalars(meds, q)
+    """Fill NULLs of each column with that column's exact median (one pass)."""
+    cols = list(cols)
+    meds = quantile_table(df, cols, [0.5], ["med"])
     out = with_scalars(df, meds)
-    return out.withColumns({c: F.coalesce(F.col(c), F.col(f"__med_{c}")) for c in cols}) \
-              .drop(*[f"__med_{c}" for c in cols])
+    return out.withColumns({c: F.coalesce(F.col(c), F.col(f"{c}__med").cast(dict(df.dtypes)[c]))
+                            for c in cols}).drop(*[f"{c}__med" for c in cols])
 
 
 def iqr_fences(df: DataFrame, col: str, by: Sequence[str] = (), factor: float = IQR_FACTOR) -> DataFrame:
@@ -78,11 +76,21 @@ def iqr_fences(df: DataFrame, col: str, by: Sequence[str] = (), factor: float =
     return q.withColumns({"low": F.col("q1") - factor * iqr, "high": F.col("q3") + factor * iqr})
 
 
-def cap_outliers(df: DataFrame, col: str, by: Sequence[str] = (), factor: float = IQR_FACTOR) -> DataFrame:
-    """Winsorise ``col`` to the IQR fences (per group with ``by``); NULL stays NULL."""
-    f = iqr_fences(df, col, by, factor).select(*by, F.col("low").alias("__lo"), F.col("high").alias("__hi"))
-    j = df.join(f, list(by), "left") if by else with_scalars(df, f)
-    return j.withColumn(col, clip(F.col(col).cast("double"), F.col("__lo"), F.col("__hi"))).drop("__lo", "__hi")
+def cap_outliers(df: DataFrame, cols: str | Sequence[str], by: Sequence[str] = (),
+                 factor: float = IQR_FACTOR) -> DataFrame:
+    """Winsorise each column to its IQR fences (per group with ``by``);
+    NULL stays NULL.  Several columns share one quantile pass; fences come
+    from the uncapped values of each column, so capping one column never
+    moves another column's fences."""
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    by = list(by)
+    q = quantile_table(df, cols, [0.25, 0.75], ["q1", "q3"], by=by)
+    j = df.join(q, by, "left") if by else with_scalars(df, q)
+    out = {}
+    for c in cols:
+        q1, q3 = F.col(f"{c}__q1"), F.col(f"{c}__q3")
+        out[c] = clip(F.col(c).cast("double"), q1 - factor * (q3 - q1), q3 + factor * (q3 - q1))
+    return j.withColumns(out).drop(*[f"{c}__{n}" for c in cols for n in ("q1", "q3")])
 
 
 def clip_lower(df: DataFrame, col: str, lower=0) -> DataFrame:
@@ -149,7 +157,7 @@ def clean_products(raw: DataFrame) -> DataFrame:
     df = coerce_numeric(coerce_int(df, ["product_id"]), ["cost", "price"])
     df = impute_median(df, ["cost", "price"])
     df = title_case(margin_cols(df), ["category"])
-    return cap_outliers(cap_outliers(df, "cost"), "price")
+    return cap_outliers(df, ["cost", "price"])
 
 
 def clean_suppliers(raw: DataFrame) -> DataFrame:

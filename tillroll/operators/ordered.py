@@ -139,6 +139,26 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
     return g.select(*by, *outs)
 
 
+def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], names: Sequence[str],
+                   by: Sequence[str] = ()) -> DataFrame:
+    """Quantiles of several columns in one pass: one row per group with
+    columns ``{col}__{name}``.  The columns are unpivoted to
+    ``(column, value)`` and ranked together, so k columns cost one range
+    partition and one checkpoint instead of k."""
+    by = list(by)
+    cols = list(cols)
+    d = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
+    long = d.unpivot(by, cols, "__col", "__val")
+    q = exact_quantiles(long, "__val", probs, by=[*by, "__col"], names=list(names))
+    # pivot over the (known, bounded) column names back to one row per group
+    wide = q.groupBy(*by).pivot("__col", cols).agg(*[F.first(n).alias(n) for n in names])
+    if len(names) == 1:  # Spark names single-aggregate pivot columns by value only
+        wide = wide.select(*by, *[F.col(c).alias(f"{c}__{names[0]}") for c in cols])
+    else:
+        wide = wide.select(*by, *[F.col(f"{c}_{n}").alias(f"{c}__{n}") for c in cols for n in names])
+    return wide
+
+
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a one-row aggregate to every row of ``df``.
 
