@@ -40,6 +40,13 @@ def _sort_cols(order: Sequence[Column | str]) -> list[Column]:
 def prefix_sum(df: DataFrame, order: Sequence[Column | str], sums: Sequence[str],
                partition_by: Sequence[str] = (), suffix: str = "_cum",
                inclusive: bool = True) -> DataFrame:
+    """Running sums of ``sums`` in ``order``; see ``prefix_sum_totals``."""
+    return prefix_sum_totals(df, order, sums, partition_by, suffix, inclusive)[0]
+
+
+def prefix_sum_totals(df: DataFrame, order: Sequence[Column | str], sums: Sequence[str],
+                      partition_by: Sequence[str] = (), suffix: str = "_cum",
+                      inclusive: bool = True) -> tuple[DataFrame, DataFrame]:
     """Running sums of ``sums`` in ``order`` (ROWS frame), optionally per group.
 
     ``order`` must be a total order (add a unique key as the last tie-break)
@@ -69,7 +76,9 @@ def prefix_sum(df: DataFrame, order: Sequence[Column | str], sums: Sequence[str]
         if not inclusive:
             within = F.coalesce(within, F.lit(0))
         out = out.withColumn(f"{c}{suffix}", F.col(f"__o_{c}") + within)
-    return out.drop(_P, *[f"__o_{c}" for c in sums])
+    # grand totals per group, from the per-partition sums of the checkpoint
+    totals = tot.groupBy(*by).agg(*[F.sum(f"__t_{c}").alias(f"{c}_total") for c in sums])
+    return out.drop(_P, *[f"__o_{c}" for c in sums]), totals
 
 
 def global_rank(df: DataFrame, value: str, out: str = "rank", method: str = "rank",
@@ -120,8 +129,8 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
     v = (F.col(value) if isinstance(value, str) else value).cast("double")
     base = df.select(*by, v.alias("__x")).where(F.col("__x").isNotNull() & ~F.isnan("__x"))
     vc = base.groupBy(*by, "__x").agg(F.count(F.lit(1)).alias("__c"))
-    pc = prefix_sum(vc, [F.col("__x").asc()], ["__c"], partition_by=by)
-    n = vc.groupBy(*by).agg(F.sum("__c").alias("__n"))
+    pc, tot = prefix_sum_totals(vc, [F.col("__x").asc()], ["__c"], partition_by=by)
+    n = tot.withColumnRenamed("__c_total", "__n")
     j = pc.join(n, by) if by else with_scalars(pc, n)
     start = F.col("__c_cum") - F.col("__c")  # first 0-based position of this value
     aggs = []
