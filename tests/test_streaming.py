@@ -1,0 +1,29 @@
+"""The streaming cleaner gives the batch cleaner's rows (before capping)."""
+
+import os
+import tempfile
+
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from tillroll.sources.tpch import Star
+from tillroll.streaming import clean_sales_rows, read_raw_sales, start_clean_sales
+
+
+def test_stream_matches_batch_rows(spark):
+    scratch = tempfile.mkdtemp(prefix="tillroll-stream-")
+    src, sink, ckpt = (os.path.join(scratch, n) for n in ("in", "out", "ckpt"))
+    s = Star(spark, SF_SMALL).fact_sales
+    raw = s.select(F.col("sale_id").cast("string").alias("Sale_ID"),
+                   F.col("product_id").cast("string").alias("Product_ID"),
+                   F.col("sale_date").cast("string").alias("Sale_Date"),
+                   F.col("quantity").cast("string").alias("Quantity"),
+                   F.col("revenue").cast("string").alias("Revenue"))
+    raw.repartition(3).write.option("header", True).csv(src)
+    q = start_clean_sales(read_raw_sales(spark, src), sink, ckpt)
+    q.awaitTermination(300)
+    got = spark.read.parquet(sink)
+    exp = clean_sales_rows(raw).dropDuplicates()
+    cols = ["sale_id", "product_id", "sale_date", "quantity", "revenue", "unit_price"]
+    assert got.count() == exp.count()
+    assert got.select(*cols).exceptAll(exp.select(*cols)).count() == 0
