@@ -1,10 +1,13 @@
 """Co-purchase recommender: products ordered on the same date.
 
 Only pairs inside the ``top_n`` most-ordered products are ever used, so the
-top-N cut is applied *before* pairing as a broadcast semi join (the id list
-is ``top_n`` rows).  Each date then holds at most ``top_n`` distinct products
-after the (date, product) dedup, so the same-date self join emits at most
-top_n*(top_n-1)/2 pairs per date however skewed the dates are.
+top-N cut is applied *before* pairing.  The id list is computed once (a
+distributed top-k of the per-product counts; ``top_n`` ids reach the driver)
+and becomes a literal ``isin`` filter, so every branch of the plan filters
+the orders scan by the same ids instead of re-deriving the list.  Each
+date then holds at most ``top_n`` distinct products after the (date,
+product) dedup, so the same-date self join emits at most top_n*(top_n-1)/2
+pairs per date however skewed the dates are.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .ordered import top_k, with_scalars
+from .ordered import top_k
 
 # Matrix size and number of recommendations.
 TOP_PRODUCTS = 50
@@ -29,15 +32,20 @@ def top_products(orders: DataFrame, n: int = TOP_PRODUCTS) -> DataFrame:
     return top_k(value_counts(orders), n, [F.col("count").desc(), F.col("product_id").asc()])
 
 
-def top_product_dates(orders: DataFrame, n: int = TOP_PRODUCTS) -> DataFrame:
-    """Distinct (order_date, product_id) of the top-n products (semi join)."""
-    top = F.broadcast(top_products(orders, n).select("product_id"))  # n rows
-    return (orders.select("order_date", "product_id").join(top, "product_id", "left_semi").distinct())
+def top_product_ids(orders: DataFrame, n: int = TOP_PRODUCTS) -> list:
+    """The ``n`` top product ids (bounded by ``n``), most frequent first."""
+    return [r.product_id for r in top_products(orders, n).select("product_id").collect()]
 
 
-def pairs(orders: DataFrame, n: int = TOP_PRODUCTS) -> DataFrame:
+def top_product_dates(orders: DataFrame, n: int = TOP_PRODUCTS, ids: list | None = None) -> DataFrame:
+    """Distinct (order_date, product_id) of the top-n products (semi join on the id list)."""
+    ids = top_product_ids(orders, n) if ids is None else ids
+    return (orders.select("order_date", "product_id").where(F.col("product_id").isin(ids)).distinct())
+
+
+def pairs(orders: DataFrame, n: int = TOP_PRODUCTS, ids: list | None = None) -> DataFrame:
     """Unordered same-date pairs (a < b) among the top-n products."""
-    d = top_product_dates(orders, n)
+    d = top_product_dates(orders, n, ids)
     a, b = d.alias("a"), d.alias("b")
     return a.join(b, (F.col("a.order_date") == F.col("b.order_date")) &
                   (F.col("a.product_id") < F.col("b.product_id"))).select(
@@ -45,47 +53,52 @@ def pairs(orders: DataFrame, n: int = TOP_PRODUCTS) -> DataFrame:
         F.col("b.product_id").alias("product_b"))
 
 
-def cooccurrence_counts(orders: DataFrame, n: int = TOP_PRODUCTS) -> DataFrame:
+def cooccurrence_counts(orders: DataFrame, n: int = TOP_PRODUCTS, ids: list | None = None) -> DataFrame:
     """(a, b, number of shared order dates) for a < b."""
-    return pairs(orders, n).groupBy("product_a", "product_b").agg(F.count(F.lit(1)).alias("cnt"))
+    return pairs(orders, n, ids).groupBy("product_a", "product_b").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def similarity_matrix(orders: DataFrame, n: int = TOP_PRODUCTS, dense: bool = False) -> DataFrame:
+def similarity_matrix(orders: DataFrame, n: int = TOP_PRODUCTS, dense: bool = False,
+                      ids: list | None = None) -> DataFrame:
     """Symmetric co-occurrence matrix of the top-n products.
 
     Long sparse form (a, b, cnt) with both orientations; ``dense=True``
     pivots to one column per product with zeros filled (n columns).
     """
-    c = cooccurrence_counts(orders, n)
+    ids = top_product_ids(orders, n) if ids is None else ids
+    c = cooccurrence_counts(orders, n, ids)
     m = c.unionByName(c.select(F.col("product_b").alias("product_a"), F.col("product_a").alias("product_b"), "cnt"))
     if not dense:
         return m
-    ids = top_products(orders, n).select(F.col("product_id").alias("product_a"))
-    full = ids.join(m, "product_a", "left")
-    return full.groupBy("product_a").pivot("product_b").agg(F.first("cnt")).na.fill(0)
+    spark = orders.sparkSession
+    rows = spark.createDataFrame([(i,) for i in ids], orders.schema["product_id"].simpleString()).toDF("product_a")
+    full = rows.join(m, "product_a", "left")
+    return full.groupBy("product_a").pivot("product_b", sorted(ids)).agg(F.first("cnt")).na.fill(0)
 
 
 def recommend_all(orders: DataFrame, n: int = TOP_PRODUCTS, k: int = TOP_RECOMMENDATIONS) -> DataFrame:
     """Top-k partners of every top-n product by co-occurrence (ties: lower id).
 
     Partners with a zero count fill up the list when fewer than k products
-    co-occur: the top-n id list (n values, one-row array) minus the product
+    co-occur: the top-n id list (an n-element literal array) minus the product
     and its counted partners, in id order.  Products outside the top-n get
     no rows (the reference returns an empty list).
     """
-    m = similarity_matrix(orders, n)
+    ids = top_product_ids(orders, n)
+    m = similarity_matrix(orders, n, ids=ids)
     ranked = m.withColumn("rank", F.row_number().over(
         Window.partitionBy("product_a").orderBy(F.col("cnt").desc(), F.col("product_b").asc())))
     counted = ranked.where(F.col("rank") <= k).select(
         F.col("product_a").alias("product_id"), "rank", F.col("product_b").alias("partner_id"),
         F.col("cnt").cast("bigint").alias("score"))
-    # zero-score fill
-    top = top_products(orders, n).select("product_id")
-    ids = top.agg(F.sort_array(F.collect_list("product_id")).alias("_all"))  # one row, n ids
+    # zero-score fill: the n ids minus the product and its counted partners
+    all_ids = F.array(*[F.lit(i) for i in sorted(ids)])
     seen = m.groupBy(F.col("product_a").alias("product_id")).agg(
-        F.collect_list("product_b").alias("_seen"), F.count(F.lit(1)).alias("_n"))
-    per = with_scalars(top, ids).join(seen, "product_id", "left")
-    rest = F.array_except(F.col("_all"), F.array_union(F.coalesce(F.col("_seen"), F.array()),
+        F.collect_list("product_b").alias("_seen"), F.count(F.lit(1)).alias("_n"))  # <= n-1 each
+    top = orders.sparkSession.createDataFrame([(i,) for i in ids], orders.schema["product_id"].simpleString()) \
+        .toDF("product_id")
+    per = top.join(seen, "product_id", "left")
+    rest = F.array_except(all_ids, F.array_union(F.coalesce(F.col("_seen"), F.array()),
                                                        F.array(F.col("product_id"))))
     fill = per.select("product_id", F.coalesce(F.col("_n"), F.lit(0)).alias("_n"),
                       F.posexplode(rest).alias("_pos", "partner_id"))
