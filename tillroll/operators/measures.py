@@ -163,3 +163,16 @@ def kpi_ratio(num: str, den: str, pct: bool, out: str):
         r = safe_divide(F.col(num).cast("double"), F.col(den).cast("double"))
         return df.select("*", F.round(r * 100 if pct else r, 2).alias(out))
     return f
+
+
+def yoy_card(sales: DataFrame, calendar_start: str, calendar_end: str) -> DataFrame:
+    """YoY Growth % with no filter: all revenue vs SAMEPERIODLASTYEAR of the
+    whole calendar (dates one year before the calendar range)."""
+    d = F.col("sale_date")
+    start, end = F.to_date(F.lit(calendar_start)), F.to_date(F.lit(calendar_end))
+    in_cal = (d >= start) & (d <= end)
+    in_ly = (d >= F.add_months(start, -12)) & (d <= F.add_months(end, -12))
+    r = sales.agg(F.sum(F.when(in_cal, F.col("revenue"))).cast("double").alias("total_revenue"),
+                  F.sum(F.when(in_ly, F.col("revenue"))).cast("double").alias("revenue_ly"))
+    return r.withColumn("yoy_growth_pct", safe_divide(F.col("total_revenue") - F.col("revenue_ly"),
+                                                      F.col("revenue_ly"), 0) * 100)

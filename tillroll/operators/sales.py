@@ -29,8 +29,7 @@ def _per_day(sales: DataFrame) -> DataFrame:
     return sales.groupBy("sale_date").agg(
         F.sum("quantity").alias("units_sold"),
         F.sum("revenue").alias("revenue_sum"),
-        F.count("revenue").alias("revenue_n"),
-        F.sum(F.col("revenue").cast("double")).alias("revenue_dsum"))
+        F.count("revenue").alias("revenue_n"))
 
 
 def total_kpis(sales: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import measures as M
 from ..operators.ordered import with_scalars
-from ..sources.tpch import Star
+from ..sources.tpch import CALENDAR_END, CALENDAR_START, Star
 from .registry import query
 
 _PP = "(select product_id, sum(revenue) rev, sum(quantity) qty from fact_sales group by product_id)"
@@ -228,3 +228,47 @@ def kpi_fill_rate(spark, sf):
         F.count_if(F.col("delivery_date") >= F.col("order_date")).alias("filled_orders"),
         F.count(F.lit(1)).alias("total_orders"))
     return M.kpi_ratio("filled_orders", "total_orders", True, "fill_rate")(o)
+
+
+@query("kpi_status_sales", f"""
+with g as (select case when sum(p.rev) = 0 or sum(p.rev) is null then 0 else
+                    cast(sum(p.rev - p.qty * d.cost) as double) / cast(sum(p.rev) as double) end * 100 gross_margin_pct
+           from {_PP} p left join dim_product d on p.product_id = d.product_id),
+y as (select cast(sum(case when sale_date between date '{CALENDAR_START}' and date '{CALENDAR_END}' then revenue end)
+                  as double) total_revenue,
+             cast(sum(case when sale_date between date '{CALENDAR_START}' - interval 12 month
+                           and date '{CALENDAR_END}' - interval 12 month then revenue end) as double) revenue_ly
+      from fact_sales),
+m as (select cast(date_trunc('month', sale_date) as date) mo, sum(revenue) v from fact_sales group by 1),
+span as (select min(mo) a, max(mo) b from m),
+spine as (select cast(unnest(generate_series(a, b, interval 1 month)) as date) mo from span),
+s as (select last_day(spine.mo) month_end, cast(coalesce(m.v, 0) as double) revenue from spine left join m
+      on spine.mo = m.mo),
+f as (select month_end, revenue,
+             case when count(revenue) over w = 3 then avg(revenue) over w end ma3
+      from s window w as (order by month_end rows between 2 preceding and current row)),
+last as (select 100.0 - case when revenue = 0 or revenue is null then 0 else abs(revenue - ma3) / revenue end * 100
+                forecast_accuracy_pct from f where month_end = (select max(month_end) from f))
+select g.gross_margin_pct,
+       case when y.revenue_ly = 0 or y.revenue_ly is null then 0 else (y.total_revenue - y.revenue_ly) / y.revenue_ly
+       end * 100 yoy_growth_pct,
+       last.forecast_accuracy_pct,
+       case when yoy_growth_pct >= 5 then 1 when yoy_growth_pct >= 0 then 2 else 3 end yoy_growth_pct_status,
+       case when g.gross_margin_pct >= 30 then 1 when g.gross_margin_pct >= 20 then 2 else 3 end gross_margin_pct_status,
+       case when last.forecast_accuracy_pct >= 85 then 1 when last.forecast_accuracy_pct >= 70 then 2 else 3 end
+         forecast_accuracy_pct_status
+from g, y, last""")
+def kpi_status_sales(spark, sf):
+    """Traffic lights of the sales KPI cards: gross margin %, YoY growth %
+    (whole calendar vs the same period one year earlier) and forecast
+    accuracy % of the latest month."""
+    from ..operators import timeseries as T
+    st = Star(spark, sf)
+    gm = M.gross_margin_pct(st.fact_sales, st.dim_product)
+    yoy = M.yoy_card(st.fact_sales, CALENDAR_START, CALENDAR_END).select("yoy_growth_pct")
+    acc = T.forecast_accuracy(st.fact_sales)
+    last = acc.agg(F.max("month_end").alias("_last"))
+    fa = with_scalars(acc, last).where(F.col("month_end") == F.col("_last")).select("forecast_accuracy_pct")
+    vals = with_scalars(with_scalars(gm, yoy), fa).select("gross_margin_pct", "yoy_growth_pct",
+                                                          "forecast_accuracy_pct")
+    return M.kpi_status(vals)
