@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tillroll.sources.tpch import Star
-from tillroll.streaming import clean_sales_rows, read_raw_sales, start_clean_sales
+from tillroll.streaming import clean_sales_rows, read_raw_sales, start_clean_sales, start_monthly_revenue
 
 
 def test_stream_matches_batch_rows(spark):
@@ -27,3 +27,13 @@ def test_stream_matches_batch_rows(spark):
     cols = ["sale_id", "product_id", "sale_date", "quantity", "revenue", "unit_price"]
     assert got.count() == exp.count()
     assert got.select(*cols).exceptAll(exp.select(*cols)).count() == 0
+
+    # monthly totals maintained by a second stream over the cleaned table
+    m = start_monthly_revenue(spark.readStream.schema(got.schema).parquet(sink), "tillroll_monthly",
+                              os.path.join(scratch, "ckpt2"))
+    m.awaitTermination(300)
+    live = {r.month: float(r.revenue) for r in spark.table("tillroll_monthly").collect()}
+    batch = {r.month: float(r.revenue) for r in exp.groupBy(F.trunc("sale_date", "month").alias("month"))
+             .agg(F.sum("revenue").alias("revenue")).collect()}
+    assert live.keys() == batch.keys()
+    assert all(abs(live[k] - batch[k]) < 1e-6 for k in batch)

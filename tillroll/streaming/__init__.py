@@ -8,8 +8,8 @@ watermark on the sale date (unbounded exact dedup would need unbounded
 state).  IQR capping needs whole-column quantiles, so it stays a batch step
 (``operators.clean.cap_outliers``) over the appended table.
 
-``monthly_revenue_stream`` keeps a month-window revenue aggregate with a
-watermark, so late sales update their month until the watermark passes.
+``monthly_revenue_stream`` keeps revenue per calendar month (update mode), so
+late sales still update their month; its state is one row per month.
 """
 
 from __future__ import annotations
@@ -22,9 +22,8 @@ from ..functions import standardize_columns
 from ..operators.clean import coerce_int, coerce_numeric, filter_positive_sales, sale_date_parts, unit_price
 from ..sources.files import raw_schema
 
-# Lateness tolerated for duplicates and month windows.
+# Fixed value: lateness tolerated when dropping duplicate sales.
 DEDUP_WATERMARK = "7 days"
-WINDOW_WATERMARK = "31 days"
 
 
 def read_raw_sales(spark: SparkSession, folder: str, fmt: str = "csv",
@@ -62,9 +61,19 @@ def start_clean_sales(raw: DataFrame, sink: str, checkpoint: str, available_now:
 
 
 def monthly_revenue_stream(clean: DataFrame) -> DataFrame:
-    """Revenue and units per calendar month, finalised once the watermark passes."""
-    ts = F.col("sale_date").cast("timestamp")
-    return (clean.withColumn("_ts", ts).withWatermark("_ts", WINDOW_WATERMARK)
-                 .groupBy(F.window("_ts", "1 day").alias("_d"), F.trunc("sale_date", "month").alias("month"))
-                 .agg(F.sum("revenue").alias("revenue"), F.sum("quantity").alias("units_sold"))
-                 .select("month", F.col("_d.start").cast("date").alias("day"), "revenue", "units_sold"))
+    """Revenue and units per calendar month of a cleaned sales stream.
+
+    Run it in ``update`` output mode: each micro-batch emits the months it
+    changed, so late sales still update their month.  The state is one row
+    per calendar month (bounded by the calendar, not by the data volume).
+    """
+    return (clean.groupBy(F.trunc("sale_date", "month").alias("month"))
+                 .agg(F.sum("revenue").alias("revenue"), F.sum("quantity").alias("units_sold")))
+
+
+def start_monthly_revenue(clean: DataFrame, query_name: str, checkpoint: str, available_now: bool = True):
+    """Keep the monthly totals in a queryable in-memory table (update mode)."""
+    w = (monthly_revenue_stream(clean).writeStream.format("memory").queryName(query_name)
+         .outputMode("update").option("checkpointLocation", checkpoint))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
