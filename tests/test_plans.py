@@ -46,3 +46,13 @@ def test_calendar_and_warehouse_are_broadcast(spark):
     import __spark_entry__ as E
     text = _formatted(E.queries()["monthly_revenue"](spark, SF_SMALL))
     assert "BroadcastHashJoin" in text or "BroadcastExchange" in text
+
+
+def test_partitioned_fact_prunes_periods(spark):
+    import __spark_entry__ as E
+    from pyspark.sql import functions as F
+    back = E.queries()["sink_replace_table"](spark, SF_SMALL)
+    q = back.where((F.col("year") == 1998) & (F.col("month") <= 3))
+    text = _formatted(q)
+    assert "PartitionFilters: [isnotnull(year" in text and "(year#" in text
+    assert q.count() > 0

@@ -9,8 +9,9 @@ bounded per-task state:
                     partition id with a reliable checkpoint, add the totals of
                     earlier partitions (a table with one row per partition,
                     broadcast) to a window that runs inside each partition.
-* ``global_rank``   RANK / DENSE_RANK / ROW_NUMBER over the whole frame from
-                    prefix sums of the distinct sort values.
+* ``global_rank``   RANK / DENSE_RANK over the whole frame from prefix sums
+                    of the distinct sort values (``row_number_global`` for
+                    ROW_NUMBER).
 * ``exact_quantiles`` linear-interpolated quantiles (pandas / DuckDB
                     ``quantile_cont``) from value counts and cumulative counts.
 * ``top_k``         ORDER BY ... LIMIT k with a deterministic tie-break
