@@ -15,15 +15,22 @@ Inside a group the fit is a few lines of numpy (no optional libraries):
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .timeseries import resample_month
 
+# The group function runs in Python workers.  Pickling this module by value
+# ships the fit code with the task, so executors need no installed copy of
+# the package (numpy / pandas are imported there as usual).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Horizon, interval z, season length, smoothing grid.
 PERIODS = 6
 Z95 = 1.959963984540054
