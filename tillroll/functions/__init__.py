@@ -57,11 +57,11 @@ def null_false(pred: Column) -> Column:
 
 
 def str_title(c: ColumnOrName) -> Column:
-    """Python ``str.title()`` on ASCII text: every letter run that follows a
-    non-letter starts upper case, the rest lower (``hi-fi o'neil`` ->
-    ``Hi-Fi O'Neil``).  ``initcap`` only splits on spaces, so split into
-    letter / non-letter runs and capitalise each run."""
-    parts = F.regexp_extract_all(F.lower(col(c)), F.lit("([a-z]+|[^a-z]+)"), 1)
+    """Python ``str.title()``: every letter run that follows a non-letter
+    starts upper case, the rest lower (``hi-fi o'neil`` -> ``Hi-Fi O'Neil``).
+    ``initcap`` only splits on spaces, so split into letter / non-letter runs
+    (Unicode letters, ``\\p{L}``) and capitalise each run."""
+    parts = F.regexp_extract_all(F.lower(col(c)), F.lit(r"(\p{L}+|[^\p{L}]+)"), 1)
     caps = F.transform(parts, lambda y: F.concat(F.upper(F.substring(y, 1, 1)), F.substring(y, 2, 1 << 30)))
     return F.when(col(c).isNotNull(), F.array_join(caps, ""))
 
@@ -101,10 +101,9 @@ def status_flag(value: ColumnOrName, green: float, amber: float,
 
     ``higher_is_better``: green when value >= green, amber when >= amber.
     Otherwise green when value <= green, amber when <= amber.  A blank value
-    fails both tests and is red, like a DAX IF on BLANK compared to a number
-    that is not satisfied.
+    compares as 0, as BLANK does in a DAX comparison.
     """
-    v = col(value)
+    v = F.coalesce(col(value), F.lit(0))
     if higher_is_better:
         return F.when(v >= green, 1).when(v >= amber, 2).otherwise(3)
     return F.when(v <= green, 1).when(v <= amber, 2).otherwise(3)
