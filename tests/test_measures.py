@@ -64,3 +64,14 @@ def test_recommender(spark):
     rec = R.recommend(o, 1, n=4, k=3).orderBy("rank").collect()
     assert [r.partner_id for r in rec] == [2, 3, 4] and [r.score for r in rec] == [2, 1, 0]   # zero fill
     assert R.recommend(o, 5, n=4, k=3).count() == 0                    # outside the top-n: empty
+
+
+def test_pandas_null_key_and_empty_sum_rules(spark):
+    from tillroll.operators import inventory as I
+    inv = spark.createDataFrame([(1, "A", 5, 3), (2, None, 7, 3), (3, "B", None, 3)],
+                                "product_id long, warehouse string, stock_level int, reorder_level int")
+    got = {r.warehouse: r.stock_level for r in I.warehouse_stock(inv).collect()}
+    assert got == {"A": 5, "B": 0}                    # NULL key dropped, all-missing sum is 0
+    o = spark.createDataFrame([(dt.date(2024, 1, 1), 1), (dt.date(2024, 1, 1), None)],
+                              "order_date date, product_id long")
+    assert [(r.product_id, r["count"]) for r in R.value_counts(o).collect()] == [(1, 1)]

@@ -23,8 +23,12 @@ def _alert() -> F.Column:
 
 
 def warehouse_stock(inventory: DataFrame) -> DataFrame:
-    """Sum of stock by warehouse name (inventory with a ``warehouse`` column)."""
-    return inventory.groupBy("warehouse").agg(F.sum("stock_level").cast("bigint").alias("stock_level"))
+    """Sum of stock by warehouse name (inventory with a ``warehouse`` column).
+
+    pandas-derived: NULL warehouses are not grouped, an all-missing sum is 0.
+    """
+    return (inventory.where(F.col("warehouse").isNotNull()).groupBy("warehouse")
+            .agg(F.coalesce(F.sum("stock_level"), F.lit(0)).cast("bigint").alias("stock_level")))
 
 
 def warehouse_stock_vs_reorder(inventory: DataFrame) -> DataFrame:

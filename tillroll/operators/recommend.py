@@ -24,7 +24,8 @@ TOP_RECOMMENDATIONS = 5
 
 
 def value_counts(orders: DataFrame, key: str = "product_id") -> DataFrame:
-    return orders.groupBy(key).agg(F.count(F.lit(1)).alias("count"))
+    """Rows per key; NULL keys are not counted (pandas ``value_counts``)."""
+    return orders.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("count"))
 
 
 def top_products(orders: DataFrame, n: int = TOP_PRODUCTS) -> DataFrame:

@@ -61,9 +61,13 @@ def monthly_revenue(sales: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 
 def monthly_revenue_series(sales: DataFrame) -> DataFrame:
-    """Revenue per calendar month present in the data (no gap filling)."""
-    return (sales.groupBy(F.trunc("sale_date", "month").alias("month"))
-                 .agg(F.sum("revenue").cast("double").alias("revenue")))
+    """Revenue per calendar month present in the data (no gap filling).
+
+    pandas-derived: rows without a date are not grouped, an all-missing sum is 0.
+    """
+    return (sales.where(F.col("sale_date").isNotNull())
+                 .groupBy(F.trunc("sale_date", "month").alias("month"))
+                 .agg(F.coalesce(F.sum("revenue"), F.lit(0)).cast("double").alias("revenue")))
 
 
 def quarterly_revenue(sales: DataFrame, dim_date: DataFrame) -> DataFrame:
@@ -97,15 +101,20 @@ def top_products(sales: DataFrame, product: DataFrame, n: int = 10, ascending: b
 
 
 def top_products_qty(sales: DataFrame, product: DataFrame, n: int = 10) -> DataFrame:
-    """Top ``n`` product *names* by units sold (names may repeat across ids)."""
+    """Top ``n`` product *names* by units sold (names may repeat across ids).
+
+    pandas-derived: NULL names are not grouped, an all-missing sum is 0.
+    """
     s = (_per_product(sales).join(product.select("product_id", "product_name"), "product_id")
-         .groupBy("product_name").agg(F.sum("units_sold").cast("bigint").alias("quantity")))
+         .where(F.col("product_name").isNotNull())
+         .groupBy("product_name").agg(F.coalesce(F.sum("units_sold"), F.lit(0)).cast("bigint").alias("quantity")))
     return top_k(s, n, [F.col("quantity").desc(), F.col("product_name").asc()])
 
 
 def category_revenue(sales: DataFrame, product: DataFrame) -> DataFrame:
-    return (product_revenue(sales, product).groupBy("category")
-            .agg(money(F.sum("revenue_sum")).alias("revenue")))
+    """Revenue by category (pandas-derived: NULL category dropped, empty sum 0)."""
+    return (product_revenue(sales, product).where(F.col("category").isNotNull()).groupBy("category")
+            .agg(money(F.coalesce(F.sum("revenue_sum"), F.lit(0))).alias("revenue")))
 
 
 def category_performance(sales: DataFrame, product: DataFrame) -> DataFrame:

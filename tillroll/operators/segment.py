@@ -31,9 +31,10 @@ FIT_THREADS = 16  # concurrent k-means jobs submitted by the driver
 def rfm_features(sales: DataFrame) -> DataFrame:
     """recency = days from the product's last sale to the last sale overall,
     frequency = number of sales, monetary = revenue sum."""
-    per = sales.groupBy("product_id").agg(
+    # pandas groupby: NULL product ids are not grouped; an all-missing sum is 0
+    per = sales.where(F.col("product_id").isNotNull()).groupBy("product_id").agg(
         F.max("sale_date").alias("_last"), F.count("sale_id").alias("frequency"),
-        F.sum("revenue").cast("double").alias("monetary"))
+        F.coalesce(F.sum("revenue"), F.lit(0)).cast("double").alias("monetary"))
     today = sales.agg(F.max("sale_date").alias("_today"))
     return with_scalars(per, today).select(
         "product_id", F.datediff("_today", "_last").alias("recency"), "frequency", "monetary")

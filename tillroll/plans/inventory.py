@@ -11,7 +11,8 @@ from .registry import query
 
 
 @query("warehouse_stock", """
-select warehouse, cast(sum(stock_level) as bigint) stock_level from inventory group by warehouse""")
+select warehouse, cast(coalesce(sum(stock_level), 0) as bigint) stock_level from inventory
+where warehouse is not null group by warehouse""")
 def warehouse_stock(spark, sf):
     return I.warehouse_stock(Star(spark, sf).inventory)
 

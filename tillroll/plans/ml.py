@@ -78,14 +78,16 @@ def anomaly_rate(spark, sf):
 
 
 # -- recommender (clean orders) ---------------------------------------------------
-_TOP50 = """top as (select product_id, count(*) c from fact_orders_clean group by 1 order by c desc, product_id limit 50),
+_TOP50 = """top as (select product_id, count(*) c from fact_orders_clean where product_id is not null group by 1
+             order by c desc, product_id limit 50),
 pd as (select distinct order_date, product_id from fact_orders_clean where product_id in (select product_id from top)),
 pairs as (select a.order_date, a.product_id product_a, b.product_id product_b from pd a join pd b
           on a.order_date = b.order_date and a.product_id < b.product_id),
 cooc as (select product_a, product_b, count(*) cnt from pairs group by 1, 2)"""
 
 
-@query("value_counts", 'select product_id, count(*) "count" from fact_orders_clean group by 1')
+@query("value_counts", 'select product_id, count(*) "count" from fact_orders_clean where product_id is not null '
+       'group by 1')
 def value_counts(spark, sf):
     return R.value_counts(Star(spark, sf).fact_orders_clean)
 
@@ -131,7 +133,8 @@ def recommend(spark, sf):
 
 # -- RFM ------------------------------------------------------------------------
 _RFM = """rfm as (select product_id, datediff('day', max(sale_date), (select max(sale_date) from fact_sales)) recency,
-       count(sale_id) frequency, cast(sum(revenue) as double) monetary from fact_sales group by product_id)"""
+       count(sale_id) frequency, cast(coalesce(sum(revenue), 0) as double) monetary from fact_sales
+       where product_id is not null group by product_id)"""
 
 
 @query("rfm_features", f"with {_RFM} select * from rfm")

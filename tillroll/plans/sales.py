@@ -52,8 +52,8 @@ def monthly_revenue(spark, sf):
 
 
 @query("monthly_revenue_series", """
-select cast(date_trunc('month', sale_date) as date) "month", cast(sum(revenue) as double) revenue
-from fact_sales group by 1""")
+select cast(date_trunc('month', sale_date) as date) "month", cast(coalesce(sum(revenue), 0) as double) revenue
+from fact_sales where sale_date is not null group by 1""")
 def monthly_revenue_series(spark, sf):
     return S.monthly_revenue_series(Star(spark, sf).fact_sales)
 
@@ -102,17 +102,18 @@ def top8_products(spark, sf):
 
 
 @query("top_products_qty", """
-select p.product_name, cast(sum(s.quantity) as bigint) quantity
+select p.product_name, cast(coalesce(sum(s.quantity), 0) as bigint) quantity
 from fact_sales s join dim_product p on s.product_id = p.product_id
-group by p.product_name order by quantity desc, p.product_name limit 10""")
+where p.product_name is not null group by p.product_name order by quantity desc, p.product_name limit 10""")
 def top_products_qty(spark, sf):
     st = Star(spark, sf)
     return S.top_products_qty(st.fact_sales, st.dim_product, 10)
 
 
 @query("category_revenue", """
-select p.category, cast(round(sum(s.revenue), 2) as double) revenue
-from fact_sales s join dim_product p on s.product_id = p.product_id group by p.category""")
+select p.category, cast(round(coalesce(sum(s.revenue), 0), 2) as double) revenue
+from fact_sales s join dim_product p on s.product_id = p.product_id
+where p.category is not null group by p.category""")
 def category_revenue(spark, sf):
     st = Star(spark, sf)
     return S.category_revenue(st.fact_sales, st.dim_product)
