@@ -75,3 +75,13 @@ def test_pandas_null_key_and_empty_sum_rules(spark):
     o = spark.createDataFrame([(dt.date(2024, 1, 1), 1), (dt.date(2024, 1, 1), None)],
                               "order_date date, product_id long")
     assert [(r.product_id, r["count"]) for r in R.value_counts(o).collect()] == [(1, 1)]
+
+
+def test_star_load_null_safe_warehouse(spark):
+    from tillroll.operators import inventory as I
+    inv = spark.createDataFrame([(1, "Pune", 5, 3), (2, None, 7, 3), (3, "Agra", 1, 3)],
+                                "product_id long, warehouse string, stock_level int, reorder_level int")
+    w = {r.warehouse_name: r.warehouse_id for r in I.distinct_warehouses(inv).collect()}
+    assert w == {"Agra": 1, "Pune": 2, None: 3}
+    j = inv.join(I.distinct_warehouses(inv), inv.warehouse.eqNullSafe(F.col("warehouse_name")))
+    assert sorted((r.product_id, r.warehouse_id) for r in j.collect()) == [(1, 2), (2, 3), (3, 1)]

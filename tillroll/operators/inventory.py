@@ -105,9 +105,12 @@ def dead_stock(sales: DataFrame, fact_inventory: DataFrame, days: int = DEAD_STO
 
 
 def distinct_warehouses(inventory: DataFrame) -> DataFrame:
-    """Warehouse dimension from inventory names: 1-based id in name order."""
-    names = inventory.select(F.col("warehouse").alias("warehouse_name")).where(
-        F.col("warehouse_name").isNotNull()).distinct()
+    """Warehouse dimension from inventory names: 1-based id in name order.
+
+    Like ``unique()``, a missing name is a member too (it sorts last), so the
+    null-safe join of the star load gives those inventory rows an id.
+    """
+    names = inventory.select(F.col("warehouse").alias("warehouse_name")).distinct()
     return global_rank(names, "warehouse_name", "warehouse_id", method="dense", descending=False)
 
 

@@ -90,7 +90,7 @@ def join_inventory_warehouse(spark, sf):
     """Join on differently named keys (warehouse = warehouse_name)."""
     st = Star(spark, sf)
     i, w = st.inventory, st.dim_warehouse
-    j = i.join(F.broadcast(w), i.warehouse == w.warehouse_name)
+    j = i.join(F.broadcast(w), i.warehouse == w.warehouse_name)  # region-based: 5 rows
     return j.select("product_id", "warehouse", "warehouse_id", "stock_level", "reorder_level")
 
 
@@ -154,8 +154,8 @@ def dead_stock(spark, sf):
 
 
 @query("distinct_warehouses", """
-select warehouse_name, cast(dense_rank() over (order by warehouse_name) as int) warehouse_id
-from (select distinct warehouse warehouse_name from inventory where warehouse is not null)""")
+select warehouse_name, cast(dense_rank() over (order by warehouse_name nulls last) as int) warehouse_id
+from (select distinct warehouse warehouse_name from inventory)""")
 def distinct_warehouses(spark, sf):
     return I.distinct_warehouses(Star(spark, sf).inventory)
 

@@ -91,17 +91,19 @@ def quarterly_pivot(spark, sf):
 
 
 @query("project_columns", """
-with w as (select warehouse_name, cast(dense_rank() over (order by warehouse_name) as int) warehouse_id
-           from (select distinct warehouse warehouse_name from inventory where warehouse is not null))
+with w as (select warehouse_name, cast(dense_rank() over (order by warehouse_name nulls last) as int) warehouse_id
+           from (select distinct warehouse warehouse_name from inventory))
 select i.product_id, w.warehouse_id, i.stock_level, i.reorder_level,
        coalesce(i.stock_level <= i.reorder_level, false) needs_reorder
-from inventory i join w on i.warehouse = w.warehouse_name""")
+from inventory i join w on i.warehouse is not distinct from w.warehouse_name""")
 def project_columns(spark, sf):
     """Inventory merged with the generated warehouse ids and projected to the
-    fact-table columns (the star-load projection)."""
+    fact-table columns (the star-load projection).  The merge is null-safe:
+    a missing warehouse name matches the missing-name member."""
     st = Star(spark, sf)
     w = I.distinct_warehouses(st.inventory)
-    j = st.inventory.join(F.broadcast(w), st.inventory.warehouse == w.warehouse_name)  # one row per warehouse
+    # no hint: the name list comes from the data, so Catalyst's size check decides
+    j = st.inventory.join(w, st.inventory.warehouse.eqNullSafe(w.warehouse_name))
     return j.select("product_id", "warehouse_id", "stock_level", "reorder_level",
                     F.coalesce(F.col("stock_level") <= F.col("reorder_level"), F.lit(False)).alias("needs_reorder"))
 
