@@ -25,6 +25,25 @@ CALENDAR_START = "1995-01-01"
 CALENDAR_END = "2001-12-31"
 
 
+# Read handles per (application, path).  Creating a handle lists the files and
+# reads parquet footers (~0.1 s each); the handle is only a plan, the data is
+# read when a query runs.  ``clear_table_cache`` forgets them after the files
+# change.
+_HANDLES: dict[tuple[str, str], DataFrame] = {}
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    key = (spark.sparkContext.applicationId, path)
+    df = _HANDLES.get(key)
+    if df is None:
+        df = _HANDLES[key] = spark.read.parquet(path)
+    return df
+
+
+def clear_table_cache() -> None:
+    _HANDLES.clear()
+
+
 class Star:
     """Lazily built star-schema DataFrames for one data folder."""
 
@@ -33,7 +52,7 @@ class Star:
         self.sf_dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return read_table(self.spark, f"{self.sf_dir}/{name}.parquet")
 
     # -- dimensions -------------------------------------------------------
     @cached_property
