@@ -157,3 +157,22 @@ def scenario_compound(sales: DataFrame, rate: float = COMPOUND_RATE, steps: int
     f = b.select("base", "last_month_end", F.explode(F.sequence(F.lit(0), F.lit(steps))).alias("k"))
     return f.select("k", F.last_day(F.add_months("last_month_end", F.col("k") + 1)).alias("month_end"),
                     (F.col("base") * F.pow(F.lit(1.0 + rate), F.col("k"))).alias("forecast"))
+
+
+def ma3_base_daily(sales: DataFrame, months: int = MA_WINDOW) -> DataFrame:
+    """DAX reading of MA3 Base at month grain: the mean *daily* revenue over
+    the dates in (EDATE(month_end, -months), month_end], days without sales
+    skipped (AVERAGEX ignores blanks).
+
+    Each day can only fall in the windows of its own month end and the next
+    ``months`` month ends, so days are fanned out to those candidates (a
+    bounded x(months+1)) and filtered, instead of a range join.
+    """
+    daily = (sales.groupBy("sale_date").agg(F.sum("revenue").alias("_r"))
+             .where(F.col("_r").isNotNull()))
+    ends = resample_month(sales).select("month_end")
+    cand = daily.select("sale_date", "_r", F.explode(F.sequence(F.lit(0), F.lit(months))).alias("_k"))
+    cand = cand.select("sale_date", "_r", F.last_day(F.add_months("sale_date", F.col("_k"))).alias("month_end"))
+    inside = (F.col("sale_date") > F.add_months("month_end", -months)) & (F.col("sale_date") <= F.col("month_end"))
+    agg = cand.where(inside).groupBy("month_end").agg(F.avg(F.col("_r").cast("double")).alias("ma3_daily"))
+    return ends.join(agg, "month_end", "left")

@@ -140,3 +140,16 @@ select cast(k as int) k, last_day(last_month_end + to_months(cast(k as int) + 1)
 from last, (select unnest(generate_series(0, 5)) k)""")
 def scenario_compound(spark, sf):
     return T.scenario_compound(Star(spark, sf).fact_sales)
+
+
+@query("ma3_base_daily", f"""
+with {_SPINE},
+d as (select sale_date, sum(revenue) r from fact_sales group by sale_date having sum(revenue) is not null)
+select s.month_end,
+       (select avg(cast(d.r as double)) from d where d.sale_date > s.month_end - interval 3 month
+          and d.sale_date <= s.month_end) ma3_daily
+from series s""")
+def ma3_base_daily(spark, sf):
+    """MA3 Base read as in the dashboard measure: mean daily revenue over the
+    three months ending at each month end."""
+    return T.ma3_base_daily(Star(spark, sf).fact_sales)
