@@ -85,3 +85,20 @@ def test_star_load_null_safe_warehouse(spark):
     assert w == {"Agra": 1, "Pune": 2, None: 3}
     j = inv.join(I.distinct_warehouses(inv), inv.warehouse.eqNullSafe(F.col("warehouse_name")))
     assert sorted((r.product_id, r.warehouse_id) for r in j.collect()) == [(1, 2), (2, 3), (3, 1)]
+
+
+def test_slicers_match_grouped_measures(spark):
+    from conftest import SF_SMALL
+    from tillroll.sources.tpch import Star
+    st = Star(spark, SF_SMALL)
+    cat = st.dim_product.select("category").orderBy("category").first()[0]
+    from tillroll.operators import scorecard as SC
+    grouped = {r.category: r for r in SC.sliced_measures(st.fact_sales, st.dim_product, ["category"]).collect()}
+    tot = M.total_revenue(st.fact_sales, product=st.dim_product, category=cat).collect()[0][0]
+    gm = M.gross_margin_pct(st.fact_sales, st.dim_product, category=cat).collect()[0][0]
+    assert abs(tot - grouped[cat].total_revenue) < 1e-6
+    assert abs(gm - grouped[cat].gross_margin_pct) < 1e-9
+    # warehouse slicer filters inventory; alerts of one warehouse = its overview row
+    w1 = M.reorder_alerts(st.fact_inventory, warehouse_id=1).collect()[0]
+    exp = st.fact_inventory.where("warehouse_id = 1 and stock_level <= reorder_level").count()
+    assert w1.reorder_alert_count == exp

@@ -33,13 +33,34 @@ ON_TIME_DAYS = 10
 DAYS_PER_YEAR = 365
 
 
+def slice_facts(fact: DataFrame, product: DataFrame | None = None, category: str | None = None,
+                warehouse_id: int | None = None) -> DataFrame:
+    """Page slicers applied through the model's relationships.
+
+    A category slicer filters the product dimension and reaches the fact
+    through ``product_id`` (a semi join: the fact keeps its rows and
+    columns).  A warehouse slicer filters facts that carry ``warehouse_id``
+    (inventory); facts without that relationship (sales, orders) are not
+    filtered by it, as in the report's model.
+    """
+    out = fact
+    if category is not None:
+        keys = product.where(F.col("category") == category).select("product_id")
+        out = out.join(keys, "product_id", "left_semi")
+    if warehouse_id is not None and "warehouse_id" in fact.columns:
+        out = out.where(F.col("warehouse_id") == warehouse_id)
+    return out
+
+
 def _sales_cost(sales: DataFrame, product: DataFrame) -> DataFrame:
     """Per product exact sums, then the cost lookup (RELATED)."""
     p = sales.groupBy("product_id").agg(F.sum("revenue").alias("_rev"), F.sum("quantity").alias("_qty"))
     return p.join(product.select("product_id", "cost"), "product_id", "left")
 
 
-def total_revenue(sales: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def total_revenue(sales: DataFrame, by: Sequence[str] = (), product: DataFrame | None = None,
+                  category: str | None = None) -> DataFrame:
+    sales = slice_facts(sales, product, category)
     return sales.groupBy(*by).agg(F.sum("revenue").cast("double").alias("total_revenue"))
 
 
@@ -57,13 +78,14 @@ def gross_profit(sales: DataFrame, product: DataFrame, by: Sequence[str] = ()) -
     return p.agg(F.sum(F.col("_rev") - F.col("_qty") * F.col("cost")).cast("double").alias("gross_profit"))
 
 
-def gross_margin_pct(sales: DataFrame, product: DataFrame) -> DataFrame:
-    p = _sales_cost(sales, product)
+def gross_margin_pct(sales: DataFrame, product: DataFrame, category: str | None = None) -> DataFrame:
+    p = _sales_cost(slice_facts(sales, product, category), product)
     gp = F.sum(F.col("_rev") - F.col("_qty") * F.col("cost")).cast("double")
     return p.agg((safe_divide(gp, F.sum("_rev").cast("double"), 0) * 100).alias("gross_margin_pct"))
 
 
-def avg_order_value(sales: DataFrame) -> DataFrame:
+def avg_order_value(sales: DataFrame, product: DataFrame | None = None, category: str | None = None) -> DataFrame:
+    sales = slice_facts(sales, product, category)
     return sales.agg(safe_divide(F.sum("revenue").cast("double"), F.count(F.lit(1)), 0).alias("avg_order_value"))
 
 
@@ -105,8 +127,11 @@ def total_skus(fact_inventory: DataFrame) -> DataFrame:
     return fact_inventory.agg(F.count_distinct("product_id").alias("total_skus"))
 
 
-def reorder_alerts(fact_inventory: DataFrame) -> DataFrame:
-    """Alert count, alert % of SKUs, and average stock coverage in one pass."""
+def reorder_alerts(fact_inventory: DataFrame, product: DataFrame | None = None, category: str | None = None,
+                   warehouse_id: int | None = None) -> DataFrame:
+    """Alert count, alert % of SKUs, and average stock coverage in one pass
+    (optionally under the category / warehouse slicers)."""
+    fact_inventory = slice_facts(fact_inventory, product, category, warehouse_id)
     alert = null_false(F.col("stock_level") <= F.col("reorder_level"))
     return fact_inventory.agg(
         F.count_if(alert).alias("reorder_alert_count"),
