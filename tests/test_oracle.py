@@ -13,6 +13,10 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "pages benchmark labels conversations").split()
 
 
+_TYPES = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date",
+          "BOOLEAN": "boolean", "SMALLINT": "smallint", "FLOAT": "float"}
+
+
 def _norm(v):
     if v is None:
         return None
@@ -55,6 +59,9 @@ def test_query_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF_SMALL)
     cols = sdf.columns
     srows = [tuple(_norm(r[c]) for c in cols) for r in sdf.collect()]
+    rel = duck.sql(E.oracle_sql()[name])
+    types = {c: _TYPES.get(str(t), str(t).lower()) for c, t in zip(rel.columns, rel.types)}
+    assert types == dict(sdf.dtypes)                         # same names and types
     cur = duck.execute(E.oracle_sql()[name])
     dcols = [d[0] for d in cur.description]
     assert sorted(cols) == sorted(dcols)

@@ -98,7 +98,7 @@ with q as (select product_id, quantile_cont(cast(quantity as double), 0.25) q1,
 select s.sale_id, s.product_id, s.sale_date,
        case when s.quantity is null then null else
          least(greatest(cast(s.quantity as double), q1 - 1.5 * (q3 - q1)), q3 + 1.5 * (q3 - q1)) end quantity,
-       s.revenue
+       cast(s.revenue as double) revenue
 from fact_sales s left join q on s.product_id = q.product_id""")
 def cap_outliers_grouped(spark, sf):
     """IQR capping with fences per product (grouped variant)."""

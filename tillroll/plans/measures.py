@@ -94,7 +94,7 @@ def m_total_skus(spark, sf):
 
 
 @query("m_reorder_alerts", """
-select count_if(coalesce(stock_level <= reorder_level, false)) reorder_alert_count,
+select cast(count_if(coalesce(stock_level <= reorder_level, false)) as bigint) reorder_alert_count,
        case when count(distinct product_id) = 0 then 0 else
          cast(count_if(coalesce(stock_level <= reorder_level, false)) as double) / count(distinct product_id) end * 100
          reorder_alert_pct,
@@ -208,7 +208,7 @@ def kpi_inventory_turnover(spark, sf):
 
 
 @query("kpi_stockout_rate", """
-select count_if(stockout = 1) stockout_orders, count(*) total_orders,
+select cast(count_if(stockout = 1) as bigint) stockout_orders, count(*) total_orders,
        round(cast(count_if(stockout = 1) as double) / count(*) * 100, 2) stockout_rate
 from stockout_features""")
 def kpi_stockout_rate(spark, sf):
@@ -219,7 +219,7 @@ def kpi_stockout_rate(spark, sf):
 
 
 @query("kpi_fill_rate", """
-select count_if(delivery_date >= order_date) filled_orders, count(*) total_orders,
+select cast(count_if(delivery_date >= order_date) as bigint) filled_orders, count(*) total_orders,
        round(cast(count_if(delivery_date >= order_date) as double) / count(*) * 100, 2) fill_rate
 from fact_orders""")
 def kpi_fill_rate(spark, sf):

@@ -71,7 +71,7 @@ def anti_normal(spark, sf):
 
 
 @query("anomaly_rate", f"""{_Z}
-select count_if(abs(z_score) > 3) anomalies, cast(count_if(abs(z_score) > 3) as double) / count(*) * 100 anomaly_pct
+select cast(count_if(abs(z_score) > 3) as bigint) anomalies, cast(count_if(abs(z_score) > 3) as double) / count(*) * 100 anomaly_pct
 from z""")
 def anomaly_rate(spark, sf):
     return AN.anomaly_rate(Star(spark, sf).fact_sales)
@@ -132,7 +132,8 @@ def recommend(spark, sf):
 
 
 # -- RFM ------------------------------------------------------------------------
-_RFM = """rfm as (select product_id, datediff('day', max(sale_date), (select max(sale_date) from fact_sales)) recency,
+_RFM = """rfm as (select product_id,
+       cast(datediff('day', max(sale_date), (select max(sale_date) from fact_sales)) as int) recency,
        count(sale_id) frequency, cast(coalesce(sum(revenue), 0) as double) monetary from fact_sales
        where product_id is not null group by product_id)"""
 

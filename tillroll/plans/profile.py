@@ -74,7 +74,7 @@ def profile_info(spark, sf):
 
 
 @query("profile_nulls", " union all ".join(
-    f"select '{c}' column_name, count_if({c} is null) nulls from fact_orders"
+    f"select '{c}' column_name, cast(count_if({c} is null) as bigint) nulls from fact_orders"
     for c in ("order_id", "product_id", "order_date", "delivery_date", "quantity")))
 def profile_nulls(spark, sf):
     return P.nulls(Star(spark, sf).fact_orders)
@@ -118,7 +118,7 @@ q as (select quantile_cont(x, 0.25) q1, quantile_cont(x, 0.5) median, quantile_c
 select q1, median, q3, q3 - q1 iqr,
        min(case when x between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1) then x end) whisker_low,
        max(case when x between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1) then x end) whisker_high,
-       count_if(not (x between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1))) outliers
+       cast(count_if(not (x between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1))) as bigint) outliers
 from sd, q group by q1, median, q3""")
 def profile_boxstats(spark, sf):
     st = Star(spark, sf)
