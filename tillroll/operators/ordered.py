@@ -47,13 +47,19 @@ def prefix_sum(df: DataFrame, order: Sequence[Column | str], sums: Sequence[str]
 
 def prefix_sum_totals(df: DataFrame, order: Sequence[Column | str], sums: Sequence[str],
                       partition_by: Sequence[str] = (), suffix: str = "_cum",
-                      inclusive: bool = True) -> tuple[DataFrame, DataFrame]:
+                      inclusive: bool = True, restrict=None) -> tuple[DataFrame, DataFrame]:
     """Running sums of ``sums`` in ``order`` (ROWS frame), optionally per group.
 
     ``order`` must be a total order (add a unique key as the last tie-break)
     for the result to be repeatable.  The frame is range-partitioned once and
     checkpointed to the session's reliable checkpoint folder, so partition
     ids survive executor loss and are read consistently by both branches.
+
+    Returns the rows with running sums and the grand totals per group.
+    ``restrict(parts, totals)`` may return the ``(__part, *by)`` keys of the
+    only range partitions whose rows are needed; ``parts`` has one row per
+    range partition and group with its offset ``__o_<c>`` and sum ``__t_<c>``.
+    The running-sum window then reads only those partitions.
     """
     ensure_checkpoint_dir(df.sparkSession)
     by = list(partition_by)
@@ -63,22 +69,27 @@ def prefix_sum_totals(df: DataFrame, order: Sequence[Column | str], sums: Sequen
                 .checkpoint(eager=True))
     tot = ranged.groupBy(_P, *by).agg(*[F.sum(c).alias(f"__t_{c}") for c in sums])
     w_prev = Window.partitionBy(*by).orderBy(_P).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = tot.select(_P, *by, *[
+    parts = tot.select(_P, *by, *[F.col(f"__t_{c}") for c in sums], *[
         F.coalesce(F.sum(f"__t_{c}").over(w_prev), F.lit(0)).alias(f"__o_{c}") for c in sums])
+    # grand totals per group, from the per-partition sums of the checkpoint
+    totals = tot.groupBy(*by).agg(*[F.sum(f"__t_{c}").alias(f"{c}_total") for c in sums])
+    offsets = parts.drop(*[f"__t_{c}" for c in sums])
     if not by:
         # one row per range partition: bounded by the partition count
         offsets = F.broadcast(offsets)
+    rows = ranged
+    if restrict is not None:
+        keep = restrict(parts, totals)
+        rows = ranged.join(F.broadcast(keep) if not by else keep, [_P, *by], "left_semi")
     frame_end = Window.currentRow if inclusive else -1
     w_in = (Window.partitionBy(_P, *by).orderBy(*_sort_cols(order))
             .rowsBetween(Window.unboundedPreceding, frame_end))
-    out = ranged.join(offsets, [_P, *by])
+    out = rows.join(offsets, [_P, *by])
     for c in sums:
         within = F.sum(c).over(w_in)
         if not inclusive:
             within = F.coalesce(within, F.lit(0))
         out = out.withColumn(f"{c}{suffix}", F.col(f"__o_{c}") + within)
-    # grand totals per group, from the per-partition sums of the checkpoint
-    totals = tot.groupBy(*by).agg(*[F.sum(f"__t_{c}").alias(f"{c}_total") for c in sums])
     return out.drop(_P, *[f"__o_{c}" for c in sums]), totals
 
 
@@ -130,7 +141,18 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
     v = (F.col(value) if isinstance(value, str) else value).cast("double")
     base = df.select(*by, v.alias("__x")).where(F.col("__x").isNotNull() & ~F.isnan("__x"))
     vc = base.groupBy(*by, "__x").agg(F.count(F.lit(1)).alias("__c"))
-    pc, tot = prefix_sum_totals(vc, [F.col("__x").asc()], ["__c"], partition_by=by)
+    def positions(parts: DataFrame, totals: DataFrame) -> DataFrame:
+        # range partitions that contain a floor/ceil position of some quantile
+        j = parts.join(totals, by) if by else with_scalars(parts, totals)
+        start, end = F.col("__o___c"), F.col("__o___c") + F.col("__t___c")
+        hit = F.lit(False)
+        for p in probs:
+            h = (F.col("__c_total") - 1) * F.lit(float(p))
+            for pos in (F.floor(h), F.ceil(h)):
+                hit = hit | ((start <= pos) & (pos < end))
+        return j.where(hit).select(_P, *by)
+
+    pc, tot = prefix_sum_totals(vc, [F.col("__x").asc()], ["__c"], partition_by=by, restrict=positions)
     n = tot.withColumnRenamed("__c_total", "__n")
     j = pc.join(n, by) if by else with_scalars(pc, n)
     start = F.col("__c_cum") - F.col("__c")  # first 0-based position of this value
