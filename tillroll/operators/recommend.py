@@ -39,7 +39,7 @@ def top_product_ids(orders: DataFrame, n: int = TOP_PRODUCTS) -> list:
 
 
 def top_product_dates(orders: DataFrame, n: int = TOP_PRODUCTS, ids: list | None = None) -> DataFrame:
-    """Distinct (order_date, product_id) of the top-n products (semi join on the id list)."""
+    """Distinct (order_date, product_id) of the top-n products (semi join on the id list as `isin`)."""
     ids = top_product_ids(orders, n) if ids is None else ids
     return (orders.select("order_date", "product_id").where(F.col("product_id").isin(ids)).distinct())
 

@@ -99,7 +99,7 @@ def top50_products(spark, sf):
 
 @query("semi_top_products", f"with {_TOP50} select * from pd")
 def semi_top_products(spark, sf):
-    """(date, product) rows of the top-50 products: left-semi join with the id list."""
+    """(date, product) rows of the top-50 products: a semi join on the id list (an `isin` filter)."""
     return R.top_product_dates(Star(spark, sf).fact_orders_clean, 50)
 
 
