@@ -102,3 +102,18 @@ def test_slicers_match_grouped_measures(spark):
     w1 = M.reorder_alerts(st.fact_inventory, warehouse_id=1).collect()[0]
     exp = st.fact_inventory.where("warehouse_id = 1 and stock_level <= reorder_level").count()
     assert w1.reorder_alert_count == exp
+
+
+def test_rfm_five_clusters_fifth_label_null(spark):
+    from conftest import SF_SMALL
+    from tillroll.operators import segment as SG
+    from tillroll.sources.tpch import Star
+    st = Star(spark, SF_SMALL)
+    seg = SG.rfm_segment(st.fact_sales, st.dim_product, k=5)
+    labels = {r.segment: r.segment_label for r in seg.select("segment", "segment_label").distinct().collect()}
+    assert len(labels) == 5
+    assert sorted(v for v in labels.values() if v) == sorted(SG.SEGMENT_LABELS)
+    assert sum(v is None for v in labels.values()) == 1
+    means = {r.segment_label: r.monetary for r in SG.rfm_segment_means(seg).collect() if r.segment_label}
+    order = [means[lbl] for lbl in SG.SEGMENT_LABELS]
+    assert order == sorted(order, reverse=True)          # labels follow mean monetary value

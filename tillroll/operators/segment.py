@@ -26,6 +26,7 @@ N_INIT = 10
 MAX_K = 8
 FEATURES = ("recency", "frequency", "monetary")
 FIT_THREADS = 16  # concurrent k-means jobs submitted by the driver
+ROWS_PER_FIT_PARTITION = 50_000  # feature rows per partition of the cached fitting frame
 
 
 def rfm_features(sales: DataFrame) -> DataFrame:
@@ -46,6 +47,25 @@ def _scaled(rfm: DataFrame) -> DataFrame:
     return Pipeline(stages=[asm, sc]).fit(rfm).transform(rfm)
 
 
+def _fitting_frame(rfm: DataFrame) -> DataFrame:
+    """Scaled features, cached, with partitions sized to the row count.
+
+    Every k-means iteration is a job with one task per partition, so a small
+    feature table spread over many partitions spends its time in task
+    overhead.  The cached frame keeps ceil(rows / 50k) partitions (never more
+    than it had), so large tables keep their parallelism.
+    """
+    x = _scaled(rfm).persist()
+    n = x.count()
+    want = max(1, -(-n // ROWS_PER_FIT_PARTITION))
+    if want < x.rdd.getNumPartitions():
+        y = x.coalesce(want).persist()
+        y.count()
+        x.unpersist()
+        x = y
+    return x
+
+
 def _fit(x: DataFrame, k: int, seed: int):
     m = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="segment").fit(x)
     return m.summary.trainingCost, seed, m
@@ -78,7 +98,7 @@ def rfm_segment(sales: DataFrame, product: DataFrame, k: int = N_CLUSTERS) -> Da
     feature frame stays persisted for the returned plan (call
     ``unpersist`` on the session catalog or let it age out).
     """
-    x = _scaled(rfm_features(sales)).persist()
+    x = _fitting_frame(rfm_features(sales))
     seg = _best_kmeans(x, k).transform(x).drop("_raw", "features")
     means = seg.groupBy("segment").agg(F.avg("monetary").alias("_m"))
     # k rows (one per cluster): rank clusters by mean monetary value
@@ -99,7 +119,7 @@ def rfm_segment_means(segments: DataFrame) -> DataFrame:
 
 def rfm_silhouette(sales: DataFrame, max_k: int = MAX_K) -> DataFrame:
     """Silhouette (squared Euclidean) of the best k-means for k = 2..max_k."""
-    x = _scaled(rfm_features(sales)).persist()
+    x = _fitting_frame(rfm_features(sales))
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="segment")
     models = _best_many(x, range(2, max_k + 1))
     rows = [(k, float(ev.evaluate(models[k].transform(x)))) for k in sorted(models)]
