@@ -1,0 +1,26 @@
+"""Input sizing for iterative spark.ml fits."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+ROWS_PER_FIT_PARTITION = 50_000
+
+
+def sized_cache(df: DataFrame, rows_per_partition: int = ROWS_PER_FIT_PARTITION) -> DataFrame:
+    """Cache ``df`` with ceil(rows / rows_per_partition) partitions (never
+    more than it has).
+
+    Iterative fits (k-means iterations, tree levels) run one job per step with
+    one task per partition, so a small table spread over many partitions spends
+    its time in task overhead; a large table keeps all of its partitions.
+    """
+    x = df.persist()
+    n = x.count()
+    want = max(1, -(-n // rows_per_partition))
+    if want < x.rdd.getNumPartitions():
+        y = x.coalesce(want).persist()
+        y.count()
+        x.unpersist()
+        x = y
+    return x

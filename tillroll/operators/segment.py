@@ -16,6 +16,7 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .mlutil import sized_cache
 from .ordered import with_scalars
 
 # Segment labels (best first by mean monetary), k, seed, restarts.
@@ -26,7 +27,6 @@ N_INIT = 10
 MAX_K = 8
 FEATURES = ("recency", "frequency", "monetary")
 FIT_THREADS = 16  # concurrent k-means jobs submitted by the driver
-ROWS_PER_FIT_PARTITION = 50_000  # feature rows per partition of the cached fitting frame
 
 
 def rfm_features(sales: DataFrame) -> DataFrame:
@@ -48,22 +48,8 @@ def _scaled(rfm: DataFrame) -> DataFrame:
 
 
 def _fitting_frame(rfm: DataFrame) -> DataFrame:
-    """Scaled features, cached, with partitions sized to the row count.
-
-    Every k-means iteration is a job with one task per partition, so a small
-    feature table spread over many partitions spends its time in task
-    overhead.  The cached frame keeps ceil(rows / 50k) partitions (never more
-    than it had), so large tables keep their parallelism.
-    """
-    x = _scaled(rfm).persist()
-    n = x.count()
-    want = max(1, -(-n // ROWS_PER_FIT_PARTITION))
-    if want < x.rdd.getNumPartitions():
-        y = x.coalesce(want).persist()
-        y.count()
-        x.unpersist()
-        x = y
-    return x
+    """Scaled features, cached with partitions sized to the row count."""
+    return sized_cache(_scaled(rfm))
 
 
 def _fit(x: DataFrame, k: int, seed: int):
