@@ -5,10 +5,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, pii
+from . import chat, exact_dedup, pii, secrets, urls
 from .common import table
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
+
+
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(table(spark, sf_dir, "conversations"))
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"))
 
@@ -17,6 +29,8 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op8_exact_dedup, op9_pii)}
+QUERIES = {f.__name__: f for f in (op2_secrets, op3_chat, op7_url_filter, op8_exact_dedup, op9_pii)}
 
-ORACLE_SQL = {"op8_exact_dedup": exact_dedup.SQL}
+ORACLE_SQL = {
+    "op2_secrets": secrets.SQL, "op3_chat": chat.SQL, "op7_url_filter": urls.SQL, "op8_exact_dedup": exact_dedup.SQL,
+}
