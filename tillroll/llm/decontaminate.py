@@ -27,9 +27,11 @@ from .common import ship_code
 Q, WINDOW, STRIDE, RATE = 8, 100, 50, 0.1
 #: Characters of the benchmark broadcast at a time.
 BLOCK_CHARS = 16_000_000
-#: Characters of documents examined together in a task.
-CHUNK_CHARS = 1 << 20
+#: Characters of documents examined together in a task, and texts taken from a batch at a time.
+CHUNK_CHARS, TEXTS = 1 << 20, 1024
 SLOT_BITS = 22
+#: Bits for a start in an alignment's values; regions aligned together.
+BITS, ALIGNED = 20, 20_000
 LEAK = "struct<item_id:long,start:int,end:int,edits:int,windows:int>"
 
 
@@ -52,10 +54,10 @@ def codes(text: str, table: np.ndarray) -> np.ndarray:
 
 def gram_hashes(c: np.ndarray) -> np.ndarray:
     """A 64-bit hash of the eight code points from each position on."""
-    h, base = c.astype(np.uint64), np.uint64(0x9E3779B97F4A7C15)
+    h, base = c.astype(np.uint64), 0x9E3779B97F4A7C15
     for step in (1, 2, 4):
-        h = h[:-step] * base + h[step:] if len(h) > step else h[:0]
-        base = base * base
+        h = h[:-step] * np.uint64(base) + h[step:] if len(h) > step else h[:0]
+        base = base * base % (1 << 64)
     return h ^ (h >> np.uint64(29))
 
 
@@ -65,32 +67,31 @@ def edits_allowed(m: int, rate: float = RATE) -> int:
     return max(0, min(int(rate * m), (m - Q) // Q))
 
 
-def align(window: np.ndarray, region: np.ndarray, low: int, high: int) -> tuple[int, int, int]:
-    """The fewest edits between ``window`` and any stretch of ``region``, and that
-    stretch (start, end), with diagonals from ``low`` to ``high`` only."""
-    def last_row(w: np.ndarray, r: np.ndarray, low: int, high: int, free: bool) -> np.ndarray:
-        j, far = np.arange(len(r) + 1), len(w) + 1
-        row = np.where((j >= low) & (j <= high), 0 if free else j, far)
-        for i, c in enumerate(w, 1):
-            new = np.minimum(row + 1, np.concatenate([[far], row[:-1] + (r != c)]))
-            new[(j - i < low) | (j - i > high)] = far
-            row = np.minimum(np.minimum.accumulate(new - j) + j, far)
-            row[(j - i < low) | (j - i > high)] = far
-        return row
-
-    row = last_row(window, region, low, high, True)
-    end = int(row.argmin())
-    # the same alignment backwards, from its end, finds its start
-    span = max(len(window) + int(row[end]), 0)
-    back = last_row(window[::-1], region[max(0, end - span):end][::-1], -int(row[end]) - 1, int(row[end]) + 1, False)
-    return int(row[end]), end - int(back.argmin()), end
+def align(windows: np.ndarray, text: np.ndarray, low: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+    """Banded alignment of many windows (rows of equal length) with any stretch
+    of ``text``, on the ``width`` diagonals from ``low`` on: the fewest edits and
+    the stretch's start and end.  A value holds the edits above BITS and the
+    diagonal on which the stretch starts below."""
+    d = np.arange(width)
+    one = np.int64(1) << BITS
+    row = np.broadcast_to(d.astype(np.int64), (len(low), width)).copy()
+    last = len(text) - 1
+    for i in range(windows.shape[1]):
+        at = low[:, None] + (d + i)
+        differs = (text[np.clip(at, 0, last)] != windows[:, i:i + 1]) | (at < 0) | (at > last)
+        new = row + differs * one
+        new[:, :-1] = np.minimum(new[:, :-1], row[:, 1:] + one)
+        row = np.minimum.accumulate(new - d * one, axis=1) + d * one
+    best = row.argmin(axis=1)
+    value = row[np.arange(len(low)), best]
+    return value >> BITS, low + (value & (one - 1)), low + best + windows.shape[1]
 
 
 class Searcher:
     """One block of benchmark items, indexed by q-gram."""
 
     def __init__(self, items: Sequence[tuple[int, str]], rate: float = RATE):
-        self.table = _fold_table()
+        self.table, self.rate = _fold_table(), rate
         self.item: list[int] = []
         self.windows: list[np.ndarray] = []
         self.exact: list[tuple[int, np.ndarray]] = []
@@ -102,6 +103,7 @@ class Searcher:
                 for at in [*range(0, max(1, len(c) - WINDOW), STRIDE), max(0, len(c) - WINDOW)]:
                     self.item.append(item)
                     self.windows.append(c[at:at + WINDOW])
+        self.length = np.array([len(w) for w in self.windows], dtype=np.int64)
         self.edits = np.array([edits_allowed(len(w), rate) for w in self.windows], dtype=np.int64)
         self.least = np.array([len(w) + 1 - Q - Q * e for w, e in zip(self.windows, self.edits, strict=True)],
                               dtype=np.int64)
@@ -118,8 +120,8 @@ class Searcher:
     def _slot(h: np.ndarray) -> np.ndarray:
         return (h * np.uint64(0xD1342543DE82EF95)) >> np.uint64(64 - SLOT_BITS)
 
-    def _hits(self, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Position, window and diagonal of every shared q-gram."""
+    def _hits(self, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Window and diagonal of every shared q-gram."""
         h = gram_hashes(c)
         at = np.flatnonzero(self.slots[self._slot(h)])
         first = np.searchsorted(self.grams, h[at], "left")
@@ -127,59 +129,75 @@ class Searcher:
         at, first, count = at[count > 0], first[count > 0], count[count > 0]
         entry = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
         pos = np.repeat(at, count)
-        return pos, self.of_window[entry], pos - self.offset[entry]
-
-    def regions(self, c: np.ndarray) -> list[tuple[int, int, int]]:
-        """(window, lowest and highest diagonal) of the bands that share enough
-        q-grams.  Bands are 2e + 1 wide and overlap by e, so some band holds all
-        shared q-grams of any stretch within the budget."""
-        _, window, diagonal = self._hits(c)
-        e = self.edits[window]
+        return self.of_window[entry], pos - self.offset[entry]
+
+    def regions(self, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Window and lowest diagonal of the bands that share enough q-grams.
+        Bands are 2 (e + 1) diagonals wide, every e + 1, so one of them holds the
+        whole alignment of any stretch within the budget."""
+        window, diagonal = self._hits(c)
+        step = self.edits[window] + 1
+        unit = (diagonal + WINDOW) // step
+        size = len(c) + 2 * WINDOW + 4
         found = []
-        for shift in (0, 1):
-            # in units of e + 1 diagonals: a band is two units, every second one starts a unit later
-            unit = (diagonal + WINDOW) // (e + 1)
-            band = (unit + shift) // 2
-            key = window * (len(c) + 2 * WINDOW + 2) + band
-            keys, counts = np.unique(key, return_counts=True)
-            w, b = keys // (len(c) + 2 * WINDOW + 2), keys % (len(c) + 2 * WINDOW + 2)
-            enough = counts >= self.least[w]
-            low = (2 * b - shift) * (self.edits[w] + 1) - WINDOW
-            found += [(int(x), int(lo), int(lo) + 2 * int(self.edits[x]) + 1)
-                      for x, lo in zip(w[enough], low[enough], strict=True)]
-        return found
-
-    def search(self, texts: Sequence[str]) -> list[list[dict]]:
-        """The leaks of each text, ordered by item and start."""
-        out: list[list[dict]] = [[] for _ in texts]
-        coded = [codes(t, self.table) for t in texts]
-        # texts are laid end to end with gaps that no window bridges and no item contains
+        for lowest in (unit, unit - 1):  # the bands that begin at a unit and at the one before
+            keys, counts = np.unique(window * size + lowest + 1, return_counts=True)
+            found.append(np.stack([keys // size, keys % size - 1, counts]))
+        # a band is two units: add up what begins at it and at the next one
+        keys = np.concatenate([f[0] * size + f[1] + 1 for f in found])
+        counts = np.concatenate([f[2] for f in found])
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], counts[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else keys
+        total = np.add.reduceat(counts, first) if len(keys) else counts
+        w, unit = keys[first] // size, keys[first] % size - 1
+        enough = total >= self.least[w]
+        return w[enough], unit[enough] * (self.edits[w[enough]] + 1) - WINDOW
+
+    def _spans(self, pieces: list[np.ndarray]) -> Iterator[tuple[int, int, int, int, int]]:
+        """(piece, item, start, end, edits) of the windows found in some pieces of text."""
+        # laid end to end with gaps that no window bridges and no item contains
         gap = np.full(2 * WINDOW, 0x110000, dtype=np.uint32)
-        starts = np.cumsum([0, *(len(c) + len(gap) for c in coded)])
-        joined = np.concatenate([x for c in coded for x in (c, gap)]) if coded else gap
-        spans: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
-        for w, low, high in sorted(set(self.regions(joined))):
-            window = self.windows[w]
-            # the band's diagonals may begin before its text: its middle is inside
-            doc = int(np.searchsorted(starts, max(0, (low + high) // 2 + len(window) // 2), "right")) - 1
-            base, c = int(starts[doc]), coded[doc]
-            begin = max(0, low - base)
-            region = c[begin:max(begin, high - base + len(window))]
-            if len(region) == 0:
-                continue
-            edits, a, b = align(window, region, low - base - begin, high - base - begin)
-            if edits <= self.edits[w]:
-                spans.setdefault((doc, self.item[w]), []).append((begin + a, begin + b, edits))
+        starts = np.cumsum([0, *(len(c) + len(gap) for c in pieces)])
+        joined = np.concatenate([x for c in pieces for x in (c, gap)])
+        window, low = self.regions(joined)
+        for m in np.unique(self.length[window]):
+            group = np.flatnonzero(self.length[window] == m)
+            for at in range(0, len(group), ALIGNED):
+                w, first = window[group[at:at + ALIGNED]], low[group[at:at + ALIGNED]]
+                edits, start, end = align(np.stack([self.windows[x] for x in w]), joined, first,
+                                          2 * (edits_allowed(int(m), self.rate) + 1))
+                ok = edits <= self.edits[w]
+                piece = np.searchsorted(starts, start, "right") - 1
+                for x, k, i, j, n in zip(w[ok], piece[ok], start[ok], end[ok], edits[ok], strict=True):
+                    yield int(k), self.item[x], int(i - starts[k]), int(min(j - starts[k], len(pieces[k]))), int(n)
         for item, short in self.exact:  # too short for a q-gram: looked for as they are
-            for doc, c in enumerate(coded):
-                whole, part = c.astype("<u4").tobytes(), short.astype("<u4").tobytes()
+            part = short.astype("<u4").tobytes()
+            for k, c in enumerate(pieces):
+                whole = c.astype("<u4").tobytes()
                 at = whole.find(part)
                 while at >= 0:
                     if at % 4 == 0:
-                        spans.setdefault((doc, item), []).append((at // 4, at // 4 + len(short), 0))
+                        yield k, item, at // 4, at // 4 + len(short), 0
                     at = whole.find(part, at + 1)
+
+    def search(self, texts: Sequence[str]) -> list[list[dict]]:
+        """The leaks of each text, ordered by item and start.  Long texts are cut
+        into overlapping pieces, so that memory stays bounded."""
+        pieces = [(k, at, t[at:at + CHUNK_CHARS + 4 * WINDOW])
+                  for k, t in enumerate(texts) for at in range(0, len(t), CHUNK_CHARS)]
+        spans: dict[tuple[int, int], set[tuple[int, int, int]]] = {}
+        todo: list[tuple[int, int, str]] = []
+        for n, piece in enumerate(pieces, 1):
+            todo.append(piece)
+            if n == len(pieces) or sum(len(p[2]) for p in todo) > CHUNK_CHARS:
+                for k, item, i, j, edits in self._spans([codes(p[2], self.table) for p in todo]):
+                    doc, base, _ = todo[k]
+                    spans.setdefault((doc, item), set()).add((base + i, base + j, edits))
+                todo = []
+        out: list[list[dict]] = [[] for _ in texts]
         for (doc, item), found in sorted(spans.items()):
-            for start, end, edits in sorted(set(found)):
+            for start, end, edits in sorted(found):
                 last = out[doc][-1] if out[doc] else None
                 if last and last["item_id"] == item and start <= last["end"]:
                     last |= {"end": max(end, last["end"]), "edits": max(edits, last["edits"]),
@@ -215,15 +233,9 @@ def leak_finders(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
             searcher = Searcher(sent.value, rate)
             for batch in batches:
                 found: list[list[dict]] = []
-                chunk: list[str] = []
-                size = 0
-                for text in batch:
-                    chunk.append(text.as_py() or "")
-                    size += len(chunk[-1])
-                    if size > CHUNK_CHARS:
-                        found += searcher.search(chunk)
-                        chunk, size = [], 0
-                yield pa.array(found + searcher.search(chunk), pa.list_(leak))
+                for at in range(0, len(batch), TEXTS):
+                    found += searcher.search([t or "" for t in batch.slice(at, TEXTS).to_pylist()])
+                yield pa.array(found, pa.list_(leak))
 
         return find
 

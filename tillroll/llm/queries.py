@@ -3,11 +3,15 @@ table, with the digest columns of the query contract."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, exact_dedup, pii, secrets, urls
+from . import bpe, chat, decontaminate, exact_dedup, pii, secrets, urls
 from .common import table
 
+#: The public vocabulary of op4 and of the pipeline's last stage.
+VOCABULARY = "byte_bpe_50k.json"
+
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
@@ -17,6 +21,10 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
@@ -29,7 +37,12 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op2_secrets, op3_chat, op7_url_filter, op8_exact_dedup, op9_pii)}
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op2_secrets, op3_chat, op4_bpe, op7_url_filter, op8_exact_dedup, op9_pii, op10_decontaminate)}
 
 ORACLE_SQL = {
     "op2_secrets": secrets.SQL, "op3_chat": chat.SQL, "op7_url_filter": urls.SQL, "op8_exact_dedup": exact_dedup.SQL,
