@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontaminate, exact_dedup, pii, secrets, urls
+from . import bpe, chat, decontaminate, exact_dedup, pii, secrets, toxicity, urls
 from .common import table
 
 #: The public vocabulary of op4 and of the pipeline's last stage.
@@ -25,6 +25,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
@@ -42,7 +46,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_secrets, op3_chat, op4_bpe, op7_url_filter, op8_exact_dedup, op9_pii, op10_decontaminate)}
+    op2_secrets, op3_chat, op4_bpe, op5_toxicity, op7_url_filter, op8_exact_dedup, op9_pii, op10_decontaminate)}
 
 ORACLE_SQL = {
     "op2_secrets": secrets.SQL, "op3_chat": chat.SQL, "op7_url_filter": urls.SQL, "op8_exact_dedup": exact_dedup.SQL,
