@@ -7,6 +7,7 @@ here once.
 from __future__ import annotations
 
 import sys
+import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,3 +41,30 @@ def ascii_lower(text: Column) -> Column:
     return (F.when(F.length(text) == F.octet_length(text), F.lower(text))
              .otherwise(F.translate(text, upper, upper.lower())))
 
+
+
+#: Rows that a frame of bare ids may have to be broadcast (16 MB of longs).
+BROADCAST_IDS = 2_000_000
+
+
+def small_side(ids: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
+    """``ids`` (materialised, a few numbers a row), marked for broadcast if it is
+    known to be small; beyond that Spark shuffles both sides of the join."""
+    return F.broadcast(ids) if ids.count() <= most else ids
+
+
+def without_ids(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
+    """``docs`` without the ids in ``gone`` (column ``id_col``).  Rows without an id stay."""
+    out = cut(gone.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("gone_id")).distinct())
+    return docs.join(small_side(out), docs[id_col] == F.col("gone_id"), "left_anti").select(*docs.columns)
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new path under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that nothing reads any more."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
