@@ -9,13 +9,17 @@ executor costs one stage's tasks at most.
 
 from __future__ import annotations
 
-import uuid
-
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import exact_dedup
-from tillroll.llm.common import table
-from tillroll.session import ensure_checkpoint_dir
+from tillroll.llm import bpe, decontaminate, exact_dedup, jaccard_join, language
+from tillroll.llm.common import scratch_folder, table
+from tillroll.llm.queries import VOCABULARY
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that are in none of the corpus's languages."""
+    return language.drop_unknown(docs)
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,21 +27,39 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return exact_dedup.drop_duplicates(docs)
 
 
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near duplicates, the smallest doc_id."""
+    return jaccard_join.drop_near_duplicates(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that repeat a passage of the benchmark."""
+    return decontaminate.drop_leaked(docs, table(spark, sf_dir, "benchmark"))
+
+
+def tokenize_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, n_tokens, ids and the digests of ids and decoded text."""
+    return bpe.tokens(docs, public_tokenizers.path(VOCABULARY))
+
+
 STAGES = [
+    ("language ID", language_stage),
     ("exact dedup", exact_dedup_stage),
+    ("n-gram Jaccard join", near_dedup_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("BPE", tokenize_stage),
 ]
 
-#: Language ID, PartEnum and BPE cannot be told in SQL; tests/llm holds the
-#: pipeline against a plain Python version.
+#: Language ID, banded alignment and BPE cannot be told in SQL; tests/llm holds
+#: the pipeline against plain Python instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply every stage to ``documents``; the rows of the last one."""
     docs = table(spark, sf_dir, "documents")
-    folder = f"{ensure_checkpoint_dir(spark)}/corpus-{uuid.uuid4().hex}"
+    folder = scratch_folder(spark, "corpus")
     for k, (_, stage) in enumerate(STAGES):
-        path = f"{folder}/{k}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+        docs = spark.read.parquet(f"{folder}/{k}")
     return docs

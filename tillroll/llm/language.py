@@ -178,8 +178,8 @@ def identify(records: DataFrame, languages: Sequence[str] = LANGUAGES) -> DataFr
     """
     names = [*languages, UND]
     likely = F.col("likely")
-    best = F.array_max(F.slice(likely, 2, len(names)))
-    vote = F.coalesce(*[F.when(F.element_at(likely, i + 2) == best, x) for i, x in enumerate(names)])
+    texts = F.slice(likely, 2, len(names))
+    vote = F.element_at(F.array(*map(F.lit, names)), F.array_position(texts, F.array_max(texts)).cast("int"))
     seen = cut(text_evidence(records, train(records, languages)).withColumn("vote", vote))
     # how each language is declared: at most (languages + 2) * (languages + 1) rows
     told = {(r.vote, r.declared): r.n for r in
@@ -187,36 +187,34 @@ def identify(records: DataFrame, languages: Sequence[str] = LANGUAGES) -> DataFr
     tags = [*languages, "other", "none"]
     priors = host_priors(seen, names)
     joined = seen.join(priors, ["host", "domain", "suffix"])  # plain exchanges: AQE splits a hot host
-    total = sum((F.col(f"n_{x}") for x in names), F.lit(0))
 
-    def log_posterior(i: int, x: str) -> Column:
-        own = F.when(F.col("vote") == x, 1).otherwise(0)  # a text is no evidence for itself
-        prior = (F.col(f"n_{x}") - own + SHRINK * F.col(f"d_{x}")) / (total - 1 + SHRINK)
-        share = UND_PRIOR if x == UND else 1 - UND_PRIOR
+    def says(x: str) -> Column:
         if x == UND:
-            fixed = F.lit(math.log(share))
-        else:
-            rest = sum((F.col(f"n_{y}") - F.when(F.col("vote") == y, 1).otherwise(0) + SHRINK * F.col(f"d_{y}")
-                        for y in languages), F.lit(0.0)) / (total - 1 + SHRINK)
-            fixed = F.log(prior / rest * share)
+            return F.lit(-math.log(len(tags)))
         row = sum(told.get((x, t), 0) for t in tags)
-        says = F.coalesce(*[F.when(F.col("declared") == t, math.log((told.get((x, t), 0) + 1) / (row + len(tags))))
-                            for t in tags])
-        if x == UND:
-            says = F.lit(-math.log(len(tags)))
-        return fixed + says + F.element_at(likely, i + 2)
-
-    scored = joined.select("id", "declared", F.element_at(likely, 1).alias("letters"), F.col("vote").alias("text_lang"),
-                           *[log_posterior(i, x).alias(f"l_{x}") for i, x in enumerate(names)])
-    top = F.greatest(*[f"l_{x}" for x in names])
-    mass = sum((F.exp(F.col(f"l_{x}") - top) for x in names), F.lit(0.0))
-    shares = scored.select("id", "declared", "letters", "text_lang",
-                           *[(F.exp(F.col(f"l_{x}") - top) / mass).alias(f"p_{x}") for x in names])
-    high = F.greatest(*[f"p_{x}" for x in languages])
-    kept = (high >= LEAST_POSTERIOR) & (F.col("letters") > 0)
-    first = F.coalesce(*[F.when(F.col(f"p_{x}") == high, x) for x in languages])
-    return shares.select("id", F.when(kept, first).otherwise(UND).alias("lang"), high.alias("posterior"), "text_lang",
-                         "declared", kept.alias("kept"), *[f"p_{x}" for x in names])
+        return F.element_at(F.create_map(*[F.lit(v) for t in tags for v in (
+            t, math.log((told.get((x, t), 0) + 1) / (row + len(tags))))]), F.col("declared"))
+
+    # a text is no evidence for itself: its own vote is taken off its host's count
+    weights = F.array(*[F.col(f"n_{x}") - F.when(F.col("vote") == x, 1).otherwise(0) + SHRINK * F.col(f"d_{x}")
+                        for x in languages])
+    scored = joined.select("id", "declared", "likely", "vote", weights.alias("weights")).select(
+        "*", F.aggregate("weights", F.lit(0.0), lambda s, w: s + w).alias("all"))
+    logs = F.array(*[F.log(F.element_at("weights", i + 1) / F.col("all") * (1 - UND_PRIOR)) + says(x)
+                     + F.element_at(likely, i + 2) for i, x in enumerate(languages)],
+                   F.lit(math.log(UND_PRIOR)) + says(UND) + F.element_at(likely, len(names) + 1))
+    logged = scored.select("id", "declared", "vote", F.element_at(likely, 1).alias("letters"), logs.alias("logs"))
+    raised = logged.select("*", F.transform("logs", lambda x: F.exp(x - F.array_max("logs"))).alias("odds"))
+    shared = raised.select("id", "declared", "vote", "letters", F.transform(
+        "odds", lambda x: x / F.aggregate("odds", F.lit(0.0), lambda s, y: s + y)).alias("shares"))
+    # the best language: its number is the first place of the highest share
+    best = shared.select("*", F.array_max(F.slice("shares", 1, len(languages))).alias("posterior"))
+    named = best.select("*", F.element_at(F.array(*map(F.lit, languages)),
+                                          F.array_position("shares", F.col("posterior")).cast("int")).alias("first"),
+                        ((F.col("posterior") >= LEAST_POSTERIOR) & (F.col("letters") > 0)).alias("kept"))
+    return named.select("id", F.when(F.col("kept"), F.col("first")).otherwise(UND).alias("lang"), "posterior",
+                        F.col("vote").alias("text_lang"), "declared", "kept",
+                        *[F.element_at("shares", i + 1).alias(f"p_{x}") for i, x in enumerate(names)])
 
 
 def drop_unknown(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", declared_col: str = "lang",
@@ -224,5 +222,5 @@ def drop_unknown(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``docs`` without the documents whose language is none of LANGUAGES; rows and
     columns of the others stay as they are.  Only the ids of rejected documents
     move; a document without an id is kept."""
-    judged = identify(documents_evidence(docs, id_col, text_col, declared_col, host_col))
+    judged = cut(identify(documents_evidence(docs, id_col, text_col, declared_col, host_col)).select("id", "kept"))
     return without_ids(docs, judged.filter(~F.col("kept")).select(F.col("id").alias(id_col)), id_col)
