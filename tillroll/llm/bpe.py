@@ -126,6 +126,19 @@ def _ship(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
+def _ids_array(done: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0, *(len(d) // 4 for d in done)], dtype=np.int64)
+    values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(done))])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+
+
+def _chunks(batches: Iterator[pa.Array]) -> Iterator[list]:
+    """The values of a column, CHUNK at a time."""
+    for batch in batches:
+        for at in range(0, len(batch), CHUNK):
+            yield batch.slice(at, CHUNK).to_pylist()
+
+
 def encoder(spark: SparkSession, path: str) -> Callable[[Column], Column]:
     """A function from a text column to its ids (array<int>).  Null text is empty."""
     ship_code(__name__)
@@ -134,13 +147,8 @@ def encoder(spark: SparkSession, path: str) -> Callable[[Column], Column]:
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = Codec(file.value)
-        for batch in batches:
-            done: list[bytes] = []
-            for at in range(0, len(batch), CHUNK):
-                done += codec.encode([(t or "").encode() for t in batch.slice(at, CHUNK).to_pylist()])
-            ends = np.cumsum([0, *(len(d) // 4 for d in done)], dtype=np.int64)
-            values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(done))])
-            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+        for texts in _chunks(batches):
+            yield _ids_array(codec.encode([(t or "").encode() for t in texts]))
 
     return encode
 
@@ -153,15 +161,29 @@ def decoder(spark: SparkSession, path: str) -> Callable[[Column], Column]:
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = Codec(file.value)
-        for batch in batches:
-            done: list[str] = []
-            for at in range(0, len(batch), CHUNK):
-                done += [codec.decode(ids or ()) for ids in batch.slice(at, CHUNK).to_pylist()]
-            yield pa.array(done, pa.string())
+        for rows in _chunks(batches):
+            yield pa.array([codec.decode(ids or ()) for ids in rows], pa.string())
 
     return decode
 
 
+def both_ways(spark: SparkSession, path: str) -> Callable[[Column], Column]:
+    """A function from a text column to struct<ids, decoded>: encoder and decoder in
+    one Python worker, so that ids don't travel twice."""
+    ship_code(__name__)
+    file = _ship(spark, path)
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
+    def there_and_back(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        codec = Codec(file.value)
+        for texts in _chunks(batches):
+            ids = codec.encode([(t or "").encode() for t in texts])
+            back = [codec.decode(np.frombuffer(i, dtype=np.int32).tolist()) for i in ids]
+            yield pa.StructArray.from_arrays([_ids_array(ids), pa.array(back, pa.string())], ["ids", "decoded"])
+
+    return there_and_back
+
+
 def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids") -> DataFrame:
     """``docs`` with its texts' ids in a new column ``out`` (it must not exist).
 
@@ -181,11 +203,19 @@ def decode(tokens: DataFrame, path: str, ids_col: str = "ids", out: str = "decod
     return tokens.withColumn(out, decoder(tokens.sparkSession, path)(tokens[ids_col]))
 
 
+def _digests(docs: DataFrame, path: str, text_col: str, keep: list[str]) -> DataFrame:
+    done = docs.select(*keep, both_ways(docs.sparkSession, path)(F.col(text_col)).alias("done"))
+    return done.select(
+        *keep, F.size("done.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("done.ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("done.decoded", 256).alias("decoded_sha256"), F.col("done.ids").alias("ids"))
+
+
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode and decode every text: ``id_col``, n_tokens, ids_sha256, decoded_sha256."""
-    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    done = decode(encode(slim, path).select("id", "ids"), path)
-    return done.select(
-        F.col("id").alias(id_col), F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+    return _digests(docs, path, text_col, [id_col]).drop("ids")
+
+
+def tokens(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
+    """``docs`` with its text replaced by n_tokens, ids_sha256, decoded_sha256 and ids."""
+    return _digests(docs, path, text_col, [c for c in docs.columns if c != text_col])
