@@ -204,9 +204,10 @@ def decode(tokens: DataFrame, path: str, ids_col: str = "ids", out: str = "decod
 
 
 def _digests(docs: DataFrame, path: str, text_col: str, keep: list[str]) -> DataFrame:
-    done = docs.select(*keep, both_ways(docs.sparkSession, path)(F.col(text_col)).alias("done"))
+    row = docs.select(F.struct(*[docs[c] for c in keep]).alias("row"), docs[text_col].alias("text"))
+    done = row.select("row", both_ways(docs.sparkSession, path)(F.col("text")).alias("done"))
     return done.select(
-        *keep, F.size("done.ids").cast("long").alias("n_tokens"),
+        "row.*", F.size("done.ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("done.ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("done.decoded", 256).alias("decoded_sha256"), F.col("done.ids").alias("ids"))
 

@@ -73,24 +73,33 @@ def outcomes(labels: DataFrame) -> DataFrame:
         F.col("doc_id").alias("doc")).agg(F.max(bad.cast("int")).alias("bad"))
 
 
-def _level(rows: DataFrame, key: str, up: str) -> DataFrame:
-    """Posterior means of the members of a level.  ``rows``: key, up (the parent's
-    rate), n, bad, raw (the parent's unshrunk rate)."""
+def _level(rows: DataFrame) -> DataFrame:
+    """The beta prior of each member of a level: ``up`` (its mean) and ``weight``.
+
+    ``rows``: n, bad, and the parent's p_n, p_bad, p_up, p_weight.  The prior's
+    mean is the parent's posterior mean without the member's own pages; its
+    weight is fitted by moments, and no more than is known about the parent
+    without them.
+    """
+    raw = F.try_divide(F.col("p_bad"), F.col("p_n"))
     spread = rows.agg(
         F.sum("n").alias("pages"), F.sum(F.col("n") * F.col("n")).alias("squares"),
         F.count(F.when(F.col("n") > 0, 1)).alias("members"),
-        F.sum(F.when((F.col("n") > 0) & (F.col("raw") > 0) & (F.col("raw") < 1),
-                     F.pow(F.col("bad") - F.col("n") * F.col("raw"), 2)
-                     / (F.col("n") * F.col("raw") * (1 - F.col("raw"))))).alias("q"))
-    room = F.col("pages") - F.col("squares") / F.col("pages")
-    share = (F.coalesce("q", F.lit(0.0)) - (F.col("members") - 1)) / room
+        F.sum(F.try_divide(F.pow(F.col("bad") - F.col("n") * raw, 2), F.col("n") * raw * (1 - raw))).alias("q"))
+    room = F.col("pages") - F.try_divide(F.col("squares"), F.col("pages"))
+    share = F.try_divide(F.coalesce("q", F.lit(0.0)) - (F.col("members") - 1), room)
     weight = F.when((F.col("members") > 1) & (room > 0) & (share > 0),
-                    F.least(F.greatest(1 / share - 1, F.lit(LEAST_WEIGHT)), F.lit(MOST_WEIGHT))
+                    F.least(F.greatest(F.try_divide(F.lit(1.0), share) - 1, F.lit(LEAST_WEIGHT)), F.lit(MOST_WEIGHT))
                     ).otherwise(F.lit(MOST_WEIGHT))
-    fitted = spread.select(weight.alias("weight"))
-    return rows.crossJoin(F.broadcast(fitted)).select(  # one row
-        *rows.columns, "weight",
-        ((F.col(up) * F.col("weight") + F.col("bad")) / (F.col("weight") + F.col("n"))).alias(f"{key}_rate"))
+    known = F.col("p_weight") + F.col("p_n") - F.col("n")
+    own = [c for c in rows.columns if not c.startswith("p_")]
+    return rows.crossJoin(F.broadcast(spread.select(weight.alias("fitted")))).select(  # one row
+        *own, ((F.col("p_up") * F.col("p_weight") + F.col("p_bad") - F.col("bad")) / known).alias("up"),
+        F.least(F.col("fitted"), known).alias("weight"))
+
+
+def _as_parent(level: DataFrame, key: str) -> DataFrame:
+    return level.select(key, *[F.col(c).alias(f"p_{c}") for c in ("n", "bad", "up", "weight")])
 
 
 def reputation(pages: DataFrame, labels: DataFrame, url_col: str = "url") -> DataFrame:
@@ -114,16 +123,14 @@ def reputation(pages: DataFrame, labels: DataFrame, url_col: str = "url") -> Dat
     def summed(rows: DataFrame, *keys: str) -> DataFrame:
         return rows.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
 
-    all_pages = hosts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("an"), F.coalesce(F.sum("bad"), F.lit(0)).alias("ab"))
-    top = all_pages.select(((F.col("ab") + 1) / (F.col("an") + 2)).alias("all_rate"),
-                           F.when(F.col("an") > 0, F.col("ab") / F.col("an")).alias("raw"))
-    suffixes = cut(_level(summed(hosts, "suffix").crossJoin(F.broadcast(top)), "suffix", "all_rate"))
-    parent = suffixes.select("suffix", "suffix_rate", F.when(F.col("n") > 0, F.col("bad") / F.col("n")).alias("raw"))
-    domains = cut(_level(summed(hosts, "suffix", "domain").join(parent, "suffix"), "domain", "suffix_rate"))
-    parent = domains.select("domain", "domain_rate", F.when(F.col("n") > 0, F.col("bad") / F.col("n")).alias("raw"))
-    level = _level(hosts.join(parent, "domain"), "host", "domain_rate")
-    a = F.col("domain_rate") * F.col("weight") + F.col("bad")
-    b = (1 - F.col("domain_rate")) * F.col("weight") + F.col("n") - F.col("bad")
+    top = hosts.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("double").alias("p_n"),
+                    F.coalesce(F.sum("bad"), F.lit(0)).cast("double").alias("p_bad"),
+                    F.lit(0.5).alias("p_up"), F.lit(2.0).alias("p_weight"))
+    suffixes = cut(_level(summed(hosts, "suffix").crossJoin(F.broadcast(top))))  # one row
+    domains = cut(_level(summed(hosts, "suffix", "domain").join(_as_parent(suffixes, "suffix"), "suffix")))
+    level = _level(hosts.join(_as_parent(domains, "domain"), "domain"))
+    a = F.col("up") * F.col("weight") + F.col("bad")
+    b = (1 - F.col("up")) * F.col("weight") + F.col("n") - F.col("bad")
     return level.select("host", "domain", "suffix", "n", "bad", (a / (a + b)).alias("mean"),
                         (a / (a + b) - Z * F.sqrt(a * b / (F.pow(a + b, 2) * (a + b + 1)))).alias("bound"))
 
@@ -146,13 +153,17 @@ def judge(pages: DataFrame, labels: DataFrame, id_col: str = "page_id", url_col:
         F.round("mean", 6).alias("bad_mean"), F.round("bound", 6).alias("bad_bound"))
 
 
-def _weight(of: str) -> str:
-    return f"""(select case when members > 1 and room > 0 and (q - (members - 1)) / room > 0
+def _level_sql(rows: str) -> str:
+    """A level's priors in DuckDB."""
+    return f"""select * exclude (p_n, p_bad, p_up, p_weight),
+    (p_up * p_weight + p_bad - bad) / (p_weight + p_n - n) as up,
+    least((select case when members > 1 and room > 0 and (q - (members - 1)) / room > 0
       then least(greatest(1 / ((q - (members - 1)) / room) - 1, {LEAST_WEIGHT}), {MOST_WEIGHT})
       else {MOST_WEIGHT} end
-    from (select count(*) filter (n > 0) as members, sum(n) - sum(n * n) / sum(n) as room,
-                 coalesce(sum(case when n > 0 and raw > 0 and raw < 1
-                              then (bad - n * raw) ** 2 / (n * raw * (1 - raw)) end), 0) as q from {of}))"""
+      from (select count(*) filter (n > 0) as members, sum(n) - sum(n * n) / sum(n) as room,
+              coalesce(sum(case when n > 0 and p_n > 0 and p_bad > 0 and p_bad < p_n then
+                (bad - n * (p_bad / p_n)) ** 2 / (n * (p_bad / p_n) * (1 - p_bad / p_n)) end), 0) as q from {rows})),
+      p_weight + p_n - n) as weight from {rows}"""
 
 
 def _sql() -> str:
@@ -177,16 +188,16 @@ h as (
          array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') as domain
   from p left join l on l.doc_id = try_cast(regexp_extract(path, '/([0-9]{{1,18}})(?:\\.html?)?/?$', 1) as bigint)
   group by host),
-a as (select (sum(bad) + 1) / (sum(n) + 2) as rate, sum(bad) / nullif(sum(n), 0) as raw from h),
-s0 as (select suffix, sum(h.n) as n, sum(h.bad) as bad, any_value(a.rate) as up, any_value(a.raw) as raw
-       from h, a group by suffix),
-s as (select *, (up * w + bad) / (w + n) as rate from (select *, {_weight('s0')} as w from s0)),
-d0 as (select h.domain, sum(h.n) as n, sum(h.bad) as bad, any_value(s.rate) as up,
-              any_value(s.bad / nullif(s.n, 0)) as raw
-       from h join s using (suffix) group by h.domain, h.suffix),
-d as (select *, (up * w + bad) / (w + n) as rate from (select *, {_weight('d0')} as w from d0)),
-h0 as (select h.host, h.n, h.bad, d.rate as up, d.bad / nullif(d.n, 0) as raw from h join d using (domain)),
-k as (select host, up * w + bad as a, (1 - up) * w + n - bad as b from (select *, {_weight('h0')} as w from h0)),
+s0 as (select suffix, sum(n) as n, sum(bad) as bad, (select sum(n) from h) as p_n, (select sum(bad) from h) as p_bad,
+              0.5::double as p_up, 2::double as p_weight from h group by suffix),
+s as ({_level_sql('s0')}),
+d0 as (select h.suffix, h.domain, sum(h.n) as n, sum(h.bad) as bad, any_value(s.n) as p_n, any_value(s.bad) as p_bad,
+              any_value(s.up) as p_up, any_value(s.weight) as p_weight
+       from h join s using (suffix) group by h.suffix, h.domain),
+d as ({_level_sql('d0')}),
+h0 as (select h.host, h.n, h.bad, d.n as p_n, d.bad as p_bad, d.up as p_up, d.weight as p_weight
+       from h join d using (domain)),
+k as (select host, up * weight + bad as a, (1 - up) * weight + n - bad as b from ({_level_sql('h0')})),
 r as (select host, a / (a + b) as mean, a / (a + b) - {Z} * sqrt(a * b / ((a + b) ** 2 * (a + b + 1))) as bound from k)
 select page_id, host, path, case {rule} end as rule,
        case {verdict} when bound > {LIMIT} then 'block' else 'allow' end as verdict,
