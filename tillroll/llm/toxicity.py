@@ -46,9 +46,11 @@ CLEAN_WORDS, ROUNDS, RIDGE = 15_000, 3, 1e-3
 #: Weight of a blurred insult in the fit, and the letter put in (none that landmarks know).
 VARIANT_WEIGHT, FILLER = 1.0, "\u25e6"
 #: Share of the toxic documents that a word must occur in to be taken as an insult at the outset.
-LEAST_SHARE = 0.008
-#: Share of the clean documents that score below 0.5 when the scores are set.
-QUANTILE = 0.995
+LEAST_SHARE = 0.012
+#: Toxic documents that a word must occur in to be a witness: labels are noisy.
+LEAST_WITNESS = 8
+#: Loss of balanced accuracy accepted for a lower border when the scores are set.
+SLACK = 0.005
 #: Weight of all toxic words in the fit, as a share of that of the clean ones.
 TOXIC_SHARE = 0.5
 #: Words remembered by a task while it scores.
@@ -245,7 +247,7 @@ def fit(bags: list[tuple[int, list[str]]]) -> Model:
     def telling(w: str) -> float:  # odds that hold up with few documents
         return odds(w) - 2.0 / math.sqrt(seen[w])
 
-    candidates = sorted((w for w in seen if seen[w] >= max(3, LEAST_SHARE * len(toxic)) and telling(w) > 0),
+    candidates = sorted((w for w in seen if seen[w] >= max(4, LEAST_SHARE * len(toxic)) and telling(w) > 1),
                         key=lambda w: (-telling(w) * math.log1p(seen[w]), w))[:CANDIDATES]
     if not candidates:
         return Model("", np.zeros(1), -1.0, 1.0, 0.0)
@@ -270,7 +272,7 @@ def fit(bags: list[tuple[int, list[str]]]) -> Model:
 
     # sentences of toxic documents that hold a telling word are toxic; where a document has
     # none, the sentence that the SVM finds worst
-    told = Counter({x: seen[x] for x in candidates if usual[x] == 0})
+    told = Counter({x: seen[x] for x in candidates if usual[x] == 0 and telling(x) > 1.5})
     rest = [b for b in toxic if not any(x in told for x in b)]
     w, bias = np.zeros(len(landmarks)), 0.0
     for _ in range(ROUNDS):
@@ -288,8 +290,8 @@ def fit(bags: list[tuple[int, list[str]]]) -> Model:
         hard = sorted((x for x in usual if margin.get(x, -1.0) > -0.9), key=lambda x: (-margin[x], x))[:CLEAN_WORDS]
         pool += sorted(set(hard) - set(pool))
         for b in rest:
-            best = max((x for x in b if x not in usual and margin.get(x, -1.0) > 0), key=lambda x: (margin[x], x),
-                       default=None)
+            best = max((x for x in b if x not in usual and seen[x] >= LEAST_WITNESS and margin.get(x, -1.0) > 0),
+                       key=lambda x: (margin[x], x), default=None)
             if best is not None:
                 told[best] = max(told[best], 1)
     return _calibrate(Model(letters.letters, _fold(landmarks, root @ w, letters), bias, 1.0, 0.0), toxic, clean)
@@ -321,16 +323,19 @@ def _support(bags: list[list[str]]) -> Counter:
 
 
 def _calibrate(model: Model, toxic: list[list[str]], clean: list[list[str]]) -> Model:
-    """Put the score's middle a little beyond the margin that QUANTILE of the
-    clean documents stay below, and let it pass 0.9 halfway to the median of
-    the toxic ones."""
+    """Put the score's middle at the lowest margin that parts the classes as well as
+    any other (balanced accuracy, SLACK aside), and let it pass 0.9 halfway from
+    there to the median of the toxic documents."""
     margin = model.margins({w for b in toxic + clean for w in b})
-    low, high = (np.array([max((margin.get(w, model.bias) for w in b), default=model.bias) for b in bags])
+    low, high = (np.sort([max((margin.get(w, model.bias) for w in b), default=model.bias) for b in bags])
                  for bags in (clean, toxic))
-    base, middle = float(np.quantile(low, QUANTILE)), float(np.median(high))
-    if middle <= base:
+    at = np.unique(low)
+    balance = np.searchsorted(low, at, "right") / len(low) - np.searchsorted(high, at, "right") / len(high)
+    centre, middle = float(at[np.flatnonzero(balance >= balance.max() - SLACK)[0]]), float(np.median(high))
+    if middle <= centre:
         return model  # not separable: the SVM's own border
-    return Model(model.letters, model.weights, model.bias, 2.2 / (0.45 * (middle - base)), base + 0.05 * (middle - base))
+    return Model(model.letters, model.weights, model.bias, 2.2 / (0.45 * (middle - centre)),
+                 centre + 0.05 * (middle - centre))
 
 
 def held_out(id_col: Column) -> Column:
