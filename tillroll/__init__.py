@@ -7,7 +7,6 @@ functions  column expressions (safe division, null-safe clipping, title case, ..
 operators  DataFrame -> DataFrame analytics (cleaning, profiling, KPIs, ranking,
            ABC, time series, forecasting, anomalies, segmentation, recommender)
 plans      named queries (the SQL library, measures, views) and their oracle SQL
-streaming  incremental (Structured Streaming) form of the row-level cleaning
 """
 
 __version__ = "0.1.0"
