@@ -6,7 +6,61 @@ import os
 import subprocess
 import sys
 
+import numpy as np
+
 from conftest import ROOT, SF_SMALL
+from tillroll.operators import forecast as FC
+
+
+def _arma(rng, n, phi, theta):
+    a, d = rng.normal(size=n + 50), np.zeros(n + 50)
+    for t in range(1, n + 50):
+        d[t] = phi * d[t - 1] + a[t] + theta * a[t - 1]
+    return d[50:]
+
+
+def test_arima_recovers_its_coefficients():
+    rng = np.random.default_rng(1)
+    for phi, theta in ((0.6, 0.3), (-0.5, -0.4), (0.2, -0.7)):
+        p, q, s2 = FC.fit_arima111(np.cumsum(_arma(rng, 4000, phi, theta)))
+        assert abs(p - phi) < 0.08 and abs(q - theta) < 0.08 and abs(s2 - 1) < 0.1
+
+
+def test_arima_has_no_drift_and_covers():
+    rng = np.random.default_rng(2)
+    inside, drift = 0, []
+    for _ in range(200):
+        y = np.cumsum(_arma(rng, 126, 0.4, 0.2))
+        mean, se = FC._arima111(y[:120], 6)
+        inside += abs(y[125] - mean[5]) <= FC.Z95 * se[5]
+        drift.append(mean[5] - mean[4])
+    assert 0.88 <= inside / 200 <= 0.99 and abs(np.mean(drift)) < 0.1
+    line = FC._arima111(np.arange(60.0) * 5, 60)[0]
+    assert line[-1] - line[-2] < 5 and FC._arima111(np.arange(6.0), 6) is None
+
+
+def test_holt_winters_interval_and_seasons():
+    rng = np.random.default_rng(3)
+    _, se = FC._holt_winters(rng.normal(0, 9.3, 84), 6)
+    assert 6 < se[5] < 16  # noise does not pile up to sqrt(6) times its width
+    assert np.allclose(FC.holt_winters_se(2.0, 0.5, 0.1, 0.3, 3, 2), 2 * np.sqrt(
+        [1, 1 + 0.55 ** 2, 1 + 0.55 ** 2 + (0.5 * 1.2 + 0.3 * 0.5) ** 2]))
+    t = np.arange(60)
+    y = 100 + 2 * t + 10 * np.sin(2 * np.pi * t / 12)
+    mean, _ = FC._holt_winters(y, 12)
+    ahead = np.arange(60, 72)
+    assert np.abs(mean - (100 + 2 * ahead + 10 * np.sin(2 * np.pi * ahead / 12))).max() < 2.5
+
+
+def test_total_series_and_short_series(spark):
+    import __spark_entry__ as E
+    for name in ("arima_forecast_total", "ets_forecast_total"):
+        rows = E.queries()[name](spark, SF_SMALL).collect()
+        assert [r.step for r in rows] == [1, 2, 3, 4, 5, 6]
+    short = spark.createDataFrame([("2024-01-05", 10.0), ("2024-02-05", 20.0)], "d string, revenue double").selectExpr(
+        "cast(d as date) sale_date", "revenue")
+    rows = FC.series_forecast(short, [], "arima").collect()
+    assert {r.model for r in rows} == {"moving_average"} and {r.forecast for r in rows} == {15.0}
 
 
 def test_forecast_shapes(spark):

@@ -5,12 +5,14 @@ with DataFrame operators; each series is then one ``applyInPandas`` group,
 so series are fitted in parallel and a group holds one calendar of months.
 Inside a group the fit is a few lines of numpy (no optional libraries):
 
-* ARIMA(1,1,1): first difference, Hannan-Rissanen estimates (long AR for
-  innovations, then least squares on y_{t-1} and e_{t-1}), recursive
-  forecasts, 95 % interval from the psi weights of the integrated model.
+* ARIMA(1,1,1) without a constant (an integrated model has no trend term by
+  default): the conditional sum of squares of the differences is minimised,
+  from Hannan-Rissanen estimates on; recursive forecasts, 95 % interval from
+  the psi weights of the integrated model.
 * Holt-Winters (additive trend + additive season of 12 when at least two
   seasons exist, otherwise Holt's linear trend): smoothing constants chosen
-  by grid search on one-step squared error; interval +-1.96 sigma sqrt(h).
+  by grid search on one-step squared error, all grid points at once; the
+  interval has the additive model's own variance.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .timeseries import resample_month
+from .timeseries import MA_WINDOW, resample_month
 
 # The group function runs in Python workers.  Pickling this module by value
 # ships the fit code with the task, so executors need no installed copy of
@@ -43,77 +45,100 @@ def _month_ends(last, periods: int):
     return [(pd.Timestamp(last) + pd.offsets.MonthEnd(k)).date() for k in range(1, periods + 1)]
 
 
-def _arima111(y: np.ndarray, periods: int):
-    """Forecast mean and standard error of ARIMA(1,1,1) with a constant."""
+def _css(d: np.ndarray, phi: float, theta: float) -> np.ndarray:
+    """One-step errors of d_t = phi d_{t-1} + theta a_{t-1} + a_t, the first one
+    and what came before taken as zero."""
+    a = np.zeros(len(d))
+    for t in range(1, len(d)):
+        a[t] = d[t] - phi * d[t - 1] - theta * a[t - 1]
+    return a
+
+
+def fit_arima111(y: np.ndarray) -> tuple[float, float, float] | None:
+    """(phi, theta, innovation variance) of ARIMA(1,1,1) without a constant, by
+    conditional least squares; None for fewer than 7 values."""
     d = np.diff(y)
     n = len(d)
     if n < 6:
         return None
     p_long = max(1, min(6, n // 3))
-    # step 1: long AR by least squares -> innovations
-    X = np.column_stack([np.ones(n - p_long)] + [d[p_long - j - 1:n - j - 1] for j in range(p_long)])
-    coef, *_ = np.linalg.lstsq(X, d[p_long:], rcond=None)
+    # start: a long autoregression gives innovations, these a regression
+    lags = np.column_stack([d[p_long - j - 1:n - j - 1] for j in range(p_long)])
+    coef, *_ = np.linalg.lstsq(lags, d[p_long:], rcond=None)
     e = np.zeros(n)
-    e[p_long:] = d[p_long:] - X @ coef
-    # step 2: d_t = c + phi d_{t-1} + theta e_{t-1} + a_t
+    e[p_long:] = d[p_long:] - lags @ coef
     t0 = p_long + 1
-    Z = np.column_stack([np.ones(n - t0), d[t0 - 1:n - 1], e[t0 - 1:n - 1]])
-    (c, phi, theta), *_ = np.linalg.lstsq(Z, d[t0:], rcond=None)
-    phi = float(np.clip(phi, -0.99, 0.99))
-    theta = float(np.clip(theta, -0.99, 0.99))
-    # conditional residuals with the fitted parameters
-    a = np.zeros(n)
-    for t in range(1, n):
-        a[t] = d[t] - c - phi * d[t - 1] - theta * a[t - 1]
-    sigma2 = float(np.mean(a[1:] ** 2)) if n > 1 else 0.0
-    # forecasts of the differences, then integrate
-    fd, prev_d, prev_a = [], d[-1], a[-1]
-    for h in range(periods):
-        nxt = c + phi * prev_d + (theta * prev_a if h == 0 else 0.0)
-        fd.append(nxt)
-        prev_d = nxt
-    mean = y[-1] + np.cumsum(fd)
+    start, *_ = np.linalg.lstsq(np.column_stack([d[t0 - 1:n - 1], e[t0 - 1:n - 1]]), d[t0:], rcond=None)
+    best = np.clip(start, -0.95, 0.95)
+    least = float((_css(d, *best) ** 2).sum())
+    step = 0.2
+    while step > 1e-5:  # pattern search inside the stationary, invertible square
+        moved = False
+        for way in ((1, 0), (-1, 0), (0, 1), (0, -1), (1, -1), (-1, 1)):
+            trial = np.clip(best + step * np.array(way), -0.99, 0.99)
+            value = float((_css(d, *trial) ** 2).sum())
+            if value < least - 1e-12 * abs(least):
+                best, least, moved = trial, value, True
+        if not moved:
+            step /= 2
+    return float(best[0]), float(best[1]), least / (n - 1)
+
+
+def _arima111(y: np.ndarray, periods: int):
+    """Forecast mean and standard error of ARIMA(1,1,1)."""
+    fitted = fit_arima111(y)
+    if fitted is None:
+        return None
+    phi, theta, sigma2 = fitted
+    d = np.diff(y)
+    last = _css(d, phi, theta)[-1]
+    steps = [phi * d[-1] + theta * last]
+    for _ in range(1, periods):
+        steps.append(phi * steps[-1])
     # psi weights of the ARMA(1,1) on differences, cumulated for the levels
-    psi = [1.0]
-    for j in range(1, periods):
-        psi.append(phi ** (j - 1) * (phi + theta))
-    cum = np.cumsum(psi)
-    se = np.sqrt(sigma2 * np.cumsum(cum ** 2))
-    return mean, se
+    psi = [1.0] + [phi ** (j - 1) * (phi + theta) for j in range(1, periods)]
+    return y[-1] + np.cumsum(steps), np.sqrt(sigma2 * np.cumsum(np.cumsum(psi) ** 2))
+
+
+def holt_winters_se(sigma: float, alpha: float, beta: float, gamma: float, periods: int, season: int) -> np.ndarray:
+    """Standard errors of the additive model: sigma^2 (1 + sum of c_j^2 for j < h),
+    c_j = alpha (1 + j beta) + gamma (1 - alpha) where j is a multiple of the season."""
+    j = np.arange(1, periods)
+    c = alpha * (1 + j * beta)
+    if season:
+        c = c + np.where(j % season == 0, gamma * (1 - alpha), 0.0)
+    return sigma * np.sqrt(1 + np.concatenate([[0.0], np.cumsum(c ** 2)]))
 
 
 def _holt_winters(y: np.ndarray, periods: int):
+    """Forecast mean and standard error; every grid point is a row of the state."""
     n = len(y)
     seasonal = n >= 2 * SEASON
-    best = None
-    for alpha in GRID:
-        for beta in GRID:
-            for gamma in (GRID if seasonal else (0.0,)):
-                lvl = y[:SEASON].mean() if seasonal else y[0]
-                trd = ((y[SEASON:2 * SEASON].mean() - y[:SEASON].mean()) / SEASON) if seasonal else \
-                    (y[1] - y[0] if n > 1 else 0.0)
-                sea = list(y[:SEASON] - y[:SEASON].mean()) if seasonal else [0.0]
-                start = SEASON if seasonal else 1
-                sse, errs = 0.0, []
-                for t in range(start, n):
-                    s = sea[t % SEASON] if seasonal else 0.0
-                    f = lvl + trd + s
-                    err = y[t] - f
-                    errs.append(err)
-                    sse += err * err
-                    new_lvl = alpha * (y[t] - s) + (1 - alpha) * (lvl + trd)
-                    trd = beta * (new_lvl - lvl) + (1 - beta) * trd
-                    if seasonal:
-                        sea[t % SEASON] = gamma * (y[t] - new_lvl) + (1 - gamma) * s
-                    lvl = new_lvl
-                if best is None or sse < best[0]:
-                    best = (sse, lvl, trd, list(sea), len(errs))
-    sse, lvl, trd, sea, m = best
-    sigma = np.sqrt(sse / max(m, 1))
-    mean = np.array([lvl + h * trd + (sea[(n + h - 1) % SEASON] if seasonal else 0.0)
-                     for h in range(1, periods + 1)])
-    se = sigma * np.sqrt(np.arange(1, periods + 1))
-    return mean, se
+    grid = np.array([(a, b, g) for a in GRID for b in GRID for g in (GRID if seasonal else (0.0,))])
+    alpha, beta, gamma = grid.T
+    start = SEASON if seasonal else 1
+    if seasonal:
+        first, slope = y[:SEASON].mean(), (y[SEASON:2 * SEASON].mean() - y[:SEASON].mean()) / SEASON
+        at = np.arange(SEASON) - (SEASON - 1) / 2  # months from the middle of the first season
+        season = np.repeat((y[:SEASON] - first - slope * at)[None], len(grid), axis=0)
+        level = np.full(len(grid), first + slope * (SEASON - 1) / 2)  # at the season's end
+    else:
+        season = np.zeros((len(grid), 1))
+        level, slope = np.full(len(grid), y[0]), (y[1] - y[0] if n > 1 else 0.0)
+    trend, sse = np.full(len(grid), slope), np.zeros(len(grid))
+    for t in range(start, n):
+        s = season[:, t % SEASON] if seasonal else 0.0
+        sse += (y[t] - (level + trend + s)) ** 2
+        new = alpha * (y[t] - s) + (1 - alpha) * (level + trend)
+        trend = beta * (new - level) + (1 - beta) * trend
+        if seasonal:
+            season[:, t % SEASON] = gamma * (y[t] - new) + (1 - gamma) * s
+        level = new
+    b = int(sse.argmin())
+    sigma = np.sqrt(sse[b] / max(n - start, 1))
+    ahead = np.arange(1, periods + 1)
+    mean = level[b] + ahead * trend[b] + (season[b, (n + ahead - 1) % SEASON] if seasonal else 0.0)
+    return mean, holt_winters_se(sigma, *grid[b], periods, SEASON if seasonal else 0)
 
 
 def _series_forecaster(method: str, keys: Sequence[str], periods: int):
@@ -124,13 +149,11 @@ def _series_forecaster(method: str, keys: Sequence[str], periods: int):
         model = method
         if method == "arima":
             res = _arima111(y, periods)
-        if res is None:  # too short for ARIMA, or Holt-Winters requested
-            if len(y) >= 2:
-                res = _holt_winters(y, periods)
-                model = "holt_winters" if method == "ets" else "holt_fallback"
-        if res is None:
-            res = (np.repeat(y[-1] if len(y) else np.nan, periods), np.zeros(periods))
-            model = "naive"
+        if method == "ets" and len(y) >= 2:
+            res, model = _holt_winters(y, periods), "holt_winters"
+        if res is None:  # too short for its model: the moving average, as wide as its months differ
+            last = y[-MA_WINDOW:]
+            res, model = (np.repeat(last.mean(), periods), np.repeat(last.std(), periods)), "moving_average"
         mean, se = res
         out = pd.DataFrame({
             "step": np.arange(1, periods + 1, dtype="int32"),

@@ -197,6 +197,18 @@ def ets_forecast(spark, sf):
     return FC.series_forecast(_by_category(Star(spark, sf)), ["category"], "ets")
 
 
+@query("arima_forecast_total")
+def arima_forecast_total(spark, sf):
+    """ARIMA(1,1,1) of all revenue, 6 months."""
+    return FC.series_forecast(Star(spark, sf).fact_sales, [], "arima")
+
+
+@query("ets_forecast_total")
+def ets_forecast_total(spark, sf):
+    """Additive Holt-Winters of all revenue, 6 months."""
+    return FC.series_forecast(Star(spark, sf).fact_sales, [], "ets")
+
+
 # -- joins / top-k / group operators ---------------------------------------------------
 @query("join_sales_date", """
 select s.sale_id, s.sale_date, cast(s.revenue as double) revenue, d.year, d.quarter, d.month, d.day_name
