@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .clean import iqr_fences
-from .ordered import with_scalars
+from .ordered import null_safe_join, with_scalars
 
 # Z threshold and method labels.
 Z_THRESHOLD = 3.0
@@ -22,7 +22,7 @@ METHOD_IQR = "IQR"
 
 
 def _attach(df: DataFrame, stats: DataFrame, by: Sequence[str]) -> DataFrame:
-    return df.join(stats, list(by), "left") if by else with_scalars(df, stats)
+    return null_safe_join(df, stats, list(by), "left") if by else with_scalars(df, stats)
 
 
 def zscores(df: DataFrame, col: str = "revenue", by: Sequence[str] = ()) -> DataFrame:
@@ -47,18 +47,21 @@ def detect_iqr(df: DataFrame, col: str = "revenue", by: Sequence[str] = ()) -> D
 
 def label_anomalies(df: DataFrame, col: str = "revenue", threshold: float = Z_THRESHOLD,
                     key: str = "sale_id") -> DataFrame:
-    """Every row tagged anomaly/normal.  A row is an anomaly when its key
-    belongs to any z-score anomaly (keys need not be unique)."""
-    a = detect_zscore(df, col, threshold).select(key).distinct().withColumn("_hit", F.lit(True))
-    return (df.join(a, key, "left")
-              .withColumn("label", F.when(F.col("_hit"), "anomaly").otherwise("normal")).drop("_hit"))
+    """Every row tagged anomaly/normal.  A row is an anomaly when its key belongs
+    to any z-score anomaly (keys need not be unique; a row without a key is normal).
+
+    One pass gives each row's z-score; rows of one key meet in a window on the
+    key, no join of the fact with itself."""
+    hit = F.coalesce((F.abs("z_score") > threshold) & F.col(key).isNotNull(), F.lit(False))
+    spread = F.when(F.col(key).isNull(), F.xxhash64(*df.columns))  # rows without a key don't meet in one task
+    z = zscores(df, col).withColumn("_hit", F.max(hit).over(Window.partitionBy(key, spread)))
+    return z.withColumn("label", F.when(F.col("_hit"), "anomaly").otherwise("normal")).drop("_hit", "z_score")
 
 
 def normal_rows(df: DataFrame, col: str = "revenue", threshold: float = Z_THRESHOLD,
                 key: str = "sale_id") -> DataFrame:
-    """Rows whose key is not among the z-score anomalies (anti join)."""
-    a = detect_zscore(df, col, threshold).select(key)
-    return df.join(a, key, "left_anti")
+    """Rows whose key is not among the z-score anomalies."""
+    return label_anomalies(df, col, threshold, key).where(F.col("label") == "normal").drop("label")
 
 
 def anomaly_union(df: DataFrame, col: str = "revenue") -> DataFrame:

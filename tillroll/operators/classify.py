@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +24,7 @@ MAX_DEPTH = 30  # the deepest Spark allows; scikit-learn grows trees without a l
 
 def train_test_split(df: DataFrame, key: str, test_fraction: float = TEST_FRACTION, seed: int = SEED) -> DataFrame:
     """Adds ``split`` = 'train' / 'test' from a seeded hash of ``key``."""
-    u = (F.abs(F.xxhash64(F.col(key), F.lit(seed))) % 10_000) / 10_000.0
+    u = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(10_000)) / 10_000.0
     return df.withColumn("split", F.when(u < test_fraction, "test").otherwise("train"))
 
 
@@ -45,11 +44,6 @@ def fit_stockout(df: DataFrame, key: str = "product_id") -> tuple[PipelineModel,
     return model, model.transform(test)
 
 
-def accuracy(scored: DataFrame) -> float:
-    ev = MulticlassClassificationEvaluator(labelCol=LABEL, predictionCol="prediction", metricName="accuracy")
-    return float(ev.evaluate(scored))
-
-
 def stockout_report(df: DataFrame, key: str = "product_id") -> DataFrame:
     """One row: train/test sizes and test accuracy (all computed on the cluster)."""
     s = train_test_split(df, key)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clip, null_false, safe_divide, standardize_columns, str_title
-from .ordered import exact_quantiles, quantile_table, with_scalars
+from .ordered import exact_quantiles, null_safe_join, quantile_table, with_scalars
 
 # Fixed values of the cleaning step.
 LONG_LEAD_DAYS = 30
@@ -85,7 +85,7 @@ def cap_outliers(df: DataFrame, cols: str | Sequence[str], by: Sequence[str] = (
     cols = [cols] if isinstance(cols, str) else list(cols)
     by = list(by)
     q = quantile_table(df, cols, [0.25, 0.75], ["q1", "q3"], by=by)
-    j = df.join(q, by, "left") if by else with_scalars(df, q)
+    j = null_safe_join(df, q, by, "left") if by else with_scalars(df, q)
     out = {}
     for c in cols:
         q1, q3 = F.col(f"{c}__q1"), F.col(f"{c}__q3")

@@ -1,7 +1,7 @@
 """Inventory analysis: stock by warehouse, reorder alerts, coverage, turnover.
 
 ``fact_inventory`` has one row per (product, warehouse).  Warehouses are a
-small fixed dimension and are broadcast; products are joined by key and left
+small dimension that Catalyst broadcasts by its size; products are joined by key and left
 to Catalyst/AQE.
 """
 
@@ -45,7 +45,7 @@ def inventory_detail(inventory: DataFrame) -> DataFrame:
 
 
 def reorder_alerts_by_warehouse(fact_inventory: DataFrame, dim_warehouse: DataFrame) -> DataFrame:
-    j = fact_inventory.join(F.broadcast(dim_warehouse), "warehouse_id")
+    j = fact_inventory.join(dim_warehouse, "warehouse_id")
     return (j.groupBy("warehouse_name")
              .agg(F.sum(F.when(_alert(), 1).otherwise(0)).cast("bigint").alias("alert_count"),
                   F.round(safe_divide(F.avg("stock_level"), F.avg("reorder_level")), 2).alias("coverage_ratio"))
@@ -55,7 +55,7 @@ def reorder_alerts_by_warehouse(fact_inventory: DataFrame, dim_warehouse: DataFr
 def _alerts(fact_inventory: DataFrame, dim_product: DataFrame, dim_warehouse: DataFrame) -> DataFrame:
     i = fact_inventory.where(F.col("stock_level") <= F.col("reorder_level"))
     return (i.join(dim_product.select("product_id", "product_name", "category"), "product_id")
-             .join(F.broadcast(dim_warehouse), "warehouse_id")
+             .join(dim_warehouse, "warehouse_id")
              .withColumn("deficit", F.col("reorder_level") - F.col("stock_level")))
 
 
@@ -74,7 +74,7 @@ def overstocked(fact_inventory: DataFrame, factor: int = OVERSTOCK_FACTOR) -> Da
 
 
 def warehouse_overview(fact_inventory: DataFrame, dim_warehouse: DataFrame) -> DataFrame:
-    j = fact_inventory.join(F.broadcast(dim_warehouse), "warehouse_id")
+    j = fact_inventory.join(dim_warehouse, "warehouse_id")
     return j.groupBy("warehouse_id", "warehouse_name").agg(
         F.count_distinct("product_id").alias("skus"),
         F.sum("stock_level").cast("bigint").alias("total_stock"),
@@ -125,7 +125,7 @@ def cross_category_warehouse(sales, dim_product, fact_inventory, dim_warehouse)
     """Category x warehouse: stock of the category's SKUs and their revenue."""
     rev = sales.groupBy("product_id").agg(F.sum("revenue").alias("_rev"))
     inv = (fact_inventory.join(dim_product.select("product_id", "category"), "product_id")
-           .join(F.broadcast(dim_warehouse), "warehouse_id")
+           .join(dim_warehouse, "warehouse_id")
            .join(rev, "product_id", "left"))
     return inv.groupBy("category", "warehouse_name").agg(
         F.count_distinct("product_id").alias("skus"),

@@ -141,7 +141,7 @@ def reorder_alerts(fact_inventory: DataFrame, product: DataFrame | None = None,
 
 def critical_warehouse(fact_inventory: DataFrame, dim_warehouse: DataFrame) -> DataFrame:
     alert = null_false(F.col("stock_level") <= F.col("reorder_level"))
-    w = (fact_inventory.join(F.broadcast(dim_warehouse), "warehouse_id")
+    w = (fact_inventory.join(dim_warehouse, "warehouse_id")
          .groupBy("warehouse_name").agg(F.count_if(alert).alias("alerts")))
     return top1(w, "warehouse_name", "alerts", "critical_warehouse")
 

@@ -38,6 +38,14 @@ def _sort_cols(order: Sequence[Column | str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` in which NULL equals NULL, so a NULL group keeps its
+    rows; the left keys are returned once."""
+    r = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    on = [left[k].eqNullSafe(r[f"__r_{k}"]) for k in keys]
+    return left.join(r, on, how).drop(*[f"__r_{k}" for k in keys])
+
+
 def prefix_sum(df: DataFrame, order: Sequence[Column | str], sums: Sequence[str],
                partition_by: Sequence[str] = (), suffix: str = "_cum",
                inclusive: bool = True) -> DataFrame:
@@ -80,11 +88,11 @@ def prefix_sum_totals(df: DataFrame, order: Sequence[Column | str], sums: Sequen
     rows = ranged
     if restrict is not None:
         keep = restrict(parts, totals)
-        rows = ranged.join(F.broadcast(keep) if not by else keep, [_P, *by], "left_semi")
+        rows = null_safe_join(ranged, F.broadcast(keep) if not by else keep, [_P, *by], "left_semi")
     frame_end = Window.currentRow if inclusive else -1
     w_in = (Window.partitionBy(_P, *by).orderBy(*_sort_cols(order))
             .rowsBetween(Window.unboundedPreceding, frame_end))
-    out = rows.join(offsets, [_P, *by])
+    out = null_safe_join(rows, offsets, [_P, *by])
     for c in sums:
         within = F.sum(c).over(w_in)
         if not inclusive:
@@ -114,11 +122,7 @@ def global_rank(df: DataFrame, value: str, out: str = "rank", method: str = "ran
     else:
         raise ValueError(method)
     ranks = pc.select(*by, F.col(value).alias("__v"), r.cast("int").alias(out))
-    cond = [df[value].eqNullSafe(ranks["__v"])] + [df[c] == ranks[c] for c in by]
-    res = df.join(ranks, cond).drop("__v")
-    for c in by:
-        res = res.drop(ranks[c])
-    return res
+    return null_safe_join(df.withColumn("__v", F.col(value)), ranks, [*by, "__v"]).drop("__v")
 
 
 def row_number_global(df: DataFrame, order: Sequence[Column | str], out: str = "row_number") -> DataFrame:
@@ -143,7 +147,7 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
     vc = base.groupBy(*by, "__x").agg(F.count(F.lit(1)).alias("__c"))
     def positions(parts: DataFrame, totals: DataFrame) -> DataFrame:
         # range partitions that contain a floor/ceil position of some quantile
-        j = parts.join(totals, by) if by else with_scalars(parts, totals)
+        j = null_safe_join(parts, totals, by) if by else with_scalars(parts, totals)
         start, end = F.col("__o___c"), F.col("__o___c") + F.col("__t___c")
         hit = F.lit(False)
         for p in probs:
@@ -154,7 +158,7 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
 
     pc, tot = prefix_sum_totals(vc, [F.col("__x").asc()], ["__c"], partition_by=by, restrict=positions)
     n = tot.withColumnRenamed("__c_total", "__n")
-    j = pc.join(n, by) if by else with_scalars(pc, n)
+    j = null_safe_join(pc, n, by) if by else with_scalars(pc, n)
     start = F.col("__c_cum") - F.col("__c")  # first 0-based position of this value
     aggs = []
     for i, p in enumerate(probs):
@@ -194,13 +198,10 @@ def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], n
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a one-row aggregate to every row of ``df``.
 
-    The one-row side has a proven size bound, so it is broadcast; the join is
-    an equi-join on a constant key (no shuffle of ``df``).
+    The one-row side has a proven size bound, so it is broadcast; Catalyst plans
+    a nested-loop join against that single row (no shuffle of ``df``).
     """
-    k = "__one_row_key"
-    return (df.withColumn(k, F.lit(0))
-              .join(F.broadcast(one_row.withColumn(k, F.lit(0))), k)
-              .drop(k))
+    return df.crossJoin(F.broadcast(one_row))
 
 
 def top_k(df: DataFrame, k: int, order: Sequence[Column | str]) -> DataFrame:

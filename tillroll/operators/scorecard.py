@@ -79,7 +79,7 @@ def category_matrix(sales: DataFrame, product: DataFrame, fact_inventory: DataFr
                                        F.sum(F.col("_r") - F.col("_q") * F.col("cost")).alias("_gp"))
     alerts = (fact_inventory.where(F.col("stock_level") <= F.col("reorder_level"))
               .join(p.select("product_id", "category"), "product_id")
-              .join(F.broadcast(dim_warehouse), "warehouse_id")
+              .join(dim_warehouse, "warehouse_id")
               .groupBy("category", "warehouse_name").agg(F.count(F.lit(1)).alias("_a"))
               .groupBy("category").agg(F.min(F.struct((-F.col("_a")).alias("_na"),
                                                       F.col("warehouse_name"))).alias("_cw")))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import safe_divide
-from .ordered import with_scalars
+from .ordered import null_safe_join, with_scalars
 
 # Moving-average window, horizon, band, growth grid and path.
 MA_WINDOW = 3
@@ -41,7 +41,7 @@ def resample_month(sales: DataFrame, by: Sequence[str] = (), value: str = "reven
     m = monthly_totals(sales, by, value)
     span = m.groupBy(*by).agg(F.min("month").alias("_a"), F.max("month").alias("_b"))
     spine = span.select(*by, F.explode(F.sequence("_a", "_b", F.expr("interval 1 month"))).alias("month"))
-    s = spine.join(m, [*by, "month"], "left")
+    s = null_safe_join(spine, m, [*by, "month"], "left")
     return s.select(*by, F.last_day("month").alias("month_end"),
                     F.coalesce(F.col("_v"), F.lit(0)).cast("double").alias(value))
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import measures as M
 from ..operators.ordered import with_scalars
-from ..sources.tpch import CALENDAR_END, CALENDAR_START, Star
+from ..sources.tpch import Star
 from .registry import query
 
 _PP = "(select product_id, sum(revenue) rev, sum(quantity) qty from fact_sales group by product_id)"
@@ -234,11 +234,11 @@ def kpi_fill_rate(spark, sf):
 with g as (select case when sum(p.rev) = 0 or sum(p.rev) is null then 0 else
                     cast(sum(p.rev - p.qty * d.cost) as double) / cast(sum(p.rev) as double) end * 100 gross_margin_pct
            from {_PP} p left join dim_product d on p.product_id = d.product_id),
-y as (select cast(sum(case when sale_date between date '{CALENDAR_START}' and date '{CALENDAR_END}' then revenue end)
-                  as double) total_revenue,
-             cast(sum(case when sale_date between date '{CALENDAR_START}' - interval 12 month
-                           and date '{CALENDAR_END}' - interval 12 month then revenue end) as double) revenue_ly
-      from fact_sales),
+c as (select min(full_date) lo, max(full_date) hi from dim_date),
+y as (select cast(sum(case when sale_date between c.lo and c.hi then revenue end) as double) total_revenue,
+             cast(sum(case when sale_date between c.lo - interval 12 month and c.hi - interval 12 month
+                           then revenue end) as double) revenue_ly
+      from fact_sales, c),
 m as (select cast(date_trunc('month', sale_date) as date) mo, sum(revenue) v from fact_sales group by 1),
 span as (select min(mo) a, max(mo) b from m),
 spine as (select cast(unnest(generate_series(a, b, interval 1 month)) as date) mo from span),
@@ -265,7 +265,7 @@ def kpi_status_sales(spark, sf):
     from ..operators import timeseries as T
     st = Star(spark, sf)
     gm = M.gross_margin_pct(st.fact_sales, st.dim_product)
-    yoy = M.yoy_card(st.fact_sales, CALENDAR_START, CALENDAR_END).select("yoy_growth_pct")
+    yoy = M.yoy_card(st.fact_sales, f"{st.years[0]}-01-01", f"{st.years[-1]}-12-31").select("yoy_growth_pct")
     acc = T.forecast_accuracy(st.fact_sales)
     last = acc.agg(F.max("month_end").alias("_last"))
     fa = with_scalars(acc, last).where(F.col("month_end") == F.col("_last")).select("forecast_accuracy_pct")

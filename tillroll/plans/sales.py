@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import sales as S
-from ..sources.tpch import Star, calendar_years
+from ..sources.tpch import SQL_YEARS, Star
 from .registry import query
 
 
@@ -151,7 +151,7 @@ def revenue_by_weekday(spark, sf):
 def _quarter_year_sql() -> str:
     cols = ", ".join(
         f"cast(round(sum(case when d.year = {y} then s.revenue end), 2) as double) \"{y}\""
-        for y in calendar_years())
+        for y in SQL_YEARS)
     return f"""
 select d.quarter, {cols}
 from fact_sales s join dim_date d on s.sale_date = d.full_date group by d.quarter"""
@@ -160,4 +160,4 @@ from fact_sales s join dim_date d on s.sale_date = d.full_date group by d.quarte
 @query("revenue_by_quarter_year", _quarter_year_sql())
 def revenue_by_quarter_year(spark, sf):
     st = Star(spark, sf)
-    return S.revenue_by_quarter_year(st.fact_sales, st.dim_date, calendar_years())
+    return S.revenue_by_quarter_year(st.fact_sales, st.dim_date, st.years)

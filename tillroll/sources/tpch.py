@@ -20,28 +20,8 @@ from ..functions import date_attrs, dec
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
-# Fixed values of the adapter (calendar range of the test data).
-CALENDAR_START = "1995-01-01"
-CALENDAR_END = "2001-12-31"
-
-
-# Read handles per (application, path).  Creating a handle lists the files and
-# reads parquet footers (~0.1 s each); the handle is only a plan, the data is
-# read when a query runs.  ``clear_table_cache`` forgets them after the files
-# change.
-_HANDLES: dict[tuple[str, str], DataFrame] = {}
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    key = (spark.sparkContext.applicationId, path)
-    df = _HANDLES.get(key)
-    if df is None:
-        df = _HANDLES[key] = spark.read.parquet(path)
-    return df
-
-
-def clear_table_cache() -> None:
-    _HANDLES.clear()
+# Years that the SQL text of a pivot names as columns (the sale years of the test data).
+SQL_YEARS = range(1995, 2002)
 
 
 class Star:
@@ -52,7 +32,7 @@ class Star:
         self.sf_dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     # -- dimensions -------------------------------------------------------
     @cached_property
@@ -86,7 +66,14 @@ class Star:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return date_spine(self.spark, CALENDAR_START, CALENDAR_END)
+        """One row per day of the years in which there are sales."""
+        return date_spine(self.fact_sales, "sale_date")
+
+    @cached_property
+    def years(self) -> list[int]:
+        """The years of the calendar; a one-row aggregate is collected."""
+        r = self.fact_sales.agg(F.year(F.min("sale_date")).alias("a"), F.year(F.max("sale_date")).alias("b")).first()
+        return list(range(r.a, r.b + 1)) if r.a is not None else []
 
     # -- facts ------------------------------------------------------------
     @cached_property
@@ -136,7 +123,7 @@ class Star:
     def inventory(self) -> DataFrame:
         """Cleaned inventory with the warehouse *name* (the pre-star shape)."""
         w = self.dim_warehouse
-        return (self.fact_inventory.join(F.broadcast(w), "warehouse_id")  # 5 rows
+        return (self.fact_inventory.join(w, "warehouse_id")
                 .select("product_id", F.col("warehouse_name").alias("warehouse"),
                         "stock_level", "reorder_level"))
 
@@ -156,14 +143,16 @@ class Star:
                     1).otherwise(0)))
 
 
-def date_spine(spark: SparkSession, start: str, end: str) -> DataFrame:
-    """Daily calendar ``start..end`` with the ten date-dimension columns.
-
-    Size is bounded by the calendar (days in range), not by the data.
+def date_spine(facts: DataFrame, date_col: str) -> DataFrame:
+    """Daily calendar with the ten date-dimension columns, from the first day of
+    the earliest year in ``date_col`` to the last day of the latest.  No dates,
+    no days.  Its size is bounded by the days in that range.
     """
-    d = spark.range(1).select(F.explode(F.sequence(
-        F.to_date(F.lit(start)), F.to_date(F.lit(end)), F.expr("interval 1 day"))).alias("full_date"))
-    return d.select("full_date", *[c.alias(n) for n, c in date_attrs("full_date").items()])
+    d = F.col(date_col)
+    span = facts.agg(F.year(F.min(d)).alias("a"), F.year(F.max(d)).alias("b"))
+    days = span.select(F.explode(F.sequence(F.make_date("a", F.lit(1), F.lit(1)), F.make_date("b", F.lit(12), F.lit(31)),
+                                            F.expr("interval 1 day"))).alias("full_date"))
+    return days.select("full_date", *[c.alias(n) for n, c in date_attrs("full_date").items()])
 
 
 # ---------------------------------------------------------------------------
@@ -208,10 +197,11 @@ VIEW_SQL: dict[str, str] = {
         "cast(year(d) as int) \"year\", cast(quarter(d) as int) \"quarter\", cast(month(d) as int) \"month\", "
         "strftime(d, '%B') month_name, cast(weekofyear(d) as int) week_of_year, "
         "cast(day(d) as int) day_of_month, strftime(d, '%A') day_name, isodow(d) >= 6 is_weekend "
-        f"from generate_series(timestamp '{CALENDAR_START}', timestamp '{CALENDAR_END}', interval 1 day) t(d)"),
+        "from (select unnest(generate_series(make_timestamp(year(min(sale_date)), 1, 1, 0, 0, 0.0), "
+        "make_timestamp(year(max(sale_date)), 12, 31, 0, 0, 0.0), interval 1 day)) d from fact_sales) t"),
 }
 
-VIEW_ORDER = ("dim_product", "dim_supplier", "dim_warehouse", "dim_date", "fact_sales", "fact_orders",
+VIEW_ORDER = ("dim_product", "dim_supplier", "dim_warehouse", "fact_sales", "dim_date", "fact_orders",
               "fact_orders_clean", "fact_inventory", "inventory", "stockout_features")
 
 
@@ -239,8 +229,3 @@ def with_views(sql: str) -> str:
     if re.match(r"(?is)^with\s", body):
         return f"WITH {ctes},\n{body[4:].lstrip()}"
     return f"WITH {ctes}\n{body}"
-
-
-def calendar_years() -> list[int]:
-    """Years covered by the adapter's calendar (fixed pivot values)."""
-    return list(range(int(CALENDAR_START[:4]), int(CALENDAR_END[:4]) + 1))
