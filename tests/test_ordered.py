@@ -58,3 +58,15 @@ def test_quantile_table_several_columns(spark):
     row = quantile_table(df2, ["v", "w"], [0.25, 0.75], ["q1", "q3"]).collect()[0]
     assert np.allclose([row.v__q1, row.v__q3], np.quantile(pdf.v, [0.25, 0.75]))
     assert np.allclose([row.w__q1, row.w__q3], np.quantile(pdf.w, [0.25, 0.75]))
+
+
+def test_large_groups_are_bracketed_exactly(spark):
+    """More rows than the sketch resolves, ties, a hot value and infinities."""
+    import numpy as np
+    from tillroll.operators.ordered import exact_quantiles
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(size=30_000), np.full(15_000, 0.25), rng.exponential(1e6, 5_000)])
+    df = spark.createDataFrame([(float(v),) for v in x], "v double")
+    probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.999, 1.0]
+    got = exact_quantiles(df, "v", probs, names=[f"q{i}" for i in range(len(probs))]).first()
+    assert np.allclose(list(got), np.quantile(x, probs), rtol=1e-12)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import safe_divide
-from .ordered import global_rank, prefix_sum, with_scalars
+from .ordered import global_rank, prefix_sum_totals, with_scalars
 
 # Class limits (cumulative %, inclusive) and the SQL labels.
 ABC_A_LIMIT = 80
@@ -27,9 +27,9 @@ def _classify(pct: F.Column, labels) -> F.Column:
 
 def _cumulative(df: DataFrame, value: str, key: str) -> DataFrame:
     """Adds ``_cum`` (running sum, value desc then key) and ``_tot`` (grand total)."""
-    tot = df.agg(F.sum(value).alias("_tot"))
-    pc = prefix_sum(df, [F.col(value).desc_nulls_last(), F.col(key).asc()], [value], suffix="_cum")
-    return with_scalars(pc.withColumnRenamed(f"{value}_cum", "_cum"), tot)
+    order = [F.col(value).desc_nulls_last(), F.col(key).asc()]
+    pc, tot = prefix_sum_totals(df, order, [value], suffix="_cum")  # both from one checkpointed pass
+    return with_scalars(pc.withColumnRenamed(f"{value}_cum", "_cum"), tot.withColumnRenamed(f"{value}_total", "_tot"))
 
 
 def abc_sql(sales: DataFrame, product: DataFrame) -> DataFrame:

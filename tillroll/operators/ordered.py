@@ -13,7 +13,7 @@ bounded per-task state:
                     of the distinct sort values (``row_number_global`` for
                     ROW_NUMBER).
 * ``exact_quantiles`` linear-interpolated quantiles (pandas / DuckDB
-                    ``quantile_cont``) from value counts and cumulative counts.
+                    ``quantile_cont``) from a sketch's brackets and counts.
 * ``top_k``         ORDER BY ... LIMIT k with a deterministic tie-break
                     (``TakeOrderedAndProject``: k rows per task, merged).
 """
@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 _P = "__part"
+# Fixed value: 1 / rank error of the sketch that brackets a quantile.
+SKETCH_ACCURACY = 10_000
 
 
 def _num_ranges(df: DataFrame) -> int:
@@ -55,7 +57,7 @@ def prefix_sum(df: DataFrame, order: Sequence[Column | str], sums: Sequence[str]
 
 def prefix_sum_totals(df: DataFrame, order: Sequence[Column | str], sums: Sequence[str],
                       partition_by: Sequence[str] = (), suffix: str = "_cum",
-                      inclusive: bool = True, restrict=None) -> tuple[DataFrame, DataFrame]:
+                      inclusive: bool = True) -> tuple[DataFrame, DataFrame]:
     """Running sums of ``sums`` in ``order`` (ROWS frame), optionally per group.
 
     ``order`` must be a total order (add a unique key as the last tie-break)
@@ -64,10 +66,6 @@ def prefix_sum_totals(df: DataFrame, order: Sequence[Column | str], sums: Sequen
     ids survive executor loss and are read consistently by both branches.
 
     Returns the rows with running sums and the grand totals per group.
-    ``restrict(parts, totals)`` may return the ``(__part, *by)`` keys of the
-    only range partitions whose rows are needed; ``parts`` has one row per
-    range partition and group with its offset ``__o_<c>`` and sum ``__t_<c>``.
-    The running-sum window then reads only those partitions.
     """
     ensure_checkpoint_dir(df.sparkSession)
     by = list(partition_by)
@@ -85,14 +83,10 @@ def prefix_sum_totals(df: DataFrame, order: Sequence[Column | str], sums: Sequen
     if not by:
         # one row per range partition: bounded by the partition count
         offsets = F.broadcast(offsets)
-    rows = ranged
-    if restrict is not None:
-        keep = restrict(parts, totals)
-        rows = null_safe_join(ranged, F.broadcast(keep) if not by else keep, [_P, *by], "left_semi")
     frame_end = Window.currentRow if inclusive else -1
     w_in = (Window.partitionBy(_P, *by).orderBy(*_sort_cols(order))
             .rowsBetween(Window.unboundedPreceding, frame_end))
-    out = null_safe_join(rows, offsets, [_P, *by])
+    out = null_safe_join(ranged, offsets, [_P, *by])
     for c in sums:
         within = F.sum(c).over(w_in)
         if not inclusive:
@@ -132,60 +126,71 @@ def row_number_global(df: DataFrame, order: Sequence[Column | str], out: str = "
 
 
 def exact_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
-                    by: Sequence[str] = (), names: Sequence[str] | None = None) -> DataFrame:
+                    by: Sequence[str] = (), names: Sequence[str] | None = None,
+                    bounded_by: bool = False) -> DataFrame:
     """Exact linear-interpolation quantiles per group (one row per group).
 
     Matches pandas ``Series.quantile`` / DuckDB ``quantile_cont`` on doubles:
-    position h = (n-1)p, result lo + (hi-lo)(h-floor h).  Values are counted
-    per distinct value first (map-side combine), so a group or a value that
-    holds a third of the rows costs one row per distinct value.
+    position h = (n-1)p, result lo + (hi-lo)(h-floor h).
+
+    Bracket, then refine: a sketch (``percentile_approx``, rank error at most
+    1 / SKETCH_ACCURACY of the rows) gives two values between which each wanted
+    position surely lies.  A second pass counts the rows per distinct value
+    inside the brackets and per gap between them, map-side first, so nothing is
+    sorted or stored; the running count that finds the positions sees only
+    those few values.  ``bounded_by`` says that the number of groups is bounded
+    (column names, say), so the brackets may be broadcast.
     """
     by = list(by)
     names = list(names) if names else [f"q{int(round(p * 100)):02d}" for p in probs]
     v = (F.col(value) if isinstance(value, str) else value).cast("double")
     base = df.select(*by, v.alias("__x")).where(F.col("__x").isNotNull() & ~F.isnan("__x"))
-    vc = base.groupBy(*by, "__x").agg(F.count(F.lit(1)).alias("__c"))
-    def positions(parts: DataFrame, totals: DataFrame) -> DataFrame:
-        # range partitions that contain a floor/ceil position of some quantile
-        j = null_safe_join(parts, totals, by) if by else with_scalars(parts, totals)
-        start, end = F.col("__o___c"), F.col("__o___c") + F.col("__t___c")
-        hit = F.lit(False)
-        for p in probs:
-            h = (F.col("__c_total") - 1) * F.lit(float(p))
-            for pos in (F.floor(h), F.ceil(h)):
-                hit = hit | ((start <= pos) & (pos < end))
-        return j.where(hit).select(_P, *by)
-
-    pc, tot = prefix_sum_totals(vc, [F.col("__x").asc()], ["__c"], partition_by=by, restrict=positions)
-    n = tot.withColumnRenamed("__c_total", "__n")
-    j = null_safe_join(pc, n, by) if by else with_scalars(pc, n)
-    start = F.col("__c_cum") - F.col("__c")  # first 0-based position of this value
+    slack = 2.0 / SKETCH_ACCURACY
+    wanted = [q for p in probs for q in (max(0.0, p - slack), min(1.0, p + slack))]
+    brackets = base.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("__n"),
+        F.percentile_approx("__x", F.array(*map(F.lit, wanted)), F.lit(SKETCH_ACCURACY)).alias("__b"))
+    if not by:
+        j = with_scalars(base, brackets)
+    else:
+        j = null_safe_join(base, F.broadcast(brackets) if bounded_by else brackets, by)
+    # in a small group a position's neighbour can lie outside the slack: take it whole
+    small, inf = F.col("__n") <= 2 * SKETCH_ACCURACY, F.lit(float("inf"))
+    x, ends = F.col("__x"), [(F.when(small, -inf).otherwise(F.col("__b")[2 * i]),
+                              F.when(small, inf).otherwise(F.col("__b")[2 * i + 1])) for i in range(len(probs))]
+    inside = F.lit(False)
+    for lo, hi in ends:
+        inside = inside | x.between(lo, hi)
+    # a row outside every bracket counts for the gap above the last bracket below it
+    below = F.greatest(F.lit(float("-inf")), *[F.when(x > hi, hi) for _, hi in ends])
+    counted = j.groupBy(*by, F.when(inside, x).otherwise(below).alias("__y"), (~inside).alias("__gap")).agg(
+        F.count(F.lit(1)).alias("__c"), F.max("__n").alias("__n"))
+    w = Window.partitionBy(*by).orderBy("__y", "__gap").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = counted.withColumn("__upto", F.sum("__c").over(w)).where(~F.col("__gap"))
+    start = F.col("__upto") - F.col("__c")  # first 0-based position of this value
     aggs = []
     for i, p in enumerate(probs):
         h = (F.col("__n") - 1) * F.lit(float(p))
         lo, hi = F.floor(h), F.ceil(h)
-        hit_lo = (start <= lo) & (lo < F.col("__c_cum"))
-        hit_hi = (start <= hi) & (hi < F.col("__c_cum"))
-        aggs += [F.max(F.when(hit_lo, F.col("__x"))).alias(f"__lo{i}"),
-                 F.max(F.when(hit_hi, F.col("__x"))).alias(f"__hi{i}"),
+        aggs += [F.max(F.when((start <= lo) & (lo < F.col("__upto")), F.col("__y"))).alias(f"__lo{i}"),
+                 F.max(F.when((start <= hi) & (hi < F.col("__upto")), F.col("__y"))).alias(f"__hi{i}"),
                  F.max(h - lo).alias(f"__f{i}")]
-    g = j.groupBy(*by).agg(*aggs)
     outs = [(F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * F.col(f"__f{i}")).alias(nm)
             for i, nm in enumerate(names)]
-    return g.select(*by, *outs)
+    return placed.groupBy(*by).agg(*aggs).select(*by, *outs)
 
 
 def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], names: Sequence[str],
                    by: Sequence[str] = ()) -> DataFrame:
     """Quantiles of several columns in one pass: one row per group with
     columns ``{col}__{name}``.  The columns are unpivoted to
-    ``(column, value)`` and ranked together, so k columns cost one range
-    partition and one checkpoint instead of k."""
+    ``(column, value)`` and counted together, so k columns cost the two passes
+    of one."""
     by = list(by)
     cols = list(cols)
     d = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
     long = d.unpivot(by, cols, "__col", "__val")
-    q = exact_quantiles(long, "__val", probs, by=[*by, "__col"], names=list(names))
+    q = exact_quantiles(long, "__val", probs, by=[*by, "__col"], names=list(names), bounded_by=not by)
     # pivot over the (known, bounded) column names back to one row per group
     wide = q.groupBy(*by).pivot("__col", cols).agg(*[F.first(n).alias(n) for n in names])
     if len(names) == 1:  # Spark names single-aggregate pivot columns by value only

@@ -42,13 +42,16 @@ def total_kpis(sales: DataFrame) -> DataFrame:
 
 def total_kpis_profit(sales: DataFrame, product: DataFrame) -> DataFrame:
     """KPIs of sales with a known product plus gross profit."""
-    s = sales.join(product.select("product_id", "cost"), "product_id")
-    return s.agg(
-        F.count_distinct("sale_id").alias("total_transactions"),
-        F.sum("quantity").cast("bigint").alias("total_units_sold"),
-        money(F.sum("revenue")).alias("total_revenue"),
-        F.round(F.avg(F.col("revenue").cast("double")), 2).alias("avg_order_value"),
-        money(F.sum(F.col("revenue") - F.col("quantity") * F.col("cost"))).alias("gross_profit"))
+    known = product.select("product_id", "cost")
+    # one row per product before the join; only the distinct sales need their rows
+    per = sales.groupBy("product_id").agg(
+        F.sum("quantity").alias("_qty"), F.sum("revenue").alias("_rev"), F.count("revenue").alias("_n")).join(
+        known, "product_id")
+    sums = per.agg(F.sum("_qty").cast("bigint").alias("total_units_sold"), money(F.sum("_rev")).alias("total_revenue"),
+                   F.round(F.sum("_rev").cast("double") / F.sum("_n"), 2).alias("avg_order_value"),
+                   money(F.sum(F.col("_rev") - F.col("_qty") * F.col("cost"))).alias("gross_profit"))
+    sold = sales.select("sale_id", "product_id").join(known.select("product_id"), "product_id", "left_semi")
+    return with_scalars(sold.agg(F.count_distinct("sale_id").alias("total_transactions")), sums)
 
 
 def monthly_revenue(sales: DataFrame, dim_date: DataFrame) -> DataFrame:
