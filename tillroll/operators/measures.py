@@ -157,9 +157,14 @@ def inventory_turnover(sales: DataFrame, fact_inventory: DataFrame) -> DataFrame
         .alias("days_inventory_outstanding"))
 
 
+def supplier_count(dim_supplier: DataFrame) -> DataFrame:
+    """Suppliers and their mean lead time, from the dimension alone."""
+    return dim_supplier.agg(F.count(F.lit(1)).alias("total_suppliers"), F.avg("lead_time").alias("avg_lead_time"))
+
+
 def supplier_measures(dim_supplier: DataFrame, orders_clean: DataFrame) -> DataFrame:
     """Suppliers, mean lead time, mean fulfilment, gap, on-time and late %."""
-    s = dim_supplier.agg(F.count(F.lit(1)).alias("total_suppliers"), F.avg("lead_time").alias("avg_lead_time"))
+    s = supplier_count(dim_supplier)
     o = orders_clean.agg(
         F.avg("fulfilment_days").alias("avg_fulfilment"),
         (safe_divide(F.count_if(F.col("fulfilment_days") <= ON_TIME_DAYS), F.count(F.lit(1)), 0) * 100)

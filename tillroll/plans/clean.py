@@ -29,9 +29,9 @@ def standardize_columns(spark, sf):
     return _std(s)
 
 
-@query("drop_duplicates", "select distinct * from fact_orders")
+@query("drop_duplicates", "select distinct * from raw_orders")
 def drop_duplicates(spark, sf):
-    return C.drop_duplicates(Star(spark, sf).fact_orders)
+    return C.drop_duplicates(Star(spark, sf).raw_orders)
 
 
 @query("coerce_int", """
@@ -69,27 +69,23 @@ def parse_dates(spark, sf):
 
 
 @query("impute_median", """
-with u as (select p.product_id, cast(sum(s.quantity) as double) units
-           from dim_product p left join fact_sales s on p.product_id = s.product_id group by p.product_id)
-select product_id, coalesce(units, (select quantile_cont(units, 0.5) from u)) units from u""")
+with u as (select product_id, cast(cost as double) cost from raw_products)
+select product_id, coalesce(cost, (select quantile_cont(cost, 0.5) from u)) cost from u""")
 def impute_median(spark, sf):
-    """Units sold per product; products without sales get the median."""
-    st = Star(spark, sf)
-    u = (st.dim_product.select("product_id")
-         .join(st.fact_sales.groupBy("product_id").agg(F.sum("quantity").cast("double").alias("units")),
-               "product_id", "left"))
-    return C.impute_median(u, ["units"])
+    """Cost of every product row; missing costs get the median."""
+    p = Star(spark, sf).raw_products.select("product_id", F.col("cost").cast("double").alias("cost"))
+    return C.impute_median(p, ["cost"])
 
 
 @query("cap_outliers", """
 with q as (select quantile_cont(cast(revenue as double), 0.25) q1, quantile_cont(cast(revenue as double), 0.75) q3
-           from fact_sales)
+           from raw_sales)
 select sale_id, product_id, sale_date, quantity,
        case when revenue is null then null else
          least(greatest(cast(revenue as double), q1 - 1.5 * (q3 - q1)), q3 + 1.5 * (q3 - q1)) end revenue
-from fact_sales, q""")
+from raw_sales, q""")
 def cap_outliers(spark, sf):
-    return C.cap_outliers(Star(spark, sf).fact_sales, "revenue")
+    return C.cap_outliers(Star(spark, sf).raw_sales, "revenue")
 
 
 @query("cap_outliers_grouped", """
@@ -146,9 +142,9 @@ def dim_date_attrs(spark, sf):
 
 
 @query("filter_positive_sales", """
-select * from fact_sales where revenue > 0 and quantity > 0""")
+select * from raw_sales where revenue > 0 and quantity > 0""")
 def filter_positive_sales(spark, sf):
-    return C.filter_positive_sales(Star(spark, sf).fact_sales)
+    return C.filter_positive_sales(Star(spark, sf).raw_sales)
 
 
 def _cap(x: str, q: str = "q") -> str:
@@ -157,7 +153,7 @@ def _cap(x: str, q: str = "q") -> str:
 
 
 @query("clean_products", f"""
-with d as (select distinct * from dim_product),
+with d as (select distinct * from raw_products),
 t as (select product_id, product_name, category, cast(cost as double) cost, cast(price as double) price from d),
 m as (select quantile_cont(cost, 0.5) mc, quantile_cont(price, 0.5) mp from t),
 i as (select product_id, product_name, category, coalesce(cost, mc) cost, coalesce(price, mp) price from t, m),
@@ -169,15 +165,15 @@ c1 as (select product_id, product_name, category_t category, {_cap('cost', 'qc')
 qp as (select quantile_cont(price, 0.25) q1, quantile_cont(price, 0.75) q3 from c1)
 select product_id, product_name, category, cost, {_cap('price', 'qp')} price, margin, margin_pct from c1, qp""")
 def clean_products(spark, sf):
-    return C.clean_products(Star(spark, sf).dim_product)
+    return C.clean_products(Star(spark, sf).raw_products)
 
 
 @query("clean_suppliers", f"""
 select distinct supplier_id, supplier_name, cast(lead_time as double) lead_time, {_title('location')} location,
        coalesce(cast(lead_time as double) > 30, false) long_lead_flag
-from dim_supplier""")
+from raw_suppliers""")
 def clean_suppliers(spark, sf):
-    return C.clean_suppliers(Star(spark, sf).dim_supplier)
+    return C.clean_suppliers(Star(spark, sf).raw_suppliers)
 
 
 @query("clean_inventory", """
@@ -185,24 +181,24 @@ select distinct product_id, warehouse,
        case when stock_level is null then null else greatest(cast(stock_level as double), 0) end stock_level,
        cast(reorder_level as double) reorder_level,
        coalesce(greatest(cast(stock_level as double), 0) <= cast(reorder_level as double), false) needs_reorder
-from inventory""")
+from raw_inventory""")
 def clean_inventory(spark, sf):
-    return C.clean_inventory(Star(spark, sf).inventory)
+    return C.clean_inventory(Star(spark, sf).raw_inventory)
 
 
 @query("clean_orders", f"""
-with d as (select distinct * from fact_orders),
+with d as (select distinct * from raw_orders),
 f as (select order_id, product_id, order_date, delivery_date, cast(quantity as double) quantity,
              cast(datediff('day', order_date, delivery_date) as int) fulfilment_days
       from d where delivery_date >= order_date),
 q as (select quantile_cont(quantity, 0.25) q1, quantile_cont(quantity, 0.75) q3 from f)
 select order_id, product_id, order_date, delivery_date, {_cap('quantity')} quantity, fulfilment_days from f, q""")
 def clean_orders(spark, sf):
-    return C.clean_orders(Star(spark, sf).fact_orders)
+    return C.clean_orders(Star(spark, sf).raw_orders)
 
 
 @query("clean_sales", f"""
-with d as (select distinct * from fact_sales),
+with d as (select distinct * from raw_sales),
 f as (select sale_id, product_id, sale_date, cast(quantity as double) quantity, cast(revenue as double) revenue
       from d where revenue > 0 and quantity > 0),
 q as (select quantile_cont(revenue, 0.25) q1, quantile_cont(revenue, 0.75) q3 from f)
@@ -212,25 +208,25 @@ select sale_id, product_id, sale_date, quantity, {_cap('revenue')} revenue,
        revenue / nullif(quantity, 0) unit_price
 from f, q""")
 def clean_sales(spark, sf):
-    return C.clean_sales(Star(spark, sf).fact_sales)
+    return C.clean_sales(Star(spark, sf).raw_sales)
 
 
 @query("anti_orphans", """
-select s.* from fact_sales s where not exists (select 1 from dim_product p where p.product_id = s.product_id)""")
+select s.* from raw_sales s where not exists (select 1 from dim_product p where p.product_id = s.product_id)""")
 def anti_orphans(spark, sf):
     """Sales whose product is unknown (NULL product ids included)."""
     st = Star(spark, sf)
-    return C.orphans(st.fact_sales, st.dim_product)
+    return C.orphans(st.raw_sales, st.dim_product)
 
 
 @query("orphan_counts", """
-select (select count(*) from fact_sales s where not exists
+select (select count(*) from raw_sales s where not exists
           (select 1 from dim_product p where p.product_id = s.product_id)) orphan_sales,
-       (select count(*) from fact_orders_clean o where not exists
+       (select count(*) from raw_orders o where not exists
           (select 1 from dim_product p where p.product_id = o.product_id)) orphan_orders""")
 def orphan_counts(spark, sf):
     from ..operators.ordered import with_scalars
     st = Star(spark, sf)
-    a = C.orphans(st.fact_sales, st.dim_product).agg(F.count(F.lit(1)).alias("orphan_sales"))
-    b = C.orphans(st.fact_orders_clean, st.dim_product).agg(F.count(F.lit(1)).alias("orphan_orders"))
+    a = C.orphans(st.raw_sales, st.dim_product).agg(F.count(F.lit(1)).alias("orphan_sales"))
+    b = C.orphans(st.raw_orders, st.dim_product).agg(F.count(F.lit(1)).alias("orphan_orders"))
     return with_scalars(a, b)

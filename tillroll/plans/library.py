@@ -123,8 +123,6 @@ def slicer_filter(spark, sf):
 
 # -- one key per measure (projections of the combined measure queries) -------
 for _name, _base, _cols in (
-        ("m_total_suppliers", "m_supplier_measures", ["total_suppliers"]),
-        ("m_avg_lead_time", "m_supplier_measures", ["avg_lead_time"]),
         ("m_avg_fulfilment", "m_supplier_measures", ["avg_fulfilment"]),
         ("m_fulfilment_gap_days", "m_supplier_measures", ["fulfilment_gap_days"]),
         ("m_on_time_pct", "m_supplier_measures", ["on_time_pct"]),

@@ -148,6 +148,16 @@ def m_supplier_measures(spark, sf):
     return M.supplier_measures(st.dim_supplier, st.fact_orders_clean)
 
 
+@query("m_total_suppliers", "select count(*) total_suppliers from dim_supplier")
+def m_total_suppliers(spark, sf):
+    return M.supplier_count(Star(spark, sf).dim_supplier).select("total_suppliers")
+
+
+@query("m_avg_lead_time", "select avg(lead_time) avg_lead_time from dim_supplier")
+def m_avg_lead_time(spark, sf):
+    return M.supplier_count(Star(spark, sf).dim_supplier).select("avg_lead_time")
+
+
 @query("m_fastest_origin", _top1_sql(
     "select location, avg(lead_time) rev from dim_supplier group by location", "location", "fastest_origin", "min"))
 def m_fastest_origin(spark, sf):

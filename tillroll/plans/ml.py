@@ -14,23 +14,23 @@ from ..operators.ordered import top_k
 from ..sources.tpch import Star
 from .registry import query
 
-# -- anomalies (revenue of fact_sales) -----------------------------------------
-_Z = """with st as (select avg(cast(revenue as double)) m, stddev_samp(cast(revenue as double)) sd from fact_sales),
-z as (select s.*, (cast(s.revenue as double) - st.m) / st.sd z_score from fact_sales s, st)"""
+# -- anomalies (revenue of raw_sales) -----------------------------------------
+_Z = """with st as (select avg(cast(revenue as double)) m, stddev_samp(cast(revenue as double)) sd from raw_sales),
+z as (select s.*, (cast(s.revenue as double) - st.m) / st.sd z_score from raw_sales s, st)"""
 _IQR = """with q as (select quantile_cont(cast(revenue as double), 0.25) q1,
-                  quantile_cont(cast(revenue as double), 0.75) q3 from fact_sales)"""
+                  quantile_cont(cast(revenue as double), 0.75) q3 from raw_sales)"""
 
 
 @query("detect_zscore", f"{_Z} select *, 'Z-Score' method from z where abs(z_score) > 3")
 def detect_zscore(spark, sf):
-    return AN.detect_zscore(Star(spark, sf).fact_sales)
+    return AN.detect_zscore(Star(spark, sf).raw_sales)
 
 
 @query("detect_iqr", f"""{_IQR}
-select s.*, 'IQR' method from fact_sales s, q
+select s.*, 'IQR' method from raw_sales s, q
 where cast(s.revenue as double) < q1 - 1.5 * (q3 - q1) or cast(s.revenue as double) > q3 + 1.5 * (q3 - q1)""")
 def detect_iqr(spark, sf):
-    return AN.detect_iqr(Star(spark, sf).fact_sales)
+    return AN.detect_iqr(Star(spark, sf).raw_sales)
 
 
 @query("detect_zscore_by_category", """
@@ -47,34 +47,34 @@ def detect_zscore_by_category(spark, sf):
 
 
 @query("anomaly_union", f"""{_Z}, q as (select quantile_cont(cast(revenue as double), 0.25) q1,
-                  quantile_cont(cast(revenue as double), 0.75) q3 from fact_sales)
+                  quantile_cont(cast(revenue as double), 0.75) q3 from raw_sales)
 select sale_id, product_id, sale_date, quantity, revenue, 'Z-Score' method from z where abs(z_score) > 3
 union all
-select s.*, 'IQR' method from fact_sales s, q
+select s.*, 'IQR' method from raw_sales s, q
 where cast(s.revenue as double) < q1 - 1.5 * (q3 - q1) or cast(s.revenue as double) > q3 + 1.5 * (q3 - q1)""")
 def anomaly_union(spark, sf):
-    return AN.anomaly_union(Star(spark, sf).fact_sales)
+    return AN.anomaly_union(Star(spark, sf).raw_sales)
 
 
 @query("label_anomalies", f"""{_Z}, a as (select distinct sale_id from z where abs(z_score) > 3)
 select s.*, case when a.sale_id is not null then 'anomaly' else 'normal' end label
-from fact_sales s left join a on s.sale_id = a.sale_id""")
+from raw_sales s left join a on s.sale_id = a.sale_id""")
 def label_anomalies(spark, sf):
-    return AN.label_anomalies(Star(spark, sf).fact_sales)
+    return AN.label_anomalies(Star(spark, sf).raw_sales)
 
 
 @query("anti_normal", f"""{_Z}
-select s.* from fact_sales s where s.sale_id not in (select sale_id from z where abs(z_score) > 3)""")
+select s.* from raw_sales s where s.sale_id not in (select sale_id from z where abs(z_score) > 3)""")
 def anti_normal(spark, sf):
     """Sales that are not anomalies (anti join on sale_id)."""
-    return AN.normal_rows(Star(spark, sf).fact_sales)
+    return AN.normal_rows(Star(spark, sf).raw_sales)
 
 
 @query("anomaly_rate", f"""{_Z}
 select cast(count_if(abs(z_score) > 3) as bigint) anomalies, cast(count_if(abs(z_score) > 3) as double) / count(*) * 100 anomaly_pct
 from z""")
 def anomaly_rate(spark, sf):
-    return AN.anomaly_rate(Star(spark, sf).fact_sales)
+    return AN.anomaly_rate(Star(spark, sf).raw_sales)
 
 
 # -- recommender (clean orders) ---------------------------------------------------

@@ -76,17 +76,17 @@ def profile_info(spark, sf):
 
 
 @query("profile_nulls", " union all ".join(
-    f"select '{c}' column_name, cast(count_if({c} is null) as bigint) nulls from fact_orders"
+    f"select '{c}' column_name, cast(count_if({c} is null) as bigint) nulls from raw_orders"
     for c in ("order_id", "product_id", "order_date", "delivery_date", "quantity")))
 def profile_nulls(spark, sf):
-    return P.nulls(Star(spark, sf).fact_orders)
+    return P.nulls(Star(spark, sf).raw_orders)
 
 
 @query("profile_duplicates", """
 select cast(coalesce(sum(n - 1), 0) as bigint) duplicate_rows
-from (select count(*) n from fact_orders group by order_id, product_id, order_date, delivery_date, quantity)""")
+from (select count(*) n from raw_orders group by order_id, product_id, order_date, delivery_date, quantity)""")
 def profile_duplicates(spark, sf):
-    return P.duplicates(Star(spark, sf).fact_orders)
+    return P.duplicates(Star(spark, sf).raw_orders)
 
 
 def _describe_sql(table: str, cols) -> str:
@@ -115,7 +115,7 @@ def profile_correlation(spark, sf):
 
 
 @query("profile_boxstats", """
-with sd as (select cast(s.revenue as double) x from fact_sales s join dim_product p on s.product_id = p.product_id),
+with sd as (select cast(s.revenue as double) x from raw_sales s join dim_product p on s.product_id = p.product_id),
 q as (select quantile_cont(x, 0.25) q1, quantile_cont(x, 0.5) median, quantile_cont(x, 0.75) q3 from sd)
 select q1, median, q3, q3 - q1 iqr,
        min(case when x between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1) then x end) whisker_low,
@@ -124,4 +124,4 @@ select q1, median, q3, q3 - q1 iqr,
 from sd, q group by q1, median, q3""")
 def profile_boxstats(spark, sf):
     st = Star(spark, sf)
-    return P.boxstats(st.fact_sales.join(st.dim_product, "product_id"), "revenue")
+    return P.boxstats(st.raw_sales.join(st.dim_product, "product_id"), "revenue")

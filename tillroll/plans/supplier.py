@@ -113,6 +113,6 @@ def filter_valid_orders(spark, sf):
 
 @query("long_lead_flag", """
 select supplier_id, supplier_name, lead_time, location, coalesce(lead_time > 30, false) long_lead_flag
-from dim_supplier""")
+from raw_suppliers""")
 def long_lead_flag(spark, sf):
-    return C.long_lead_flag(Star(spark, sf).dim_supplier)
+    return C.long_lead_flag(Star(spark, sf).raw_suppliers)

@@ -103,6 +103,52 @@ class Star:
             F.col("l_quantity").cast("int").alias("quantity"),
         )
 
+    # -- raw tables: the star with the faults that cleaning looks for -----------
+    @cached_property
+    def raw_sales(self) -> DataFrame:
+        """Sales with missing and unknown products, zero quantities, revenue fifty
+        times too high and repeated rows, by remainders of the sale id."""
+        k = F.col("sale_id")
+        s = self.fact_sales.select(
+            "sale_id", F.when(k % 89 == 0, None).when(k % 83 == 0, F.col("product_id") + 10_000_000)
+            .otherwise(F.col("product_id")).alias("product_id"), "sale_date",
+            F.when(k % 73 == 0, 0).otherwise(F.col("quantity")).alias("quantity"),
+            F.when(k % 97 == 0, F.col("revenue") * 50).otherwise(F.col("revenue")).cast("decimal(18,4)").alias("revenue"))
+        return s.union(s.where("sale_id % 79 = 0"))
+
+    @cached_property
+    def raw_orders(self) -> DataFrame:
+        """Orders with missing products and deliveries, odd quantities and repeated rows."""
+        k = F.col("order_id")
+        o = self.fact_orders.select(
+            "order_id", F.when(k % 89 != 0, F.col("product_id")).alias("product_id"), "order_date",
+            F.when(k % 71 != 0, F.col("delivery_date")).alias("delivery_date"),
+            F.when(k % 97 == 0, F.col("quantity") * 40).otherwise(F.col("quantity")).alias("quantity"))
+        return o.union(o.where("order_id % 79 = 0"))
+
+    @cached_property
+    def raw_products(self) -> DataFrame:
+        """Products with missing costs, odd prices and repeated rows."""
+        k = F.col("product_id")
+        p = self.dim_product.select(
+            "product_id", "product_name", "category", F.when(k % 53 != 0, F.col("cost")).alias("cost"),
+            F.when(k % 97 == 0, F.col("price") * 20).otherwise(F.col("price")).cast("decimal(12,2)").alias("price"))
+        return p.union(p.where("product_id % 41 = 0"))
+
+    @cached_property
+    def raw_suppliers(self) -> DataFrame:
+        """Suppliers with lead times ten times too long and repeated rows."""
+        s = self.dim_supplier.withColumn("lead_time", F.when(
+            F.col("supplier_id") % 7 == 0, F.col("lead_time") * 10).otherwise(F.col("lead_time")))
+        return s.union(s.where("supplier_id % 11 = 0"))
+
+    @cached_property
+    def raw_inventory(self) -> DataFrame:
+        """Stock with negative levels and repeated rows."""
+        i = self.inventory.withColumn("stock_level", F.when(
+            F.col("product_id") % 31 == 0, -F.col("stock_level")).otherwise(F.col("stock_level")))
+        return i.union(i.where("product_id % 37 = 0"))
+
     @cached_property
     def fact_orders_clean(self) -> DataFrame:
         """fact_orders with the cleaning step's date filter and fulfilment days."""
@@ -185,6 +231,30 @@ VIEW_SQL: dict[str, str] = {
     "inventory": (
         "select i.product_id, w.warehouse_name warehouse, i.stock_level, i.reorder_level "
         "from fact_inventory i join dim_warehouse w on i.warehouse_id = w.warehouse_id"),
+    "raw_sales_once": (
+        "select sale_id, case when sale_id % 89 = 0 then null when sale_id % 83 = 0 then product_id + 10000000 "
+        "else product_id end product_id, sale_date, case when sale_id % 73 = 0 then 0 else quantity end quantity, "
+        "cast(case when sale_id % 97 = 0 then revenue * 50 else revenue end as decimal(18,4)) revenue from fact_sales"),
+    "raw_sales": "select * from raw_sales_once union all select * from raw_sales_once where sale_id % 79 = 0",
+    "raw_orders_once": (
+        "select order_id, case when order_id % 89 <> 0 then product_id end product_id, order_date, "
+        "case when order_id % 71 <> 0 then delivery_date end delivery_date, "
+        "cast(case when order_id % 97 = 0 then quantity * 40 else quantity end as int) quantity from fact_orders"),
+    "raw_orders": "select * from raw_orders_once union all select * from raw_orders_once where order_id % 79 = 0",
+    "raw_products_once": (
+        "select product_id, product_name, category, case when product_id % 53 <> 0 then cost end cost, "
+        "cast(case when product_id % 97 = 0 then price * 20 else price end as decimal(12,2)) price from dim_product"),
+    "raw_products": "select * from raw_products_once union all select * from raw_products_once where product_id % 41 = 0",
+    "raw_suppliers_once": (
+        "select supplier_id, supplier_name, cast(case when supplier_id % 7 = 0 then lead_time * 10 else lead_time end "
+        "as int) lead_time, location from dim_supplier"),
+    "raw_suppliers": (
+        "select * from raw_suppliers_once union all select * from raw_suppliers_once where supplier_id % 11 = 0"),
+    "raw_inventory_once": (
+        "select product_id, warehouse, case when product_id % 31 = 0 then -stock_level else stock_level end stock_level, "
+        "reorder_level from inventory"),
+    "raw_inventory": (
+        "select * from raw_inventory_once union all select * from raw_inventory_once where product_id % 37 = 0"),
     "stockout_features": (
         "select i.product_id, i.stock_level current_stock, cast(2 + i.product_id % 13 as int) lead_time, "
         "coalesce(cast(u.units as double), 0.0) / 2557.0 avg_daily_demand, "
@@ -202,7 +272,9 @@ VIEW_SQL: dict[str, str] = {
 }
 
 VIEW_ORDER = ("dim_product", "dim_supplier", "dim_warehouse", "fact_sales", "dim_date", "fact_orders",
-              "fact_orders_clean", "fact_inventory", "inventory", "stockout_features")
+              "fact_orders_clean", "fact_inventory", "inventory", "stockout_features",
+              "raw_sales_once", "raw_sales", "raw_orders_once", "raw_orders", "raw_products_once", "raw_products",
+              "raw_suppliers_once", "raw_suppliers", "raw_inventory_once", "raw_inventory")
 
 
 def with_views(sql: str) -> str:
