@@ -18,6 +18,7 @@ great deal, so each is encoded once and remembered in a bounded table.
 from __future__ import annotations
 
 import json
+import os
 import re
 from collections.abc import Callable, Iterator, Sequence
 
@@ -47,6 +48,7 @@ class Codec:
     """Encoder and decoder of one tokenizer file (its JSON text)."""
 
     def __init__(self, text: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         spec = json.loads(text)
@@ -120,6 +122,18 @@ class Codec:
         return b"".join([table[i] for i in ids]).decode("utf-8", "replace")
 
 
+def _codec(text: str) -> Codec:
+    """The codec of a worker process: a reused worker loads it once, and keeps what
+    it remembers.  This module travels to workers by value and anew with each
+    task, so the codec stays with the tokenizer library's module."""
+    import tokenizers
+
+    kept = getattr(tokenizers, "_codec_of_worker", None)
+    if kept is None or kept[0] != text:
+        kept = tokenizers._codec_of_worker = (text, Codec(text))
+    return kept[1]
+
+
 def _ship(spark: SparkSession, path: str):
     """The tokenizer file as a broadcast: its size is that of the vocabulary."""
     with open(path, encoding="utf-8") as f:
@@ -146,7 +160,7 @@ def encoder(spark: SparkSession, path: str) -> Callable[[Column], Column]:
 
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = Codec(file.value)
+        codec = _codec(file.value)
         for texts in _chunks(batches):
             yield _ids_array(codec.encode([(t or "").encode() for t in texts]))
 
@@ -160,7 +174,7 @@ def decoder(spark: SparkSession, path: str) -> Callable[[Column], Column]:
 
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = Codec(file.value)
+        codec = _codec(file.value)
         for rows in _chunks(batches):
             yield pa.array([codec.decode(ids or ()) for ids in rows], pa.string())
 
@@ -175,7 +189,7 @@ def both_ways(spark: SparkSession, path: str) -> Callable[[Column], Column]:
 
     @F.arrow_udf("struct<ids:array<int>,decoded:string>")
     def there_and_back(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = Codec(file.value)
+        codec = _codec(file.value)
         for texts in _chunks(batches):
             ids = codec.encode([(t or "").encode() for t in texts])
             back = [codec.decode(np.frombuffer(i, dtype=np.int32).tolist()) for i in ids]
