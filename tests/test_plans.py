@@ -18,7 +18,7 @@ def _formatted(df) -> str:
 
 def test_scan_pushdown_and_pruning(spark):
     import __spark_entry__ as E
-    text = _formatted(E.queries()["scan_parquet"](spark, SF_SMALL))
+    text = _formatted(E.queries()["scan_parquet"](spark, SF_SMALL).where("l_quantity >= 25"))
     assert "PushedFilters: [IsNotNull(l_quantity), GreaterThanOrEqual(l_quantity,25.0)]" in text
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double,l_extendedprice:double>" in text
 

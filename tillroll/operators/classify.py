@@ -13,18 +13,24 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 # Features, label, test share, seed, forest size.
 FEATURES = ("current_stock", "lead_time", "avg_daily_demand")
 LABEL = "stockout"
 TEST_FRACTION = 0.2
 SEED = 42
+HASH_FACTOR, HASH_STEP = 2654435761, 40503  # 2^32 and 2^16 over the golden ratio
 N_TREES = 100
 MAX_DEPTH = 30  # the deepest Spark allows; scikit-learn grows trees without a limit
 
 
 def train_test_split(df: DataFrame, key: str, test_fraction: float = TEST_FRACTION, seed: int = SEED) -> DataFrame:
-    """Adds ``split`` = 'train' / 'test' from a seeded hash of ``key``."""
-    u = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(10_000)) / 10_000.0
+    """Adds ``split`` = 'train' / 'test' from a seeded multiplicative hash of the
+    integer ``key``; plain arithmetic, so other engines split alike.  A NULL key
+    is training data."""
+    x = F.pmod(F.col(key).cast("long"), F.lit(1 << 30)) * HASH_FACTOR + seed * HASH_STEP
+    u = (x % F.lit(1 << 32)) / F.lit(float(1 << 32))
     return df.withColumn("split", F.when(u < test_fraction, "test").otherwise("train"))
 
 
@@ -35,9 +41,15 @@ def stockout_pipeline(n_trees: int = N_TREES, max_depth: int = MAX_DEPTH, seed:
     return Pipeline(stages=[asm, rf])
 
 
+def _split_once(df: DataFrame, key: str) -> DataFrame:
+    """The split features, materialised: fitting and scoring read them often."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return train_test_split(df, key).checkpoint(eager=True)
+
+
 def fit_stockout(df: DataFrame, key: str = "product_id") -> tuple[PipelineModel, DataFrame]:
     """Fit on the train split; return the model and scored test rows."""
-    s = train_test_split(df, key)
+    s = _split_once(df, key)
     train = s.where(F.col("split") == "train")
     test = s.where(F.col("split") == "test")
     model = stockout_pipeline().fit(train)
@@ -46,7 +58,7 @@ def fit_stockout(df: DataFrame, key: str = "product_id") -> tuple[PipelineModel,
 
 def stockout_report(df: DataFrame, key: str = "product_id") -> DataFrame:
     """One row: train/test sizes and test accuracy (all computed on the cluster)."""
-    s = train_test_split(df, key)
+    s = _split_once(df, key)
     model = stockout_pipeline().fit(s.where(F.col("split") == "train"))
     scored = model.transform(s)
     hit = (F.col("prediction") == F.col(LABEL).cast("double")).cast("int")

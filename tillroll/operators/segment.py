@@ -16,7 +16,6 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .mlutil import sized_cache
 from .ordered import with_scalars
 
 # Segment labels (best first by mean monetary), k, seed, restarts.
@@ -47,11 +46,6 @@ def _scaled(rfm: DataFrame) -> DataFrame:
     return Pipeline(stages=[asm, sc]).fit(rfm).transform(rfm)
 
 
-def _fitting_frame(rfm: DataFrame) -> DataFrame:
-    """Scaled features, cached with partitions sized to the row count."""
-    return sized_cache(_scaled(rfm))
-
-
 def _fit(x: DataFrame, k: int, seed: int):
     m = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="segment").fit(x)
     return m.summary.trainingCost, seed, m
@@ -80,12 +74,13 @@ def _best_many(x: DataFrame, ks, seed: int = SEED, n_init: int = N_INIT) -> dict
 def rfm_segment(sales: DataFrame, product: DataFrame, k: int = N_CLUSTERS) -> DataFrame:
     """Segment every product; labels follow descending mean monetary value.
 
-    Clusters beyond the number of labels get a NULL label.  The scaled
-    feature frame stays persisted for the returned plan (call
-    ``unpersist`` on the session catalog or let it age out).
+    Clusters beyond the number of labels get a NULL label.  The scaled features
+    are persisted for the fits only and released before returning.
     """
-    x = _fitting_frame(rfm_features(sales))
-    seg = _best_kmeans(x, k).transform(x).drop("_raw", "features")
+    x = _scaled(rfm_features(sales)).persist()
+    model = _best_kmeans(x, k)
+    x.unpersist()
+    seg = model.transform(x).drop("_raw", "features")
     means = seg.groupBy("segment").agg(F.avg("monetary").alias("_m"))
     # k rows (one per cluster): rank clusters by mean monetary value
     order = means.select("segment", F.row_number().over(
@@ -105,7 +100,7 @@ def rfm_segment_means(segments: DataFrame) -> DataFrame:
 
 def rfm_silhouette(sales: DataFrame, max_k: int = MAX_K) -> DataFrame:
     """Silhouette (squared Euclidean) of the best k-means for k = 2..max_k."""
-    x = _fitting_frame(rfm_features(sales))
+    x = _scaled(rfm_features(sales)).persist()
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="segment")
     models = _best_many(x, range(2, max_k + 1))
     rows = [(k, float(ev.evaluate(models[k].transform(x)))) for k in sorted(models)]

@@ -169,7 +169,10 @@ def rfm_silhouette(spark, sf):
 
 
 # -- stock-out classifier ----------------------------------------------------------
-@query("stockout_train_test_split")
+@query("stockout_train_test_split", f"""
+select *, case when (((product_id % 1073741824) * {CL.HASH_FACTOR} + {CL.SEED * CL.HASH_STEP}) % 4294967296) / 4294967296.0
+               < {CL.TEST_FRACTION} then 'test' else 'train' end split
+from stockout_features""")
 def stockout_train_test_split(spark, sf):
     return CL.train_test_split(Star(spark, sf).stockout_features, "product_id")
 
