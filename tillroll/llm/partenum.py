@@ -20,7 +20,6 @@ does, both go on to the next level.  On the last one empty projections count.
 from __future__ import annotations
 
 import math
-from functools import cache
 from itertools import combinations
 
 import numpy as np
@@ -39,7 +38,6 @@ def least_common(total: int) -> int:
     return -(-NUMERATOR * total // (NUMERATOR + DENOMINATOR))
 
 
-@cache
 def bands(up_to: int) -> list[int]:
     """The smallest size of each band, until one is beyond ``up_to``."""
     low = [1]
@@ -48,10 +46,18 @@ def bands(up_to: int) -> list[int]:
     return low
 
 
-@cache
+_SCHEMES: dict[tuple[int, int], tuple[int, int]] = {}
+
+
 def scheme(low: int, high: int) -> tuple[int, int]:
     """For pairs whose smaller set has ``low`` to ``high`` elements: the most they
     differ in, and the number of parts."""
+    if (low, high) not in _SCHEMES:
+        _SCHEMES[low, high] = _scheme(low, high)
+    return _SCHEMES[low, high]
+
+
+def _scheme(low: int, high: int) -> tuple[int, int]:
     largest = high * DENOMINATOR // NUMERATOR
     k = max(t - 2 * least_common(t) for t in range(max(2, low + largest - 20), high + largest + 1))
     if k <= 0:

@@ -23,7 +23,6 @@ import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import cache
 from itertools import combinations
 
 import numpy as np
@@ -105,9 +104,17 @@ class Alphabet:
         return np.where(known, code, 0), weight
 
 
-@cache
+_PLACES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
 def places(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The places of the letters of each subsequence in a word of ``n``, and its weight."""
+    if n not in _PLACES:
+        _PLACES[n] = _places(n)
+    return _PLACES[n]
+
+
+def _places(n: int) -> tuple[np.ndarray, np.ndarray]:
     at = [(i, *(i + j for j in rest)) for i in range(n) for rest in combinations(range(1, min(SPAN, n - i)), ORDER - 1)]
     places = np.array(at).T
     return places, DECAY ** (places[-1] - places[0] + 1.0)
