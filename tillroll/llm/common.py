@@ -43,11 +43,12 @@ def ascii_lower(text: Column) -> Column:
 
 
 
-#: Rows that a frame of bare ids may have to be broadcast (16 MB of longs).
-BROADCAST_IDS = 2_000_000
+#: Rows that a frame of a few numbers may have to be broadcast (about 2 MB), and rows of ids
+#: that may be broadcast to a scan of all texts, which would have to be shuffled otherwise.
+BROADCAST_ROWS, BROADCAST_IDS = 60_000, 1_000_000
 
 
-def small_side(ids: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
+def small_side(ids: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """``ids`` (materialised, a few numbers a row), marked for broadcast if it is
     known to be small; beyond that Spark shuffles both sides of the join."""
     return F.broadcast(ids) if ids.count() <= most else ids
@@ -56,7 +57,7 @@ def small_side(ids: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
 def without_ids(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
     """``docs`` without the ids in ``gone`` (column ``id_col``).  Rows without an id stay."""
     out = cut(gone.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("gone_id")).distinct())
-    return docs.join(small_side(out), docs[id_col] == F.col("gone_id"), "left_anti").select(*docs.columns)
+    return docs.join(small_side(out, BROADCAST_IDS), docs[id_col] == F.col("gone_id"), "left_anti").select(*docs.columns)
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:

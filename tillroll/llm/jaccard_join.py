@@ -10,14 +10,17 @@ Documents become sets of distinct five-word shingles; equal sets are one vertex
 2. Gather: by signature, each vertex is paired with the smallest one.  So each
    signature's sets hang together by a star (a tree of two levels) of candidate
    pairs, never all pairs.
-3. Verify: exact intersections, for each vertex's most frequent candidate
+3. Filter: a set's sketch is a row of parity bits, one toggled by each element.
+   Two sketches never differ in more bits than the sets differ in elements, so
+   a pair whose sketches differ in too many bits is surely not similar.
+4. Verify: exact intersections, for each vertex's most frequent candidate
    first.  Linked vertices form components; of the other candidates only those
    between different components are verified.
-4. A signature is settled when all its sets are in one component.  For the few
-   that are not, all pairs of sets from different components are verified too.
-   So no link between different texts is lost.
+5. A signature is settled when all its sets are in one component.  Of those
+   that are not, all pairs of sets from different components that pass the
+   filter are verified too.  So no link between different texts is lost.
 
-Sets travel only for verification, to the pair's task; a vertex with very many
+Texts travel only for verification, to the pair's task; a vertex with very many
 partners has them dealt to many tasks.
 """
 
@@ -28,29 +31,36 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import partenum
-from .common import cut, remove_folder, scratch_folder, ship_code, small_side, without_ids
+from .common import BROADCAST_IDS, BROADCAST_ROWS, cut, remove_folder, scratch_folder, ship_code, small_side, without_ids
 
 WORDS = 5
 #: Documents signed together; words remembered by a task.
 CHUNK, MEMO_WORDS = 1024, 500_000
 #: Partners of one vertex verified together.
 PARTNERS = 256
-#: Lists of tasks that may be broadcast (tens of bytes each).
-BROADCAST_LISTS = 300_000
+#: Fewest words of 64 parity bits in a sketch (they double until there are two bits for each
+#: element); sketches that may be broadcast.
+SKETCH, BROADCAST_SKETCHES = 32, 10_000
 _ROW = "sig long, a long, b long, n int"
 _SEEDS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
                   dtype=np.uint64)
 
 
+class _Memo(dict):
+    def __missing__(self, word: bytes) -> int:
+        self[word] = value = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
 class Shingler:
     """Texts to sets of shingle hashes (sorted, distinct, 64 bits)."""
 
     def __init__(self):
-        self.memo: dict[bytes, int] = {}
+        self.memo = _Memo()
 
     def shingles(self, text: str | None) -> np.ndarray:
         """A-Z are lower-cased; words are parted by ASCII white space.  A text of
@@ -58,13 +68,9 @@ class Shingler:
         words = (text or "").encode().lower().split()
         if not words:
             return np.zeros(0, np.uint64)
-        memo = self.memo
-        new = {w for w in words if w not in memo}
-        if len(memo) + len(new) > MEMO_WORDS:
-            memo.clear()
-            new = set(words)
-        memo.update((w, xxhash.xxh3_64_intdigest(w)) for w in new)
-        h = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+        if len(self.memo) > MEMO_WORDS:
+            self.memo.clear()
+        h = np.fromiter(map(self.memo.__getitem__, words), np.uint64, len(words))
         size = min(WORDS, len(words))
         out = np.full(len(words) - size + 1, size, dtype=np.uint64)
         for j in range(size):
@@ -87,17 +93,38 @@ def _pairs_by_key(key: np.ndarray, vertex: np.ndarray) -> tuple[np.ndarray, ...]
     return key[first], vertex[first], key[~first], centre[~first], vertex[~first]
 
 
-def _rows(sig: np.ndarray, a: np.ndarray | pa.Array, b: np.ndarray | None, n: np.ndarray | None) -> pa.RecordBatch:
-    """Rows of the one stream: a vertex under its signature (b and n null), a
-    candidate pair (n null), or a document (sig 1 if it has no id, a its key, b its
-    vertex, n its set's size)."""
+def _rows(sig: np.ndarray, a: np.ndarray, b: np.ndarray | None, n: np.ndarray | None = None) -> pa.RecordBatch:
+    """Rows of the one stream: a vertex under its signature (b null), a candidate
+    pair (n null), a document (sig 1 if it has no id, a its key, b its vertex, n
+    its set's size), or a word of a sketch (sig the word, a and b the vertex, n
+    -1 for the first, -2 for the second, and so on)."""
     k = len(sig)
     return pa.RecordBatch.from_arrays([
-        pa.array(sig, pa.int64()), a if isinstance(a, pa.Array) else pa.array(a, pa.int64()),
+        pa.array(sig, pa.int64()), pa.array(a, pa.int64()),
         pa.nulls(k, pa.int64()) if b is None else pa.array(b, pa.int64()),
         pa.nulls(k, pa.int32()) if n is None else pa.array(n, pa.int32())], ["sig", "a", "b", "n"])
 
 
+def sketch_words(sizes: np.ndarray) -> np.ndarray:
+    """Words in the sketches of sets of these sizes: a power of two, at least two
+    bits for each element."""
+    return np.maximum(SKETCH, 1 << np.ceil(np.log2(np.maximum(sizes, 1) / 32)).clip(0).astype(np.int64))
+
+
+def sketches(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words of the sets' parity sketches: value, set and place of each.  The
+    sketch of half as many words is the two halves' exclusive or."""
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    words = sketch_words(sizes)
+    first = np.cumsum(words) - words
+    flat = np.concatenate([*sets, np.zeros(0, np.uint64)])
+    at = np.repeat(np.arange(len(sets)), sizes)
+    bit = (partenum.mix(flat, 9) >> np.uint64(24)).astype(np.int64) & (words[at] * 64 - 1)
+    odd = np.bincount(first[at] * 64 + bit, minlength=int(words.sum()) * 64).astype(np.uint8) & 1
+    owner = np.repeat(np.arange(len(sets)), words)
+    return np.packbits(odd, bitorder="little").view(np.int64), owner, np.arange(len(owner)) - first[owner]
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     shingler = Shingler()
     for batch in batches:
@@ -107,14 +134,18 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             vertex = partenum.digest(sets).view(np.int64)
             sizes = np.array([len(s) for s in sets], dtype=np.int32)
             vertex = np.where(sizes > 0, vertex, 0)
-            yield _rows(part.column(1).to_numpy(zero_copy_only=False).astype(np.int64), part.column(0), vertex, sizes)
+            key, none = (part.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(2))
+            yield _rows(none, key, vertex, sizes)
             _, once = np.unique(vertex, return_index=True)
             once = once[sizes[once] > 0]
+            word, owner, place = sketches([sets[i] for i in once])
+            own = vertex[once][owner]
+            yield _rows(word, own, own, (-1 - place).astype(np.int32))
             sig, owner = partenum.signatures([sets[i] for i in once])
             k1, v1, k2, c2, v2 = _pairs_by_key(sig.view(np.int64), vertex[once][owner])
-            yield _rows(k1, v1, None, None)
+            yield _rows(k1, v1, None)
             if len(k2):
-                yield _rows(k2, c2, v2, None)
+                yield _rows(k2, c2, v2)
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,79 +160,77 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, _, key, centre, vertex = _pairs_by_key(np.concatenate(keys).astype(np.int64),
                                                   np.concatenate(vertices).astype(np.int64))
         for at in range(0, len(key), 1 << 16):
-            yield _rows(key[at:at + (1 << 16)], centre[at:at + (1 << 16)], vertex[at:at + (1 << 16)], None)
-
-
-def _deliver(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (text, vertex, to) to (key, lot, vertex, shingles), one for each of the
-    tasks in ``to``."""
-    shingler = Shingler()
-    for batch in batches:
-        for at in range(0, batch.num_rows, 128):
-            part = batch.slice(at, 128).to_pydict()
-            out: dict[str, list] = {"key": [], "lot": [], "vertex": [], "shingles": []}
-            for text, vertex, to in zip(part["text"], part["vertex"], part["to"], strict=True):
-                own = shingler.shingles(text)
-                if partenum.digest([own]).view(np.int64)[0] != vertex:
-                    continue  # another text with the same id
-                raw = own.tobytes()
-                for t in to:
-                    for name, value in (("key", t["key"]), ("lot", t["lot"]), ("vertex", vertex), ("shingles", raw)):
-                        out[name].append(value)
-            yield pa.RecordBatch.from_pydict(out, pa.schema([("key", pa.int64()), ("lot", pa.int32()),
-                                                             ("vertex", pa.int64()), ("shingles", pa.binary())]))
+            yield _rows(key[at:at + (1 << 16)], centre[at:at + (1 << 16)], vertex[at:at + (1 << 16)])
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (key, lot, not the key itself): pairs (key, vertex) that are
-    similar enough.  Holds one set and one batch at a time."""
-    held, centre = None, np.zeros(0, np.uint64)
+    """Rows (key, lot, vertex, text) sorted by (key, lot, not the key itself): pairs
+    (key, vertex) that are similar enough.  Holds one set and one batch at a time."""
+    shingler, held, centre = Shingler(), None, np.zeros(0, np.uint64)
     for batch in batches:
         a, b = [], []
-        key, lot, vertex = (batch.column(i).to_pylist() for i in range(3))
-        for i, raw in enumerate(batch.column(3)):
-            own = np.frombuffer(raw.as_buffer(), dtype=np.uint64)
-            if vertex[i] == key[i]:
-                held, centre = (key[i], lot[i]), own.copy()
+        for key, lot, vertex, text in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            own = shingler.shingles(text)
+            if partenum.digest([own]).view(np.int64)[0] != vertex:
+                continue  # another text with the same id
+            if vertex == key:
+                held, centre = (key, lot), own
                 continue
-            assert held == (key[i], lot[i]), "a pair without its first set"
+            assert held == (key, lot), "a pair without its first set"
             at = np.searchsorted(centre, own)
             common = int((centre[np.minimum(at, len(centre) - 1)] == own).sum())
             if common >= partenum.least_common(len(own) + len(centre)):
-                a.append(key[i])
-                b.append(vertex[i])
+                a.append(key)
+                b.append(vertex)
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Of the distinct ``pairs`` (a, b; materialised) those similar enough.
     ``texts``: vertex, text, a text for each vertex."""
-    # partners of a vertex are dealt into lots of about PARTNERS, each with a copy of its set
+    # partners of a vertex are dealt into lots of about PARTNERS, each with a copy of its text
     lots = cut(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("lots")))
-    dealt = cut(pairs.join(lots, "a").select(
+    dealt = cut(pairs.join(small_side(lots), "a").select(
         F.col("a").alias("key"), "b", F.pmod(F.xxhash64("b"), F.col("lots")).cast("int").alias("lot")))
     to = dealt.select(F.col("b").alias("vertex"), "key", "lot").union(
         dealt.select(F.col("key").alias("vertex"), "key", "lot").distinct())
-    # a vertex goes to as many tasks as it has candidates; they are listed in rows of a bounded length
-    listed = cut(to.groupBy("vertex", F.pmod(F.xxhash64("key", "lot"), F.lit(64))).agg(
-        F.collect_list(F.struct("key", "lot")).alias("to")).select("vertex", "to"))
-    sent = texts.join(small_side(listed, BROADCAST_LISTS), "vertex").select("text", "vertex", "to").mapInArrow(
-        _deliver, "key long, lot int, vertex long, shingles binary")
+    if dealt.count() <= BROADCAST_ROWS:
+        to = F.broadcast(to)
+    sent = texts.join(to, "vertex").select("key", "lot", "vertex", "text")
     met = sent.repartition("key", "lot").sortWithinPartitions("key", "lot", F.col("vertex") != F.col("key"))
     return cut(met.mapInArrow(_verify, "a long, b long"))
 
 
+def _may_link(x: str, y: str) -> Column:
+    """Whether two sets (aliases with n and sketch) may be similar: their sketches
+    differ in no more bits than similar sets of these sizes do in elements."""
+    total = F.col(f"{x}.n") + F.col(f"{y}.n")
+    common = F.ceil(total * partenum.NUMERATOR / (partenum.NUMERATOR + partenum.DENOMINATOR))
+    limit = total - 2 * common
+
+    def folded(own: str, other: str) -> Column:  # sizes of similar sets differ by one doubling at most
+        w = F.col(f"{own}.sketch")
+        half = (F.size(w) / 2).cast("int")
+        return F.when(F.size(w) > F.size(f"{other}.sketch"), F.zip_with(
+            F.slice(w, 1, half), F.slice(w, half + 1, half), lambda p, q: p.bitwiseXOR(q))).otherwise(w)
+
+    differ = F.aggregate(F.zip_with(folded(x, y), folded(y, x), lambda p, q: F.bit_count(p.bitwiseXOR(q))),
+                         F.lit(0), lambda s, d: s + d)
+    # nested, so that sketches of unlike sizes are never compared
+    return F.when(F.abs(F.col(f"{x}.n") - F.col(f"{y}.n")) <= limit, differ <= limit).otherwise(F.lit(False))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(vertex, root): the smallest vertex of each vertex's component.  ``links``:
-    a, b.  Labels spread along links and jump to their label's label until
-    nothing changes; every round is checkpointed."""
-    both = cut(links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(
-        links.select(F.col("b").alias("u"), F.col("a").alias("v"))).distinct())
+    a, b (materialised).  Labels spread along links and jump to their label's
+    label until nothing changes; every round is checkpointed."""
+    both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(
+        links.select(F.col("b").alias("u"), F.col("a").alias("v")))
     label = cut(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("root")))
     while True:
-        near = both.join(label, "u").groupBy("v").agg(F.min("root").alias("near"))
-        hooked = cut(label.join(near, label.u == near.v).select(
-            "u", F.col("root").alias("old"), F.least("root", "near").alias("root")))
+        near = both.join(label, "u").groupBy(F.col("v").alias("u")).agg(F.min("root").alias("near"))
+        hooked = cut(label.join(near, "u").select("u", F.col("root").alias("old"),
+                                                        F.least("root", "near").alias("root")))
         up = hooked.select(F.col("u").alias("root"), F.col("root").alias("above"))
         jumped = cut(hooked.join(up, "root").select("u", "old", F.col("above").alias("root")))
         label = jumped.select("u", "root")
@@ -210,12 +239,56 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The rows of ``pairs`` (a, b, ...) whose ends are in different components."""
-    side = lambda c: roots.select(F.col("vertex").alias(c), F.col("root").alias(f"{c}_root"))
+    """The rows of ``pairs`` (a, b, ...) whose ends are in different components,
+    with those components' roots."""
+    known = small_side(roots)
+    side = lambda c: known.select(F.col("vertex").alias(c), F.col("root").alias(f"{c}_root"))
     return pairs.join(side("a"), "a", "left").join(side("b"), "b", "left").withColumns({
         "a_root": F.coalesce("a_root", "a"), "b_root": F.coalesce("b_root", "b")}).filter("a_root != b_root")
 
 
+def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The components (vertex, root) after more ``links``: those between components
+    are links of roots, and only these few are worked out anew."""
+    between = cut(_apart(links, roots).select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).distinct())
+    if between.isEmpty():
+        return roots
+    above = components(between)
+    up = small_side(above.select(F.col("vertex").alias("root"), F.col("root").alias("above")))
+    moved = roots.join(up, "root", "left").select("vertex", F.coalesce("above", "root").alias("root"))
+    return cut(moved.union(above.join(small_side(roots), "vertex", "left_anti").select("vertex", "root")))
+
+
+def _held(tagged: DataFrame, counted: DataFrame, roots: DataFrame) -> DataFrame | None:
+    """(sig, vertex) of the unsettled signatures, those with sets from different
+    components; None if there are none."""
+    apart = cut(_apart(counted.select("a", "b"), roots).select("a", "b"))
+    if apart.isEmpty():
+        return None
+    sigs = cut(tagged.join(small_side(apart), ["a", "b"], "left_semi").select("sig").distinct())
+    held = tagged.join(small_side(sigs), "sig", "left_semi")
+    return cut(held.select("sig", F.col("a").alias("vertex")).union(
+        held.select("sig", F.col("b").alias("vertex"))).distinct())
+
+
+def _cross_pairs(held: DataFrame, counted: DataFrame, sketch: DataFrame, roots: DataFrame) -> DataFrame:
+    """All pairs of sets from different components that share an unsettled
+    signature, pass the filter and were no candidates yet."""
+    placed = cut(held.join(small_side(roots), "vertex", "left").select(
+        "sig", "vertex", F.coalesce("root", "vertex").alias("root")).join(sketch, "vertex"))
+    one, other = placed.alias("one"), placed.alias("other")
+    pairs = one.join(other, F.expr("one.sig = other.sig and one.vertex < other.vertex and one.root != other.root")
+                     & _may_link("one", "other"))
+    pairs = pairs.select(F.col("one.vertex").alias("a"), F.col("other.vertex").alias("b")).distinct()
+    return cut(pairs.join(counted, ["a", "b"], "left_anti"))
+
+
+def _filtered(pairs: DataFrame, sketch: DataFrame) -> DataFrame:
+    """The rows of ``pairs`` (a, b, ...) that the sketches let pass."""
+    return pairs.join(sketch.alias("x"), F.expr("a = x.vertex")).join(
+        sketch.alias("y"), F.expr("b = y.vertex")).filter(_may_link("x", "y")).select(*pairs.columns)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``id_col``, n_shingles, component_id.
 
@@ -237,38 +310,47 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     by = F.when(F.col("b").isNull(), F.col("sig")).otherwise(F.xxhash64("sig", "a", "b"))
     slim.mapInArrow(_sign, _ROW).repartition(by).mapInArrow(_gather, _ROW).write.parquet(folder)
     stream = spark.read.parquet(folder)
-    members = cut(stream.filter("n is not null").select(
+    members = cut(stream.filter("n >= 0").select(
         F.col("sig").alias("none"), F.col("a").alias("key"), F.col("b").alias("vertex"), "n"))
     tagged = stream.filter("n is null").select("sig", "a", "b")
 
-    # one text for each candidate vertex (more only where ids repeat; their sets are compared then)
+    # one document for each candidate vertex (more only where ids repeat; their sets are compared then)
     counted = cut(tagged.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared")))
     ends = counted.select(F.col("a").alias("vertex")).union(counted.select(F.col("b").alias("vertex"))).distinct()
-    chosen = cut(members.filter("n > 0").groupBy("vertex").agg(F.min(F.struct("none", "key")).alias("doc")).join(
-        ends, "vertex", "left_semi").select("vertex", "doc.*"))
-    slim.join(small_side(chosen), ["key", "none"]).select("vertex", "text").write.parquet(kept)
+    ends = cut(ends)
+    known = cut(members.filter("n > 0").groupBy("vertex").agg(
+        F.min(F.struct("none", "key")).alias("doc"), F.max("n").alias("n")).join(
+        ends, "vertex", "left_semi").select("vertex", "doc.*", "n"))
+    words = stream.filter("n < 0").select(F.col("a").alias("vertex"), (-1 - F.col("n")).alias("place"), "sig").join(
+        ends, "vertex", "left_semi").groupBy("vertex", "place").agg(F.max("sig").alias("word"))
+    words = words.groupBy("vertex").agg(F.array_sort(F.collect_list(F.struct("place", "word"))).alias("words"))
+    sketch = cut(known.select("vertex", "n").join(words, "vertex").select(
+        "vertex", "n", F.transform("words", lambda w: w["word"]).alias("sketch")))
+    sketch = small_side(sketch, BROADCAST_SKETCHES)
+    likely = cut(_filtered(counted, sketch))
+    chosen = cut(likely.select(F.explode(F.array("a", "b")).alias("vertex")).distinct().join(
+        known, "vertex").select("vertex", "none", "key"))
+    slim.join(small_side(chosen, BROADCAST_IDS), ["key", "none"]).select("vertex", "text").write.parquet(kept)
     texts = spark.read.parquet(kept)
 
-    first = cut(counted.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", "b"))
-    links = verified(first, texts)
-    roots = components(links)
-    second = cut(_apart(counted.select("a", "b"), roots).select("a", "b").join(first, ["a", "b"], "left_anti"))
+    first = cut(likely.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", "b"))
+    roots = components(verified(first, texts))
+    second = cut(_apart(likely.select("a", "b"), roots).select("a", "b").join(first, ["a", "b"], "left_anti"))
     if not second.isEmpty():
-        links = cut(links.union(verified(second, texts)))
-        roots = components(links)
-    unsettled = cut(_apart(tagged, roots).select("sig").distinct())
-    if not unsettled.isEmpty():
-        held = tagged.join(small_side(unsettled), "sig", "left_semi")
-        held = held.select("sig", F.col("a").alias("vertex")).union(
-            held.select("sig", F.col("b").alias("vertex"))).distinct()
-        held = cut(held.join(roots, "vertex", "left").select("sig", "vertex", F.coalesce("root", "vertex").alias("root")))
-        one, other = held.alias("one"), held.alias("other")
-        third = one.join(other, F.expr("one.sig = other.sig and one.vertex < other.vertex and one.root != other.root"))
-        third = third.select(F.col("one.vertex").alias("a"), F.col("other.vertex").alias("b")).distinct()
-        third = cut(third.join(counted, ["a", "b"], "left_anti"))
-        if not third.isEmpty():
-            links = cut(links.union(verified(third, texts)))
-            roots = components(links)
+        roots = merged(roots, verified(second, texts))
+
+    def checked(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+        """The components after verifying ``pairs``, which may hold vertices without a text yet."""
+        if pairs.isEmpty():
+            return roots
+        more = pairs.select(F.explode(F.array("a", "b")).alias("vertex")).distinct().join(known, "vertex")
+        more = cut(more.join(chosen, "vertex", "left_anti").select("vertex", "none", "key"))
+        own = texts.union(slim.join(small_side(more, BROADCAST_IDS), ["key", "none"]).select("vertex", "text"))
+        return merged(roots, verified(pairs, own))
+
+    held = _held(tagged, counted, roots)
+    if held is not None:
+        roots = checked(_cross_pairs(held, counted, sketch, roots), roots)
     remove_folder(spark, folder)
     remove_folder(spark, kept)
 
