@@ -93,3 +93,25 @@ def test_blocks_and_empty_tables(saved, spark, items, monkeypatch):
     assert sorted(map(tuple, D.find_leaks(df, bench).collect())) == whole
     assert D.find_leaks(df.limit(0), bench).count() == 0
     assert D.drop_leaked(df, bench.limit(0)).count() == 10
+
+
+def test_a_text_that_begins_mid_window_keeps_its_leak(items):
+    item, text = next((k, t) for k, t in items if len(t) >= 150)
+    searcher, clean = D.Searcher([(item, text)]), "0123456789 " * 20
+    for cut in range(1, 11):
+        docs = [text[cut:], clean, text[cut:] + " " + clean, clean, clean + text, clean, text[cut:]]
+        found = searcher.search(docs)
+        assert [bool(x) for x in found] == [k % 2 == 0 for k in range(7)]
+        for doc, leaks in zip(docs, found, strict=True):
+            assert all(0 <= x["start"] < x["end"] <= len(doc) for x in leaks)
+        assert [found[k][0]["start"] for k in (0, 2, 6)] == [0, 0, 0]
+
+
+def test_a_border_inside_a_passage_changes_nothing(items, monkeypatch):
+    item, text = next((k, t) for k, t in items if len(t) >= 150)
+    searcher = D.Searcher([(item, text)])
+    monkeypatch.setattr(D, "CHUNK_CHARS", 1000)
+    for cut in range(0, len(text) + 1, 3):
+        doc = "." * (1000 - cut) + text + "." * 1500
+        assert [(x["start"], x["end"], x["edits"]) for x in searcher.search([doc, "." * 99])[0]] == [
+            (1000 - cut, 1000 - cut + len(text), 0)]

@@ -168,9 +168,11 @@ class Searcher:
                 edits, start, end = align(np.stack([self.windows[x] for x in w]), joined, first,
                                           2 * (edits_allowed(int(m), self.rate) + 1))
                 ok = edits <= self.edits[w]
-                piece = np.searchsorted(starts, start, "right") - 1
+                # by the end: a stretch that lacks a window's first characters may start in the gap before
+                piece = np.searchsorted(starts, end - 1, "right") - 1
                 for x, k, i, j, n in zip(w[ok], piece[ok], start[ok], end[ok], edits[ok], strict=True):
-                    yield int(k), self.item[x], int(i - starts[k]), int(min(j - starts[k], len(pieces[k]))), int(n)
+                    yield (int(k), self.item[x], int(max(i - starts[k], 0)),
+                           int(min(j - starts[k], len(pieces[k]))), int(n))
         for item, short in self.exact:  # too short for a q-gram: looked for as they are
             part = short.astype("<u4").tobytes()
             for k, c in enumerate(pieces):
@@ -193,6 +195,9 @@ class Searcher:
             if n == len(pieces) or sum(len(p[2]) for p in todo) > CHUNK_CHARS:
                 for k, item, i, j, edits in self._spans([codes(p[2], self.table) for p in todo]):
                     doc, base, _ = todo[k]
+                    # what a border cuts is whole in the piece before or after
+                    if (base and i < WINDOW) or (base + CHUNK_CHARS < len(texts[doc]) and i >= CHUNK_CHARS + 2 * WINDOW):
+                        continue
                     spans.setdefault((doc, item), set()).add((base + i, base + j, edits))
                 todo = []
         out: list[list[dict]] = [[] for _ in texts]
