@@ -115,3 +115,29 @@ def test_a_border_inside_a_passage_changes_nothing(items, monkeypatch):
         doc = "." * (1000 - cut) + text + "." * 1500
         assert [(x["start"], x["end"], x["edits"]) for x in searcher.search([doc, "." * 99])[0]] == [
             (1000 - cut, 1000 - cut + len(text), 0)]
+
+
+def test_verbatim_runs_are_found_at_every_offset(items):
+    texts = sorted(items, key=lambda x: len(x[1]))
+    for item, text in (texts[0], texts[len(texts) // 2], texts[-1]):
+        searcher = D.Searcher(items)
+        for size in (59, 60, 77, 88, 100):
+            docs = ["0123456789 " * 3 + text[at:at + size] + " 0123456789" * 3 for at in range(len(text) - size + 1)]
+            for doc, found in zip(docs, searcher.search(docs), strict=True):
+                mine = [x for x in found if x["item_id"] == item]
+                assert mine and all(x["start"] < 33 + size and x["end"] > 33 for x in mine)
+
+
+def test_runs_of_any_length_match_brute_force(items):
+    item, text = min(items, key=lambda x: len(x[1]))
+    text, rng = text.lower().replace("\n", " "), random.Random(7)
+    docs = [text[at:at + size] for size in range(40, 60, 3) for at in rng.sample(range(len(text) - size + 1), 5)]
+    want = [any(distance(text[i:j], "#" * 12 + d + "#" * 12) <= D.edits_allowed(j - i) for i, j in D.cuts(len(text)))
+            for d in docs]
+    assert [bool(x) for x in D.Searcher([(item, text)]).search(docs)] == want and set(want) == {True, False}
+
+
+def test_windows_hold_every_former_window():
+    for n in (8, 49, 50, 51, 99, 100, 101, 149, 150, 151, 394):
+        former = {(at, min(at + 100, n)) for at in [*range(0, max(1, n - 100), 50), max(0, n - 100)]}
+        assert former <= set(D.cuts(n))

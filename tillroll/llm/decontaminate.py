@@ -1,6 +1,8 @@
 """Benchmark decontamination by q-gram lemma filtering.
 
-Benchmark items are cut into overlapping windows of code points.  A stretch of
+Benchmark items are cut into overlapping windows of code points: long ones, and
+short ones at a small stride, so that every verbatim run of ``SHORT + SHORT_STRIDE
+- 1`` characters of an item holds a whole window, wherever it begins.  A stretch of
 a document within ``e`` edits of a window of length ``m`` shares at least
 ``m + 1 - q - q * e`` of its q-grams, on diagonals (document position minus
 window position) that differ by at most ``e``.  So shared q-grams are counted
@@ -25,13 +27,20 @@ from .common import ship_code
 
 #: Characters of a q-gram, of a window and between windows; edits allowed per character.
 Q, WINDOW, STRIDE, RATE = 8, 100, 50, 0.1
+#: The same of the short windows.
+SHORT, SHORT_STRIDE = 50, 10
 #: Characters of the benchmark broadcast at a time.
 BLOCK_CHARS = 16_000_000
 #: Characters of documents examined together in a task, and texts taken from a batch at a time.
 CHUNK_CHARS, TEXTS = 1 << 20, 1024
 SLOT_BITS = 22
-#: Bits for a start in an alignment's values; regions aligned together.
-BITS, ALIGNED = 20, 20_000
+#: No code point; diagonals of a unit (those of a long window's band at least) and counters of units.
+OUTSIDE, UNIT, COUNTER_BITS = 0x110000, 2 * (WINDOW // 10 + 1), 20
+#: Most windows of an item that hold the same q-gram.
+COVER = WINDOW // STRIDE + SHORT // SHORT_STRIDE + 2
+#: Bits for a start in an alignment's values; regions aligned together, and looked at together before
+#: that; characters between looks at their edits.
+BITS, ALIGNED, TOGETHER, ROWS = 20, 20_000, 4000, 12
 LEAK = "struct<item_id:long,start:int,end:int,edits:int,windows:int>"
 
 
@@ -61,6 +70,12 @@ def gram_hashes(c: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def cuts(n: int) -> list[tuple[int, int]]:
+    """Start and end of the windows of an item of ``n`` characters."""
+    return sorted({(at, min(at + size, n)) for size, stride in ((WINDOW, STRIDE), (SHORT, SHORT_STRIDE))
+                   for at in [*range(0, max(1, n - size), stride), max(0, n - size)]})
+
+
 def edits_allowed(m: int, rate: float = RATE) -> int:
     """Edits for a window of ``m`` characters; short ones get so few that they
     still must share a q-gram."""
@@ -87,6 +102,31 @@ def align(windows: np.ndarray, text: np.ndarray, low: np.ndarray, width: int) ->
     return value >> BITS, low + (value & (one - 1)), low + best + windows.shape[1]
 
 
+def within(letters: np.ndarray, place: np.ndarray, text: np.ndarray, low: np.ndarray, width: int,
+           most: int) -> np.ndarray:
+    """Which of the windows (columns ``place`` of ``letters``) ``align`` finds with at
+    most ``most`` edits; in bytes, and those that exceed it midway are left early."""
+    left = np.arange(len(low))
+    row = np.zeros((width, len(low)), dtype=np.int8)
+    for begin in range(0, len(letters), ROWS):
+        rows = letters[begin:begin + ROWS].take(place[left], axis=1)
+        at = low[left] + np.arange(begin, begin + len(rows) + width - 1)[:, None]
+        part = text.take(at, mode="clip")
+        if len(left) and (at[0].min() < 0 or at[-1].max() >= len(text)):
+            part[(at < 0) | (at >= len(text))] = OUTSIDE
+        for i, letter in enumerate(rows):
+            new = row + (part[i:i + width] != letter)
+            np.minimum(new[:-1], row[1:] + np.int8(1), out=new[:-1])
+            for d in range(1, width):
+                np.minimum(new[d], new[d - 1] + np.int8(1), out=new[d])
+            row = new
+        good = row.min(axis=0) <= most
+        left, row = left[good], row[:, good]
+    found = np.zeros(len(low), dtype=bool)
+    found[left] = True
+    return found
+
+
 class Searcher:
     """One block of benchmark items, indexed by q-gram."""
 
@@ -95,24 +135,43 @@ class Searcher:
         self.item: list[int] = []
         self.windows: list[np.ndarray] = []
         self.exact: list[tuple[int, np.ndarray]] = []
+        whole: list[np.ndarray] = []
+        begins: list[int] = []
+        covers: list[np.ndarray] = []  # for each q-gram of an item the windows that hold it, padded with -1
         for item, text in items:
             c = codes(text, self.table)
             if 0 < len(c) < Q:
                 self.exact.append((item, c))
             elif len(c) >= Q:
-                for at in [*range(0, max(1, len(c) - WINDOW), STRIDE), max(0, len(c) - WINDOW)]:
+                held = np.full((len(c) + 1 - Q, COVER), -1, dtype=np.int32)
+                used = np.zeros(len(held), dtype=np.int64)
+                for at, to in cuts(len(c)):
+                    inside = np.arange(at, to + 1 - Q)
+                    held[inside, used[inside]] = len(self.windows)
+                    used[inside] += 1
                     self.item.append(item)
-                    self.windows.append(c[at:at + WINDOW])
+                    self.windows.append(c[at:to])
+                    begins.append(at)
+                whole.append(c)
+                covers.append(held)
         self.length = np.array([len(w) for w in self.windows], dtype=np.int64)
         self.edits = np.array([edits_allowed(len(w), rate) for w in self.windows], dtype=np.int64)
-        self.least = np.array([len(w) + 1 - Q - Q * e for w, e in zip(self.windows, self.edits, strict=True)],
-                              dtype=np.int64)
-        grams = [gram_hashes(w) for w in self.windows]
+        self.least = self.length + 1 - Q - Q * self.edits
+        self.begin = np.array(begins, dtype=np.int64)
+        # the windows of each length side by side (columns), and each one's column
+        self.letters, self.place = {}, np.zeros(len(self.windows), dtype=np.int64)
+        for m in np.unique(self.length):
+            same = np.flatnonzero(self.length == m)
+            self.letters[m] = np.stack([self.windows[x] for x in same], axis=1)
+            self.place[same] = np.arange(len(same))
+        grams = [gram_hashes(c) for c in whole]
         all_grams = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
         order = np.argsort(all_grams, kind="stable")
         self.grams = all_grams[order]
-        self.of_window = np.repeat(np.arange(len(grams)), [len(g) for g in grams])[order]
-        self.offset = np.concatenate([np.arange(len(g)) for g in grams])[order] if grams else order
+        self.of_item = np.repeat(np.arange(len(grams), dtype=np.int32), [len(g) for g in grams])[order]
+        self.offset = np.concatenate([np.arange(len(g), dtype=np.int32) for g in grams])[order] if grams else order
+        self.covers = np.concatenate(covers)[order] if covers else np.zeros((0, COVER), np.int32)
+        self.longest = max(map(len, whole), default=0)
         self.slots = np.zeros(1 << SLOT_BITS, dtype=bool)
         self.slots[self._slot(self.grams)] = True
 
@@ -121,15 +180,25 @@ class Searcher:
         return (h * np.uint64(0xD1342543DE82EF95)) >> np.uint64(64 - SLOT_BITS)
 
     def _hits(self, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Window and diagonal of every shared q-gram."""
+        """Window and diagonal of every shared q-gram that can belong to a region."""
         h = gram_hashes(c)
         at = np.flatnonzero(self.slots[self._slot(h)])
         first = np.searchsorted(self.grams, h[at], "left")
         count = np.searchsorted(self.grams, h[at], "right") - first
         at, first, count = at[count > 0], first[count > 0], count[count > 0]
         entry = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
-        pos = np.repeat(at, count)
-        return self.of_window[entry], pos - self.offset[entry]
+        diagonal = np.repeat(at, count) - self.offset[entry]
+        # a region's diagonals lie in two neighbouring units of an item; units that share a
+        # counter only keep more
+        unit = (diagonal + self.longest) // UNIT + self.of_item[entry].astype(np.int64) * 0x9E3779B1
+        size = 1 << COUNTER_BITS
+        n = np.bincount(unit % size, minlength=size)
+        two = n + np.roll(n, -1)
+        keep = np.maximum(two, np.roll(two, 1))[unit % size] >= self.least.min(initial=1 << 30)
+        held = self.covers[entry[keep]]
+        row, column = np.nonzero(held >= 0)
+        window = held[row, column].astype(np.int64)
+        return window, diagonal[keep][row] + self.begin[window]
 
     def regions(self, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Window and lowest diagonal of the bands that share enough q-grams.
@@ -139,13 +208,9 @@ class Searcher:
         step = self.edits[window] + 1
         unit = (diagonal + WINDOW) // step
         size = len(c) + 2 * WINDOW + 4
-        found = []
-        for lowest in (unit, unit - 1):  # the bands that begin at a unit and at the one before
-            keys, counts = np.unique(window * size + lowest + 1, return_counts=True)
-            found.append(np.stack([keys // size, keys % size - 1, counts]))
+        units, n = np.unique(window * size + unit + 1, return_counts=True)
         # a band is two units: add up what begins at it and at the next one
-        keys = np.concatenate([f[0] * size + f[1] + 1 for f in found])
-        counts = np.concatenate([f[2] for f in found])
+        keys, counts = np.concatenate([units, units - 1]), np.concatenate([n, n])
         order = np.argsort(keys, kind="stable")
         keys, counts = keys[order], counts[order]
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else keys
@@ -157,7 +222,7 @@ class Searcher:
     def _spans(self, pieces: list[np.ndarray]) -> Iterator[tuple[int, int, int, int, int]]:
         """(piece, item, start, end, edits) of the windows found in some pieces of text."""
         # laid end to end with gaps that no window bridges and no item contains
-        gap = np.full(2 * WINDOW, 0x110000, dtype=np.uint32)
+        gap = np.full(2 * WINDOW, OUTSIDE, dtype=np.uint32)
         starts = np.cumsum([0, *(len(c) + len(gap) for c in pieces)])
         joined = np.concatenate([x for c in pieces for x in (c, gap)])
         window, low = self.regions(joined)
@@ -165,8 +230,14 @@ class Searcher:
             group = np.flatnonzero(self.length[window] == m)
             for at in range(0, len(group), ALIGNED):
                 w, first = window[group[at:at + ALIGNED]], low[group[at:at + ALIGNED]]
-                edits, start, end = align(np.stack([self.windows[x] for x in w]), joined, first,
-                                          2 * (edits_allowed(int(m), self.rate) + 1))
+                most = edits_allowed(int(m), self.rate)
+                near = np.concatenate([
+                    within(self.letters[m], self.place[w[k:k + TOGETHER]], joined, first[k:k + TOGETHER],
+                           2 * (most + 1), most) for k in range(0, len(w), TOGETHER)])
+                if not near.any():
+                    continue
+                w, first = w[near], first[near]
+                edits, start, end = align(self.letters[m].T[self.place[w]], joined, first, 2 * (most + 1))
                 ok = edits <= self.edits[w]
                 # by the end: a stretch that lacks a window's first characters may start in the gap before
                 piece = np.searchsorted(starts, end - 1, "right") - 1
@@ -190,16 +261,18 @@ class Searcher:
                   for k, t in enumerate(texts) for at in range(0, len(t), CHUNK_CHARS)]
         spans: dict[tuple[int, int], set[tuple[int, int, int]]] = {}
         todo: list[tuple[int, int, str]] = []
+        chars = 0
         for n, piece in enumerate(pieces, 1):
             todo.append(piece)
-            if n == len(pieces) or sum(len(p[2]) for p in todo) > CHUNK_CHARS:
+            chars += len(piece[2])
+            if n == len(pieces) or chars > CHUNK_CHARS:
                 for k, item, i, j, edits in self._spans([codes(p[2], self.table) for p in todo]):
                     doc, base, _ = todo[k]
                     # what a border cuts is whole in the piece before or after
                     if (base and i < WINDOW) or (base + CHUNK_CHARS < len(texts[doc]) and i >= CHUNK_CHARS + 2 * WINDOW):
                         continue
                     spans.setdefault((doc, item), set()).add((base + i, base + j, edits))
-                todo = []
+                todo, chars = [], 0
         out: list[list[dict]] = [[] for _ in texts]
         for (doc, item), found in sorted(spans.items()):
             for start, end, edits in sorted(found):
@@ -255,8 +328,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     """One row per stretch of a document that repeats part of a benchmark item:
     ``id_col``, item_id, start, end, edits, windows.
 
-    ``start`` and ``end`` are code points; ``edits`` is the most that one of the
-    matched windows needed.  Letter case and kinds of white space don't count.
+    Every verbatim run of 59 characters of an item is found, a whole item however
+    short it is, and so is a window (100 characters of the item every 50, and 50
+    every 10, or an item shorter than that) within a tenth of edits.  ``start``
+    and ``end`` are code points; ``edits`` is the most that one of the matched
+    windows needed, ``windows`` the number of stretches merged.  Letter case and kinds of white space don't count.
     Null and empty texts and items match nothing, an empty benchmark finds
     nothing.  Rows with null ids and repeated rows are searched like others.
     Other columns are not read.
