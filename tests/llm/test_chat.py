@@ -41,3 +41,19 @@ def test_query_matches_sql(spark, same):
 
 def test_empty_table(spark):
     assert chat.rotate(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_ordered_parts_are_the_whole_rendering(saved):
+    said = [(1, t, "cass" if t in (3, 17) else "ab"[t % 2], f"t{t} é", "") for t in range(25)] + [
+        (2, 0, "a", "x", ""), (2, 30, "dd", "y", ""), (3, 0, "e", "z", ""), (None, 0, "f", "w", ""), (None, 30, "f", "v", "")]
+    df = saved(said, SCHEMA)
+    whole = {(r.conv_id, r.speaker): r for r in chat.rotate(df, part_turns=1000).collect() if r.conv_id}
+    parts = {}
+    for r in sorted((r for r in chat.rotate(df, part_turns=5).collect() if r.conv_id), key=lambda r: r.part):
+        parts.setdefault((r.conv_id, r.speaker), []).append(r)
+    assert set(parts) == set(whole) and len(parts[1, "cass"]) == 5
+    for key, rows in parts.items():
+        assert "".join(r.dialogue for r in rows) == whole[key].dialogue
+        assert ",".join(r.mask for r in rows if r.mask) == whole[key].mask
+        assert sum(r.n_spoken for r in rows) == whole[key].n_spoken
+        assert sum(r.n_turns for r in rows) == whole[key].n_turns

@@ -7,7 +7,7 @@ stretches that the assistant says, on which a model would be trained.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Turns rendered as one row.  Longer dialogues become consecutive parts, so that
@@ -22,18 +22,40 @@ def _clean(c: Column) -> Column:
     return F.replace(c, F.lit("<|"), F.lit("< |"))
 
 
+def _perspectives(rows: DataFrame) -> DataFrame:
+    """For dialogues of several parts: conv, part, speaker, and ``before``, the code
+    points of the speaker's rendering before that part.  Counts by part and
+    participant stand for the turns."""
+    spoken = rows.filter(F.col("conv").isNotNull()).groupBy("conv", "part", "role").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("text") + len(CLOSE)).alias("chars"))
+    dialogue = Window.partitionBy("conv")
+    spoken = spoken.select("*", F.min("part").over(dialogue).alias("first"), F.max("part").over(dialogue).alias("last")
+                           ).filter("first < last")
+    named = F.length("role") + len(OPEN + "user name=\n")
+    so_far = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = spoken.groupBy("conv", "part").agg(F.sum(F.col("chars") + F.col("n") * named).alias("chars")).select(
+        "conv", "part", F.sum("chars").over(so_far.partitionBy("conv")).alias("all"))
+    pairs = parts.join(spoken.select("conv", "role").distinct(), "conv").join(
+        spoken.select("conv", "part", "role", "n"), ["conv", "part", "role"], "left")
+    own = F.sum("n").over(so_far.partitionBy("conv", "role"))  # turns headed as the assistant's instead
+    return pairs.select("conv", "part", F.col("role").alias("speaker"), (
+        F.coalesce("all", F.lit(0)) + F.coalesce(own, F.lit(0)) * (len(OPEN + "assistant\n") - named)
+    ).cast("long").alias("before"))
+
+
 def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
            text_col: str = "text", part_turns: int = PART_TURNS) -> DataFrame:
-    """One row for each dialogue part and each participant who speaks in it:
-    ``conv_id``, part, speaker, n_turns, n_spoken, dialogue, mask.
+    """One row for each part of a dialogue and each participant of the whole
+    dialogue: ``conv_id``, part, speaker, n_turns, n_spoken, dialogue, mask.
 
-    ``mask`` lists start:end of the speaker's own words with their end marker,
-    comma-joined, in code points of ``dialogue``.  Turns go by turn number (a
-    null one first), then role, then text.  Repeated rows count once.  A null
-    role speaks as "unknown", a null text is empty, and a row without a
-    conversation is a dialogue of its own.  A participant who says nothing in a
-    part gets no row there, as its mask would be empty.  An empty table gives
-    an empty result; other columns are not read.
+    A speaker's parts, joined in order, are the whole dialogue from their
+    perspective.  ``mask`` lists start:end of the speaker's own words with their
+    end marker, comma-joined, in code points of that whole dialogue: offsets
+    continue over the parts.  A participant who says nothing in a part has an
+    empty mask there.  Turns go by turn number (a null one first), then role,
+    then text.  Repeated rows count once.  A null role speaks as "unknown", a
+    null text is empty, and a row without a conversation is a dialogue of its
+    own.  An empty table gives an empty result; other columns are not read.
     """
     rows = turns.select(
         F.col(conv_col).alias("conv"), F.col(turn_col).cast("long").alias("turn"),
@@ -44,7 +66,12 @@ def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     parts = rows.groupBy("conv", "part", "alone").agg(
         F.array_sort(F.collect_list(F.struct(F.coalesce("turn", F.lit(-(1 << 63)).cast("long")).alias("turn"),
                                              "role", "text"))).alias("said"))
-    each = parts.withColumn("speaker", F.explode(F.array_distinct(F.transform("said", lambda t: t["role"]))))
+    # a dialogue in one part has its speakers at hand; the others' come from all of its parts
+    here = F.transform(F.array_distinct(F.transform("said", lambda t: t["role"])),
+                       lambda r: F.struct(r.alias("speaker"), F.lit(0).cast("long").alias("before")))
+    each = parts.join(_perspectives(rows), ["conv", "part"], "left").select(
+        "conv", "part", "said", F.explode(F.when(F.col("speaker").isNull(), here).otherwise(
+            F.array(F.struct("speaker", "before")))).alias("as")).select("conv", "part", "said", "as.*")
 
     def head(t: Column) -> Column:
         return F.when(t["role"] == F.col("speaker"), F.lit(OPEN + "assistant\n")).otherwise(
@@ -55,7 +82,7 @@ def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
         (t["role"] == F.col("speaker")).alias("own"))))
     empty = F.array().cast("array<string>")
     mask = F.aggregate(
-        "pieces", F.struct(F.lit(0).alias("at"), empty.alias("spans")),
+        "pieces", F.struct(F.col("before").alias("at"), empty.alias("spans")),
         lambda a, p: F.struct(
             (a["at"] + F.length(p["head"]) + F.length(p["body"])).alias("at"),
             F.when(p["own"], F.array_append(a["spans"], F.concat_ws(
