@@ -57,3 +57,18 @@ def test_ordered_parts_are_the_whole_rendering(saved):
         assert ",".join(r.mask for r in rows if r.mask) == whole[key].mask
         assert sum(r.n_spoken for r in rows) == whole[key].n_spoken
         assert sum(r.n_turns for r in rows) == whole[key].n_turns
+
+
+def test_null_and_tied_turns_are_cut_by_rows(saved):
+    said = [(1, None, "ab"[k % 2], f"null {k}", "") for k in range(23)] + [
+        (1, 4, "ab"[k % 2], f"tie {k}", "") for k in range(23)] + [(1, -3, "a", "minus", ""), (2, 9999, "a", "far", "")]
+    df = saved(said, SCHEMA)
+    whole = {(r.conv_id, r.speaker): r for r in chat.rotate(df, part_turns=1000).collect()}
+    rows = sorted(chat.rotate(df, part_turns=10).collect(), key=lambda r: r.part)
+    assert [(r.part, r.n_turns) for r in rows if r.conv_id == 1 and r.speaker == "a"] == [
+        (0, 10), (1, 10), (2, 10), (3, 10), (4, 7)]
+    assert [r.part for r in rows if r.conv_id == 2] == [0]
+    for key, one in whole.items():
+        mine = [r for r in rows if (r.conv_id, r.speaker) == key]
+        assert "".join(r.dialogue for r in mine) == one.dialogue
+        assert ",".join(r.mask for r in mine if r.mask) == one.mask

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import cut
+
 #: Turns rendered as one row.  Longer dialogues become consecutive parts, so that
 #: no task gathers an unbounded dialogue; no turn is left out.
 PART_TURNS = 512
@@ -22,6 +24,27 @@ def _clean(c: Column) -> Column:
     return F.replace(c, F.lit("<|"), F.lit("< |"))
 
 
+def _parted(rows: DataFrame, part_turns: int) -> DataFrame:
+    """``rows`` with the part each is in, by its place in the dialogue.  Rows of long
+    dialogues are dealt out in ranges of their order, and counted by range before
+    they are numbered, so that no task meets a whole one of them."""
+    sizes = rows.filter(F.col("conv").isNotNull()).groupBy("conv").agg(F.count(F.lit(1)).alias("size"))
+    long = cut(sizes.filter(F.col("size") > part_turns).select("conv"))
+    if long.isEmpty():
+        return rows.withColumn("part", F.lit(0).cast("long"))
+    order = [F.col("turn").asc_nulls_first(), "role", "text"]
+    short = rows.join(long, "conv", "left_anti").withColumn("part", F.lit(0).cast("long"))
+    dealt = cut(rows.join(long, "conv", "left_semi").repartitionByRange("conv", *order).withColumn(
+        "range", F.spark_partition_id()))
+    ranges = dealt.groupBy("conv", "range").agg(F.count(F.lit(1)).alias("n")).select("conv", "range", F.coalesce(F.sum(
+        "n").over(Window.partitionBy("conv").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0)).alias("before"))
+    place = F.row_number().over(Window.partitionBy("conv", "range").orderBy(*order)) - 1
+    numbered = dealt.withColumn("place", place).join(ranges, ["conv", "range"])
+    parted = numbered.withColumn("part", F.floor((F.col("before") + F.col("place")) / part_turns).cast("long"))
+    return short.unionByName(parted.select(*short.columns))
+
+
 def _perspectives(rows: DataFrame) -> DataFrame:
     """For dialogues of several parts: conv, part, speaker, and ``before``, the code
     points of the speaker's rendering before that part.  Counts by part and
@@ -52,7 +75,8 @@ def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     perspective.  ``mask`` lists start:end of the speaker's own words with their
     end marker, comma-joined, in code points of that whole dialogue: offsets
     continue over the parts.  A participant who says nothing in a part has an
-    empty mask there.  Turns go by turn number (a null one first), then role,
+    empty mask there.  A part has ``part_turns`` rows, whatever their turn
+    numbers, the last one the rest.  Turns go by turn number (a null one first), then role,
     then text.  Repeated rows count once.  A null role speaks as "unknown", a
     null text is empty, and a row without a conversation is a dialogue of its
     own.  An empty table gives an empty result; other columns are not read.
@@ -61,8 +85,7 @@ def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
         F.col(conv_col).alias("conv"), F.col(turn_col).cast("long").alias("turn"),
         F.translate(_clean(F.coalesce(F.col(role_col), F.lit(UNKNOWN))), "\n", " ").alias("role"),
         _clean(F.coalesce(F.col(text_col), F.lit(""))).alias("text")).distinct()
-    rows = rows.withColumn("part", F.floor(F.coalesce("turn", F.lit(0)) / part_turns).cast("long")).withColumn(
-        "alone", F.when(F.col("conv").isNull(), F.xxhash64("turn", "role", "text")))
+    rows = _parted(rows, part_turns).withColumn("alone", F.when(F.col("conv").isNull(), F.xxhash64("turn", "role", "text")))
     parts = rows.groupBy("conv", "part", "alone").agg(
         F.array_sort(F.collect_list(F.struct(F.coalesce("turn", F.lit(-(1 << 63)).cast("long")).alias("turn"),
                                              "role", "text"))).alias("said"))
