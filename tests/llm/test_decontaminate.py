@@ -141,3 +141,10 @@ def test_windows_hold_every_former_window():
     for n in (8, 49, 50, 51, 99, 100, 101, 149, 150, 151, 394):
         former = {(at, min(at + 100, n)) for at in [*range(0, max(1, n - 100), 50), max(0, n - 100)]}
         assert former <= set(D.cuts(n))
+
+
+def test_very_short_items_match_as_whole_words_or_texts():
+    searcher = D.Searcher([(1, "a"), (2, "tiny"), (3, "--")])
+    docs = ["banana bread", "tinytown", "such a day", "Tiny!", "a", "x -- y", "--", "dátiny", "(tiny)", "tiny tinya"]
+    assert [sorted({x["item_id"] for x in f}) for f in searcher.search(docs)] == [
+        [], [], [1], [2], [1], [], [3], [], [2], [2]]

@@ -61,6 +61,10 @@ def codes(text: str, table: np.ndarray) -> np.ndarray:
     return table[raw] if low.all() else np.where(low, table[np.minimum(raw, 65535)], raw)
 
 
+def _wordy(point: int) -> bool:
+    return chr(point).isalnum()
+
+
 def gram_hashes(c: np.ndarray) -> np.ndarray:
     """A 64-bit hash of the eight code points from each position on."""
     h, base = c.astype(np.uint64), 0x9E3779B97F4A7C15
@@ -244,14 +248,16 @@ class Searcher:
                 for x, k, i, j, n in zip(w[ok], piece[ok], start[ok], end[ok], edits[ok], strict=True):
                     yield (int(k), self.item[x], int(max(i - starts[k], 0)),
                            int(min(j - starts[k], len(pieces[k]))), int(n))
-        for item, short in self.exact:  # too short for a q-gram: looked for as they are
-            part = short.astype("<u4").tobytes()
+        for item, short in self.exact:  # too short for a q-gram: looked for as they are, as whole words or texts
+            part, wordy = short.astype("<u4").tobytes(), any(map(_wordy, short))
             for k, c in enumerate(pieces):
                 whole = c.astype("<u4").tobytes()
                 at = whole.find(part)
                 while at >= 0:
-                    if at % 4 == 0:
-                        yield k, item, at // 4, at // 4 + len(short), 0
+                    i, j = at // 4, at // 4 + len(short)
+                    if at % 4 == 0 and (j - i == len(c) or wordy and not any(map(_wordy, c[max(i - 1, 0):i]))
+                                        and not any(map(_wordy, c[j:j + 1]))):
+                        yield k, item, i, j, 0
                     at = whole.find(part, at + 1)
 
     def search(self, texts: Sequence[str]) -> list[list[dict]]:
@@ -333,8 +339,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     every 10, or an item shorter than that) within a tenth of edits.  ``start``
     and ``end`` are code points; ``edits`` is the most that one of the matched
     windows needed, ``windows`` the number of stretches merged.  Letter case and kinds of white space don't count.
-    Null and empty texts and items match nothing, an empty benchmark finds
-    nothing.  Rows with null ids and repeated rows are searched like others.
+    Items under eight characters match as whole words (no letter or digit next to
+    them) or whole texts, without a letter or digit only as whole texts.  Null and
+    empty texts and items match nothing, and items without an id are not searched;
+    an empty benchmark finds nothing.  Rows with null ids and repeated rows are searched like others.
     Other columns are not read.
     """
     finders = leak_finders(benchmark)
