@@ -148,3 +148,24 @@ def test_very_short_items_match_as_whole_words_or_texts():
     docs = ["banana bread", "tinytown", "such a day", "Tiny!", "a", "x -- y", "--", "dátiny", "(tiny)", "tiny tinya"]
     assert [sorted({x["item_id"] for x in f}) for f in searcher.search(docs)] == [
         [], [], [1], [2], [1], [], [3], [], [2], [2]]
+
+
+def test_a_block_is_a_pass_of_its_own(saved, spark, items, monkeypatch):
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(k % 3 or None, f"before {t} after" if k % 2 else "clean text", k) for k, t in items]
+    df = saved([*rows, *rows, (7, None, 0)], "doc_id long, text string, gone_text long")
+    one = sorted(map(repr, D.drop_leaked(df, bench).collect()))
+    monkeypatch.setattr(D, "BLOCK_CHARS", 2000)
+    kept = D.drop_leaked(df, bench)
+    assert kept.columns == df.columns and sorted(map(repr, kept.collect())) == one and one
+    plan = D.find_leaks(df, bench)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == len(D.leak_finders(bench)) > 1
+
+
+def test_a_block_bounds_memory():
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(D.BLOCK_CHARS // 20 // 7)]
+    searcher = D.Searcher([(k, " ".join(rng.choices(words, k=40))) for k in range(D.BLOCK_CHARS // 20 // 280)])
+    held = sum(x.nbytes for x in vars(searcher).values() if isinstance(x, D.np.ndarray))
+    held += sum(x.nbytes for x in searcher.letters.values()) - searcher.slots.nbytes
+    assert held * 20 < 250e6

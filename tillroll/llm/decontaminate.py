@@ -9,28 +9,30 @@ window position) that differ by at most ``e``.  So shared q-grams are counted
 in overlapping bands of diagonals, bands that reach that number are regions,
 and a banded alignment of window and region decides.
 
-The benchmark is the stated query set: it goes to the tasks in blocks of at
-most ``BLOCK_CHARS`` characters, and every block meets every document.
-Documents never move: the search is one pass without a shuffle.
+The benchmark is the stated query set: it goes to the tasks in blocks of about
+``BLOCK_CHARS`` characters, and every document meets every block, in a pass of
+its own for each, so that a task holds one block at a time.  Documents never
+move in a pass: each is without a shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_code
+from .common import BROADCAST_IDS, cut, ship_code, small_side
 
 #: Characters of a q-gram, of a window and between windows; edits allowed per character.
 Q, WINDOW, STRIDE, RATE = 8, 100, 50, 0.1
 #: The same of the short windows.
 SHORT, SHORT_STRIDE = 50, 10
-#: Characters of the benchmark broadcast at a time.
-BLOCK_CHARS = 16_000_000
+#: Characters of the benchmark that a task holds at a time.
+BLOCK_CHARS = 1_000_000
 #: Characters of documents examined together in a task, and texts taken from a batch at a time.
 CHUNK_CHARS, TEXTS = 1 << 20, 1024
 SLOT_BITS = 22
@@ -326,10 +328,6 @@ def leak_finders(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
     return [finder(items) for items in _blocks(benchmark, id_col, text_col)]
 
 
-def _leaks(text: Column, finders: Sequence[Callable[[Column], Column]]) -> Column:
-    return F.concat(*[f(text) for f in finders])
-
-
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per stretch of a document that repeats part of a benchmark item:
     ``id_col``, item_id, start, end, edits, windows.
@@ -347,13 +345,22 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     """
     finders = leak_finders(benchmark)
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    found = slim.select("id", F.explode(_leaks(F.col("text"), finders)).alias("leak"))
+    passes = [slim.select("id", F.explode(find(F.col("text"))).alias("leak")) for find in finders]
+    found = reduce(DataFrame.union, passes)
     return found.select(F.col("id").alias(id_col), "leak.*")
 
 
 def drop_leaked(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` without the documents that repeat part of a benchmark item; rows
     and columns of the others stay as they are."""
-    row = docs.select(F.struct(*docs.columns).alias("row"), docs[text_col].alias("text"))
-    clean = row.select("row", _leaks(F.col("text"), leak_finders(benchmark)).alias("leaks")).filter(F.size("leaks") == 0)
-    return clean.select("row.*")
+    finders = leak_finders(benchmark)
+    if len(finders) == 1:
+        row = docs.select(F.struct(*docs.columns).alias("row"), docs[text_col].alias("text"))
+        return row.select("row", finders[0](F.col("text")).alias("leaks")).filter(F.size("leaks") == 0).select("row.*")
+    # a leak depends on the text alone, so digests of the texts tell the passes' results
+    digest = F.unhex(F.sha2(docs[text_col], 256))
+    text = docs.select(docs[text_col].alias("text"))
+    gone = [cut(text.select("text", find(F.col("text")).alias("leaks")).filter(F.size("leaks") > 0).select(
+        F.unhex(F.sha2("text", 256)).alias("gone_text")).distinct()) for find in finders]
+    leaked = cut(reduce(DataFrame.union, gone).distinct())
+    return docs.join(small_side(leaked, BROADCAST_IDS), digest == leaked["gone_text"], "left_anti")
