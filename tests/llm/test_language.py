@@ -98,3 +98,18 @@ def test_pages_markup_and_address(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     assert L.identify(L.documents_evidence(df)).count() == 0 and L.drop_unknown(df).count() == 0
+
+
+def test_rare_languages_and_hot_texts_leave_the_sample_whole(spark):
+    rows = [(f"common word {k}", "en") for k in range(300)] + [("hot text", "de")] * 300 + [
+        (f"selten {w}", "de") for w in ("baum", "haus", "wald")] + [("mot rare", "fr")]
+    records = spark.createDataFrame(rows, "text string, declared string")
+    model = L.train(records, sample_texts=5)
+    each = {x: model[:, k] for k, x in enumerate(L.LANGUAGES)}
+    bucket = {t: next(L.buckets(t)) for t, _ in rows}
+    assert all((each["fr"][b] > each["es"][b]).all() for b in [bucket["mot rare"]])
+    for t in ("hot text", "selten baum", "selten haus", "selten wald"):
+        assert (each["de"][bucket[t]] > each["es"][bucket[t]]).all()
+    assert len(set(each["en"].tolist())) > 1 and len(set(each["es"].tolist())) == 1
+    # each text counts once, however often it is repeated
+    assert (model == L.train(records.distinct(), sample_texts=5)).all()

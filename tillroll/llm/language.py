@@ -20,6 +20,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from .common import cut, ship_code, without_ids
 
 LANGUAGES = ("de", "en", "es", "fr")
 UND = "und"
-#: Expected number of texts that the trigram model is fitted on (the bound of its sample).
+#: Distinct texts of each declared language that the trigram model is fitted on (the bound of its sample).
 SAMPLE_TEXTS = 4000
 #: Trigrams are counted in 2 ** BUCKET_BITS buckets.
 BUCKET_BITS = 15
@@ -90,13 +91,16 @@ def pages_evidence(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
 
 
 def train(records: DataFrame, languages: Sequence[str] = LANGUAGES, sample_texts: int = SAMPLE_TEXTS) -> np.ndarray:
-    """Log-probability of each bucket (rows) in each language and in "und" (columns)."""
+    """Log-probability of each bucket (rows) in each language and in "und" (columns),
+    from at most ``sample_texts`` distinct texts declared in each language, those
+    of the smallest hashes."""
     ship_code(__name__, "tillroll.llm.urls")
-    count = max(1, records.count())
     size = 1 << BUCKET_BITS
-    share = min(1.0, sample_texts / count)
-    picked = records.filter(F.col("declared").isin(*languages)
-                            & (F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(share * (1 << 30))))
+    known = records.filter(F.col("declared").isin(*languages)).select("text", "declared", F.xxhash64("text").alias("hash"))
+    hashes = cut(known.select("declared", "hash").distinct())  # a hot text is one row a task
+    drawn = [hashes.filter(F.col("declared") == x).orderBy("hash").limit(sample_texts) for x in languages]
+    picked = known.join(F.broadcast(reduce(DataFrame.union, drawn)), ["declared", "hash"]).groupBy(
+        "declared", "hash").agg(F.min("text").alias("text"))
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = {x: np.zeros(size, dtype=np.int64) for x in languages}
