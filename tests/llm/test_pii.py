@@ -79,3 +79,12 @@ def test_empty_nulls_and_native_plan(spark, saved):
     assert [r.n_email for r in pii.digest(pii.find(df)).collect()] == [1, 1]
     plan = pii.digest(pii.find(df))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_context_counts_on_both_sides_and_beyond_other_matches(spark):
+    card, far = "4111 1111 1111 1111", " ." * 30
+    texts = [f"{card} is my card", f"card: {card}, {card}", f"{card}, {card} - visa", f"{card}{far}card", f"card{far}{card}",
+             f"no word: {card}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [round(s.score, 2) for s in r.spans if s.kind == "card"] for r in pii.find(df).collect()}
+    assert got == {0: [.75], 1: [.75, .75], 2: [.75, .75], 3: [.6], 4: [.6], 5: [.6]}

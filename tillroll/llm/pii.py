@@ -22,7 +22,7 @@ class Kind:
 
     ``pattern`` is a Java regex that has no capturing groups; ``need`` a cheap
     test that every text with a match passes; ``valid`` the validator over the
-    matched text; ``words`` raise the score when one is near before the match.
+    matched text; ``words`` raise the score when one is near, before or after.
     """
 
     name: str
@@ -87,7 +87,7 @@ KINDS = (
          "text rlike '[A-Z][A-Z][0-9][0-9]'", mod97, 0.9, "iban|account|bank|konto|cuenta|compte", base=False),
 )
 
-#: Characters before a span in which a context word counts, and what it adds to the score.
+#: Characters before and after a span in which a context word counts, and what it adds to the score.
 CONTEXT_CHARS, CONTEXT_BONUS = 48, 0.15
 
 
@@ -101,23 +101,36 @@ def _cut_text(kind: Kind) -> tuple[Column, Column]:
 
 def _spans(kind: Kind, order: int) -> Column:
     """Spans (start, order, kind, end, score) of a kind, failing matches dropped."""
-    hits, gaps = F.col(f"hit_{kind.name}"), F.col(f"gap_{kind.name}")
+    hits = F.col(f"hit_{kind.name}")
     walked = F.aggregate(
         F.when(F.size(hits) > 0, F.sequence(F.lit(1), F.size(hits))).otherwise(F.array().cast("array<int>")),
-        F.struct(F.lit(0).alias("at"), F.array().cast(
+        F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), F.array().cast(
             "array<struct<start:int,ord:int,kind:string,end:int,score:double>>").alias("spans")),
-        lambda acc, i: _step(kind, order, acc, F.element_at(hits, i), F.element_at(gaps, i)))
+        lambda acc, i: _step(kind, order, acc, i))
     return walked.getField("spans")
 
 
-def _step(kind: Kind, order: int, acc: Column, hit: Column, gap: Column) -> Column:
+def _blank(hit: Column) -> Column:
+    """A match as context of its neighbours: it takes its place and holds no word."""
+    return F.repeat(F.lit(" "), F.least(F.length(hit), F.lit(CONTEXT_CHARS)))
+
+
+def _step(kind: Kind, order: int, acc: Column, i: Column) -> Column:
+    hits, gaps = F.col(f"hit_{kind.name}"), F.col(f"gap_{kind.name}")
+    hit, gap = F.element_at(hits, i), F.element_at(gaps, i)
     begin = acc.getField("at") + F.length(gap)
     end = begin + F.length(hit)
-    near = F.lower(F.substring(gap, F.greatest(F.length(gap) - CONTEXT_CHARS + 1, F.lit(1)), F.lit(CONTEXT_CHARS)))
-    score = F.lit(kind.score) + F.when(near.rlike(kind.words), CONTEXT_BONUS).otherwise(0.0)
+    before = F.right(F.concat(acc.getField("tail"), F.right(gap, F.lit(CONTEXT_CHARS))), F.lit(CONTEXT_CHARS))
+    # so many pieces reach CONTEXT_CHARS, as a match has five characters at least
+    after = F.substring(F.array_join(F.zip_with(
+        F.slice(gaps, i + 1, CONTEXT_CHARS // 5 + 2), F.slice(hits, i + 1, CONTEXT_CHARS // 5 + 2),
+        lambda g, h: F.concat(F.substring(g, 1, CONTEXT_CHARS), F.coalesce(_blank(h), F.lit("")))), ""), 1, CONTEXT_CHARS)
+    near = F.lower(before).rlike(kind.words) | F.lower(after).rlike(kind.words)
+    score = F.lit(kind.score) + F.when(near, CONTEXT_BONUS).otherwise(0.0)
     span = F.struct(begin.alias("start"), F.lit(order).alias("ord"), F.lit(kind.name).alias("kind"),
                     end.alias("end"), score.cast("double").alias("score"))
-    return F.struct(end.alias("at"), F.when(kind.valid(hit), F.array_append(acc.getField("spans"), span))
+    return F.struct(end.alias("at"), F.concat(before, _blank(hit)).alias("tail"),
+                    F.when(kind.valid(hit), F.array_append(acc.getField("spans"), span))
                     .otherwise(acc.getField("spans")).alias("spans"))
 
 
@@ -125,6 +138,8 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """One row per input row: ``id_col`` and ``spans``, an array of structs
     (start, ord, kind, end, score) ordered by start, then kind.
 
+    A context word within CONTEXT_CHARS before or after a span raises its score,
+    also beyond other matches of the kind, whose own text holds no context.
     Offsets are code points, end exclusive.  Matches of one kind don't overlap;
     matches of two kinds may.  Null or empty text has no spans; null ids and
     repeated rows pass through as they are; other columns are not read.
