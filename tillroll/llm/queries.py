@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, exact_dedup, jaccard_join, language, pii, secrets, toxicity, urls
+from . import (bpe, chat, clusters, decontaminate, exact_dedup, jaccard_join, language, neighbours, pii, secrets,
+               toxicity, urls, whitening)
 from .common import table
 
 #: The public vocabulary of op4 and of the pipeline's last stage.
@@ -59,9 +60,23 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.inertia(table(spark, sf_dir, "embeddings"))
+
+
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % neighbours.EVERY == 0)
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_secrets, op3_chat, op4_bpe, op5_toxicity, op6_jaccard_join, op7_url_filter, op8_exact_dedup, op9_pii, op10_decontaminate)}
+    op1_language_id, op2_secrets, op3_chat, op4_bpe, op5_toxicity, op6_jaccard_join, op7_url_filter, op8_exact_dedup, op9_pii, op10_decontaminate,
+    op11_whitening, op12_clusters, op13_neighbours)}
 
 ORACLE_SQL = {
     "op2_secrets": secrets.SQL, "op3_chat": chat.SQL, "op7_url_filter": urls.SQL, "op8_exact_dedup": exact_dedup.SQL,
+    "op12_clusters": clusters.SQL,
 }
