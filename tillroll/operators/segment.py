@@ -1,21 +1,16 @@
-"""Product-level RFM features and k-means segmentation (spark.ml).
+"""Product-level RFM features and k-means segmentation.
 
-Features are one grouped aggregate per product.  Standardisation and
-k-means are ``spark.ml`` stages, so fitting is distributed; the feature
-frame is persisted while several seeds / values of k are fitted.
+Features are one grouped aggregate per product, written once with their means and
+deviations; all restarts of all cluster numbers are fitted in common passes (see
+``kmeans``).
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
-from pyspark.ml import Pipeline
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .kmeans import Points, best_fits, fit_many, nearest, silhouettes, standardise
 from .ordered import with_scalars
 
 # Segment labels (best first by mean monetary), k, seed, restarts.
@@ -25,7 +20,6 @@ SEED = 42
 N_INIT = 10
 MAX_K = 8
 FEATURES = ("recency", "frequency", "monetary")
-FIT_THREADS = 16  # concurrent k-means jobs submitted by the driver
 
 
 def rfm_features(sales: DataFrame) -> DataFrame:
@@ -40,55 +34,44 @@ def rfm_features(sales: DataFrame) -> DataFrame:
         "product_id", F.datediff("_today", "_last").alias("recency"), "frequency", "monetary")
 
 
-def _scaled(rfm: DataFrame) -> DataFrame:
-    asm = VectorAssembler(inputCols=list(FEATURES), outputCol="_raw")
-    sc = StandardScaler(inputCol="_raw", outputCol="features", withMean=True, withStd=True)
-    return Pipeline(stages=[asm, sc]).fit(rfm).transform(rfm)
+def given_centres(k: int) -> list[list[float]]:
+    """``k`` fixed centres in z-scores, from long ago and little to lately and much."""
+    at = [3.0 * (j + 0.5) / k - 1.5 for j in range(k)]
+    return [[-t, t, t] for t in at]
 
 
-def _fit(x: DataFrame, k: int, seed: int):
-    m = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="segment").fit(x)
-    return m.summary.trainingCost, seed, m
+def _fit(sales: DataFrame, ks, n_init: int) -> tuple[Points, dict[int, list[list[float]]]]:
+    points = standardise(rfm_features(sales), FEATURES)
+    runs = [(k, s) for k in ks for s in range(SEED, SEED + n_init)]
+    return points, {k: f.centres.tolist() for k, f in best_fits(fit_many(points, "product_id", runs)).items()}
 
 
-def _best_kmeans(x: DataFrame, k: int, seed: int = SEED, n_init: int = N_INIT):
-    """Fit ``n_init`` k-means runs (seeds seed..seed+n_init-1), keep the lowest cost.
+def rfm_segment(sales: DataFrame, product: DataFrame, k: int = N_CLUSTERS, n_init: int = N_INIT) -> DataFrame:
+    """Segment every product; labels follow descending mean monetary value.
 
-    The restarts are independent Spark jobs submitted concurrently from a
-    driver thread pool, so the cluster runs them side by side.
+    Clusters beyond the number of labels get a NULL label, products without a
+    recency a NULL segment.
     """
-    return _best_many(x, [k], seed, n_init)[k]
-
+    points, centres = _fit(sales, [k], n_init)
+    return labelled(points, centres.get(k, [[0.0] * len(FEATURES)]), product)
 
-def _best_many(x: DataFrame, ks, seed: int = SEED, n_init: int = N_INIT) -> dict:
-    jobs = [(k, s) for k in ks for s in range(seed, seed + n_init)]
-    with ThreadPoolExecutor(max_workers=min(len(jobs), FIT_THREADS)) as pool:
-        fits = list(pool.map(lambda ks_: (ks_[0],) + _fit(x, *ks_), jobs))
-    best: dict = {}
-    for k, cost, s, m in fits:  # lowest cost, then lowest seed: repeatable
-        if k not in best or (cost, s) < best[k][:2]:
-            best[k] = (cost, s, m)
-    return {k: v[2] for k, v in best.items()}
 
+def rfm_segment_given(sales: DataFrame, product: DataFrame, k: int = N_CLUSTERS) -> DataFrame:
+    """``rfm_segment`` with ``given_centres`` instead of fitted ones."""
+    return labelled(standardise(rfm_features(sales), FEATURES), given_centres(k), product)
 
-def rfm_segment(sales: DataFrame, product: DataFrame, k: int = N_CLUSTERS) -> DataFrame:
-    """Segment every product; labels follow descending mean monetary value.
 
-    Clusters beyond the number of labels get a NULL label.  The scaled features
-    are persisted for the fits only and released before returning.
-    """
-    x = _scaled(rfm_features(sales)).persist()
-    model = _best_kmeans(x, k)
-    x.unpersist()
-    seg = model.transform(x).drop("_raw", "features")
-    means = seg.groupBy("segment").agg(F.avg("monetary").alias("_m"))
+def labelled(points: Points, centres, product: DataFrame) -> DataFrame:
+    """The products of ``points`` with segment, label by mean monetary value, name and category."""
+    seg = points.frame.withColumn("segment", nearest(points.names, centres))
+    means = seg.where(F.col("segment").isNotNull()).groupBy("segment").agg(F.avg("monetary").alias("_m"))
     # k rows (one per cluster): rank clusters by mean monetary value
     order = means.select("segment", F.row_number().over(
         Window.orderBy(F.col("_m").desc(), "segment")).alias("_r"))
     labels = F.array(*[F.lit(v) for v in SEGMENT_LABELS])
     lab = order.select("segment", F.when(F.col("_r") <= len(SEGMENT_LABELS),
                                          labels[F.col("_r") - 1]).alias("segment_label"))
-    out = (seg.join(F.broadcast(lab), "segment")
+    out = (seg.join(F.broadcast(lab), "segment", "left")
            .join(product.select("product_id", "product_name", "category"), "product_id"))
     return out.select("product_id", "recency", "frequency", "monetary", "segment", "segment_label",
                       "product_name", "category")
@@ -98,11 +81,18 @@ def rfm_segment_means(segments: DataFrame) -> DataFrame:
     return segments.groupBy("segment_label").agg(*[F.round(F.avg(c), 2).alias(c) for c in FEATURES])
 
 
-def rfm_silhouette(sales: DataFrame, max_k: int = MAX_K) -> DataFrame:
-    """Silhouette (squared Euclidean) of the best k-means for k = 2..max_k."""
-    x = _scaled(rfm_features(sales)).persist()
-    ev = ClusteringEvaluator(featuresCol="features", predictionCol="segment")
-    models = _best_many(x, range(2, max_k + 1))
-    rows = [(k, float(ev.evaluate(models[k].transform(x)))) for k in sorted(models)]
-    x.unpersist()
+def _silhouette_rows(sales: DataFrame, points: Points, centres: dict) -> DataFrame:
+    rows = sorted(silhouettes(points, centres).items()) if centres else []
     return sales.sparkSession.createDataFrame(rows, "k int, silhouette double")
+
+
+def rfm_silhouette(sales: DataFrame, max_k: int = MAX_K, n_init: int = N_INIT) -> DataFrame:
+    """Silhouette (squared Euclidean) of the best k-means for k = 2..max_k."""
+    points, centres = _fit(sales, range(2, max_k + 1), n_init)
+    return _silhouette_rows(sales, points, centres)
+
+
+def rfm_silhouette_given(sales: DataFrame, max_k: int = MAX_K) -> DataFrame:
+    """Silhouette of ``given_centres`` for k = 2..max_k."""
+    points = standardise(rfm_features(sales), FEATURES)
+    return _silhouette_rows(sales, points, {k: given_centres(k) for k in range(2, max_k + 1)})

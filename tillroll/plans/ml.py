@@ -168,6 +168,52 @@ def rfm_silhouette(spark, sf):
     return SG.rfm_silhouette(Star(spark, sf).fact_sales)
 
 
+def _assigned(k: int) -> str:
+    """SQL: nearest of the given centres for the z-scores of every product."""
+    centres = ", ".join(f"({j}, {a!r}, {b!r}, {c!r})" for j, (a, b, c) in enumerate(SG.given_centres(k)))
+    return f"""
+z as (select product_id, recency, frequency, monetary, (recency - avg(recency) over ()) / stddev_samp(recency) over () a,
+      (frequency - avg(frequency) over ()) / stddev_samp(frequency) over () b,
+      (monetary - avg(monetary) over ()) / stddev_samp(monetary) over () c from rfm),
+centre{k}(j, ca, cb, cc) as (values {centres}),
+seg{k} as (select z.*, j segment from z, centre{k}
+          qualify row_number() over (partition by product_id
+                  order by (a - ca) * (a - ca) + (b - cb) * (b - cb) + (c - cc) * (c - cc), j) = 1)"""
+
+
+@query("rfm_segment_given", f"""with {_RFM}, {_assigned(SG.N_CLUSTERS)},
+m as (select segment, row_number() over (order by avg(monetary) desc, segment) r from seg{SG.N_CLUSTERS} group by segment)
+select s.product_id, s.recency, s.frequency, s.monetary, s.segment,
+       case r when 1 then 'Champions' when 2 then 'Loyal' when 3 then 'At-Risk' when 4 then 'Churned' end segment_label,
+       p.product_name, p.category
+from seg{SG.N_CLUSTERS} s join m on s.segment = m.segment join dim_product p on s.product_id = p.product_id""")
+def rfm_segment_given(spark, sf):
+    """Segments for fixed centres: assignment, labels and joins of ``rfm_segment``."""
+    st = Star(spark, sf)
+    return SG.rfm_segment_given(st.fact_sales, st.dim_product)
+
+
+def _silhouette_sql(k: int) -> str:
+    """SQL: mean silhouette for ``k`` given centres, by all squared distances to cluster sums."""
+    return f"""select {k} k, avg(case when n < 2 or other is null then 0 else (other - own) / greatest(own, other) end) silhouette
+from (select x.product_id, max(case when y.segment = x.segment then y.n end) n,
+        max(case when y.segment = x.segment and y.n > 1 then (y.n * sq + y.ss - 2 * (x.a * y.sa + x.b * y.sb + x.c * y.sc)) / (y.n - 1) end) own,
+        min(case when y.segment <> x.segment then (y.n * sq + y.ss - 2 * (x.a * y.sa + x.b * y.sb + x.c * y.sc)) / y.n end) other
+      from (select *, a * a + b * b + c * c sq from seg{k}) x,
+           (select segment, count(*) n, sum(a) sa, sum(b) sb, sum(c) sc, sum(a * a + b * b + c * c) ss from seg{k} group by segment) y
+      group by x.product_id)"""
+
+
+_ALL_K = range(2, SG.MAX_K + 1)
+
+
+@query("rfm_silhouette_given", f"""with {_RFM}, {_assigned(2)}, """ + ", ".join(
+    _assigned(k)[_assigned(k).index(f"centre{k}"):] for k in _ALL_K if k > 2) + "\n" + "\nunion all\n".join(map(_silhouette_sql, _ALL_K)))
+def rfm_silhouette_given(spark, sf):
+    """Silhouettes of fixed centres, k = 2..8: the figures of ``rfm_silhouette`` for centres known in advance."""
+    return SG.rfm_silhouette_given(Star(spark, sf).fact_sales)
+
+
 # -- stock-out classifier ----------------------------------------------------------
 @query("stockout_train_test_split", f"""
 select *, case when (((product_id % 1073741824) * {CL.HASH_FACTOR} + {CL.SEED * CL.HASH_STEP}) % 4294967296) / 4294967296.0
