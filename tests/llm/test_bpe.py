@@ -74,3 +74,28 @@ def test_nulls_repeats_and_other_columns(saved, library):
 
 def test_empty_table(spark):
     assert bpe.round_trip(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
+
+
+def test_slices_cut_only_at_boundaries(codec, library, monkeypatch):
+    """Texts far longer than a slice, without boundaries for long, and special tokens at slices' ends."""
+    rng = random.Random(3)
+    alphabet = list("ab 1.,'\n\té中  　") + ["<|endoftext|>", "supercalifragilistic"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(400)) for _ in range(60)] + ["a" * 3000, " " * 700 + "x", "中" * 500]
+    for size in (8, 33, 256):
+        monkeypatch.setattr(bpe, "SLICE", size)
+        for t, mine in zip(texts, encode(codec, texts), strict=True):
+            assert mine == library.encode(t, add_special_tokens=False).ids, (size, t)
+
+
+def test_memo_is_bounded_in_bytes(codec, monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO_TOTAL", 2000)
+    encode(codec, [f"word{i} other{i}" for i in range(3000)])
+    encode(codec, ["x"])
+    assert sum(map(len, codec.memo)) + sum(map(len, codec.memo.values())) <= 2 * bpe.SLICE
+
+
+def test_clashing_names_give_way(saved):
+    df = saved([(1, "two words", "x", 5)], "doc_id long, text string, ids string, n_tokens int")
+    out = bpe.tokens(df, PATH)
+    assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
+    assert out.first().n_tokens == 2 and len(out.first().ids) == 2

@@ -113,3 +113,23 @@ def test_rare_languages_and_hot_texts_leave_the_sample_whole(spark):
     assert len(set(each["en"].tolist())) > 1 and len(set(each["es"].tolist())) == 1
     # each text counts once, however often it is repeated
     assert (model == L.train(records.distinct(), sample_texts=5)).all()
+
+
+def test_broken_markup_takes_linear_time(spark):
+    """Openings that never close: twice the page, less than three times the work."""
+    import time
+    for piece in ("<!-- ", "<script ", "<", "<html lang", "<style></"):
+        took = []
+        for n in (200_000, 400_000):
+            page = spark.createDataFrame([(1, "http://a.b/", piece * (n // len(piece)))], "page_id long, url string, html string")
+            L.pages_evidence(page).collect()
+            t = time.perf_counter()
+            L.pages_evidence(page).collect()
+            took.append(time.perf_counter() - t)
+        assert took[1] < 3 * max(took[0], 0.3), (piece, took)
+
+
+def test_unclosed_markup(spark):
+    rows = [(1, "a <b>c</b> d < e"), (2, "x <!-- y <p> z"), (3, "u <script> v </script > w <style> t")]
+    df = spark.createDataFrame([(i, "http://h/", h) for i, h in rows], "page_id long, url string, html string")
+    assert [" ".join(r.text.split()) for r in L.pages_evidence(df).orderBy("id").collect()] == ["a c d < e", "x", "u w"]

@@ -63,3 +63,10 @@ def test_stages_take_empty_tables(spark, docs):
     df = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, df, SF).count() == 0
+
+
+def test_a_column_named_like_a_helper_column(spark):
+    from tillroll.llm.common import without_ids
+    docs = spark.createDataFrame([(1, "a", 7), (2, "b", 8), (None, "c", 9)], "doc_id long, text string, gone_id int")
+    out = without_ids(docs, spark.createDataFrame([(2,), (None,)], "doc_id long"), "doc_id")
+    assert out.columns == docs.columns and sorted(r.text for r in out.collect()) == ["a", "c"]

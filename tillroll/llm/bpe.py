@@ -24,15 +24,18 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship_code
+from .common import ship_code, tidy
 
-#: Fragments remembered by a task, and the longest one worth remembering (bytes).
-MEMO_FRAGMENTS, MEMO_BYTES = 300_000, 48
-#: Texts encoded at a time.
-CHUNK = 512
+#: Fragments remembered by a worker, bytes that they and their ids may take, and the
+#: longest one worth remembering (bytes).
+MEMO_FRAGMENTS, MEMO_TOTAL, MEMO_BYTES = 150_000, 8 << 20, 48
+#: Characters of the texts encoded at a time (one text at least), bytes of a text cut into
+#: fragments at a time, ids of a text decoded at a time.
+CHUNK_CHARS, SLICE, IDS = 1 << 20, 1 << 18, 1 << 16
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -68,6 +71,7 @@ class Codec:
         self.split_special = re.compile(b"(" + b"|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))
                                         + b")").split if self.special else None
         self.memo: dict[bytes, bytes] = {}
+        self.memo_bytes = 0
 
     @staticmethod
     def _cut_table(tokens: Iterator[bytes]) -> np.ndarray:
@@ -81,45 +85,92 @@ class Codec:
         cut[:, 0x80:0xC0] = False  # inside a character
         return cut.reshape(-1)
 
-    def fragments(self, raw: bytes) -> list[bytes]:
-        """Cut ``raw`` (valid UTF-8) at its forced boundaries."""
+    def boundaries(self, raw: bytes) -> np.ndarray:
+        """Where ``raw`` (valid UTF-8) may be cut, its end included."""
         b = np.frombuffer(raw, dtype=np.uint8)
-        if len(b) < 2:
-            return [raw] if raw else []
+        if not len(b):
+            return np.zeros(0, np.int64)
         at = np.flatnonzero(self.cuts[(b[:-1].astype(np.uint16) << 8) | b[1:]])
         # multi-byte white space has a lead byte C2 (two bytes) or E1 to E3 (three)
         wide = at[b[at] >= 0x80]
         if len(wide):
             two, three = b[np.maximum(wide - 1, 0)], b[np.maximum(wide - 2, 0)]
             at = np.setdiff1d(at, wide[(two == 0xC2) | ((three >= 0xE1) & (three <= 0xE3))], assume_unique=True)
-        ends = (at + 1).tolist()
-        return [raw[i:j] for i, j in zip([0, *ends], [*ends, len(raw)], strict=True)]
+        return np.append(at + 1, len(b))
+
+    def fragments(self, raw: bytes) -> list[bytes]:
+        """Cut ``raw`` (valid UTF-8) at its forced boundaries."""
+        ends = self.boundaries(raw).tolist()
+        return [raw[i:j] for i, j in zip([0, *ends], ends)]
+
+    def _pieces(self, raw: bytes) -> Iterator[list[bytes]]:
+        """The fragments of a text in lists of about SLICE bytes, special tokens alone.
+        A list ends at a forced boundary, so nothing is cut elsewhere; only a text
+        without boundaries makes a longer one."""
+        for part in self.split_special(raw) if self.split_special else [raw]:
+            if part in self.special:
+                yield [part]
+                continue
+            low = 0
+            while low < len(part):
+                # a boundary needs two bytes before it and one behind: SLICE bytes and a margin tell
+                size = SLICE
+                while True:
+                    piece = part[low:low + size]
+                    ends = self.boundaries(piece)
+                    last = low + size >= len(part)
+                    ends = ends if last else ends[:-1]          # a slice's own end is no boundary
+                    if len(ends):
+                        break
+                    size *= 2
+                ends = ends.tolist()
+                yield [piece[i:j] for i, j in zip([0, *ends], ends)]
+                low += ends[-1]
 
     def _learn(self, missing: Sequence[bytes]) -> dict[bytes, bytes]:
         found = self.tokenizer.encode_batch([m.decode() for m in missing], add_special_tokens=False)
         return {m: np.array(e.ids, dtype=np.int32).tobytes() for m, e in zip(missing, found, strict=True)}
 
-    def encode(self, raws: Sequence[bytes]) -> list[bytes]:
-        """The ids of each text, as the bytes of an int32 array."""
-        pieces: list[list[bytes]] = []
-        for raw in raws:
-            parts = self.split_special(raw) if self.split_special else [raw]
-            if len(parts) == 1:
-                pieces.append(self.fragments(raw))
-            else:
-                pieces.append([f for p in parts for f in ([p] if p in self.special else self.fragments(p))])
+    def _ids(self, pieces: list[list[bytes]]) -> list[bytes]:
+        """The ids of each list of fragments."""
         memo = self.memo
         missing = list({f for p in pieces for f in p if f not in memo and f not in self.special})
         known = self._learn(missing) | {t: np.int32(i).tobytes() for t, i in self.special.items()}
         out = [b"".join([memo.get(f) or known[f] for f in p]) for p in pieces]
-        if len(memo) + len(known) > MEMO_FRAGMENTS:
+        new = {f: i for f, i in known.items() if len(f) <= MEMO_BYTES}
+        size = sum(map(len, new)) + sum(map(len, new.values()))
+        if len(memo) + len(new) > MEMO_FRAGMENTS or self.memo_bytes + size > MEMO_TOTAL:
             memo.clear()
-        memo.update((f, i) for f, i in known.items() if len(f) <= MEMO_BYTES)
+            self.memo_bytes = 0
+        memo.update(new)
+        self.memo_bytes += size
         return out
 
-    def decode(self, ids: Sequence[int]) -> str:
+    def encode(self, raws: Sequence[bytes]) -> list[bytes]:
+        """The ids of each text, as the bytes of an int32 array."""
+        out: list[list[bytes]] = [[] for _ in raws]
+        held: list[tuple[int, list[bytes]]] = []
+        size = 0
+
+        def flush():
+            for (k, _), ids in zip(held, self._ids([p for _, p in held]), strict=True):
+                out[k].append(ids)
+            held.clear()
+
+        for k, raw in enumerate(raws):
+            for piece in self._pieces(raw):
+                held.append((k, piece))
+                size += sum(map(len, piece))
+                if size > SLICE:
+                    flush()
+                    size = 0
+        flush()
+        return [b"".join(ids) for ids in out]
+
+    def decode(self, ids: Sequence[int] | np.ndarray) -> str:
         table = self.token_bytes
-        return b"".join([table[i] for i in ids]).decode("utf-8", "replace")
+        some = lambda at: np.asarray(ids[at:at + IDS]).tolist()
+        return b"".join([b"".join([table[i] for i in some(at)]) for at in range(0, len(ids), IDS)]).decode("utf-8", "replace")
 
 
 def _codec(text: str) -> Codec:
@@ -146,11 +197,13 @@ def _ids_array(done: list[bytes]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
 
 
-def _chunks(batches: Iterator[pa.Array]) -> Iterator[list]:
-    """The values of a column, CHUNK at a time."""
+def _chunks(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The texts of a column, about CHUNK_CHARS characters at a time."""
     for batch in batches:
-        for at in range(0, len(batch), CHUNK):
-            yield batch.slice(at, CHUNK).to_pylist()
+        sizes = pa.compute.coalesce(pa.compute.utf8_length(batch), 0).to_numpy(zero_copy_only=False)
+        lot = np.cumsum(sizes) // CHUNK_CHARS
+        for at in np.split(np.arange(len(batch)), np.flatnonzero(np.diff(lot)) + 1) if len(batch) else []:
+            yield batch.slice(at[0], len(at))
 
 
 def encoder(spark: SparkSession, path: str) -> Callable[[Column], Column]:
@@ -161,8 +214,11 @@ def encoder(spark: SparkSession, path: str) -> Callable[[Column], Column]:
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = _codec(file.value)
-        for texts in _chunks(batches):
-            yield _ids_array(codec.encode([(t or "").encode() for t in texts]))
+        def run(batches):
+            for texts in _chunks(batches):
+                yield _ids_array(codec.encode([(t or "").encode() for t in texts.to_pylist()]))
+
+        yield from tidy(run)(batches)
 
     return encode
 
@@ -175,8 +231,13 @@ def decoder(spark: SparkSession, path: str) -> Callable[[Column], Column]:
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = _codec(file.value)
-        for rows in _chunks(batches):
-            yield pa.array([codec.decode(ids or ()) for ids in rows], pa.string())
+        def run(batches):
+            for batch in batches:
+                for at in range(0, len(batch), 64):
+                    rows = batch.slice(at, 64)
+                    yield pa.array([codec.decode(ids.values.to_numpy(zero_copy_only=False) if ids.is_valid else ()) for ids in rows], pa.string())
+
+        yield from tidy(run)(batches)
 
     return decode
 
@@ -190,10 +251,13 @@ def both_ways(spark: SparkSession, path: str) -> Callable[[Column], Column]:
     @F.arrow_udf("struct<ids:array<int>,decoded:string>")
     def there_and_back(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = _codec(file.value)
-        for texts in _chunks(batches):
-            ids = codec.encode([(t or "").encode() for t in texts])
-            back = [codec.decode(np.frombuffer(i, dtype=np.int32).tolist()) for i in ids]
-            yield pa.StructArray.from_arrays([_ids_array(ids), pa.array(back, pa.string())], ["ids", "decoded"])
+        def run(batches):
+            for texts in _chunks(batches):
+                ids = codec.encode([(t or "").encode() for t in texts.to_pylist()])
+                back = [codec.decode(np.frombuffer(i, dtype=np.int32)) for i in ids]
+                yield pa.StructArray.from_arrays([_ids_array(ids), pa.array(back, pa.string())], ["ids", "decoded"])
+
+        yield from tidy(run)(batches)
 
     return there_and_back
 
@@ -227,10 +291,19 @@ def _digests(docs: DataFrame, path: str, text_col: str, keep: list[str]) -> Data
 
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode and decode every text: ``id_col``, n_tokens, ids_sha256, decoded_sha256."""
+    """Encode and decode every text: ``id_col``, n_tokens, ids_sha256, decoded_sha256.
+
+    One row per input row, repeated rows and null ids too; null texts are empty, and
+    an empty table gives an empty result.  Other columns are not read.
+    """
     return _digests(docs, path, text_col, [id_col]).drop("ids")
 
 
 def tokens(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
-    """``docs`` with its text replaced by n_tokens, ids_sha256, decoded_sha256 and ids."""
-    return _digests(docs, path, text_col, [c for c in docs.columns if c != text_col])
+    """``docs`` with its text replaced by n_tokens, ids_sha256, decoded_sha256 and ids.
+
+    Rows stay one by one, repeated ones too; null texts are empty.  A column of
+    ``docs`` that has one of the new names gives way to the new one.
+    """
+    new = ("n_tokens", "ids_sha256", "decoded_sha256", "ids")
+    return _digests(docs, path, text_col, [c for c in docs.columns if c != text_col and c not in new])

@@ -6,9 +6,13 @@ here once.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import uuid
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +31,26 @@ def ship_code(*modules: str) -> None:
         cloudpickle.register_pickle_by_value(sys.modules[name])
 
 
+def give_back() -> None:
+    """Return what a Python worker has freed to the system: workers are reused, and
+    what one stage leaves with them would add to the next one's peak."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)   # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterable], Iterator]) -> Callable[[Iterable], Iterator]:
+    """``run``, an iterator function of a Python worker, with ``give_back`` at its end."""
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return tidied
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` with a reliable checkpoint in the shared folder that
     ``spark.checkpoint.dir`` names; lost executors do not lose it."""
@@ -57,7 +81,7 @@ def small_side(ids: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
 def without_ids(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
     """``docs`` without the ids in ``gone`` (column ``id_col``).  Rows without an id stay."""
     out = cut(gone.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("gone_id")).distinct())
-    return docs.join(small_side(out, BROADCAST_IDS), docs[id_col] == F.col("gone_id"), "left_anti").select(*docs.columns)
+    return docs.join(small_side(out, BROADCAST_IDS), docs[id_col] == out["gone_id"], "left_anti")
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS, cut, ship_code, small_side
+from .common import BROADCAST_IDS, cut, ship_code, small_side, tidy
 
 #: Characters of a q-gram, of a window and between windows; edits allowed per character.
 Q, WINDOW, STRIDE, RATE = 8, 100, 50, 0.1
@@ -316,12 +316,15 @@ def leak_finders(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
 
         @F.arrow_udf(f"array<{LEAK}>")
         def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            searcher = Searcher(sent.value, rate)
-            for batch in batches:
-                found: list[list[dict]] = []
-                for at in range(0, len(batch), TEXTS):
-                    found += searcher.search([t or "" for t in batch.slice(at, TEXTS).to_pylist()])
-                yield pa.array(found, pa.list_(leak))
+            def run(batches):
+                searcher = Searcher(sent.value, rate)
+                for batch in batches:
+                    found: list[list[dict]] = []
+                    for at in range(0, len(batch), TEXTS):
+                        found += searcher.search([t or "" for t in batch.slice(at, TEXTS).to_pylist()])
+                    yield pa.array(found, pa.list_(leak))
+
+            yield from tidy(run)(batches)
 
         return find
 

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import partenum
-from .common import BROADCAST_IDS, BROADCAST_ROWS, cut, remove_folder, scratch_folder, ship_code, small_side, without_ids
+from .common import BROADCAST_IDS, BROADCAST_ROWS, cut, remove_folder, scratch_folder, ship_code, small_side, tidy, without_ids
 
 WORDS = 5
 #: Documents signed together; words remembered by a task.
@@ -198,7 +198,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         to = F.broadcast(to)
     sent = texts.join(to, "vertex").select("key", "lot", "vertex", "text")
     met = sent.repartition("key", "lot").sortWithinPartitions("key", "lot", F.col("vertex") != F.col("key"))
-    return cut(met.mapInArrow(_verify, "a long, b long"))
+    return cut(met.mapInArrow(tidy(_verify), "a long, b long"))
 
 
 def _may_link(x: str, y: str) -> Column:
@@ -308,7 +308,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     folder, kept = scratch_folder(spark, "partenum"), scratch_folder(spark, "partenum-texts")
     # vertices go by signature, whatever is paired already by pair, documents by themselves
     by = F.when(F.col("b").isNull(), F.col("sig")).otherwise(F.xxhash64("sig", "a", "b"))
-    slim.mapInArrow(_sign, _ROW).repartition(by).mapInArrow(_gather, _ROW).write.parquet(folder)
+    slim.mapInArrow(tidy(_sign), _ROW).repartition(by).mapInArrow(tidy(_gather), _ROW).write.parquet(folder)
     stream = spark.read.parquet(folder)
     members = cut(stream.filter("n >= 0").select(
         F.col("sig").alias("none"), F.col("a").alias("key"), F.col("b").alias("vertex"), "n"))

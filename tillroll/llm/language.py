@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import urls
-from .common import cut, ship_code, without_ids
+from .common import cut, ship_code, tidy, without_ids
 
 LANGUAGES = ("de", "en", "es", "fr")
 UND = "und"
@@ -80,8 +80,9 @@ def pages_evidence(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
                    html_col: str = "html") -> DataFrame:
     """Web pages as records; the markup is taken off the text."""
     html = F.coalesce(F.col(html_col), F.lit(""))
-    text = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
-    tag = F.regexp_extract(html, r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)", 1)
+    # an opening that never closes takes the rest with it (a plain < does not): no position is scanned twice
+    text = F.regexp_replace(html, r"(?is)<(script|style)\b.*?(?:</\1\s*>|\z)|<!--.*?(?:-->|\z)|<[^<>]*>", " ")
+    tag = F.regexp_extract(html, r"(?i)<html\b[^<>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)", 1)
     host, _ = urls.parts(F.col(url_col))
     labels = F.split(host, r"\.")
     return pages.select(F.col(id_col).alias("id"), text.alias("text"), declared_language(tag).alias("declared"),
@@ -113,7 +114,7 @@ def train(records: DataFrame, languages: Sequence[str] = LANGUAGES, sample_texts
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int64()),
                                               pa.array(s[at], pa.int64())], ["lang", "bucket", "n"])
 
-    counted = picked.select("text", "declared").mapInArrow(tally, "lang string, bucket long, n long")
+    counted = picked.select("text", "declared").mapInArrow(tidy(tally), "lang string, bucket long, n long")
     model = np.zeros((size, len(languages) + 1))
     for r in counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect():  # languages * buckets at most
         model[r.bucket, languages.index(r.lang)] = r.n
@@ -130,18 +131,21 @@ def text_evidence(records: DataFrame, model: np.ndarray) -> DataFrame:
 
     @F.arrow_udf("array<double>")
     def likely(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        table = sent.value
-        for batch in batches:
-            out: list[list[float]] = []
-            for at in range(0, len(batch), CHUNK):
-                for text in batch.slice(at, CHUNK).to_pylist():
-                    total, n = np.zeros(table.shape[1]), 0
-                    for b in buckets(text or ""):
-                        total += table[b].sum(axis=0, dtype=np.float64)
-                        n += len(b)
-                    weight = min(1.0, TEMPER / n) if n else 0.0
-                    out.append([float(n), *(total * weight).tolist()])
-            yield pa.array(out, pa.list_(pa.float64()))
+        def run(batches):
+            table = sent.value
+            for batch in batches:
+                out: list[list[float]] = []
+                for at in range(0, len(batch), CHUNK):
+                    for text in batch.slice(at, CHUNK).to_pylist():
+                        total, n = np.zeros(table.shape[1]), 0
+                        for b in buckets(text or ""):
+                            total += table[b].sum(axis=0, dtype=np.float64)
+                            n += len(b)
+                        weight = min(1.0, TEMPER / n) if n else 0.0
+                        out.append([float(n), *(total * weight).tolist()])
+                yield pa.array(out, pa.list_(pa.float64()))
+
+        yield from tidy(run)(batches)
 
     return records.withColumn("likely", likely("text")).drop("text")
 
