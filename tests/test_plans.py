@@ -56,3 +56,26 @@ def test_partitioned_fact_prunes_periods(spark):
     text = _formatted(q)
     assert "PartitionFilters: [isnotnull(year" in text and "(year#" in text
     assert q.count() > 0
+
+
+def test_calendar_queries_scan_the_fact_once(spark):
+    """One scan, counting what a checkpoint read."""
+    import __spark_entry__ as E
+    seen = []
+    frame = type(spark.range(1))
+    plain = frame.checkpoint
+
+    def checkpoint(self, eager=True):
+        seen.append(_plan(self))
+        return plain(self, eager)
+
+    for name in ("mom_ma3", "monthly_revenue", "quarterly_revenue", "ytd_mtd_running", "self_join_prior_year", "dense_rank_products"):
+        seen.clear()
+        frame.checkpoint = checkpoint
+        try:
+            out = E.queries()[name](spark, SF_SMALL)
+        finally:
+            frame.checkpoint = plain
+        plans = seen + [_plan(out)]
+        assert sum(p.count("l_shipdate") > 0 and "FileScan" in p or "lineitem.parquet" in p for p in plans) == 1, name
+        assert sum(line.count("lineitem.parquet") for p in plans for line in p.splitlines() if "FileScan" in line) == 1, name

@@ -45,11 +45,15 @@ def inventory_detail(inventory: DataFrame) -> DataFrame:
 
 
 def reorder_alerts_by_warehouse(fact_inventory: DataFrame, dim_warehouse: DataFrame) -> DataFrame:
-    j = fact_inventory.join(dim_warehouse, "warehouse_id")
-    return (j.groupBy("warehouse_name")
-             .agg(F.sum(F.when(_alert(), 1).otherwise(0)).cast("bigint").alias("alert_count"),
-                  F.round(safe_divide(F.avg("stock_level"), F.avg("reorder_level")), 2).alias("coverage_ratio"))
-             .orderBy(F.col("alert_count").desc()))
+    """Alerts and mean stock over mean reorder level: sums per warehouse id first, names last."""
+    ids = fact_inventory.groupBy("warehouse_id").agg(
+        F.count_if(_alert()).alias("_alerts"), F.sum("stock_level").alias("_s"), F.count("stock_level").alias("_sn"),
+        F.sum("reorder_level").alias("_r"), F.count("reorder_level").alias("_rn"))
+    mean = lambda total, n: safe_divide(F.sum(total).cast("double"), F.sum(n))
+    return (ids.join(dim_warehouse, "warehouse_id").groupBy("warehouse_name")
+               .agg(F.sum("_alerts").cast("bigint").alias("alert_count"),
+                    F.round(safe_divide(mean("_s", "_sn"), mean("_r", "_rn")), 2).alias("coverage_ratio"))
+               .orderBy(F.col("alert_count").desc()))
 
 
 def _alerts(fact_inventory: DataFrame, dim_product: DataFrame, dim_warehouse: DataFrame) -> DataFrame:

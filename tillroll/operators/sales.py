@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import money
+from ..functions import date_spine, money
+from ..session import ensure_checkpoint_dir
 from .ordered import top_k, with_scalars
 
 
@@ -32,6 +33,18 @@ def _per_day(sales: DataFrame) -> DataFrame:
         F.count("revenue").alias("revenue_n"))
 
 
+def _on_calendar(sales: DataFrame, dim_date: DataFrame | None) -> DataFrame:
+    """Daily totals with the calendar's columns.  Without a calendar the totals are
+    checkpointed, at most one row a day, and it runs over their years, so that the
+    fact is read once.  Sales without a date are on no calendar."""
+    d = _per_day(sales)
+    if dim_date is None:
+        ensure_checkpoint_dir(sales.sparkSession)
+        d = d.checkpoint(eager=True)
+        dim_date = date_spine(d, "sale_date")
+    return d.join(F.broadcast(dim_date), F.col("sale_date") == F.col("full_date"))
+
+
 def total_kpis(sales: DataFrame) -> DataFrame:
     return sales.agg(
         F.count_distinct("sale_id").alias("total_transactions"),
@@ -54,10 +67,9 @@ def total_kpis_profit(sales: DataFrame, product: DataFrame) -> DataFrame:
     return with_scalars(sold.agg(F.count_distinct("sale_id").alias("total_transactions")), sums)
 
 
-def monthly_revenue(sales: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Revenue and units by year, month, month name (dates on the calendar)."""
-    d = _per_day(sales).join(F.broadcast(dim_date), F.col("sale_date") == F.col("full_date"))
-    return (d.groupBy("year", "month", "month_name")
+def monthly_revenue(sales: DataFrame, dim_date: DataFrame | None = None) -> DataFrame:
+    """Revenue and units by year, month and month name."""
+    return (_on_calendar(sales, dim_date).groupBy("year", "month", "month_name")
              .agg(money(F.sum("revenue_sum")).alias("monthly_revenue"),
                   F.sum("units_sold").cast("bigint").alias("units_sold"))
              .orderBy("year", "month"))
@@ -73,9 +85,9 @@ def monthly_revenue_series(sales: DataFrame) -> DataFrame:
                  .agg(F.coalesce(F.sum("revenue"), F.lit(0)).cast("double").alias("revenue")))
 
 
-def quarterly_revenue(sales: DataFrame, dim_date: DataFrame) -> DataFrame:
-    d = _per_day(sales).join(F.broadcast(dim_date), F.col("sale_date") == F.col("full_date"))
-    return (d.groupBy("year", "quarter")
+def quarterly_revenue(sales: DataFrame, dim_date: DataFrame | None = None) -> DataFrame:
+    """Revenue and units by year and quarter."""
+    return (_on_calendar(sales, dim_date).groupBy("year", "quarter")
              .agg(money(F.sum("revenue_sum")).alias("quarterly_revenue"),
                   F.sum("units_sold").cast("bigint").alias("units_sold"))
              .orderBy("year", "quarter"))
@@ -148,12 +160,16 @@ def revenue_by_weekday(sales: DataFrame) -> DataFrame:
               .orderBy("weekday"))
 
 
-def revenue_by_quarter_year(sales: DataFrame, dim_date: DataFrame, years) -> DataFrame:
-    """Quarter rows, one revenue column per calendar year (clustered-bar data).
+def revenue_by_quarter_year(sales: DataFrame, years=None) -> DataFrame:
+    """Quarter rows, one revenue column per year (clustered-bar data).
 
-    ``years`` are the pivot values (the calendar's years), so the output
-    schema does not depend on the data and no extra job is needed to find them.
+    The days' totals are checkpointed, at most one row a day; ``years``, the pivot
+    values, are all years from their first to their last unless given.
     """
-    d = _per_day(sales).join(F.broadcast(dim_date), F.col("sale_date") == F.col("full_date"))
-    return (d.groupBy("quarter").pivot("year", list(years))
+    ensure_checkpoint_dir(sales.sparkSession)
+    d = _per_day(sales).where(F.col("sale_date").isNotNull()).withColumn("year", F.year("sale_date")).checkpoint(eager=True)
+    if years is None:
+        r = d.agg(F.min("year").alias("a"), F.max("year").alias("b")).first()
+        years = range(r.a, r.b + 1) if r.a is not None else ()
+    return (d.groupBy(F.quarter("sale_date").alias("quarter")).pivot("year", list(years))
              .agg(money(F.sum("revenue_sum"))))

@@ -13,8 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import safe_divide
-from .ordered import null_safe_join, with_scalars
+from ..functions import date_spine, safe_divide
+from ..session import ensure_checkpoint_dir
+from .ordered import with_scalars
 
 # Moving-average window, horizon, band, growth grid and path.
 MA_WINDOW = 3
@@ -34,16 +35,19 @@ def monthly_totals(sales: DataFrame, by: Sequence[str] = (), value: str = "reven
 def resample_month(sales: DataFrame, by: Sequence[str] = (), value: str = "revenue") -> DataFrame:
     """Month-end series with empty months filled with 0 (pandas ``resample('M')``).
 
-    The spine runs from each series' first to last month, generated from a
-    per-series min/max aggregate (calendar-sized per series).
+    Every month present is followed by the empty ones up to the next one present,
+    so the fact is aggregated once and nothing is joined.  The window sees one
+    row per month of a series.
     """
     by = list(by)
-    m = monthly_totals(sales, by, value)
-    span = m.groupBy(*by).agg(F.min("month").alias("_a"), F.max("month").alias("_b"))
-    spine = span.select(*by, F.explode(F.sequence("_a", "_b", F.expr("interval 1 month"))).alias("month"))
-    s = null_safe_join(spine, m, [*by, "month"], "left")
+    m = monthly_totals(sales, by, value).where(F.col("month").isNotNull())
+    after = F.lead("month").over(Window.partitionBy(*by).orderBy("month"))
+    until = F.coalesce(F.add_months(after, -1), F.col("month"))
+    s = m.withColumn("_each", until).select(*by, "_v", F.col("month").alias("_first"), F.explode(
+        F.sequence("month", "_each", F.expr("interval 1 month"))).alias("month"))
     return s.select(*by, F.last_day("month").alias("month_end"),
-                    F.coalesce(F.col("_v"), F.lit(0)).cast("double").alias(value))
+                    F.when(F.col("month") == F.col("_first"), F.coalesce(F.col("_v"), F.lit(0))).otherwise(F.lit(0))
+                    .cast("double").alias(value))
 
 
 def _w(by: Sequence[str], order: str = "month_end") -> Window:
@@ -77,10 +81,15 @@ def forecast_accuracy(sales: DataFrame, by: Sequence[str] = ()) -> DataFrame:
                          F.lit(100.0) - safe_divide(F.abs(err), F.col("revenue"), 0) * 100))
 
 
-def running_totals(sales: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Revenue YTD and MTD for every calendar day (TOTALYTD / TOTALMTD)."""
-    daily = sales.groupBy("sale_date").agg(F.sum("revenue").alias("_r"))
-    d = (dim_date.select("full_date", "year", "month")
+def running_totals(sales: DataFrame) -> DataFrame:
+    """Revenue YTD and MTD for every calendar day (TOTALYTD / TOTALMTD).
+
+    The days' totals are checkpointed, at most one row a day, and the calendar runs
+    over their years; the fact is read once.
+    """
+    ensure_checkpoint_dir(sales.sparkSession)
+    daily = sales.groupBy("sale_date").agg(F.sum("revenue").alias("_r")).checkpoint(eager=True)
+    d = (date_spine(daily, "sale_date").select("full_date", "year", "month")
          .join(daily, F.col("full_date") == F.col("sale_date"), "left")
          .select("full_date", "year", "month", F.coalesce("_r", F.lit(0)).alias("_r")))
     ytd = Window.partitionBy("year").orderBy("full_date").rowsBetween(Window.unboundedPreceding, 0)
@@ -93,13 +102,15 @@ def running_totals(sales: DataFrame, dim_date: DataFrame) -> DataFrame:
 def revenue_ly(sales: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Per month: revenue, same month one year earlier, YoY growth % (0 if no LY).
 
-    A left join on ``month - 12 months`` (not ``lag(12)``) so gaps in the
-    data cannot shift the comparison.
+    The earlier value is the one exactly twelve months before in a RANGE frame over
+    month numbers (not ``lag(12)``), so gaps in the data cannot shift the comparison
+    and the fact is aggregated once.
     """
     by = list(by)
     m = monthly_totals(sales, by)
-    ly = m.select(*by, F.add_months("month", MONTHS_PER_YEAR).alias("month"), F.col("_v").alias("_ly"))
-    j = m.join(ly, [*by, "month"], "left")
+    number = F.year("month") * MONTHS_PER_YEAR + F.month("month")
+    year_before = Window.partitionBy(*by).orderBy(number).rangeBetween(-MONTHS_PER_YEAR, -MONTHS_PER_YEAR)
+    j = m.withColumn("_ly", F.when(F.col("month").isNotNull(), F.max("_v").over(year_before)))
     rev, prev = F.col("_v").cast("double"), F.col("_ly").cast("double")
     return j.select(*by, "month", rev.alias("revenue"), prev.alias("revenue_ly"),
                     (safe_divide(rev - prev, prev, 0) * 100).alias("yoy_growth_pct"))

@@ -8,19 +8,16 @@ from .registry import query
 
 
 @query("abc_sql", """
-with product_revenue as (
-    select p.product_id, p.product_name, p.category, round(sum(s.revenue), 2) total_revenue
-    from fact_sales s join dim_product p on s.product_id = p.product_id
-    group by p.product_id, p.product_name, p.category),
-revenue_cumulative as (
-    select *, round(cast(sum(total_revenue) over (order by total_revenue desc, product_id
-                         rows between unbounded preceding and current row) as double)
-                    / cast(sum(total_revenue) over () as double) * 100, 2) cumulative_pct
-    from product_revenue)
-select product_id, product_name, category, cast(total_revenue as double) total_revenue, cumulative_pct,
-       case when cumulative_pct <= 80 then 'A — Star' when cumulative_pct <= 95 then 'B — Core'
-            else 'C — Long Tail' end abc_segment
-from revenue_cumulative""")
+with totals as (select product_id, round(sum(revenue), 2) earned from fact_sales group by product_id),
+known as (select product_id, product_name, category, earned, (select sum(earned) from totals semi join dim_product using (product_id)) everything
+          from totals join dim_product using (product_id)),
+-- what all lesser products earn together is still to come after this one
+share as (select *, round(cast(everything - coalesce(sum(earned) over (order by earned, product_id desc
+                                  rows between unbounded preceding and 1 preceding), 0) as double)
+                          / cast(everything as double) * 100, 2) reached from known)
+select product_id, product_name, category, cast(earned as double) total_revenue, reached cumulative_pct,
+       if(reached > 95, 'C — Long Tail', if(reached > 80, 'B — Core', 'A — Star')) abc_segment
+from share""")
 def abc_sql(spark, sf):
     st = Star(spark, sf)
     return A.abc_sql(st.fact_sales, st.dim_product)

@@ -34,24 +34,29 @@ def inventory_detail(spark, sf):
 
 
 @query("reorder_alerts_by_warehouse", """
-select w.warehouse_name, cast(sum(case when i.stock_level <= i.reorder_level then 1 else 0 end) as bigint) alert_count,
-       round(avg(i.stock_level) / avg(i.reorder_level), 2) coverage_ratio
-from fact_inventory i join dim_warehouse w on i.warehouse_id = w.warehouse_id
-group by w.warehouse_name order by alert_count desc""")
+with by_id as (select warehouse_id, count(*) filter (stock_level <= reorder_level) alerts, sum(stock_level) stock,
+                      count(stock_level) stocked, sum(reorder_level) wanted, count(reorder_level) levels
+               from fact_inventory group by warehouse_id)
+select warehouse_name, cast(sum(alerts) as bigint) alert_count,
+       round((sum(stock) / sum(stocked)) / (sum(wanted) / sum(levels)), 2) coverage_ratio
+from by_id join dim_warehouse using (warehouse_id) group by warehouse_name""")
 def reorder_alerts_by_warehouse(spark, sf):
     st = Star(spark, sf)
     return I.reorder_alerts_by_warehouse(st.fact_inventory, st.dim_warehouse)
 
 
-_ALERTS = """
-select p.product_name, p.category, w.warehouse_name, i.stock_level, i.reorder_level,
-       (i.reorder_level - i.stock_level) deficit
-from fact_inventory i join dim_product p on i.product_id = p.product_id
-join dim_warehouse w on i.warehouse_id = w.warehouse_id
-where i.stock_level <= i.reorder_level"""
+_DEFICITS = """
+with gap as (select product_id, warehouse_id, stock_level, reorder_level, reorder_level - stock_level deficit
+             from fact_inventory)
+select (select product_name from dim_product d where d.product_id = gap.product_id) product_name,
+       (select category from dim_product d where d.product_id = gap.product_id) category,
+       (select warehouse_name from dim_warehouse h where h.warehouse_id = gap.warehouse_id) warehouse_name,
+       stock_level, reorder_level, deficit
+from gap"""
+_ALERTS = _DEFICITS + " where deficit >= 0"
 
 
-@query("inventory_alerts", _ALERTS + " order by deficit desc, i.product_id, i.warehouse_id limit 20")
+@query("inventory_alerts", _ALERTS + " order by deficit desc, product_id, warehouse_id limit 20")
 def inventory_alerts(spark, sf):
     st = Star(spark, sf)
     return I.inventory_alerts(st.fact_inventory, st.dim_product, st.dim_warehouse, 20)
@@ -63,11 +68,11 @@ def v_inventory_alerts(spark, sf):
     return I.inventory_alerts(st.fact_inventory, st.dim_product, st.dim_warehouse, None)
 
 
-@query("join_three_way", _ALERTS.replace("where i.stock_level <= i.reorder_level", ""))
+@query("join_three_way", _DEFICITS)
 def join_three_way(spark, sf):
     st = Star(spark, sf)
     j = (st.fact_inventory.join(st.dim_product.select("product_id", "product_name", "category"), "product_id")
-         .join(F.broadcast(st.dim_warehouse), "warehouse_id"))
+         .join(st.dim_warehouse, "warehouse_id"))
     return j.select("product_name", "category", "warehouse_name", "stock_level", "reorder_level",
                     (F.col("reorder_level") - F.col("stock_level")).alias("deficit"))
 
@@ -90,7 +95,7 @@ def join_inventory_warehouse(spark, sf):
     """Join on differently named keys (warehouse = warehouse_name)."""
     st = Star(spark, sf)
     i, w = st.inventory, st.dim_warehouse
-    j = i.join(F.broadcast(w), i.warehouse == w.warehouse_name)  # region-based: 5 rows
+    j = i.join(w, i.warehouse == w.warehouse_name)
     return j.select("product_id", "warehouse", "warehouse_id", "stock_level", "reorder_level")
 
 

@@ -21,34 +21,41 @@ def join_sales_product(spark, sf):
                     F.col("price").cast("double").alias("price"))
 
 
-@query("total_kpis", """
-select count(distinct sale_id) total_transactions, cast(sum(quantity) as bigint) total_units_sold,
-       cast(round(sum(revenue), 2) as double) total_revenue,
-       round(avg(cast(revenue as double)), 2) avg_order_value
-from fact_sales""")
+_PER_PRODUCT = """per_product as (
+  select product_id, sum(quantity) q, sum(revenue) r, count(revenue) n from fact_sales group by product_id)"""
+_PER_DAY = """per_day as (
+  select sale_date, sum(revenue) r, sum(quantity) q from fact_sales where sale_date is not null group by sale_date)"""
+
+
+@query("total_kpis", f"""
+with {_PER_PRODUCT}, ids as (select sale_id from fact_sales where sale_id is not null group by sale_id)
+select (select count(*) from ids) total_transactions, cast(sum(q) as bigint) total_units_sold,
+       cast(round(sum(r), 2) as double) total_revenue, round(cast(sum(r) as double) / sum(n), 2) avg_order_value
+from per_product""")
 def total_kpis(spark, sf):
     return S.total_kpis(Star(spark, sf).fact_sales)
 
 
-@query("total_kpis_profit", """
-select count(distinct s.sale_id) total_transactions, cast(sum(s.quantity) as bigint) total_units_sold,
-       cast(round(sum(s.revenue), 2) as double) total_revenue,
-       round(avg(cast(s.revenue as double)), 2) avg_order_value,
-       cast(round(sum(s.revenue - s.quantity * p.cost), 2) as double) gross_profit
-from fact_sales s join dim_product p on s.product_id = p.product_id""")
+@query("total_kpis_profit", f"""
+with {_PER_PRODUCT},
+known as (select t.*, t.r - t.q * d.cost gain from per_product t join dim_product d using (product_id)),
+ids as (select sale_id from fact_sales where product_id in (select product_id from known) group by sale_id)
+select (select count(*) from ids) total_transactions, cast(sum(q) as bigint) total_units_sold,
+       cast(round(sum(r), 2) as double) total_revenue, round(cast(sum(r) as double) / sum(n), 2) avg_order_value,
+       cast(round(sum(gain), 2) as double) gross_profit
+from known""")
 def total_kpis_profit(spark, sf):
     st = Star(spark, sf)
     return S.total_kpis_profit(st.fact_sales, st.dim_product)
 
 
-@query("monthly_revenue", """
-select d.year, d.month, d.month_name, cast(round(sum(s.revenue), 2) as double) monthly_revenue,
-       cast(sum(s.quantity) as bigint) units_sold
-from fact_sales s join dim_date d on s.sale_date = d.full_date
-group by d.year, d.month, d.month_name order by d.year, d.month""")
+@query("monthly_revenue", f"""
+with {_PER_DAY}
+select cast(year(sale_date) as int) "year", cast(month(sale_date) as int) "month", strftime(sale_date, '%B') month_name,
+       cast(round(sum(r), 2) as double) monthly_revenue, cast(sum(q) as bigint) units_sold
+from per_day group by all""")
 def monthly_revenue(spark, sf):
-    st = Star(spark, sf)
-    return S.monthly_revenue(st.fact_sales, st.dim_date)
+    return S.monthly_revenue(Star(spark, sf).fact_sales)
 
 
 @query("monthly_revenue_series", """
@@ -58,53 +65,55 @@ def monthly_revenue_series(spark, sf):
     return S.monthly_revenue_series(Star(spark, sf).fact_sales)
 
 
-@query("quarterly_revenue", """
-select d.year, d.quarter, cast(round(sum(s.revenue), 2) as double) quarterly_revenue,
-       cast(sum(s.quantity) as bigint) units_sold
-from fact_sales s join dim_date d on s.sale_date = d.full_date
-group by d.year, d.quarter order by d.year, d.quarter""")
+@query("quarterly_revenue", f"""
+with {_PER_DAY}
+select cast(year(sale_date) as int) "year", cast(quarter(sale_date) as int) "quarter",
+       cast(round(sum(r), 2) as double) quarterly_revenue, cast(sum(q) as bigint) units_sold
+from per_day group by all""")
 def quarterly_revenue(spark, sf):
-    st = Star(spark, sf)
-    return S.quarterly_revenue(st.fact_sales, st.dim_date)
+    return S.quarterly_revenue(Star(spark, sf).fact_sales)
 
 
-_TOP_SQL = """
-select p.product_id, p.product_name, p.category, cast(sum(s.quantity) as bigint) units_sold,
-       cast(round(sum(s.revenue), 2) as double) total_revenue{rank}
-from fact_sales s join dim_product p on s.product_id = p.product_id
-group by p.product_id, p.product_name, p.category
-order by sum(s.revenue) {dir}, p.product_id limit {n}"""
+def _top_sql(n: int, way: str = "desc", rank: str = "") -> str:
+    """SQL: the ``n`` known products of the most (least) revenue, from each product's totals."""
+    return f"""
+with {_PER_PRODUCT},
+best as (select *{rank} from per_product semi join dim_product using (product_id) order by r {way}, product_id limit {n})
+select product_id, product_name, category, cast(q as bigint) units_sold, cast(round(r, 2) as double) total_revenue
+       {", revenue_rank" if rank else ""}
+from best join dim_product using (product_id)"""
 
 
-@query("top10_products", _TOP_SQL.format(rank="", dir="desc", n=10))
+@query("top10_products", _top_sql(10))
 def top10_products(spark, sf):
     st = Star(spark, sf)
     return S.top_products(st.fact_sales, st.dim_product, 10)
 
 
-@query("rank_products", _TOP_SQL.format(
-    rank=", cast(rank() over (order by sum(s.revenue) desc) as int) revenue_rank", dir="desc", n=10))
+@query("rank_products", _top_sql(
+    10, rank=", cast(rank() over (order by r desc) as int) revenue_rank"))
 def rank_products(spark, sf):
     st = Star(spark, sf)
     return S.top_products(st.fact_sales, st.dim_product, 10, with_rank=True)
 
 
-@query("bottom10_products", _TOP_SQL.format(rank="", dir="asc", n=10))
+@query("bottom10_products", _top_sql(10, "asc"))
 def bottom10_products(spark, sf):
     st = Star(spark, sf)
     return S.top_products(st.fact_sales, st.dim_product, 10, ascending=True)
 
 
-@query("top8_products", _TOP_SQL.format(rank="", dir="desc", n=8))
+@query("top8_products", _top_sql(8))
 def top8_products(spark, sf):
     st = Star(spark, sf)
     return S.top_products(st.fact_sales, st.dim_product, 8)
 
 
-@query("top_products_qty", """
-select p.product_name, cast(coalesce(sum(s.quantity), 0) as bigint) quantity
-from fact_sales s join dim_product p on s.product_id = p.product_id
-where p.product_name is not null group by p.product_name order by quantity desc, p.product_name limit 10""")
+@query("top_products_qty", f"""
+with {_PER_PRODUCT}
+select product_name, cast(sum(coalesce(q, 0)) as bigint) quantity
+from per_product join dim_product using (product_id) where product_name is not null
+group by product_name order by quantity desc, product_name limit 10""")
 def top_products_qty(spark, sf):
     st = Star(spark, sf)
     return S.top_products_qty(st.fact_sales, st.dim_product, 10)
@@ -119,12 +128,11 @@ def category_revenue(spark, sf):
     return S.category_revenue(st.fact_sales, st.dim_product)
 
 
-@query("category_performance", """
-select p.category, count(distinct p.product_id) product_count, cast(sum(s.quantity) as bigint) units_sold,
-       cast(round(sum(s.revenue), 2) as double) total_revenue,
-       round(cast(sum(s.revenue) as double) / count(s.revenue), 2) avg_sale_value
-from fact_sales s join dim_product p on s.product_id = p.product_id
-group by p.category order by total_revenue desc""")
+@query("category_performance", f"""
+with {_PER_PRODUCT}
+select category, count(*) product_count, cast(sum(q) as bigint) units_sold, cast(round(sum(r), 2) as double) total_revenue,
+       round(cast(sum(r) as double) / sum(n), 2) avg_sale_value
+from per_product join dim_product using (product_id) group by category""")
 def category_performance(spark, sf):
     st = Star(spark, sf)
     return S.category_performance(st.fact_sales, st.dim_product)
@@ -149,15 +157,12 @@ def revenue_by_weekday(spark, sf):
 
 
 def _quarter_year_sql() -> str:
-    cols = ", ".join(
-        f"cast(round(sum(case when d.year = {y} then s.revenue end), 2) as double) \"{y}\""
-        for y in SQL_YEARS)
+    cols = ", ".join(f"cast(round(sum(r) filter (year(sale_date) = {y}), 2) as double) \"{y}\"" for y in SQL_YEARS)
     return f"""
-select d.quarter, {cols}
-from fact_sales s join dim_date d on s.sale_date = d.full_date group by d.quarter"""
+with {_PER_DAY}
+select cast(quarter(sale_date) as int) "quarter", {cols} from per_day group by 1"""
 
 
 @query("revenue_by_quarter_year", _quarter_year_sql())
 def revenue_by_quarter_year(spark, sf):
-    st = Star(spark, sf)
-    return S.revenue_by_quarter_year(st.fact_sales, st.dim_date, st.years)
+    return S.revenue_by_quarter_year(Star(spark, sf).fact_sales)

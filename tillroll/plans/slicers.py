@@ -74,7 +74,7 @@ i as (select f.* from fact_inventory f join p on f.product_id = p.product_id)
 select cast(sum(revenue) as double) total_revenue, cast(sum(revenue - quantity * cost) as double) gross_profit,
        cast(sum(revenue - quantity * cost) as double) / cast(sum(revenue) as double) * 100 gross_margin_pct,
        (select count(distinct product_id) from i) total_skus,
-       (select count_if(stock_level <= reorder_level) from i) reorder_alert_count
+       (select count(*) from i where stock_level <= reorder_level) reorder_alert_count
 from s""")
 def slicer_category(spark, sf):
     """Sales and stock measures under the category slicer."""
@@ -90,7 +90,7 @@ with i as (select f.* from fact_inventory f join dim_warehouse w on f.warehouse_
            where w.warehouse_name = 'ASIA')
 select cast(sum(s.quantity) as bigint) total_units_sold, any_value(a.skus) total_skus, any_value(a.n) reorder_alert_count,
        any_value(a.n) * 100.0::double / any_value(a.skus) reorder_alert_pct
-from fact_sales s, (select count(distinct product_id) skus, count_if(stock_level <= reorder_level) n from i) a""")
+from fact_sales s, (select count(distinct product_id) skus, cast(count_if(stock_level <= reorder_level) as bigint) n from i) a""")
 def slicer_warehouse(spark, sf):
     """Stock measures under the warehouse slicer, which sales don't carry."""
     st = SlicedStar(spark, sf, warehouse="ASIA")

@@ -74,8 +74,7 @@ select full_date, cast(r as double) revenue,
 from c""")
 def ytd_mtd_running(spark, sf):
     """Revenue YTD / MTD for every calendar day."""
-    st = Star(spark, sf)
-    return T.running_totals(st.fact_sales, st.dim_date)
+    return T.running_totals(Star(spark, sf).fact_sales)
 
 
 _LY = """
@@ -88,7 +87,7 @@ from m a left join m b on b."month" + interval 12 month = a."month" """
 
 @query("self_join_prior_year", _LY)
 def self_join_prior_year(spark, sf):
-    """Revenue LY and YoY Growth % per month via a +12-month self join."""
+    """Revenue LY and YoY Growth % per month from the month exactly twelve before."""
     return T.revenue_ly(Star(spark, sf).fact_sales)
 
 

@@ -16,7 +16,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import date_attrs, dec
+from ..functions import date_spine, dec
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
@@ -189,18 +189,6 @@ class Star:
                     1).otherwise(0)))
 
 
-def date_spine(facts: DataFrame, date_col: str) -> DataFrame:
-    """Daily calendar with the ten date-dimension columns, from the first day of
-    the earliest year in ``date_col`` to the last day of the latest.  No dates,
-    no days.  Its size is bounded by the days in that range.
-    """
-    d = F.col(date_col)
-    span = facts.agg(F.year(F.min(d)).alias("a"), F.year(F.max(d)).alias("b"))
-    days = span.select(F.explode(F.sequence(F.make_date("a", F.lit(1), F.lit(1)), F.make_date("b", F.lit(12), F.lit(31)),
-                                            F.expr("interval 1 day"))).alias("full_date"))
-    return days.select("full_date", *[c.alias(n) for n, c in date_attrs("full_date").items()])
-
-
 # ---------------------------------------------------------------------------
 # DuckDB text of the same views, used by the oracle queries.
 VIEW_SQL: dict[str, str] = {
