@@ -9,12 +9,14 @@ comparisons against NULL are False, clipping keeps NULL, NaN becomes NULL.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import clip, null_false, safe_divide, standardize_columns, str_title
+from ..session import scratch_path
+from ..sources.files import sink_csv_counted
 from .ordered import exact_quantiles, null_safe_join, quantile_table, with_scalars
 
 # Fixed values of the cleaning step.
@@ -29,6 +31,20 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def deduplicated(df: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+    """Exact row dedup, written once: the distinct rows, and rows_before and rows_after.
+
+    Both counts come from the writing job, after the shuffle (copies are counted map-side
+    and summed), so they cost no scan of their own and a task that runs again after a
+    lost executor counts once.  What follows reads the written table, column by column.
+    """
+    watch, path = Observation(), scratch_path(df.sparkSession, "distinct-rows")
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
+    counted.observe(watch, F.coalesce(F.sum("__n"), F.lit(0)).alias("rows_before"),
+                    F.count(F.lit(1)).alias("rows_after")).drop("__n").write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), watch.get
+
+
 def coerce_int(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Strict integer cast: a bad value raises (ANSI cast), like ``astype(int)``."""
     return df.withColumns({c: F.col(c).cast("bigint") for c in cols})
@@ -152,8 +168,13 @@ def title_case(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 # -- composed table cleaners -----------------------------------------------------
+# Tables whose columns get medians or fences are written once after the dedup: the
+# passes over them then read single columns, not the raw table's shuffle again.
 def clean_products(raw: DataFrame) -> DataFrame:
-    df = drop_duplicates(standardize_columns(raw))
+    return _products(deduplicated(standardize_columns(raw))[0])
+
+
+def _products(df: DataFrame) -> DataFrame:
     df = coerce_numeric(coerce_int(df, ["product_id"]), ["cost", "price"])
     df = impute_median(df, ["cost", "price"])
     df = title_case(margin_cols(df), ["category"])
@@ -161,32 +182,60 @@ def clean_products(raw: DataFrame) -> DataFrame:
 
 
 def clean_suppliers(raw: DataFrame) -> DataFrame:
-    df = drop_duplicates(standardize_columns(raw))
+    return _suppliers(drop_duplicates(standardize_columns(raw)))
+
+
+def _suppliers(df: DataFrame) -> DataFrame:
     df = coerce_numeric(coerce_int(df, ["supplier_id"]), ["lead_time"])
     return long_lead_flag(title_case(df, ["location"]))
 
 
 def clean_inventory(raw: DataFrame) -> DataFrame:
-    df = drop_duplicates(standardize_columns(raw))
+    return _inventory(drop_duplicates(standardize_columns(raw)))
+
+
+def _inventory(df: DataFrame) -> DataFrame:
     df = coerce_numeric(coerce_int(df, ["product_id"]), ["stock_level", "reorder_level"])
     return needs_reorder(clip_lower(df, "stock_level", 0))
 
 
 def clean_orders(raw: DataFrame) -> DataFrame:
-    df = drop_duplicates(standardize_columns(raw))
+    return _orders(deduplicated(standardize_columns(raw))[0])
+
+
+def _orders(df: DataFrame) -> DataFrame:
     df = coerce_numeric(coerce_int(df, ["order_id"]), ["quantity"])
     df = filter_valid_orders(parse_dates(df, ["order_date", "delivery_date"]))
     return cap_outliers(fulfilment_days(df), "quantity")
 
 
 def clean_sales(raw: DataFrame) -> DataFrame:
-    df = drop_duplicates(standardize_columns(raw))
+    return _sales(deduplicated(standardize_columns(raw))[0])
+
+
+def _sales(df: DataFrame) -> DataFrame:
     df = coerce_numeric(coerce_int(df, ["sale_id"]), ["quantity", "revenue"])
     df = filter_positive_sales(parse_dates(df, ["sale_date"]))
     df = unit_price(sale_date_parts(df))
     return cap_outliers(df, "revenue")
 
 
+CLEANERS = {"products": _products, "suppliers": _suppliers, "inventory": _inventory, "orders": _orders, "sales": _sales}
+
+
+def clean_all(raws: Mapping[str, DataFrame], root: str) -> tuple[dict[str, str], list[tuple[str, int, int, int]]]:
+    """Clean raw tables and write each as CSV below ``root`` (``<table>_clean.csv``): the
+    paths, and for each table its rows before and after the dedup and rows written,
+    all counted by the jobs that did the work."""
+    paths, report = {}, []
+    for name, raw in raws.items():
+        rows, seen = deduplicated(standardize_columns(raw))
+        paths[name] = f"{root}/{name}_clean.csv"
+        written = sink_csv_counted(CLEANERS[name](rows), paths[name])
+        report.append((name, seen["rows_before"], seen["rows_after"], written))
+    return paths, report
+
+
 def orphans(fact: DataFrame, products: DataFrame, key: str = "product_id") -> DataFrame:
     """Fact rows whose product is unknown (NULL keys count as orphans)."""
     known = products.select(key).where(F.col(key).isNotNull()).distinct()

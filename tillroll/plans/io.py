@@ -5,8 +5,10 @@ model persistence.  Written data goes under the session's checkpoint folder
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import standardize_columns
@@ -78,7 +80,7 @@ def sink_replace_table(spark, sf):
     """fact_sales replaced as parquet partitioned by year/month and read back
     whole (period filters on it prune partitions: tests/test_plans.py)."""
     s = Star(spark, sf).fact_sales.withColumns({"year": F.year("sale_date"), "month": F.month("sale_date")})
-    path = IO.sink_replace_table(s, _root(spark, sf, "fact_sales_parquet"), ("year", "month"))
+    path = IO.replace_table(s, f"fact_sales_{uuid.uuid4().hex[:12]}", IO.output_root(spark), ("year", "month"))
     return spark.read.parquet(path).select(*s.columns)
 
 
@@ -91,10 +93,96 @@ def load_star(spark, sf):
     st = Star(spark, sf)
     names = ("dim_product", "dim_supplier", "dim_warehouse", "dim_date", "fact_sales", "fact_orders",
              "fact_inventory")
-    paths = IO.load_star({n: getattr(st, n) for n in names}, _root(spark, sf, "star"))
+    run = uuid.uuid4().hex[:12]
+    paths = IO.load_star({n: getattr(st, n) for n in names}, IO.output_root(spark, run), f"run_{run}_")
     return P.table_counts({n: spark.read.parquet(p) for n, p in paths.items()})
 
 
+def _raw_tables(st: Star) -> dict:
+    """The five raw tables, their columns as text under the raw headers."""
+    sources = {"products": st.raw_products, "suppliers": st.raw_suppliers, "inventory": st.raw_inventory,
+               "orders": st.raw_orders, "sales": st.raw_sales}
+    return {n: df.select(*[F.col(c).cast("string").alias(raw) for c, raw in zip(df.columns, IO.RAW_COLUMNS[n])])
+            for n, df in sources.items()}
+
+
+_RAW_FIELDS = {"products": "product_id, product_name, category, cost, price",
+               "suppliers": "supplier_id, supplier_name, lead_time, location",
+               "inventory": "product_id, warehouse, stock_level, reorder_level",
+               "orders": "order_id, product_id, order_date, delivery_date, quantity",
+               "sales": "sale_id, product_id, sale_date, quantity, revenue"}
+
+
+def _joined(fields: str) -> str:
+    return " || '|' || ".join(f"coalesce(cast({f.strip()} as varchar), '')" for f in fields.split(","))
+
+
+@query("scan_raw_csv_all", " union all ".join(
+    f"select '{n}' table_name, {_joined(f)} record from raw_{n}" for n, f in _RAW_FIELDS.items()))
+def scan_raw_csv_all(spark, sf):
+    """All five raw tables written as CSV and read back as text, one record a row."""
+    root = _root(spark, sf, "raw_csv")
+    for name, df in _raw_tables(Star(spark, sf)).items():
+        IO.sink_clean_csv(df, f"{root}/{name}.csv")
+    tables, _ = IO.scan_raw_all(spark, root)
+    parts = [df.select(F.lit(n).alias("table_name"), F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in df.columns])
+                       .alias("record")) for n, df in tables.items()]
+    return reduce(DataFrame.union, parts)
+
+
+_DAMAGED = """(select *, case when product_id % 5 = 0 then product_id || ',' || product_name
+        when product_id % 7 = 0 then product_id || ',' || product_name || ',' || category || ',1,2,3'
+        when product_id % 11 = 0 then product_id || ',"' || product_name || ',' || category || ',1,2' end damaged
+    from dim_product)"""
+
+
+@query("quarantine_csv", f"""
+select 'bad' kind, damaged record from {_DAMAGED} where damaged is not null
+union all
+select 'good', product_id || '|' || product_name || '|' || category || '|' || cost || '|' || price from {_DAMAGED}
+where damaged is null""")
+def quarantine_csv(spark, sf):
+    """Raw lines of which some are too short, too long or have an open quote: the good
+    records' fields, and the bad ones whole."""
+    k, name, kind = F.col("product_id"), F.col("product_name"), F.col("category")
+    line = (F.when(k % 5 == 0, F.concat_ws(",", k, name)).when(k % 7 == 0, F.concat(F.concat_ws(",", k, name, kind), F.lit(",1,2,3")))
+             .when(k % 11 == 0, F.concat(k, F.lit(',"'), F.concat_ws(",", name, kind), F.lit(",1,2")))
+             .otherwise(F.concat_ws(",", k, name, kind, "cost", "price")))
+    path = _root(spark, sf, "damaged_csv")
+    Star(spark, sf).dim_product.select(line.alias("value")).write.text(path)
+    good, bad = IO.split_raw_csv(spark, path, "products", header=False)
+    return bad.select(F.lit("bad").alias("kind"), "record").union(
+        good.select(F.lit("good"), F.concat_ws("|", *[F.col(c) for c in good.columns])))
+
+
+@query("clean_report", " union all ".join(f"""
+select '{n}' table_name, count(*) rows_before, (select count(*) from (select distinct * from raw_{n})) rows_after,
+       (select count(*) from (select distinct * from raw_{n}){where}) rows_written from raw_{n}""" for n, where in (
+    ("products", ""), ("suppliers", ""), ("inventory", ""), ("orders", " where delivery_date >= order_date"),
+    ("sales", " where revenue > 0 and quantity > 0"))))
+def clean_report(spark, sf):
+    """Every raw table cleaned and written as CSV; rows before and after the dedup and rows
+    written, as counted by those jobs."""
+    _, report = C.clean_all(_raw_tables(Star(spark, sf)), _root(spark, sf, "cleaned"))
+    return spark.createDataFrame(report, "table_name string, rows_before long, rows_after long, rows_written long")
+
+
+@query("scan_clean_csv_all", """
+select 'orders' table_name, cast(order_id as varchar) id, order_date "date", quantity from fact_orders_clean
+union all select 'sales', cast(sale_id as varchar), sale_date, quantity from fact_sales""")
+def scan_clean_csv_all(spark, sf):
+    """Cleaned tables written as CSV and all read back with their dates; those with dates are returned."""
+    st, root = Star(spark, sf), _root(spark, sf, "clean_csv")
+    tables = {"products": st.dim_product, "suppliers": st.dim_supplier, "inventory": st.inventory,
+              "orders": st.fact_orders_clean, "sales": st.fact_sales}
+    for n, df in tables.items():
+        IO.sink_clean_csv(df, f"{root}/{n}_clean.csv")
+    back = IO.scan_clean_all(spark, root, {n: df.schema for n, df in tables.items()})
+    o = back["orders"].select(F.lit("orders").alias("table_name"), F.col("order_id").cast("string").alias("id"),
+                              F.col("order_date").alias("date"), "quantity")
+    return o.union(back["sales"].select(F.lit("sales"), F.col("sale_id").cast("string"), "sale_date", "quantity"))
+
+
 @query("gen_date_spine", "select * from dim_date")
 def gen_date_spine(spark, sf):
     """Daily calendar with ten attributes (explode(sequence(start, end)))."""
