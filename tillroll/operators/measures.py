@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import null_false, safe_divide, status_flag
+from .distinct import distinct_count, distinct_states
 from .ordered import with_scalars
 
 # Fixed values of the KPI cards: (measure, green, amber, higher_is_better).
@@ -124,7 +125,8 @@ def best_month(sales: DataFrame) -> DataFrame:
 
 
 def total_skus(fact_inventory: DataFrame) -> DataFrame:
-    return fact_inventory.agg(F.count_distinct("product_id").alias("total_skus"))
+    """Distinct products in stock, as bitmaps."""
+    return distinct_count(distinct_states(fact_inventory, "product_id"), "total_skus")
 
 
 def reorder_alerts(fact_inventory: DataFrame, product: DataFrame | None = None, category: str | None = None,

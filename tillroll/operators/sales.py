@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import date_spine, money
 from ..session import ensure_checkpoint_dir
+from .distinct import distinct_count, distinct_states
 from .ordered import top_k, with_scalars
 
 
@@ -46,11 +47,12 @@ def _on_calendar(sales: DataFrame, dim_date: DataFrame | None) -> DataFrame:
 
 
 def total_kpis(sales: DataFrame) -> DataFrame:
-    return sales.agg(
-        F.count_distinct("sale_id").alias("total_transactions"),
+    """Transactions (distinct sale ids, as bitmaps: no id shuffles), units, revenue, mean revenue."""
+    sums = sales.agg(
         F.sum("quantity").cast("bigint").alias("total_units_sold"),
         money(F.sum("revenue")).alias("total_revenue"),
         F.round(F.avg(F.col("revenue").cast("double")), 2).alias("avg_order_value"))
+    return with_scalars(distinct_count(distinct_states(sales, "sale_id"), "total_transactions"), sums)
 
 
 def total_kpis_profit(sales: DataFrame, product: DataFrame) -> DataFrame:
@@ -64,7 +66,7 @@ def total_kpis_profit(sales: DataFrame, product: DataFrame) -> DataFrame:
                    F.round(F.sum("_rev").cast("double") / F.sum("_n"), 2).alias("avg_order_value"),
                    money(F.sum(F.col("_rev") - F.col("_qty") * F.col("cost"))).alias("gross_profit"))
     sold = sales.select("sale_id", "product_id").join(known.select("product_id"), "product_id", "left_semi")
-    return with_scalars(sold.agg(F.count_distinct("sale_id").alias("total_transactions")), sums)
+    return with_scalars(distinct_count(distinct_states(sold, "sale_id"), "total_transactions"), sums)
 
 
 def monthly_revenue(sales: DataFrame, dim_date: DataFrame | None = None) -> DataFrame:

@@ -7,10 +7,12 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import distinct as D
 from ..operators import inventory as I
 from ..operators import measures as M
 from ..operators import sales as S
 from ..operators import scorecard as SC
+from ..operators import slices as SL
 from ..operators import supplier as SU
 from ..operators.measures import slice_facts
 from ..operators.ordered import with_scalars
@@ -96,3 +98,40 @@ def slicer_warehouse(spark, sf):
     st = SlicedStar(spark, sf, warehouse="ASIA")
     out = with_scalars(S.total_kpis(st.fact_sales).select("total_units_sold"), M.total_skus(st.fact_inventory))
     return with_scalars(out, M.reorder_alerts(st.fact_inventory).select("reorder_alert_count", "reorder_alert_pct"))
+
+
+@query("slicer_table", """
+with s as (select f.*, p.category, p.cost from fact_sales f join dim_product p on f.product_id = p.product_id),
+i as (select f.*, p.category, w.warehouse_name from fact_inventory f join dim_product p on f.product_id = p.product_id
+      join dim_warehouse w on f.warehouse_id = w.warehouse_id),
+sold as (select grouping(category) g, category, count(distinct sale_id) n, sum(quantity) q, sum(revenue) r,
+                sum(revenue - quantity * cost) gain from s group by grouping sets ((category), ())),
+stock as (select grouping(category) g, grouping(warehouse_name) h, category, warehouse_name, count(distinct product_id) skus,
+                 cast(count_if(stock_level <= reorder_level) as bigint) alerts, avg(stock_level) / avg(reorder_level) coverage
+          from i group by cube (category, warehouse_name))
+select stock.g = 0 category_sliced, h = 0 warehouse_sliced, stock.category, warehouse_name, coalesce(n, 0) transactions,
+       cast(q as bigint) units_sold, cast(r as double) total_revenue, cast(gain as double) gross_profit,
+       coalesce(cast(gain as double) / nullif(cast(r as double), 0), 0) * 100 gross_margin_pct, skus total_skus,
+       alerts reorder_alert_count, alerts * 100.0::double / skus reorder_alert_pct, coverage avg_stock_coverage
+from stock left join sold on sold.g = stock.g and sold.category is not distinct from stock.category""")
+def slicer_table(spark, sf):
+    """All measures under every choice of the category and warehouse slicers, from one pass."""
+    st = Star(spark, sf)
+    return SL.slicer_table(st.fact_sales, st.dim_product, st.fact_inventory, st.dim_warehouse)
+
+
+_MONTH_CATEGORY = "from fact_sales s join dim_product p on s.product_id = p.product_id"
+
+
+@query("distinct_by_slice", f"""
+select 'all' slice, null::int "month", null::varchar category, count(distinct sale_id) transactions {_MONTH_CATEGORY}
+union all select 'month', cast(month(sale_date) as int), null, count(distinct sale_id) {_MONTH_CATEGORY} group by all
+union all select 'category', null, category, count(distinct sale_id) {_MONTH_CATEGORY} group by all""")
+def distinct_by_slice(spark, sf):
+    """Transactions of all sales, each calendar month and each category from one table of bitmaps."""
+    st = Star(spark, sf)
+    s = st.fact_sales.join(st.dim_product.select("product_id", "category"), "product_id").withColumn("month", F.month("sale_date"))
+    states = D.distinct_states(s, "sale_id", ["month", "category"])
+    counts = D.distinct_grouping_sets(states, "transactions", [(), ("month",), ("category",)])
+    names = F.array(F.lit("all"), F.lit("month"), F.lit("category"))
+    return counts.select(names[F.col("_set")].alias("slice"), "month", "category", "transactions")
