@@ -83,3 +83,33 @@ def test_forecast_from_other_cwd():
     out = subprocess.run([sys.executable, "-c", code], cwd="/", env=env, capture_output=True, text=True,
                          timeout=600)
     assert "rows " in out.stdout, out.stderr[-2000:]
+
+
+def test_seasons_are_found():
+    """Periods 4, 6, 12 and none are told apart, with trend and noise."""
+    right = {0: 0, 4: 0, 6: 0, 12: 0}
+    for k in range(25):
+        rng = np.random.default_rng(k)
+        t = np.arange(96)
+        for period in right:
+            wave = rng.normal(size=period) if period else np.zeros(1)
+            wave = 12 * (wave - wave.mean()) / max(wave.std(), 1e-9)
+            y = 200 + rng.uniform(-1, 1) * t + wave[t % len(wave)] + rng.normal(0, 5, len(t))
+            right[period] += FC.choose_season(y) == period
+    assert all(v >= 21 for v in right.values()), right
+
+
+def test_season_of_short_and_flat_series():
+    for y in (np.ones(40), np.arange(40.0), np.zeros(3), np.array([1.0, 2.0]), np.tile([1.0, 5.0], 2)):
+        season = FC.choose_season(y)
+        mean, se = FC._holt_winters(y, 6)
+        assert 0 <= season <= len(y) // 2 and np.isfinite(mean).all() and np.isfinite(se).all()
+    y = np.tile([1.0, 5.0, 2.0, 9.0], 10)
+    assert FC.choose_season(y) == 4 and np.allclose(FC._holt_winters(y, 4)[0], [1, 5, 2, 9], atol=0.2)
+
+
+def test_forecast_names_its_season(spark):
+    rows = [(f"{2015 + m // 12}-{m % 12 + 1:02d}-10", 100.0 + 30 * (m % 6 == 0) - 30 * (m % 6 == 3)) for m in range(72)]
+    df = spark.createDataFrame(rows, "d string, revenue double").selectExpr("to_date(d) sale_date", "revenue")
+    out = FC.series_forecast(df, [], "ets").orderBy("step").collect()
+    assert {r.season for r in out} == {6} and out[0].forecast > 120

@@ -9,8 +9,9 @@ Inside a group the fit is a few lines of numpy (no optional libraries):
   default): the conditional sum of squares of the differences is minimised,
   from Hannan-Rissanen estimates on; recursive forecasts, 95 % interval from
   the psi weights of the integrated model.
-* Holt-Winters (additive trend + additive season of 12 when at least two
-  seasons exist, otherwise Holt's linear trend): smoothing constants chosen
+* Holt-Winters with additive trend and season.  The season is found: peaks of the
+  detrended series' autocorrelation are its candidates, and the information
+  criterion compares their models with Holt's linear trend.  Smoothing constants are chosen
   by grid search on one-step squared error, all grid points at once; the
   interval has the additive model's own variance.
 """
@@ -33,12 +34,12 @@ from .timeseries import MA_WINDOW, resample_month
 # the package (numpy / pandas are imported there as usual).
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Horizon, interval z, season length, smoothing grid.
+# Horizon, interval z, longest season looked for, smoothing grid.
 PERIODS = 6
 Z95 = 1.959963984540054
-SEASON = 12
+LONGEST_SEASON = 24
 GRID = (0.1, 0.3, 0.5, 0.7, 0.9)
-OUT_SCHEMA = "step int, month_end date, forecast double, lower double, upper double, model string"
+OUT_SCHEMA = "step int, month_end date, forecast double, lower double, upper double, model string, season int"
 
 
 def _month_ends(last, periods: int):
@@ -110,35 +111,81 @@ def holt_winters_se(sigma: float, alpha: float, beta: float, gamma: float, perio
     return sigma * np.sqrt(1 + np.concatenate([[0.0], np.cumsum(c ** 2)]))
 
 
-def _holt_winters(y: np.ndarray, periods: int):
-    """Forecast mean and standard error; every grid point is a row of the state."""
+def candidate_seasons(y: np.ndarray, most: int = 3) -> list[int]:
+    """Periods worth a seasonal model: the highest significant peaks of the autocorrelation
+    of the detrended series, at lags of which two fit in, no more than LONGEST_SEASON."""
     n = len(y)
-    seasonal = n >= 2 * SEASON
-    grid = np.array([(a, b, g) for a in GRID for b in GRID for g in (GRID if seasonal else (0.0,))])
+    t = np.arange(n)
+    d = y - np.polyval(np.polyfit(t, y, 1), t) if n > 2 else y - y.mean()
+    power = float((d * d).sum())
+    longest = min(LONGEST_SEASON, n // 2)
+    if longest < 2 or power <= 1e-12 * max(float((y * y).sum()), 1e-300):
+        return []
+    r = np.array([float((d[k:] * d[:n - k]).sum()) / power for k in range(longest + 2)])
+    peaks = [k for k in range(2, longest + 1) if r[k] > Z95 / np.sqrt(n) and r[k] >= r[k - 1] and r[k] >= r[k + 1]]
+    return sorted(sorted(peaks, key=lambda k: -r[k])[:most])
+
+
+def _smoothed(y: np.ndarray, season: int, judged: int):
+    """Additive Holt-Winters with a season (0: none), every grid point a row of the state:
+    the best point's index, its squared error from ``judged`` on and in all, and the state."""
+    n = len(y)
+    grid = np.array([(a, b, g) for a in GRID for b in GRID for g in (GRID if season else (0.0,))])
     alpha, beta, gamma = grid.T
-    start = SEASON if seasonal else 1
-    if seasonal:
-        first, slope = y[:SEASON].mean(), (y[SEASON:2 * SEASON].mean() - y[:SEASON].mean()) / SEASON
-        at = np.arange(SEASON) - (SEASON - 1) / 2  # months from the middle of the first season
-        season = np.repeat((y[:SEASON] - first - slope * at)[None], len(grid), axis=0)
-        level = np.full(len(grid), first + slope * (SEASON - 1) / 2)  # at the season's end
+    if season:
+        first, slope = y[:season].mean(), (y[season:2 * season].mean() - y[:season].mean()) / season
+        at = np.arange(season) - (season - 1) / 2  # steps from the middle of the first season
+        part = np.repeat((y[:season] - first - slope * at)[None], len(grid), axis=0)
+        level = np.full(len(grid), first + slope * (season - 1) / 2)  # at the season's end
     else:
-        season = np.zeros((len(grid), 1))
-        level, slope = np.full(len(grid), y[0]), (y[1] - y[0] if n > 1 else 0.0)
-    trend, sse = np.full(len(grid), slope), np.zeros(len(grid))
-    for t in range(start, n):
-        s = season[:, t % SEASON] if seasonal else 0.0
-        sse += (y[t] - (level + trend + s)) ** 2
+        part = np.zeros((len(grid), 1))
+        m = min(n, 12)  # a line through the first year, so that one odd month is no trend
+        slope, first = np.polyfit(np.arange(m), y[:m], 1) if m > 1 else (0.0, y[0])
+        level = np.full(len(grid), first)
+    trend, sse, late = np.full(len(grid), slope), np.zeros(len(grid)), np.zeros(len(grid))
+    for t in range(season or 1, n):
+        s = part[:, t % season] if season else 0.0
+        error = (y[t] - (level + trend + s)) ** 2
+        sse += error
+        late += error if t >= judged else 0.0
         new = alpha * (y[t] - s) + (1 - alpha) * (level + trend)
         trend = beta * (new - level) + (1 - beta) * trend
-        if seasonal:
-            season[:, t % SEASON] = gamma * (y[t] - new) + (1 - gamma) * s
+        if season:
+            part[:, t % season] = gamma * (y[t] - new) + (1 - gamma) * s
         level = new
     b = int(sse.argmin())
-    sigma = np.sqrt(sse[b] / max(n - start, 1))
+    return grid[b], float(sse[b]), float(late[b]), level[b], trend[b], part[b]
+
+
+def choose_season(y: np.ndarray) -> int:
+    """The period of the additive model with the least corrected Akaike criterion, or 0 if the
+    model without a season has it.  All models are judged by the same months, those
+    after the longest candidate's first season."""
+    found = candidate_seasons(y)
+    if not found:
+        return 0
+    judged = max(found)
+    n = len(y) - judged
+
+    def criterion(season: int) -> float:
+        late = _smoothed(y, season, judged)[2]
+        k = 5 + (season if season else 0)              # smoothing, level, trend, variance; the season's states
+        scale = max(late / n, 1e-300)
+        return n * np.log(scale) + 2 * k + (2 * k * (k + 1) / (n - k - 1) if n > k + 1 else np.inf)
+
+    best = min([0, *found], key=criterion)
+    return best if np.isfinite(criterion(best)) else 0
+
+
+def _holt_winters(y: np.ndarray, periods: int, season: int | None = None):
+    """Forecast mean and standard error; the season is found unless given (0: none)."""
+    n = len(y)
+    season = choose_season(y) if season is None else season
+    point, sse, _, level, trend, part = _smoothed(y, season, 0)
+    sigma = np.sqrt(sse / max(n - (season or 1), 1))
     ahead = np.arange(1, periods + 1)
-    mean = level[b] + ahead * trend[b] + (season[b, (n + ahead - 1) % SEASON] if seasonal else 0.0)
-    return mean, holt_winters_se(sigma, *grid[b], periods, SEASON if seasonal else 0)
+    mean = level + ahead * trend + (part[(n + ahead - 1) % season] if season else 0.0)
+    return mean, holt_winters_se(sigma, *point, periods, season)
 
 
 def _series_forecaster(method: str, keys: Sequence[str], periods: int):
@@ -146,11 +193,12 @@ def _series_forecaster(method: str, keys: Sequence[str], periods: int):
         pdf = pdf.sort_values("month_end")
         y = pdf["revenue"].to_numpy(dtype=float)
         res = None
-        model = method
+        model, season = method, 0
         if method == "arima":
             res = _arima111(y, periods)
         if method == "ets" and len(y) >= 2:
-            res, model = _holt_winters(y, periods), "holt_winters"
+            season = choose_season(y)
+            res, model = _holt_winters(y, periods, season), "holt_winters"
         if res is None:  # too short for its model: the moving average, as wide as its months differ
             last = y[-MA_WINDOW:]
             res, model = (np.repeat(last.mean(), periods), np.repeat(last.std(), periods)), "moving_average"
@@ -158,7 +206,8 @@ def _series_forecaster(method: str, keys: Sequence[str], periods: int):
         out = pd.DataFrame({
             "step": np.arange(1, periods + 1, dtype="int32"),
             "month_end": _month_ends(pdf["month_end"].iloc[-1], periods),
-            "forecast": mean, "lower": mean - Z95 * se, "upper": mean + Z95 * se, "model": model})
+            "forecast": mean, "lower": mean - Z95 * se, "upper": mean + Z95 * se, "model": model,
+            "season": np.full(periods, season, dtype="int32")})
         for k in keys:
             out.insert(0, k, pdf[k].iloc[0])
         return out
