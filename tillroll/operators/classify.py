@@ -57,7 +57,8 @@ def fit_stockout(df: DataFrame, key: str = "product_id") -> tuple[PipelineModel,
 
 
 def stockout_report(df: DataFrame, key: str = "product_id") -> DataFrame:
-    """One row: train/test sizes and test accuracy (all computed on the cluster)."""
+    """One row: train/test sizes, test accuracy, stock-outs among the test rows and how many
+    of them were foreseen (all computed on the cluster)."""
     s = _split_once(df, key)
     model = stockout_pipeline().fit(s.where(F.col("split") == "train"))
     scored = model.transform(s)
@@ -65,4 +66,6 @@ def stockout_report(df: DataFrame, key: str = "product_id") -> DataFrame:
     return scored.agg(
         F.count_if(F.col("split") == "train").alias("n_train"),
         F.count_if(F.col("split") == "test").alias("n_test"),
-        (F.sum(F.when(F.col("split") == "test", hit)) / F.count_if(F.col("split") == "test")).alias("accuracy"))
+        (F.sum(F.when(F.col("split") == "test", hit)) / F.count_if(F.col("split") == "test")).alias("accuracy"),
+        F.count_if((F.col("split") == "test") & (F.col(LABEL) == 1)).alias("test_stockouts"),
+        F.count_if((F.col("split") == "test") & (F.col(LABEL) == 1) & (F.col("prediction") == 1)).alias("foreseen"))

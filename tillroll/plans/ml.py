@@ -10,6 +10,7 @@ from ..operators import classify as CL
 from ..operators import forecast as FC
 from ..operators import recommend as R
 from ..operators import segment as SG
+from ..operators import stock as ST
 from ..operators.ordered import top_k
 from ..sources.tpch import Star
 from .registry import query
@@ -215,6 +216,20 @@ def rfm_silhouette_given(spark, sf):
 
 
 # -- stock-out classifier ----------------------------------------------------------
+@query("stock_balance", """
+select product_id, "day", sold, arrived, cast(balance as bigint) balance, cast(lowest as bigint) lowest from stock_balance""")
+def stock_balance(spark, sf):
+    """Running balance and lowest balance so far of each product, by day with movements."""
+    st = Star(spark, sf)
+    return ST.stock_balance(st.fact_inventory, st.stock_movements)
+
+
+@query("stockout_features", "select * from stockout_features")
+def stockout_features(spark, sf):
+    """Features as of a date and the stock-out observed in the days after it."""
+    return Star(spark, sf).stockout_features
+
+
 @query("stockout_train_test_split", f"""
 select *, case when (((product_id % 1073741824) * {CL.HASH_FACTOR} + {CL.SEED * CL.HASH_STEP}) % 4294967296) / 4294967296.0
                < {CL.TEST_FRACTION} then 'test' else 'train' end split

@@ -173,20 +173,15 @@ class Star:
                 .select("product_id", F.col("warehouse_name").alias("warehouse"),
                         "stock_level", "reorder_level"))
 
+    @cached_property
+    def stock_movements(self) -> DataFrame:
+        from ..operators.stock import daily_movements
+        return daily_movements(self.fact_sales, self.fact_orders)
+
     @cached_property
     def stockout_features(self) -> DataFrame:
-        units = self.fact_sales.groupBy("product_id").agg(F.sum("quantity").alias("units"))
-        inv = self.fact_inventory
-        lead = (F.lit(2) + F.col("product_id") % 13).cast("int")
-        add = (F.coalesce(F.col("units").cast("double"), F.lit(0.0)) / F.lit(2557.0))
-        return (inv.join(units, "product_id", "left")
-                .select("product_id",
-                        F.col("stock_level").alias("current_stock"),
-                        lead.alias("lead_time"),
-                        add.alias("avg_daily_demand"))
-                .withColumn("stockout", F.when(
-                    F.col("current_stock") < F.lit(200) * F.col("lead_time") * F.col("avg_daily_demand"),
-                    1).otherwise(0)))
+        from ..operators.stock import stockout_features
+        return stockout_features(self.fact_inventory, self.fact_sales, self.fact_orders)
 
 
 # ---------------------------------------------------------------------------
@@ -243,13 +238,24 @@ VIEW_SQL: dict[str, str] = {
         "reorder_level from inventory"),
     "raw_inventory": (
         "select * from raw_inventory_once union all select * from raw_inventory_once where product_id % 37 = 0"),
+    "stock_movements": (
+        "select product_id, cast(d as date) as \"day\", cast(sum(sold) as bigint) sold, cast(sum(arrived) as bigint) arrived from ("
+        "select product_id, sale_date d, quantity sold, 0 arrived from fact_sales union all "
+        "select product_id, delivery_date + cast(2 + product_id % 13 as int), 0, quantity from fact_orders) "
+        "where product_id is not null and d is not null group by 1, 2"),
+    "stock_balance": (
+        "select *, least(opening, min(balance) over (partition by product_id order by \"day\")) lowest from ("
+        "select m.*, opening, opening + sum(arrived - sold) over (partition by m.product_id order by \"day\") balance "
+        "from stock_movements m join (select product_id, sum(stock_level) opening from fact_inventory group by 1) o "
+        "on m.product_id = o.product_id)"),
     "stockout_features": (
-        "select i.product_id, i.stock_level current_stock, cast(2 + i.product_id % 13 as int) lead_time, "
-        "coalesce(cast(u.units as double), 0.0) / 2557.0 avg_daily_demand, "
-        "case when i.stock_level < 200 * cast(2 + i.product_id % 13 as int) * "
-        "(coalesce(cast(u.units as double), 0.0) / 2557.0) then 1 else 0 end stockout "
-        "from fact_inventory i left join (select product_id, sum(quantity) units from fact_sales "
-        "group by product_id) u on i.product_id = u.product_id"),
+        "select o.product_id, cast(coalesce(arg_max(balance, \"day\") filter (\"day\" <= as_of), any_value(stock)) as bigint) current_stock, "
+        "cast(2 + o.product_id % 13 as int) lead_time, "
+        "cast(coalesce(sum(sold) filter (\"day\" <= as_of and \"day\" > as_of - 365), 0) as double) / 365.0 avg_daily_demand, "
+        "cast(coalesce(bool_or(balance < 0) filter (\"day\" > as_of and \"day\" <= as_of + 180), false) as int) stockout "
+        "from (select product_id, sum(stock_level) stock from fact_inventory group by 1) o "
+        "cross join (select max(sale_date) - 180 as_of from fact_sales) left join stock_balance b on o.product_id = b.product_id "
+        "group by o.product_id"),
     "dim_date": (
         "select cast(d as date) full_date, cast(strftime(d, '%Y%m%d') as int) date_key, "
         "cast(year(d) as int) \"year\", cast(quarter(d) as int) \"quarter\", cast(month(d) as int) \"month\", "
@@ -260,7 +266,7 @@ VIEW_SQL: dict[str, str] = {
 }
 
 VIEW_ORDER = ("dim_product", "dim_supplier", "dim_warehouse", "fact_sales", "dim_date", "fact_orders",
-              "fact_orders_clean", "fact_inventory", "inventory", "stockout_features",
+              "fact_orders_clean", "fact_inventory", "inventory", "stock_movements", "stock_balance", "stockout_features",
               "raw_sales_once", "raw_sales", "raw_orders_once", "raw_orders", "raw_products_once", "raw_products",
               "raw_suppliers_once", "raw_suppliers", "raw_inventory_once", "raw_inventory")
 
