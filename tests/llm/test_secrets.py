@@ -52,3 +52,26 @@ def test_own_rules_and_empty_table(spark, saved):
     found = S.scan(df, "id", "body", [S.Rule("n", r"needle\d+")]).filter("size(spans) > 0").collect()
     assert [r.id for r in found] == [1]
     assert S.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_linear_form_finds_the_same(spark):
+    import random
+    rng = random.Random(5)
+    rule = next(r for r in S.RULES if r.name == "jwt")
+    small = S.Rule("jwt", rule.pattern, 0, 1, linear=rule.linear)
+    for _ in range(20_000):
+        text = "".join(rng.choice(["eyJ", "eyJ", ".", ".", "a", "-", " ", "ey", "J", "é"]) for _ in range(rng.randint(0, 24)))
+        want = [(m.start(), 0, m.end()) for m in re.finditer(rule.pattern, text)]
+        assert S.scan_segment([text], [small]) == [want], text
+
+
+def test_hostile_texts_take_linear_time():
+    import time
+    for piece in ("eyJ", "eyJa.", "eyJa.eyJ", "token ", "-----BEGIN A ", "://a:", "xoxb-", "AKIA"):
+        took = []
+        for n in (150_000, 300_000):
+            text = piece * (n // len(piece))
+            t = time.perf_counter()
+            S.scan_segment([text], S.RULES)
+            took.append(time.perf_counter() - t)
+        assert took[1] < 3 * max(took[0], 0.05), (piece, took)

@@ -10,6 +10,7 @@ the last match ended, and repetitions are possessive.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -89,6 +90,8 @@ KINDS = (
 
 #: Characters before and after a span in which a context word counts, and what it adds to the score.
 CONTEXT_CHARS, CONTEXT_BONUS = 48, 0.15
+#: Matches folded over at a time.
+FOLD = 128
 
 
 def _cut_text(kind: Kind) -> tuple[Column, Column]:
@@ -99,15 +102,37 @@ def _cut_text(kind: Kind) -> tuple[Column, Column]:
             F.when(need, F.split(text, kind.pattern)).otherwise(none))
 
 
+def _folded(items: Column, state: dict[str, Column], step: Callable[[Column, Column], Column], kind: str) -> Column:
+    """The array that a fold over ``items`` appends to.
+
+    An array that grows inside a fold is copied at every step, so it is built in
+    blocks of ``FOLD``, and the blocks are gathered and flattened: many matches in
+    one text cost little more each than few.  ``step`` gets and returns a struct of
+    the fields of ``state`` and ``out``, an array of type ``kind``.
+    """
+    none = F.array().cast(f"array<{kind}>")
+    kept = lambda s: [s.getField(f).alias(f) for f in state]
+
+    def block(acc: Column, first: Column) -> Column:
+        one = F.aggregate(F.slice(items, first, FOLD), F.struct(*kept(acc), none.alias("out")), step)
+        # as a lambda's argument the block is worked out once, not once for each field
+        return F.transform(F.array(one), lambda x: F.struct(
+            *kept(x), F.array_append(acc.getField("done"), x.getField("out")).alias("done")))[0]
+
+    size = F.size(items)
+    firsts = F.when(size > 0, F.sequence(F.lit(1), size, F.lit(FOLD))).otherwise(F.array().cast("array<int>"))
+    begin = F.struct(*[c.alias(f) for f, c in state.items()], F.array().cast(f"array<array<{kind}>>").alias("done"))
+    return F.flatten(F.aggregate(firsts, begin, block, lambda acc: acc.getField("done")))
+
+
+SPAN = "struct<start:int,ord:int,kind:string,end:int,score:double>"
+
+
 def _spans(kind: Kind, order: int) -> Column:
     """Spans (start, order, kind, end, score) of a kind, failing matches dropped."""
     hits = F.col(f"hit_{kind.name}")
-    walked = F.aggregate(
-        F.when(F.size(hits) > 0, F.sequence(F.lit(1), F.size(hits))).otherwise(F.array().cast("array<int>")),
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), F.array().cast(
-            "array<struct<start:int,ord:int,kind:string,end:int,score:double>>").alias("spans")),
-        lambda acc, i: _step(kind, order, acc, i))
-    return walked.getField("spans")
+    numbers = F.when(F.size(hits) > 0, F.sequence(F.lit(1), F.size(hits))).otherwise(F.array().cast("array<int>"))
+    return _folded(numbers, {"at": F.lit(0), "tail": F.lit("")}, lambda acc, i: _step(kind, order, acc, i), SPAN)
 
 
 def _blank(hit: Column) -> Column:
@@ -130,8 +155,8 @@ def _step(kind: Kind, order: int, acc: Column, i: Column) -> Column:
     span = F.struct(begin.alias("start"), F.lit(order).alias("ord"), F.lit(kind.name).alias("kind"),
                     end.alias("end"), score.cast("double").alias("score"))
     return F.struct(end.alias("at"), F.concat(before, _blank(hit)).alias("tail"),
-                    F.when(kind.valid(hit), F.array_append(acc.getField("spans"), span))
-                    .otherwise(acc.getField("spans")).alias("spans"))
+                    F.when(kind.valid(hit), F.array_append(acc.getField("out"), span))
+                    .otherwise(acc.getField("out")).alias("out"))
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -142,7 +167,8 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     also beyond other matches of the kind, whose own text holds no context.
     Offsets are code points, end exclusive.  Matches of one kind don't overlap;
     matches of two kinds may.  Null or empty text has no spans; null ids and
-    repeated rows pass through as they are; other columns are not read.
+    repeated rows pass through as they are; an empty table gives an empty result;
+    other columns are not read.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     pieces = {k: _cut_text(k) for k in KINDS}
@@ -177,12 +203,13 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_
     work = docs.select(F.struct(*docs.columns).alias("row"), text.alias("text"))
     found = find(work, "row", "text").select("row", F.filter("spans", lambda s: s["score"] >= min_score).alias("spans"))
     body = F.coalesce(F.col("row").getField(text_col), F.lit(""))
-    out = F.aggregate(
-        "spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda a, s: F.when(s["start"] < a["at"], a).otherwise(F.struct(
-            s["end"].alias("at"),
-            F.concat(a["out"], F.substring(body, a["at"] + 1, s["start"] - a["at"]),
-                     F.lit("<"), s["kind"], F.lit(">")).alias("out"))),
-        lambda a: F.concat(a["out"], F.substring(body, a["at"] + 1, F.length(body))))
+    # the spans that begin in no earlier one, then the text before each with its kind, then the rest
+    kept = _folded(F.col("spans"), {"at": F.lit(0)}, lambda a, s: F.when(s["start"] < a["at"], a).otherwise(F.struct(
+        s["end"].alias("at"), F.array_append(a["out"], F.struct(a["at"].alias("from"), s["start"].alias("to"), s["end"], s["kind"]))
+        .alias("out"))), "struct<from:int,to:int,end:int,kind:string>")
+    found = found.withColumn("kept", kept)
+    pieces = F.transform("kept", lambda k: F.concat(F.substring(body, k["from"] + 1, k["to"] - k["from"]), F.lit("<"), k["kind"], F.lit(">")))
+    rest = F.coalesce(F.element_at(F.transform("kept", lambda k: k["end"]), F.when(F.size("kept") > 0, -1)), F.lit(0))
+    out = F.concat(F.array_join(pieces, ""), F.substring(body, rest + 1, F.length(body)))
     return found.select(F.col("row"), out.alias("new")).select(
         *[(F.col("new") if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns])

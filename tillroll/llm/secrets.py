@@ -33,13 +33,16 @@ MAX_STRINGS, MAX_CHOICES = 64, 8
 @dataclass(frozen=True)
 class Rule:
     """A kind of secret: matches of ``pattern`` whose ``group`` has at least
-    ``least`` characters.  Base rules come first in span order."""
+    ``least`` characters.  Base rules come first in span order.  ``linear`` gives
+    the same matches, as its group 1, where searching ``pattern`` itself would
+    scan a run anew from many starts."""
 
     name: str
     pattern: str
     group: int = 0
     least: int = 1
     base: bool = False
+    linear: str = ""
 
 
 #: In the order in which spans with the same start are listed.  The first three are the base.
@@ -51,7 +54,10 @@ RULES = (
     Rule("pem", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]+", 0, 40),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", 0, 15),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 36),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 36,
+         # a run is entered at its start only, and only if all that must follow it does
+         linear=r"(?<![A-Za-z0-9_-])(?=[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-])[A-Za-z0-9_-]*?"
+                r"(eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)"),
     Rule("stripe", r"sk_live_[A-Za-z0-9]+", 0, 24),
     Rule("google", r"AIza[A-Za-z0-9_-]+", 0, 39),
     Rule("login", r"://[^/\s:@]{1,256}:[^/\s:@]{1,256}@"),
@@ -155,11 +161,11 @@ def scan_segment(texts: Sequence[str], rules: Sequence[Rule]) -> list[list[tuple
     index = Index(texts, sorted(set().union(*(g for q in queries for g in q))))
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     for k, (rule, query) in enumerate(zip(rules, queries, strict=True)):
-        regex = re.compile(rule.pattern)
+        regex, whole, group = re.compile(rule.linear or rule.pattern), int(bool(rule.linear)), 1 if rule.linear else rule.group
         for i in index.candidates(query):
             for m in regex.finditer(texts[i]):
-                if m.end(rule.group) - m.start(rule.group) >= rule.least:
-                    out[i].append((m.start(), k, m.end()))
+                if m.end(group) - m.start(group) >= rule.least:
+                    out[i].append((m.start(whole), k, m.end(whole)))
     return [sorted(x) for x in out]
 
 
