@@ -34,7 +34,7 @@ SHORT, SHORT_STRIDE = 50, 10
 #: Characters of the benchmark that a task holds at a time.
 BLOCK_CHARS = 1_000_000
 #: Characters of documents examined together in a task, and texts taken from a batch at a time.
-CHUNK_CHARS, TEXTS = 1 << 20, 1024
+CHUNK_CHARS, TEXTS = 1 << 19, 256
 SLOT_BITS = 22
 #: No code point; diagonals of a unit (those of a long window's band at least) and counters of units.
 OUTSIDE, UNIT, COUNTER_BITS = 0x110000, 2 * (WINDOW // 10 + 1), 20

@@ -38,8 +38,9 @@ from . import partenum
 from .common import BROADCAST_IDS, BROADCAST_ROWS, cut, remove_folder, scratch_folder, ship_code, small_side, tidy, without_ids
 
 WORDS = 5
-#: Documents signed together; words remembered by a task.
-CHUNK, MEMO_WORDS = 1024, 500_000
+#: Documents signed together; words remembered by a task; shares of a partition's signatures
+#: that are sorted one after another; texts verified at a time.
+CHUNK, MEMO_WORDS, SHARES, TEXTS = 1024, 100_000, 16, 128
 #: Partners of one vertex verified together.
 PARTNERS = 256
 #: Fewest words of 64 parity bits in a sketch (they double until there are two bits for each
@@ -130,7 +131,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, CHUNK):
             part = batch.slice(at, CHUNK)
-            sets = [shingler.shingles(t) for t in part.column(2).to_pylist()]
+            sets = [shingler.shingles(t.as_py()) for t in part.column(2)]
             vertex = partenum.digest(sets).view(np.int64)
             sizes = np.array([len(s) for s in sets], dtype=np.int32)
             vertex = np.where(sizes > 0, vertex, 0)
@@ -156,18 +157,23 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.filter(pa.array(~single))
         keys.append(batch.column(0).to_numpy(zero_copy_only=False)[single])
         vertices.append(batch.column(1).to_numpy(zero_copy_only=False)[single])
-    if keys:
-        _, _, key, centre, vertex = _pairs_by_key(np.concatenate(keys).astype(np.int64),
-                                                  np.concatenate(vertices).astype(np.int64))
-        for at in range(0, len(key), 1 << 16):
-            yield _rows(key[at:at + (1 << 16)], centre[at:at + (1 << 16)], vertex[at:at + (1 << 16)])
+    if not keys:
+        return
+    key, vertex = (np.concatenate(c).astype(np.int64, copy=False) for c in (keys, vertices))
+    del keys, vertices
+    share = (key % SHARES).astype(np.int8)
+    for n in range(SHARES):                        # all rows of a key are in one share
+        mine = share == n
+        _, _, k, centre, other = _pairs_by_key(key[mine], vertex[mine])
+        for at in range(0, len(k), 1 << 15):
+            yield _rows(k[at:at + (1 << 15)], centre[at:at + (1 << 15)], other[at:at + (1 << 15)])
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (key, lot, vertex, text) sorted by (key, lot, not the key itself): pairs
     (key, vertex) that are similar enough.  Holds one set and one batch at a time."""
     shingler, held, centre = Shingler(), None, np.zeros(0, np.uint64)
-    for batch in batches:
+    for batch in (b.slice(at, TEXTS) for b in batches for at in range(0, b.num_rows, TEXTS)):
         a, b = [], []
         for key, lot, vertex, text in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
             own = shingler.shingles(text)
