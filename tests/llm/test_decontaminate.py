@@ -169,3 +169,41 @@ def test_a_block_bounds_memory():
     held = sum(x.nbytes for x in vars(searcher).values() if isinstance(x, D.np.ndarray))
     held += sum(x.nbytes for x in searcher.letters.values()) - searcher.slots.nbytes
     assert held * 20 < 250e6
+
+
+def test_repetitive_texts_and_items_match_plain_distances():
+    """Rulers, tables and stutters in items and texts: found exactly where a window is within its edits."""
+    rng = random.Random(9)
+    def piece():
+        kind = rng.randrange(5)
+        if kind == 4:
+            return "".join(rng.choice("abcdefgh ") for _ in range(rng.randint(5, 60)))
+        return ["-", "=-", "ab ", "#"][kind] * rng.randint(3, 60)
+
+    for _ in range(12):
+        items = [(k, "".join(piece() for _ in range(rng.randint(1, 3)))[:120].ljust(10, "x")) for k in range(4)]
+        searcher = D.Searcher(items)
+        for _ in range(4):
+            base = list((piece() + rng.choice(items)[1] + piece())[:160])
+            for _ in range(rng.randint(0, 9)):
+                base[rng.randrange(len(base))] = rng.choice("-=ab#z ")
+            doc = "".join(base)
+            found = {x["item_id"] for x in searcher.search([doc])[0]}
+            for k, text in items:
+                near = any(distance(text[a:b], doc) <= D.edits_allowed(b - a) for a, b in D.cuts(len(text)))
+                assert (k in found) == near, (text, doc)
+
+
+def test_long_runs_stay_within_memory_and_time():
+    import time
+    import tracemalloc
+    searcher = D.Searcher([(1, "-" * 400), (2, "=-" * 200), (3, "-" * 60 + "some words between the rulers of a table" + "-" * 60)])
+    tracemalloc.start()
+    began = time.perf_counter()
+    for piece in ("-", "=-"):
+        found = searcher.search([piece * (240_000 // len(piece))])[0]
+        whole = [x for x in found if x["item_id"] == len(piece)]
+        assert [(x["start"], x["end"]) for x in whole] == [(0, 240_000)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400 << 20 and time.perf_counter() - began < 120, (peak, time.perf_counter() - began)

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,9 @@ CHUNK_CHARS, TEXTS = 1 << 19, 256
 SLOT_BITS = 22
 #: No code point; diagonals of a unit (those of a long window's band at least) and counters of units.
 OUTSIDE, UNIT, COUNTER_BITS = 0x110000, 2 * (WINDOW // 10 + 1), 20
+#: A q-gram that some window holds more often is repetitive, and fewest other q-grams that
+#: the ordinary search of a window needs; pairs and bands that are looked at together.
+OFTEN, LEAST, PAIRS, BANDS = 3, 3, 2_000_000, 200_000
 #: Most windows of an item that hold the same q-gram.
 COVER = WINDOW // STRIDE + SHORT // SHORT_STRIDE + 2
 #: Bits for a start in an alignment's values; regions aligned together, and looked at together before
@@ -171,6 +175,7 @@ class Searcher:
             self.letters[m] = np.stack([self.windows[x] for x in same], axis=1)
             self.place[same] = np.arange(len(same))
         grams = [gram_hashes(c) for c in whole]
+        self._set_apart(whole, grams, covers)
         all_grams = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
         order = np.argsort(all_grams, kind="stable")
         self.grams = all_grams[order]
@@ -178,9 +183,84 @@ class Searcher:
         self.offset = np.concatenate([np.arange(len(g), dtype=np.int32) for g in grams])[order] if grams else order
         self.covers = np.concatenate(covers)[order] if covers else np.zeros((0, COVER), np.int32)
         self.longest = max(map(len, whole), default=0)
+        if len(self.often):                        # repetitive q-grams are not looked up
+            rare = ~np.isin(self.grams, self.often)
+            self.grams, self.of_item, self.offset, self.covers = (x[rare] for x in (self.grams, self.of_item, self.offset, self.covers))
         self.slots = np.zeros(1 << SLOT_BITS, dtype=bool)
         self.slots[self._slot(self.grams)] = True
 
+    def _set_apart(self, whole: list[np.ndarray], grams: list[np.ndarray], covers: list[np.ndarray]) -> None:
+        """Repetitive q-grams (``often``) would pair every repetition in a text with every one
+        in an item, so they are left out of the search.  A stretch that shares ``least``
+        q-grams with a window shares as many without them less those that the window
+        has, and ``least`` is lowered by that.  Windows that would be left with fewer than
+        LEAST are ``apart``: for these the q-grams' positions alone are counted, and
+        windows of one text count once (``like``: the windows that a window stands for)."""
+        doubtful = [n for n, g in enumerate(grams) if len(g) and np.unique(g, return_counts=True)[1].max() > OFTEN]
+        number = np.cumsum([0, *(len(cuts(len(c))) for c in whole)])
+        spans = {n: [(int(number[n]) + k, at, to + 1 - Q) for k, (at, to) in enumerate(cuts(len(whole[n])))] for n in doubtful}
+        found = [np.zeros(0, np.uint64)]
+        for n in doubtful:
+            for _, at, to in spans[n]:
+                g, times = np.unique(grams[n][at:to], return_counts=True)
+                found.append(g[times > OFTEN])
+        self.often = np.unique(np.concatenate(found))
+        self.like: dict[int, list[int]] = {}
+        self.apart: list[tuple[int, np.ndarray]] = []       # a window and its distinct q-grams
+        first: dict[bytes, int] = {}
+        for n, g in enumerate(grams if len(self.often) else []):
+            held = np.isin(g, self.often)
+            if not held.any():
+                continue
+            upto = np.concatenate([[0], np.cumsum(held)])
+            for k, (at, end) in enumerate(cuts(len(whole[n]))):
+                w, to = int(number[n]) + k, end + 1 - Q
+                many = int(upto[to] - upto[at])
+                if not many:
+                    continue
+                if self.least[w] - many >= LEAST:
+                    self.least[w] -= many
+                    continue
+                covers[n][covers[n] == w] = -1
+                own = first.setdefault(self.windows[w].tobytes(), w)
+                self.like.setdefault(own, []).append(w)
+                if own == w:
+                    self.apart.append((w, np.unique(g[at:to])))
+        self.known = np.unique(np.concatenate([np.zeros(0, np.uint64), *(g for _, g in self.apart)]))
+
+    def _bands_apart(self, c: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Window and lowest diagonal of the bands in whose stretch of text enough positions
+        hold one of the window's q-grams, for the windows set apart."""
+        if not self.apart or len(c) < Q:
+            return
+        h = gram_hashes(c)
+        place = np.minimum(np.searchsorted(self.known, h), len(self.known) - 1)
+        at = np.flatnonzero(self.known[place] == h)
+        if not len(at):
+            return
+        place = place[at]
+        windows, lows, held = [], [], 0
+        for w, g in self.apart:
+            if len(at) < self.least[w]:
+                continue
+            mine = np.zeros(len(self.known), dtype=bool)
+            mine[np.searchsorted(self.known, g)] = True
+            marks = at[mine[place]]
+            if len(marks) < self.least[w]:
+                continue
+            step = self.edits[w] + 1
+            low = np.arange((int(marks[0]) - 2 * step - self.length[w]) // step, int(marks[-1]) // step + 1) * step
+            n = np.searchsorted(marks, low + 2 * step + self.length[w] - Q, "right") - np.searchsorted(marks, low)
+            low = low[n >= self.least[w]]
+            windows.append(np.full(len(low), w))
+            lows.append(low)
+            held += len(low)
+            if held > BANDS:
+                yield np.concatenate(windows), np.concatenate(lows)
+                windows, lows, held = [], [], 0
+        if held:
+            yield np.concatenate(windows), np.concatenate(lows)
+
     @staticmethod
     def _slot(h: np.ndarray) -> np.ndarray:
         return (h * np.uint64(0xD1342543DE82EF95)) >> np.uint64(64 - SLOT_BITS)
@@ -192,19 +272,34 @@ class Searcher:
         first = np.searchsorted(self.grams, h[at], "left")
         count = np.searchsorted(self.grams, h[at], "right") - first
         at, first, count = at[count > 0], first[count > 0], count[count > 0]
-        entry = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
-        diagonal = np.repeat(at, count) - self.offset[entry]
         # a region's diagonals lie in two neighbouring units of an item; units that share a
         # counter only keep more
-        unit = (diagonal + self.longest) // UNIT + self.of_item[entry].astype(np.int64) * 0x9E3779B1
         size = 1 << COUNTER_BITS
-        n = np.bincount(unit % size, minlength=size)
+        n = np.zeros(size, dtype=np.int64)
+        ends = np.flatnonzero(np.diff(np.cumsum(count) // PAIRS)) + 1
+        slices = list(zip([0, *ends], [*ends, len(at)]))
+
+        def pairs(low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            k = count[low:high]
+            entry = np.repeat(first[low:high] - np.cumsum(k) + k, k) + np.arange(k.sum())
+            diagonal = np.repeat(at[low:high], k) - self.offset[entry]
+            unit = (diagonal + self.longest) // UNIT + self.of_item[entry].astype(np.int64) * 0x9E3779B1
+            return entry, diagonal, unit % size
+
+        for low, high in slices:
+            n += np.bincount(pairs(low, high)[2], minlength=size)
         two = n + np.roll(n, -1)
-        keep = np.maximum(two, np.roll(two, 1))[unit % size] >= self.least.min(initial=1 << 30)
-        held = self.covers[entry[keep]]
-        row, column = np.nonzero(held >= 0)
-        window = held[row, column].astype(np.int64)
-        return window, diagonal[keep][row] + self.begin[window]
+        enough = np.maximum(two, np.roll(two, 1)) >= self.least.min(initial=1 << 30)
+        windows, diagonals = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for low, high in slices:
+            entry, diagonal, unit = pairs(low, high)
+            keep = enough[unit]
+            held = self.covers[entry[keep]]
+            row, column = np.nonzero(held >= 0)
+            window = held[row, column].astype(np.int64)
+            windows.append(window)
+            diagonals.append(diagonal[keep][row] + self.begin[window])
+        return np.concatenate(windows), np.concatenate(diagonals)
 
     def regions(self, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Window and lowest diagonal of the bands that share enough q-grams.
@@ -231,7 +326,13 @@ class Searcher:
         gap = np.full(2 * WINDOW, OUTSIDE, dtype=np.uint32)
         starts = np.cumsum([0, *(len(c) + len(gap) for c in pieces)])
         joined = np.concatenate([x for c in pieces for x in (c, gap)])
-        window, low = self.regions(joined)
+        for window, low in chain([self.regions(joined)], self._bands_apart(joined)):
+            yield from self._aligned(joined, starts, pieces, window, low)
+        yield from self._short(pieces)
+
+    def _aligned(self, joined: np.ndarray, starts: np.ndarray, pieces: list[np.ndarray], window: np.ndarray,
+                 low: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+        """The spans that alignment of some bands finds."""
         for m in np.unique(self.length[window]):
             group = np.flatnonzero(self.length[window] == m)
             for at in range(0, len(group), ALIGNED):
@@ -248,8 +349,11 @@ class Searcher:
                 # by the end: a stretch that lacks a window's first characters may start in the gap before
                 piece = np.searchsorted(starts, end - 1, "right") - 1
                 for x, k, i, j, n in zip(w[ok], piece[ok], start[ok], end[ok], edits[ok], strict=True):
-                    yield (int(k), self.item[x], int(max(i - starts[k], 0)),
-                           int(min(j - starts[k], len(pieces[k]))), int(n))
+                    for item in dict.fromkeys(self.item[y] for y in self.like.get(int(x), [x])):
+                        yield (int(k), item, int(max(i - starts[k], 0)), int(min(j - starts[k], len(pieces[k]))), int(n))
+
+    def _short(self, pieces: list[np.ndarray]) -> Iterator[tuple[int, int, int, int, int]]:
+        """Items too short for a q-gram."""
         for item, short in self.exact:  # too short for a q-gram: looked for as they are, as whole words or texts
             part, wordy = short.astype("<u4").tobytes(), any(map(_wordy, short))
             for k, c in enumerate(pieces):
