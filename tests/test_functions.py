@@ -33,3 +33,10 @@ def test_status_flag(spark):
     lo = [r[0] for r in df.select(status_flag("v", 7, 10, False)).collect()]
     assert hi == [1, 2, 3, 2]      # BLANK compares as 0
     assert lo == [2, 1, 1, 1]
+
+
+def test_title_case_with_acronyms(spark):
+    from tillroll.functions import str_title
+    df = spark.createDataFrame([("usa east",), ("Usage of uSa-uk",), (None,)], "t string")
+    assert [r[0] for r in df.select(str_title("t", ["USA", "UK"])).collect()] == ["USA East", "Usage Of USA-UK", None]
+    assert [r[0] for r in df.select(str_title("t")).collect()] == ["Usa East", "Usage Of Usa-Uk", None]

@@ -49,3 +49,15 @@ def test_stockouts_occur_in_the_star(spark):
     f = Star(spark, SF_SMALL).stockout_features
     n, out = f.agg(F.count("*"), F.sum("stockout")).first()
     assert n > 0 and 0 < out < n / 2
+
+
+def test_a_saved_model_scores_as_the_fitted_one(spark, tmp_path):
+    from pyspark.ml import PipelineModel
+    from tillroll.operators import classify as CL
+    rows = [(i, (i * 37) % 100, i % 13 + 2, (i % 17) / 3.0, int((i * 37) % 100 < 3 * (i % 17))) for i in range(400)]
+    df = spark.createDataFrame(rows, "product_id long, current_stock long, lead_time int, avg_daily_demand double, stockout int")
+    model = CL.stockout_pipeline(n_trees=5, max_depth=6).fit(df)
+    model.write().save(str(tmp_path / "m"))
+    score = lambda m: sorted((r.product_id, r.prediction, tuple(r.probability)) for r in m.transform(df).collect())
+    assert score(PipelineModel.load(str(tmp_path / "m"))) == score(model)
+    assert {p for _, p, _ in score(model)} == {0.0, 1.0}

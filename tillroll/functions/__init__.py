@@ -56,14 +56,23 @@ def null_false(pred: Column) -> Column:
     return F.coalesce(pred, F.lit(False))
 
 
-def str_title(c: ColumnOrName) -> Column:
+def str_title(c: ColumnOrName, acronyms: Iterable[str] = ()) -> Column:
     """Python ``str.title()``: every letter run that follows a non-letter
     starts upper case, the rest lower (``hi-fi o'neil`` -> ``Hi-Fi O'Neil``).
     ``initcap`` only splits on spaces, so split into letter / non-letter runs
-    (Unicode letters, ``\\p{L}``) and capitalise each run."""
+    (Unicode letters, ``\\p{L}``) and capitalise each run.  A run that is one of
+    ``acronyms``, in whatever case, is written as it is listed (``usa`` -> ``USA``)."""
     parts = F.regexp_extract_all(F.lower(col(c)), F.lit(r"(\p{L}+|[^\p{L}]+)"), 1)
-    caps = F.transform(parts, lambda y: F.concat(F.upper(F.substring(y, 1, 1)), F.substring(y, 2, 1 << 30)))
-    return F.when(col(c).isNotNull(), F.array_join(caps, ""))
+    known = {a.lower(): a for a in acronyms}
+
+    def written(y: Column) -> Column:
+        title = F.concat(F.upper(F.substring(y, 1, 1)), F.substring(y, 2, 1 << 30))
+        out = title
+        for low, own in known.items():
+            out = F.when(y == low, own).otherwise(out)
+        return out
+
+    return F.when(col(c).isNotNull(), F.array_join(F.transform(parts, written), ""))
 
 
 def standardize_name(name: str) -> str:

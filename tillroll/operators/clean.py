@@ -163,8 +163,8 @@ def sale_date_parts(df: DataFrame, date_col: str = "sale_date") -> DataFrame:
                            "quarter": F.quarter(d), "week": F.weekofyear(d)})
 
 
-def title_case(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.withColumns({c: str_title(c) for c in cols})
+def title_case(df: DataFrame, cols: Sequence[str], acronyms: Sequence[str] = ()) -> DataFrame:
+    return df.withColumns({c: str_title(c, acronyms) for c in cols})
 
 
 # -- composed table cleaners -----------------------------------------------------

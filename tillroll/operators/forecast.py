@@ -85,13 +85,17 @@ def fit_arima111(y: np.ndarray) -> tuple[float, float, float] | None:
     return float(best[0]), float(best[1]), least / (n - 1)
 
 
-def _arima111(y: np.ndarray, periods: int):
-    """Forecast mean and standard error of ARIMA(1,1,1)."""
-    fitted = fit_arima111(y)
+def _arima111(y: np.ndarray, periods: int, given: tuple[float, float] | None = None):
+    """Forecast mean and standard error of ARIMA(1,1,1), fitted or with ``given``
+    coefficients (phi, theta)."""
+    d = np.diff(y)
+    if given is None:
+        fitted = fit_arima111(y)
+    else:
+        fitted = (*given, float((_css(d, *given) ** 2).sum()) / (len(d) - 1)) if len(d) >= 2 else None
     if fitted is None:
         return None
     phi, theta, sigma2 = fitted
-    d = np.diff(y)
     last = _css(d, phi, theta)[-1]
     steps = [phi * d[-1] + theta * last]
     for _ in range(1, periods):
@@ -188,14 +192,14 @@ def _holt_winters(y: np.ndarray, periods: int, season: int | None = None):
     return mean, holt_winters_se(sigma, *point, periods, season)
 
 
-def _series_forecaster(method: str, keys: Sequence[str], periods: int):
+def _series_forecaster(method: str, keys: Sequence[str], periods: int, given: tuple[float, float] | None):
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("month_end")
         y = pdf["revenue"].to_numpy(dtype=float)
         res = None
         model, season = method, 0
         if method == "arima":
-            res = _arima111(y, periods)
+            res = _arima111(y, periods, given)
         if method == "ets" and len(y) >= 2:
             season = choose_season(y)
             res, model = _holt_winters(y, periods, season), "holt_winters"
@@ -215,9 +219,10 @@ def _series_forecaster(method: str, keys: Sequence[str], periods: int):
 
 
 def series_forecast(sales: DataFrame, by: Sequence[str], method: str = "arima",
-                    periods: int = PERIODS) -> DataFrame:
-    """Forecast the next ``periods`` month ends of every series in ``by``."""
+                    periods: int = PERIODS, given: tuple[float, float] | None = None) -> DataFrame:
+    """Forecast the next ``periods`` month ends of every series in ``by``; ``given`` ARIMA
+    coefficients are used instead of fitted ones."""
     series = resample_month(sales, by)
     key_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in series.schema if f.name in by)
     schema = (key_schema + ", " if key_schema else "") + OUT_SCHEMA
-    return series.groupBy(*by).applyInPandas(_series_forecaster(method, list(by), periods), schema)
+    return series.groupBy(*by).applyInPandas(_series_forecaster(method, list(by), periods, given), schema)

@@ -120,6 +120,15 @@ def similarity_matrix(spark, sf):
     return R.similarity_matrix(Star(spark, sf).fact_orders_clean, 50)
 
 
+@query("similarity_cosine", f"""with {_TOP50}, days as (select product_id, count(*) n from pd group by 1),
+sim as (select product_a, product_b, cnt / sqrt(cast(a.n as double) * b.n) similarity from cooc
+        join days a on a.product_id = product_a join days b on b.product_id = product_b)
+select product_a, product_b, similarity from sim union all select product_b, product_a, similarity from sim""")
+def similarity_cosine(spark, sf):
+    """Cosine similarity of the top products' order dates."""
+    return R.similarity_matrix(Star(spark, sf).fact_orders_clean, 50, measure="cosine")
+
+
 @query("recommend", f"""with {_TOP50},
 sym as (select product_a, product_b, cnt from cooc union all select product_b, product_a, cnt from cooc),
 cand as (select t1.product_id, t2.product_id partner_id, coalesce(s.cnt, 0) score
@@ -255,6 +264,38 @@ def arima_forecast(spark, sf):
     return FC.series_forecast(_by_category(Star(spark, sf)), ["category"], "arima")
 
 
+_GIVEN = (0.4, -0.3)
+
+
+@query("arima_given", f"""
+with recursive m as (
+  select p.category, cast(date_trunc('month', sale_date) as date) "month", sum(revenue) v
+  from fact_sales s join dim_product p on s.product_id = p.product_id group by 1, 2),
+spine as (select category, cast(unnest(generate_series(min("month"), max("month"), interval 1 month)) as date) "month"
+          from m group by 1),
+y as (select category, "month", cast(coalesce(v, 0) as double) y, row_number() over (partition by category order by "month") t
+      from spine left join m using (category, "month")),
+d as (select category, t - 1 t, "month", y, y - lag(y) over w d from y window w as (partition by category order by t) qualify t > 1),
+-- innovations, one after the other
+a as (select category, 1::bigint t, d, 0.0::double e from d where t = 1
+      union all select d.category, d.t, d.d, d.d - {_GIVEN[0]} * a.d - ({_GIVEN[1]}) * a.e
+      from a join d on d.category = a.category and d.t = a.t + 1),
+ends as (select category, arg_max(d, t) d, arg_max(e, t) e, sum(e * e) / (count(*) - 1) s2 from a group by category),
+last as (select category, arg_max(y, t) y, max("month") "month" from d group by category),
+h as (select unnest(range(1, {FC.PERIODS + 1})) step),
+psi as (select step, 1 + ({_GIVEN[0]} + ({_GIVEN[1]})) * coalesce(list_sum(list_transform(range(0, step - 1), lambda j: pow({_GIVEN[0]}, j))), 0) total from h),
+f as (select category, step, last_day(cast("month" + to_months(cast(step as int)) as date)) month_end,
+             y + ({_GIVEN[0]} * d + ({_GIVEN[1]}) * e) * list_sum(list_transform(range(0, step), lambda j: pow({_GIVEN[0]}, j))) forecast,
+             sqrt(s2 * (select sum(total * total) from psi where psi.step <= h.step)) se
+      from ends join last using (category), h)
+select category, cast(step as int) step, month_end, round(forecast, 2) forecast, round(forecast - {FC.Z95} * se, 2) lower,
+       round(forecast + {FC.Z95} * se, 2) upper, 'arima' model, 0 season from f""")
+def arima_given(spark, sf):
+    """The recursion of ``arima_forecast`` with given coefficients, to the cent."""
+    out = FC.series_forecast(_by_category(Star(spark, sf)), ["category"], "arima", given=_GIVEN)
+    return out.withColumns({c: F.round(c, 2) for c in ("forecast", "lower", "upper")})
+
+
 @query("ets_forecast")
 def ets_forecast(spark, sf):
     """Additive Holt-Winters, 6 months, 95 % interval, one model per category."""

@@ -292,6 +292,7 @@ def with_views(sql: str) -> str:
         return sql
     ctes = ",\n".join(f"{n} AS ({VIEW_SQL[n]})" for n in needed)
     body = sql.strip()
-    if re.match(r"(?is)^with\s", body):
-        return f"WITH {ctes},\n{body[4:].lstrip()}"
+    own = re.match(r"(?is)^with\s+(recursive\s+)?", body)
+    if own:
+        return f"WITH {own[1] or ''}{ctes},\n{body[own.end():]}"
     return f"WITH {ctes}\n{body}"
