@@ -72,3 +72,19 @@ def test_null_and_tied_turns_are_cut_by_rows(saved):
         mine = [r for r in rows if (r.conv_id, r.speaker) == key]
         assert "".join(r.dialogue for r in mine) == one.dialogue
         assert ",".join(r.mask for r in mine if r.mask) == one.mask
+
+
+def test_sql_agrees_on_long_and_odd_dialogues(spark):
+    import duckdb
+    rows = [(1, 600 + k // 3, "abc"[k % 3], f"said <| {k}") for k in range(1300)]       # turn numbers repeat, three parts
+    rows += [(2, t, "only", "x") for t in (600, 601, 3)] + [(3, None, None, None), (3, 1, "a\nb", "é👍"), (None, 1, "a", "y"), (None, 2, "b", "y")]
+    rows += rows[:5]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    con = duckdb.connect()
+    con.execute("create table conversations (conv_id bigint, turn int, role varchar, text varchar)")
+    con.executemany("insert into conversations values (?, ?, ?, ?)", rows)
+    cur = con.execute(chat.SQL)
+    names = [d[0] for d in cur.description]
+    want = sorted(map(repr, cur.fetchall()))
+    got = sorted(repr(tuple(r)) for r in chat.rotate(df).select(*names).collect())
+    assert got == want and len([r for r in got if r.startswith("(1, ")]) == 9

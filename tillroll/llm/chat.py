@@ -125,19 +125,19 @@ with r as (
   select distinct conv_id, turn, replace(replace(coalesce(role, '{UNKNOWN}'), '<|', '< |'), chr(10), ' ') as role,
          replace(coalesce(text, ''), '<|', '< |') as text
   from conversations),
-p as (select *, coalesce(turn, 0) // {PART_TURNS} as part,
-             case when conv_id is null then hash(turn, role, text) end as alone from r),
-s as (select distinct conv_id, part, alone, role as speaker from p),
+d as (select *, case when conv_id is null then hash(turn, role, text) end as alone from r),
+p as (select *, (row_number() over (partition by conv_id, alone order by turn nulls first, role, text) - 1) // {PART_TURNS} as part
+      from d),
+s as (select distinct conv_id, alone, role as speaker from p),
 h as (
   select p.*, s.speaker, p.role = s.speaker as own,
          case when p.role = s.speaker then '{OPEN}assistant' || chr(10)
               else '{OPEN}user name=' || p.role || chr(10) end as head,
          p.text || '{CLOSE.strip()}' || chr(10) as body
-  from p join s on p.conv_id is not distinct from s.conv_id and p.part = s.part
-              and p.alone is not distinct from s.alone),
+  from p join s on p.conv_id is not distinct from s.conv_id and p.alone is not distinct from s.alone),
 o as (
   select *, sum(len(head) + len(body)) over (
-           partition by conv_id, part, alone, speaker order by turn nulls first, role, text) as upto
+           partition by conv_id, alone, speaker order by turn nulls first, role, text) as upto
   from h)
 select conv_id, part, speaker, count(*) as n_turns, count(*) filter (own) as n_spoken,
        string_agg(head || body, '' order by turn nulls first, role, text) as dialogue,
