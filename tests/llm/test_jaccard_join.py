@@ -133,6 +133,36 @@ def test_a_hot_group_is_one_component(saved, monkeypatch):
     assert joined(saved(rows, "doc_id long, text string", 7)) == brute(rows)
 
 
+@pytest.mark.parametrize("low", [1, 64])
+def test_near_copies_around_the_limit_are_paired_once(spark, saved, monkeypatch, low):
+    """Members of one family, similar to some and just not to others: each unsettled pair is
+    made about once, however many signatures it shares, and no link is lost."""
+    monkeypatch.setattr(J, "LOWEST", low)
+    made = []
+    frame = type(spark.range(1))
+    plain = frame.distinct
+
+    def seen(self):
+        if self.columns == ["a", "b"] and "one" in self._jdf.queryExecution().analyzed().toString():
+            made.append((self.count(), plain(self).count()))
+        return plain(self)
+
+    rng = random.Random(12)
+    rows = []
+    for i in range(400):
+        own = [f"w{k}" for k in range(120)]
+        for _ in range(rng.randint(2, 5)):             # each change takes up to five shingles of 116
+            own[rng.randrange(120)] = f"x{i}y{rng.randrange(10 ** 6)}"
+        rows.append((i, " ".join(own)))
+    monkeypatch.setattr(frame, "distinct", seen)
+    got = joined(saved(rows, "doc_id long, text string", 5))
+    monkeypatch.setattr(frame, "distinct", plain)
+    assert got == brute(rows)
+    assert made or low == 1
+    if low == 64:
+        assert all(rows_made <= 1.2 * pairs + 50 for rows_made, pairs in made), made
+
+
 def test_odd_rows(saved, spark):
     rows = [(None, "a b c d e f g h i j"), (None, "a b c d e f g h i j"), (7, "A b c d e f g h i j k"), (1, ""), (2, None),
             (3, " \t\n"), (4, "x y"), (5, "X y"), (None, None), (6, "x y z"), (6, "x  y z"), (None, "only here q r s t u"),

@@ -46,6 +46,8 @@ PARTNERS = 256
 #: Fewest words of 64 parity bits in a sketch (they double until there are two bits for each
 #: element); sketches that may be broadcast.
 SKETCH, BROADCAST_SKETCHES = 32, 10_000
+#: Unsettled signatures that a set carries to see under which one a pair is made.
+LOWEST = 64
 _ROW = "sig long, a long, b long, n int"
 _SEEDS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
                   dtype=np.uint64)
@@ -279,12 +281,20 @@ def _held(tagged: DataFrame, counted: DataFrame, roots: DataFrame) -> DataFrame
 
 def _cross_pairs(held: DataFrame, counted: DataFrame, sketch: DataFrame, roots: DataFrame) -> DataFrame:
     """All pairs of sets from different components that share an unsettled
-    signature, pass the filter and were no candidates yet."""
+    signature, pass the filter and were no candidates yet.
+
+    Each set carries its LOWEST smallest unsettled signatures.  Under a signature a
+    pair is left out if both carry a smaller one in common: it is made under that
+    one.  So a pair is made at its smallest shared signature, and hardly ever at
+    the others."""
+    low = held.groupBy("vertex").agg(F.slice(F.array_sort(F.collect_set("sig")), 1, LOWEST).alias("low"))
+    known = sketch.join(low, "vertex")
     placed = cut(held.join(small_side(roots), "vertex", "left").select(
-        "sig", "vertex", F.coalesce("root", "vertex").alias("root")).join(sketch, "vertex"))
+        "sig", "vertex", F.coalesce("root", "vertex").alias("root")).join(known, "vertex"))
     one, other = placed.alias("one"), placed.alias("other")
+    first = F.coalesce(F.array_min(F.array_intersect("one.low", "other.low")) >= F.col("one.sig"), F.lit(True))
     pairs = one.join(other, F.expr("one.sig = other.sig and one.vertex < other.vertex and one.root != other.root")
-                     & _may_link("one", "other"))
+                     & F.when(_may_link("one", "other"), first).otherwise(F.lit(False)))
     pairs = pairs.select(F.col("one.vertex").alias("a"), F.col("other.vertex").alias("b")).distinct()
     return cut(pairs.join(counted, ["a", "b"], "left_anti"))
 
