@@ -1,8 +1,8 @@
 """Cleaning operators: typed coercion, dedup, imputation, outlier capping, flags.
 
 Each operator is DataFrame -> DataFrame and composes with ``df.transform``.
-Statistics (medians, IQR fences) come from ``exact_quantiles`` as a one-row
-aggregate that is broadcast back, so a whole column never lands in one task.
+Statistics (medians, IQR fences) come from ``exact_quantiles``, so a whole column
+never lands in one task; those of whole columns are one row, used as literals.
 pandas null semantics are kept where the cleaning step relies on them:
 comparisons against NULL are False, clipping keeps NULL, NaN becomes NULL.
 """
@@ -11,13 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import clip, null_false, safe_divide, standardize_columns, str_title
 from ..session import scratch_path
 from ..sources.files import sink_csv_counted
-from .ordered import exact_quantiles, null_safe_join, quantile_table, with_scalars
+from .ordered import exact_quantiles, null_safe_join, quantile_table
 
 # Fixed values of the cleaning step.
 LONG_LEAD_DAYS = 30
@@ -76,13 +76,19 @@ def parse_dates(df: DataFrame, cols: Sequence[str], formats: Sequence[str] = ())
     return df.withColumns(out)
 
 
+def _one_row(df: DataFrame, cols: Sequence[str], probs: Sequence[float], names: Sequence[str]) -> dict[str, Column]:
+    """Exact quantiles of whole columns as literals, by ``{column}__{name}``: one row that is
+    worked out once, so that what uses it is a plain projection."""
+    row = quantile_table(df, cols, probs, names).first()
+    keys = [f"{c}__{n}" for c in cols for n in names]
+    return {k: F.lit(row[k] if row else None).cast("double") for k in keys}
+
+
 def impute_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Fill NULLs of each column with that column's exact median (one pass)."""
-    cols = list(cols)
-    meds = quantile_table(df, cols, [0.5], ["med"])
-    out = with_scalars(df, meds)
-    return out.withColumns({c: F.coalesce(F.col(c), F.col(f"{c}__med").cast(dict(df.dtypes)[c]))
-                            for c in cols}).drop(*[f"{c}__med" for c in cols])
+    cols, types = list(cols), dict(df.dtypes)
+    meds = _one_row(df, cols, [0.5], ["med"])
+    return df.withColumns({c: F.coalesce(F.col(c), meds[f"{c}__med"].cast(types[c])) for c in cols})
 
 
 def iqr_fences(df: DataFrame, col: str, by: Sequence[str] = (), factor: float = IQR_FACTOR) -> DataFrame:
@@ -100,13 +106,17 @@ def cap_outliers(df: DataFrame, cols: str | Sequence[str], by: Sequence[str] = (
     moves another column's fences."""
     cols = [cols] if isinstance(cols, str) else list(cols)
     by = list(by)
-    q = quantile_table(df, cols, [0.25, 0.75], ["q1", "q3"], by=by)
-    j = null_safe_join(df, q, by, "left") if by else with_scalars(df, q)
+    names = [f"{c}__{n}" for c in cols for n in ("q1", "q3")]
+    if by:
+        q = quantile_table(df, cols, [0.25, 0.75], ["q1", "q3"], by=by)
+        j, fence = null_safe_join(df, q, by, "left"), {n: F.col(n) for n in names}
+    else:
+        j, fence = df, _one_row(df, cols, [0.25, 0.75], ["q1", "q3"])
     out = {}
     for c in cols:
-        q1, q3 = F.col(f"{c}__q1"), F.col(f"{c}__q3")
+        q1, q3 = fence[f"{c}__q1"], fence[f"{c}__q3"]
         out[c] = clip(F.col(c).cast("double"), q1 - factor * (q3 - q1), q3 + factor * (q3 - q1))
-    return j.withColumns(out).drop(*[f"{c}__{n}" for c in cols for n in ("q1", "q3")])
+    return j.withColumns(out).drop(*names)
 
 
 def clip_lower(df: DataFrame, col: str, lower=0) -> DataFrame:
