@@ -35,7 +35,7 @@ SHORT, SHORT_STRIDE = 50, 10
 #: Characters of the benchmark that a task holds at a time.
 BLOCK_CHARS = 1_000_000
 #: Characters of documents examined together in a task, and texts taken from a batch at a time.
-CHUNK_CHARS, TEXTS = 1 << 19, 256
+CHUNK_CHARS, TEXTS = 1 << 18, 256
 SLOT_BITS = 22
 #: No code point; diagonals of a unit (those of a long window's band at least) and counters of units.
 OUTSIDE, UNIT, COUNTER_BITS = 0x110000, 2 * (WINDOW // 10 + 1), 20
@@ -275,7 +275,7 @@ class Searcher:
         # a region's diagonals lie in two neighbouring units of an item; units that share a
         # counter only keep more
         size = 1 << COUNTER_BITS
-        n = np.zeros(size, dtype=np.int64)
+        n = np.zeros(size, dtype=np.int32)
         ends = np.flatnonzero(np.diff(np.cumsum(count) // PAIRS)) + 1
         slices = list(zip([0, *ends], [*ends, len(at)]))
 
@@ -287,7 +287,7 @@ class Searcher:
             return entry, diagonal, unit % size
 
         for low, high in slices:
-            n += np.bincount(pairs(low, high)[2], minlength=size)
+            n += np.bincount(pairs(low, high)[2], minlength=size).astype(np.int32)
         two = n + np.roll(n, -1)
         enough = np.maximum(two, np.roll(two, 1)) >= self.least.min(initial=1 << 30)
         windows, diagonals = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
