@@ -17,8 +17,18 @@ from tillroll.llm.common import scratch_folder, table
 from tillroll.llm.queries import VOCABULARY
 
 
+#: Rows sent to a Python worker at a time.  Texts are long: at Spark's default of 10,000 rows a
+#: batch takes tens of MB several times over, outside the executor's heap.
+BATCH_ROWS = 1024
+
+
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that are in none of the corpus's languages."""
+    _small_batches(spark)
     return language.drop_unknown(docs)
 
 
@@ -29,16 +39,19 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near duplicates, the smallest doc_id."""
+    _small_batches(spark)
     return jaccard_join.drop_near_duplicates(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that repeat a passage of the benchmark."""
+    _small_batches(spark)
     return decontaminate.drop_leaked(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokenize_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids and the digests of ids and decoded text."""
+    _small_batches(spark)
     return bpe.tokens(docs, public_tokenizers.path(VOCABULARY))
 
 
