@@ -61,3 +61,18 @@ def test_a_saved_model_scores_as_the_fitted_one(spark, tmp_path):
     score = lambda m: sorted((r.product_id, r.prediction, tuple(r.probability)) for r in m.transform(df).collect())
     assert score(PipelineModel.load(str(tmp_path / "m"))) == score(model)
     assert {p for _, p, _ in score(model)} == {0.0, 1.0}
+
+
+def test_a_model_scores_after_an_observed_query(spark):
+    """An observation makes the session unserializable, and a fitted model must not hold the session."""
+    from pyspark.sql import Observation
+    from tillroll.operators import classify as CL
+    rows = [(i, i % 50, i % 13 + 2, (i % 17) / 3.0, int(i % 50 < 9)) for i in range(300)]
+    df = spark.createDataFrame(rows, "product_id long, current_stock long, lead_time int, avg_daily_demand double, stockout int")
+    watch = Observation()
+    df.observe(watch, F.count(F.lit(1)).alias("n")).collect()
+    assert watch.get["n"] == 300
+    model = CL.stockout_pipeline(n_trees=3, max_depth=4).fit(df)
+    assert not model.stages[-1].hasSummary and model.transform(df).where("prediction = 1").count() > 0
+    got = CL.stockout_report(df).first()
+    assert got.n_train + got.n_test == 300 and got.accuracy > 0.9

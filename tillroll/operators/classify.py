@@ -8,7 +8,7 @@ executor loss (``randomSplit`` samples per partition in partition order).
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,10 +34,18 @@ def train_test_split(df: DataFrame, key: str, test_fraction: float = TEST_FRACTI
     return df.withColumn("split", F.when(u < test_fraction, "test").otherwise("train"))
 
 
+class _Forest(RandomForestClassifier):
+    """A random forest whose model can be sent to tasks at any time: a fitted model carries its
+    training summary, and with it the session, which is not serializable once a query has
+    been observed.  A copy of the model leaves the summary behind."""
+
+    def _fit(self, dataset: DataFrame) -> RandomForestClassificationModel:
+        return super()._fit(dataset).copy()
+
+
 def stockout_pipeline(n_trees: int = N_TREES, max_depth: int = MAX_DEPTH, seed: int = SEED) -> Pipeline:
     asm = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    rf = RandomForestClassifier(labelCol=LABEL, featuresCol="features", numTrees=n_trees,
-                                maxDepth=max_depth, seed=seed)
+    rf = _Forest(labelCol=LABEL, featuresCol="features", numTrees=n_trees, maxDepth=max_depth, seed=seed)
     return Pipeline(stages=[asm, rf])
 
 
