@@ -146,3 +146,19 @@ def test_ranks_of_text(spark):
     order = {w: i + 1 for i, w in enumerate(sorted({w for w in words if w is not None}, key=lambda w: w.encode()))}
     got = {r.w: r.r for r in global_rank(df, "w", "r", "dense", descending=False).collect()}
     assert got == order | {None: len(order) + 1}
+
+
+def test_few_large_groups_stay_dealt_over_all_tasks(spark):
+    """No pass joins or sorts the rows by a group that a few large ones make up."""
+    from tillroll.operators import profile as P
+    df = spark.range(40_000, numPartitions=4).select((F.col("id") % 7).alias("a"), (F.col("id") * 3).alias("b"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = P.describe(df, ["a", "b"])
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        rows = {r.column_name: (r["count"], r.p25, r.p50, r.p75) for r in got.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows == {"a": (40_000, 1.0, 3.0, 5.0), "b": (40_000, 29999.25, 59998.5, 89997.75)}
+    # the one shuffle join is that of the finished rows, one a column
+    assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 1

@@ -34,6 +34,8 @@ SKETCH_ACCURACY = 10_000
 # Parts into which one pass cuts a bracket, and distinct values that a window may see for a position.
 PIECES = 200
 VALUES_LEFT = 100_000
+# Groups whose brackets may be broadcast (a few MB), so that no group's rows meet in one task.
+BROADCAST_GROUPS = 10_000
 
 
 def _num_ranges(df: DataFrame) -> int:
@@ -226,11 +228,16 @@ def _selected(base: DataFrame, by: list[str], probs: Sequence[float], bounded_by
     most = [F.max(f"__most{i}") for i in range(len(probs))]
     widest = brackets.agg(F.greatest(*most) if len(most) > 1 else most[0]).first()[0] or 0
     while widest > max(left, 10):
-        brackets = _narrower(base, brackets, by, probs, bounded_by).checkpoint(eager=True)
+        brackets = _narrower(base, brackets, by, probs, bounded_by or _few(brackets)).checkpoint(eager=True)
         widest = brackets.agg(F.greatest(*most) if len(most) > 1 else most[0]).first()[0]
     return brackets
 
 
+def _few(brackets: DataFrame) -> bool:
+    """Whether the brackets (materialised) may be broadcast."""
+    return brackets.count() <= BROADCAST_GROUPS
+
+
 def _counted(base: DataFrame, brackets: DataFrame, by: list[str], count: int, bounded_by: bool) -> DataFrame:
     """Rows per distinct value inside a bracket, and per gap between brackets."""
     j, x = _attach(base, brackets, by, bounded_by), F.col("__x")
@@ -261,15 +268,16 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
     sorted or stored, and the running count that finds the positions sees ``left``
     values a position at most, however many rows there are and however they tie.
     A position outside its bracket is an error, never a NULL.
-    ``bounded_by`` says that the number of groups is bounded (column names, say),
-    so the brackets may be broadcast.
+    Brackets of up to ``BROADCAST_GROUPS`` groups are broadcast, so few large groups stay
+    dealt over all tasks; ``bounded_by`` says that the number of groups is bounded
+    (column names, say) without counting them.
     """
     by = list(by)
     names = list(names) if names else [f"q{int(round(p * 100)):02d}" for p in probs]
     v = (F.col(value) if isinstance(value, str) else value).cast("double")
     base = df.select(*by, v.alias("__x")).where(F.col("__x").isNotNull() & ~F.isnan("__x"))
     brackets = _selected(base, by, probs, bounded_by, left)
-    counted = _counted(base, brackets, by, len(probs), bounded_by)
+    counted = _counted(base, brackets, by, len(probs), bounded_by or not by or _few(brackets))
     w = Window.partitionBy(*by).orderBy("__y", "__gap").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = counted.withColumn("__upto", F.sum("__c").over(w))
     start = F.when(~F.col("__gap"), F.col("__upto") - F.col("__c"))  # first 0-based position of this value
