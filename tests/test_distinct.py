@@ -50,3 +50,18 @@ def test_slicer_table_equals_filtered_measures(spark):
         assert M.total_skus(st.fact_inventory).first()[0] == r.total_skus
         assert M.reorder_alerts(st.fact_inventory).first().reorder_alert_count == r.reorder_alert_count
         assert abs(M.gross_profit(st.fact_sales, st.dim_product).first()[0] - r.gross_profit) < 1e-6 * abs(r.gross_profit)
+
+
+def test_one_state_a_bucket_wherever_its_ids_lie(spark):
+    """Each slice has one state a bucket when it is built, and groupings make no copies of the states."""
+    df = spark.range(200_000, numPartitions=8).select("id", (F.col("id") % 3).alias("m"), (F.col("id") % 5).cast("string").alias("g"))
+    states = D.distinct_states(df.repartition(8, F.hash("id")), "id", ["m", "g"])
+    plan = states._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") - plan.count("ReusedExchange") == 2       # the test's own, and the one by bucket
+    assert "Exchange hashpartitioning(_bucket" in plan
+    out = D.distinct_grouping_sets(states, "n", [(), ("m",), ("g",)])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Expand" not in plan
+    got = {(r._set, r.m, r.g): r.n for r in out.collect()}
+    assert got[0, None, None] == 200_000 and got[1, 2, None] == 66_666 and got[2, None, "4"] == 40_000 and len(got) == 9
+    assert D.distinct_grouping_sets(D.distinct_states(df.limit(0), "id", ["m", "g"]), "n", [(), ("m",)]).isEmpty()

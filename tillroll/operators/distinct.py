@@ -1,9 +1,12 @@
 """Exact distinct counts of integer ids that add up over any slice.
 
-The state of a slice is a bitmap for each bucket of 32,768 neighbouring ids, built
-inside the tasks, so the ids themselves never shuffle: a bucket travels as 4 KB
-however many ids it holds.  States of slices are merged by OR, and the bits are
-counted; months, categories and the total come from one table of states.
+The state of a slice is a bitmap for each bucket of 32,768 neighbouring ids, 4 KB
+however many ids it holds.  The ids are dealt by bucket before bitmaps are built: each
+task has whole buckets, so a slice has one state a bucket in all, not one in every task
+that saw an id of it, and states are merged without another shuffle.  They come sorted
+by bucket, then by the columns of the slice, so slices by the first of these columns
+are merged as the states stream by; only others sort them.  Every grouping is counted
+by itself: no task holds copies of the states for several groupings.
 
 Meant for ids that are numbers given one after another; ids scattered over all
 longs would take a bitmap each.
@@ -12,6 +15,7 @@ longs would take a bitmap each.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,12 +28,13 @@ def distinct_states(df: DataFrame, id_col: str, by: Sequence[str] = ()) -> DataF
     x = F.col(id_col).cast("bigint")
     ids = df.where(F.col(id_col).isNotNull()).select(
         *by, F.bitmap_bucket_number(x).alias(BUCKET), F.bitmap_bit_position(x).alias("_bit"))
-    return ids.groupBy(*by, BUCKET).agg(F.bitmap_construct_agg(F.col("_bit")).alias(BITS))
+    states = ids.repartition(BUCKET).groupBy(BUCKET, *by).agg(F.bitmap_construct_agg(F.col("_bit")).alias(BITS))
+    return states.select(*by, BUCKET, BITS)
 
 
 def merged_states(states: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """States of coarser slices."""
-    return states.groupBy(*by, BUCKET).agg(F.bitmap_or_agg(F.col(BITS)).alias(BITS))
+    return states.groupBy(BUCKET, *by).agg(F.bitmap_or_agg(F.col(BITS)).alias(BITS)).select(*by, BUCKET, BITS)
 
 
 def distinct_count(states: DataFrame, out: str, by: Sequence[str] = ()) -> DataFrame:
@@ -42,9 +47,7 @@ def distinct_grouping_sets(states: DataFrame, out: str, sets: Sequence[Sequence[
     """Distinct ids under each of several groupings at once: the columns of all sets, NULL
     where a set does not have them, _set (the position of the set) and ``out``."""
     cols = list(dict.fromkeys(c for s in sets for c in s))
-    # each state goes to every grouping with the columns of that grouping only
-    each = F.explode(F.array(*[F.struct(F.lit(i).alias("_set"), *[
-        (F.col(c) if c in s else F.lit(None).cast(states.schema[c].dataType)).alias(c) for c in cols])
-        for i, s in enumerate(sets)]))
-    rows = states.select(each.alias("_g"), BUCKET, BITS).select("_g.*", BUCKET, BITS)
-    return distinct_count(rows, out, ["_set", *cols])
+    parts = [distinct_count(states, out, list(s)).where(F.col(out) > 0).select(F.lit(i).alias("_set"), *[
+        F.col(c) if c in s else F.lit(None).cast(states.schema[c].dataType).alias(c) for c in cols], out)
+        for i, s in enumerate(sets)]
+    return reduce(DataFrame.union, parts)
