@@ -89,3 +89,22 @@ def test_clean_suppliers(spark):
     out = {r.supplier_id: r for r in C.clean_suppliers(df).collect()}
     assert out[1].long_lead_flag is True and out[1].location == "Usa"
     assert out[2].lead_time is None and out[2].long_lead_flag is False
+
+
+def test_texts_are_parsed_once(spark):
+    """The written distinct rows are typed and filtered already, counts are those before; a
+    date alone is never tried as a date with a time of day, and texts in between are NULL."""
+    rows = [("1", "5", "2024-01-02", "2024-01-05", "3"), ("1", "5", "2024-01-02", "2024-01-05", "3"),
+            ("2", "5", "2024-01-02 10:11:12", "2024-01-04 00:00:00", "4"), ("3", "5", "2024-01-09", "2024-01-05", "x"),
+            ("4", None, "2024-01-02T10:11:12Z", "2024-01-05", "1"), ("5", "5", "2024-1-2", "2024-02-30", "1")]
+    raw = spark.createDataFrame(rows, "order_id string, product_id string, order_date string, delivery_date string, quantity string")
+    typed, seen = C.deduplicated(raw, C._typed_orders)
+    assert seen == {"rows_before": 6, "rows_after": 5} and dict(typed.dtypes)["order_date"] == "date"
+    assert sorted((r.order_id, str(r.order_date), r.quantity) for r in typed.collect()) == [(1, "2024-01-02", 3.0), (2, "2024-01-02", 4.0)]
+    plan = C.clean_orders(raw)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" in plan and "gettimestamp" not in plan.lower()
+    old = F.to_date(F.coalesce(*[F.try_to_timestamp("order_date", F.lit(f)) for f in C.ISO_FORMATS]))
+    texts = spark.createDataFrame([(t,) for t in ("2024-01-02", "2024-01-02 10:11:12", "2024-01-02 10:11", "12024-01-02", "+12024-01-02 10:11:12",
+                                                  " 2024-01-02 ", "", None, "2024-01-02 10:11:12 ", "0000-01-01", "2024-13-01")], "order_date string")
+    got = C.parse_dates(texts.withColumn("old", old), ["order_date"])
+    assert got.where(~F.col("old").eqNullSafe(F.col("order_date"))).isEmpty() and got.where("order_date is not null").count() >= 2

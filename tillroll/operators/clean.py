@@ -9,7 +9,7 @@ comparisons against NULL are False, clipping keeps NULL, NaN becomes NULL.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -23,6 +23,8 @@ from .ordered import exact_quantiles, null_safe_join, quantile_table
 LONG_LEAD_DAYS = 30
 IQR_FACTOR = 1.5
 REORDER_TRIGGER_FACTOR = 1.2
+# Date texts, tried in this order; the first has no shorter texts than itself.
+ISO_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")
 
 
 # -- generic steps -----------------------------------------------------------
@@ -31,8 +33,10 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def deduplicated(df: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+def deduplicated(df: DataFrame, typed: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, dict[str, int]]:
     """Exact row dedup, written once: the distinct rows, and rows_before and rows_after.
+    ``typed`` coerces and filters the distinct rows (they are counted before it) in the same
+    job, so no pass over the written table parses texts again.
 
     Both counts come from the writing job, after the shuffle (copies are counted map-side
     and summed), so they cost no scan of their own and a task that runs again after a
@@ -40,9 +44,11 @@ def deduplicated(df: DataFrame) -> tuple[DataFrame, dict[str, int]]:
     """
     watch, path = Observation(), scratch_path(df.sparkSession, "distinct-rows")
     counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
-    counted.observe(watch, F.coalesce(F.sum("__n"), F.lit(0)).alias("rows_before"),
-                    F.count(F.lit(1)).alias("rows_after")).drop("__n").write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), watch.get
+    rows = counted.observe(watch, F.coalesce(F.sum("__n"), F.lit(0)).alias("rows_before"),
+                           F.count(F.lit(1)).alias("rows_after")).drop("__n")
+    rows = typed(rows) if typed else rows
+    rows.write.parquet(path)
+    return df.sparkSession.read.schema(rows.schema).parquet(path), watch.get
 
 
 def coerce_int(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -62,15 +68,18 @@ def coerce_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def parse_dates(df: DataFrame, cols: Sequence[str], formats: Sequence[str] = ()) -> DataFrame:
     """``to_datetime(errors='coerce')`` -> DATE; unparsable text becomes NULL.
 
-    String columns are tried against ``formats`` in order (ISO when empty);
+    String columns are tried against ``formats`` in order (ISO when empty; a text too
+    short to hold a time of day is tried as a date only, as failing costs most);
     columns that already hold dates or timestamps are truncated to the day.
     """
     types = dict(df.dtypes)
     out = {}
     for c in cols:
         if types[c] == "string":
-            fmts = list(formats) or ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd"]
-            out[c] = F.to_date(F.coalesce(*[F.try_to_timestamp(F.col(c), F.lit(f)) for f in fmts]))
+            tried = [F.try_to_timestamp(F.col(c), F.lit(f)) for f in list(formats) or ISO_FORMATS]
+            if not formats:
+                tried[0] = F.when(F.length(c) >= len(ISO_FORMATS[0]), tried[0])
+            out[c] = F.to_date(F.coalesce(*tried))
         else:
             out[c] = F.to_date(F.col(c))
     return df.withColumns(out)
@@ -178,59 +187,76 @@ def title_case(df: DataFrame, cols: Sequence[str], acronyms: Sequence[str] = ())
 
 
 # -- composed table cleaners -----------------------------------------------------
-# Tables whose columns get medians or fences are written once after the dedup: the
-# passes over them then read single columns, not the raw table's shuffle again.
+# Each has two steps: the typed and filtered rows, then what is derived from them.  Tables
+# whose columns get medians or fences are written once in between, after the dedup: the
+# passes over them then read single typed columns, not the raw table's shuffle again.
 def clean_products(raw: DataFrame) -> DataFrame:
-    return _products(deduplicated(standardize_columns(raw))[0])
+    return _products(deduplicated(standardize_columns(raw), _typed_products)[0])
+
+
+def _typed_products(df: DataFrame) -> DataFrame:
+    return coerce_numeric(coerce_int(df, ["product_id"]), ["cost", "price"])
 
 
 def _products(df: DataFrame) -> DataFrame:
-    df = coerce_numeric(coerce_int(df, ["product_id"]), ["cost", "price"])
     df = impute_median(df, ["cost", "price"])
     df = title_case(margin_cols(df), ["category"])
     return cap_outliers(df, ["cost", "price"])
 
 
 def clean_suppliers(raw: DataFrame) -> DataFrame:
-    return _suppliers(drop_duplicates(standardize_columns(raw)))
+    return _suppliers(_typed_suppliers(drop_duplicates(standardize_columns(raw))))
+
+
+def _typed_suppliers(df: DataFrame) -> DataFrame:
+    return coerce_numeric(coerce_int(df, ["supplier_id"]), ["lead_time"])
 
 
 def _suppliers(df: DataFrame) -> DataFrame:
-    df = coerce_numeric(coerce_int(df, ["supplier_id"]), ["lead_time"])
     return long_lead_flag(title_case(df, ["location"]))
 
 
 def clean_inventory(raw: DataFrame) -> DataFrame:
-    return _inventory(drop_duplicates(standardize_columns(raw)))
+    return _inventory(_typed_inventory(drop_duplicates(standardize_columns(raw))))
+
+
+def _typed_inventory(df: DataFrame) -> DataFrame:
+    return coerce_numeric(coerce_int(df, ["product_id"]), ["stock_level", "reorder_level"])
 
 
 def _inventory(df: DataFrame) -> DataFrame:
-    df = coerce_numeric(coerce_int(df, ["product_id"]), ["stock_level", "reorder_level"])
     return needs_reorder(clip_lower(df, "stock_level", 0))
 
 
 def clean_orders(raw: DataFrame) -> DataFrame:
-    return _orders(deduplicated(standardize_columns(raw))[0])
+    return _orders(deduplicated(standardize_columns(raw), _typed_orders)[0])
 
 
-def _orders(df: DataFrame) -> DataFrame:
+def _typed_orders(df: DataFrame) -> DataFrame:
     df = coerce_numeric(coerce_int(df, ["order_id"]), ["quantity"])
-    df = filter_valid_orders(parse_dates(df, ["order_date", "delivery_date"]))
+    return filter_valid_orders(parse_dates(df, ["order_date", "delivery_date"]))
+
+
+def _orders(df: DataFrame) -> DataFrame:
     return cap_outliers(fulfilment_days(df), "quantity")
 
 
 def clean_sales(raw: DataFrame) -> DataFrame:
-    return _sales(deduplicated(standardize_columns(raw))[0])
+    return _sales(deduplicated(standardize_columns(raw), _typed_sales)[0])
 
 
-def _sales(df: DataFrame) -> DataFrame:
+def _typed_sales(df: DataFrame) -> DataFrame:
     df = coerce_numeric(coerce_int(df, ["sale_id"]), ["quantity", "revenue"])
-    df = filter_positive_sales(parse_dates(df, ["sale_date"]))
-    df = unit_price(sale_date_parts(df))
-    return cap_outliers(df, "revenue")
+    return filter_positive_sales(parse_dates(df, ["sale_date"]))
+
+
+def _sales(df: DataFrame) -> DataFrame:
+    return cap_outliers(unit_price(sale_date_parts(df)), "revenue")
 
 
-CLEANERS = {"products": _products, "suppliers": _suppliers, "inventory": _inventory, "orders": _orders, "sales": _sales}
+# table: its typed rows, and what is derived from them
+CLEANERS = {"products": (_typed_products, _products), "suppliers": (_typed_suppliers, _suppliers),
+            "inventory": (_typed_inventory, _inventory), "orders": (_typed_orders, _orders), "sales": (_typed_sales, _sales)}
 
 
 def clean_all(raws: Mapping[str, DataFrame], root: str) -> tuple[dict[str, str], list[tuple[str, int, int, int]]]:
@@ -239,9 +265,10 @@ def clean_all(raws: Mapping[str, DataFrame], root: str) -> tuple[dict[str, str],
     all counted by the jobs that did the work."""
     paths, report = {}, []
     for name, raw in raws.items():
-        rows, seen = deduplicated(standardize_columns(raw))
+        typed, derived = CLEANERS[name]
+        rows, seen = deduplicated(standardize_columns(raw), typed)
         paths[name] = f"{root}/{name}_clean.csv"
-        written = sink_csv_counted(CLEANERS[name](rows), paths[name])
+        written = sink_csv_counted(derived(rows), paths[name])
         report.append((name, seen["rows_before"], seen["rows_after"], written))
     return paths, report
 
