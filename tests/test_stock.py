@@ -76,3 +76,27 @@ def test_a_model_scores_after_an_observed_query(spark):
     assert not model.stages[-1].hasSummary and model.transform(df).where("prediction = 1").count() > 0
     got = CL.stockout_report(df).first()
     assert got.n_train + got.n_test == 300 and got.accuracy > 0.9
+
+
+def test_training_rows_are_dealt_by_their_number_and_key(spark, monkeypatch):
+    """Few tasks for few rows, and the same forest however the rows lay before."""
+    from tillroll.operators import classify as CL
+    rows = [(i, (i * 37) % 100, i % 13 + 2, (i % 17) / 3.0, int((i * 37) % 100 < 3 * (i % 17))) for i in range(600)]
+    df = spark.createDataFrame(rows, "product_id long, current_stock long, lead_time int, avg_daily_demand double, stockout int")
+    assert CL._training(df.repartition(30), "product_id").rdd.getNumPartitions() == 1
+    monkeypatch.setattr(CL, "TRAIN_ROWS", 250)
+    forests = []
+    for k in (2, 30):
+        lay = df.repartition(k, F.hash("product_id", F.lit(k)))
+        train = CL._training(lay, "product_id")
+        assert train.rdd.getNumPartitions() == 3
+        model = CL.stockout_pipeline(n_trees=4, max_depth=6).fit(train).stages[-1]
+        assert model.getCacheNodeIds()
+        forests.append(model.toDebugString.split("\n", 1)[1])
+    assert forests[0] == forests[1]
+
+
+def test_a_saved_model_scores_features_made_once(spark):
+    import __spark_entry__ as E
+    out = E.queries()["model_save"](spark, SF_SMALL)
+    assert "lineitem" not in out._jdf.queryExecution().executedPlan().toString() and out.count() > 0

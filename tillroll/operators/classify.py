@@ -22,6 +22,7 @@ TEST_FRACTION = 0.2
 SEED = 42
 HASH_FACTOR, HASH_STEP = 2654435761, 40503  # 2^32 and 2^16 over the golden ratio
 N_TREES = 100
+TRAIN_ROWS = 200_000  # rows of a training partition
 MAX_DEPTH = 30  # the deepest Spark allows; scikit-learn grows trees without a limit
 
 
@@ -45,10 +46,21 @@ class _Forest(RandomForestClassifier):
 
 def stockout_pipeline(n_trees: int = N_TREES, max_depth: int = MAX_DEPTH, seed: int = SEED) -> Pipeline:
     asm = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    rf = _Forest(labelCol=LABEL, featuresCol="features", numTrees=n_trees, maxDepth=max_depth, seed=seed)
+    # cached node ids: a pass over the rows does not walk every tree from its root, and trees are not sent to tasks
+    rf = _Forest(labelCol=LABEL, featuresCol="features", numTrees=n_trees, maxDepth=max_depth, seed=seed, cacheNodeIds=True)
     return Pipeline(stages=[asm, rf])
 
 
+def _training(df: DataFrame, key: str) -> DataFrame:
+    """``df`` (materialised) in a partition for every TRAIN_ROWS rows, in the key's order.  Every
+    task of a pass sends the statistics of all tree nodes, so few tasks send little; and as
+    rows are drawn by partition, the forest is the same on any cluster."""
+    tasks = -(-df.count() // TRAIN_ROWS)
+    if tasks <= 1:
+        return df.coalesce(1)
+    return df.repartition(tasks, key).sortWithinPartitions(key, *FEATURES, LABEL)
+
+
 def _split_once(df: DataFrame, key: str) -> DataFrame:
     """The split features, materialised: fitting and scoring read them often."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -60,18 +72,23 @@ def fit_stockout(df: DataFrame, key: str = "product_id") -> tuple[PipelineModel,
     s = _split_once(df, key)
     train = s.where(F.col("split") == "train")
     test = s.where(F.col("split") == "test")
-    model = stockout_pipeline().fit(train)
-    return model, model.transform(test)
+    model = stockout_pipeline().fit(_training(train, key))
+    return model, scored(model, test)
+
+
+def scored(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """``df`` (materialised) with the model's predictions, in no more tasks than there are cores:
+    each of them reads the whole forest."""
+    return model.transform(df.coalesce(df.sparkSession.sparkContext.defaultParallelism))
 
 
 def stockout_report(df: DataFrame, key: str = "product_id") -> DataFrame:
     """One row: train/test sizes, test accuracy, stock-outs among the test rows and how many
     of them were foreseen (all computed on the cluster)."""
     s = _split_once(df, key)
-    model = stockout_pipeline().fit(s.where(F.col("split") == "train"))
-    scored = model.transform(s)
+    model = stockout_pipeline().fit(_training(s.where(F.col("split") == "train"), key))
     hit = (F.col("prediction") == F.col(LABEL).cast("double")).cast("int")
-    return scored.agg(
+    return scored(model, s).agg(
         F.count_if(F.col("split") == "train").alias("n_train"),
         F.count_if(F.col("split") == "test").alias("n_test"),
         (F.sum(F.when(F.col("split") == "test", hit)) / F.count_if(F.col("split") == "test")).alias("accuracy"),

@@ -192,12 +192,13 @@ def gen_date_spine(spark, sf):
 @query("model_save")
 def model_save(spark, sf):
     """Fit the stock-out forest, save it, load it back and score all rows."""
-    st = Star(spark, sf)
-    model, _ = CL.fit_stockout(st.stockout_features)
+    IO.output_root(spark)                          # a checkpoint folder is set
+    features = Star(spark, sf).stockout_features.checkpoint(eager=True)
+    model, _ = CL.fit_stockout(features)
     path = _root(spark, sf, "stockout_model")
     model.write().overwrite().save(path)
     back = PipelineModel.load(path)
-    return back.transform(st.stockout_features).select("product_id", CL.LABEL, "prediction")
+    return CL.scored(back, features).select("product_id", CL.LABEL, "prediction")
 
 
 @query("clean_then_orphans", """
