@@ -180,3 +180,24 @@ def test_odd_rows(saved, spark):
 def test_least_common_is_the_contract(total):
     least = P.least_common(total)
     assert 100 * least >= 80 * (total - least) and 100 * (least - 1) < 80 * (total - least + 1)
+
+
+def test_small_frames_make_few_tasks(spark):
+    """However many partitions a shuffle has, labels of a few vertices are read by no more tasks than there are cores."""
+    most = spark.sparkContext.defaultParallelism
+    settings = {"spark.sql.shuffle.partitions": str(16 * most), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        links = J.cut(spark.createDataFrame([(k, k + 1) for k in range(0, 90) if k % 10 < 8], "a long, b long").repartition("a"))
+        assert links.rdd.getNumPartitions() > most
+        roots = J.components(links)
+        more = J.merged(roots, J.cut(spark.createDataFrame([(8, 10), (95, 96)], "a long, b long")))
+        assert roots.rdd.getNumPartitions() <= most and more.rdd.getNumPartitions() <= most
+        want = {k: k - k % 10 for k in range(0, 90) if k % 10 < 9}
+        assert {r.vertex: r.root for r in roots.collect()} == want
+        assert {r.vertex: r.root for r in more.collect()} == {k: 0 if v == 10 else v for k, v in want.items()} | {95: 95, 96: 95}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

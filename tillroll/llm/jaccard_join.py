@@ -35,7 +35,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import partenum
-from .common import BROADCAST_IDS, BROADCAST_ROWS, cut, remove_folder, scratch_folder, ship_code, small_side, tidy, without_ids
+from .common import (
+    BROADCAST_IDS,
+    BROADCAST_ROWS,
+    cut,
+    few,
+    remove_folder,
+    scratch_folder,
+    ship_code,
+    small_side,
+    tidy,
+    without_ids,
+)
 
 WORDS = 5
 #: Documents signed together; words remembered by a task; shares of a partition's signatures
@@ -197,12 +208,14 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Of the distinct ``pairs`` (a, b; materialised) those similar enough.
     ``texts``: vertex, text, a text for each vertex."""
     # partners of a vertex are dealt into lots of about PARTNERS, each with a copy of its text
-    lots = cut(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("lots")))
-    dealt = cut(pairs.join(small_side(lots), "a").select(
-        F.col("a").alias("key"), "b", F.pmod(F.xxhash64("b"), F.col("lots")).cast("int").alias("lot")))
+    rows = pairs.count()
+    pairs = few(pairs, rows)
+    lots = cut(few(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("lots")), rows))
+    dealt = cut(few(pairs.join(small_side(lots), "a").select(
+        F.col("a").alias("key"), "b", F.pmod(F.xxhash64("b"), F.col("lots")).cast("int").alias("lot")), rows))
     to = dealt.select(F.col("b").alias("vertex"), "key", "lot").union(
         dealt.select(F.col("key").alias("vertex"), "key", "lot").distinct())
-    if dealt.count() <= BROADCAST_ROWS:
+    if rows <= BROADCAST_ROWS:                     # dealt has a row for each pair
         to = F.broadcast(to)
     sent = texts.join(to, "vertex").select("key", "lot", "vertex", "text")
     met = sent.repartition("key", "lot").sortWithinPartitions("key", "lot", F.col("vertex") != F.col("key"))
@@ -232,15 +245,17 @@ def components(links: DataFrame) -> DataFrame:
     """(vertex, root): the smallest vertex of each vertex's component.  ``links``:
     a, b (materialised).  Labels spread along links and jump to their label's
     label until nothing changes; every round is checkpointed."""
+    rows = 2 * links.count()
+    links = few(links, rows)
     both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(
         links.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    label = cut(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("root")))
+    label = cut(few(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("root")), rows))
     while True:
         near = both.join(label, "u").groupBy(F.col("v").alias("u")).agg(F.min("root").alias("near"))
-        hooked = cut(label.join(near, "u").select("u", F.col("root").alias("old"),
-                                                        F.least("root", "near").alias("root")))
+        hooked = cut(few(label.join(near, "u").select("u", F.col("root").alias("old"),
+                                                      F.least("root", "near").alias("root")), rows))
         up = hooked.select(F.col("u").alias("root"), F.col("root").alias("above"))
-        jumped = cut(hooked.join(up, "root").select("u", "old", F.col("above").alias("root")))
+        jumped = cut(few(hooked.join(up, "root").select("u", "old", F.col("above").alias("root")), rows))
         label = jumped.select("u", "root")
         if jumped.filter("root < old").isEmpty():
             return label.withColumnRenamed("u", "vertex")
@@ -258,19 +273,22 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     """The components (vertex, root) after more ``links``: those between components
     are links of roots, and only these few are worked out anew."""
-    between = cut(_apart(links, roots).select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).distinct())
+    rows = links.count()
+    between = cut(few(_apart(few(links, rows), roots).select(
+        F.col("a_root").alias("a"), F.col("b_root").alias("b")).distinct(), rows))
     if between.isEmpty():
         return roots
     above = components(between)
     up = small_side(above.select(F.col("vertex").alias("root"), F.col("root").alias("above")))
     moved = roots.join(up, "root", "left").select("vertex", F.coalesce("above", "root").alias("root"))
-    return cut(moved.union(above.join(small_side(roots), "vertex", "left_anti").select("vertex", "root")))
+    more = above.join(small_side(roots), "vertex", "left_anti").select("vertex", "root")
+    return cut(few(moved.union(more), roots.count() + 2 * rows))
 
 
-def _held(tagged: DataFrame, counted: DataFrame, roots: DataFrame) -> DataFrame | None:
+def _held(tagged: DataFrame, counted: DataFrame, roots: DataFrame, rows: int) -> DataFrame | None:
     """(sig, vertex) of the unsettled signatures, those with sets from different
-    components; None if there are none."""
-    apart = cut(_apart(counted.select("a", "b"), roots).select("a", "b"))
+    components; None if there are none.  ``rows``: those of ``counted``."""
+    apart = cut(few(_apart(counted.select("a", "b"), roots).select("a", "b"), rows))
     if apart.isEmpty():
         return None
     sigs = cut(tagged.join(small_side(apart), ["a", "b"], "left_semi").select("sig").distinct())
@@ -332,26 +350,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # one document for each candidate vertex (more only where ids repeat; their sets are compared then)
     counted = cut(tagged.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared")))
+    rows = counted.count()
+    counted = few(counted, rows)
     ends = counted.select(F.col("a").alias("vertex")).union(counted.select(F.col("b").alias("vertex"))).distinct()
-    ends = cut(ends)
-    known = cut(members.filter("n > 0").groupBy("vertex").agg(
+    ends = cut(few(ends, 2 * rows))
+    known = few(cut(members.filter("n > 0").groupBy("vertex").agg(
         F.min(F.struct("none", "key")).alias("doc"), F.max("n").alias("n")).join(
-        ends, "vertex", "left_semi").select("vertex", "doc.*", "n"))
+        ends, "vertex", "left_semi").select("vertex", "doc.*", "n")), 2 * rows)
     words = stream.filter("n < 0").select(F.col("a").alias("vertex"), (-1 - F.col("n")).alias("place"), "sig").join(
         ends, "vertex", "left_semi").groupBy("vertex", "place").agg(F.max("sig").alias("word"))
     words = words.groupBy("vertex").agg(F.array_sort(F.collect_list(F.struct("place", "word"))).alias("words"))
     sketch = cut(known.select("vertex", "n").join(words, "vertex").select(
         "vertex", "n", F.transform("words", lambda w: w["word"]).alias("sketch")))
     sketch = small_side(sketch, BROADCAST_SKETCHES)
-    likely = cut(_filtered(counted, sketch))
-    chosen = cut(likely.select(F.explode(F.array("a", "b")).alias("vertex")).distinct().join(
-        known, "vertex").select("vertex", "none", "key"))
+    likely = few(cut(_filtered(counted, sketch)), rows)
+    chosen = cut(few(likely.select(F.explode(F.array("a", "b")).alias("vertex")).distinct().join(
+        known, "vertex").select("vertex", "none", "key"), 2 * rows))
     slim.join(small_side(chosen, BROADCAST_IDS), ["key", "none"]).select("vertex", "text").write.parquet(kept)
     texts = spark.read.parquet(kept)
 
-    first = cut(likely.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", "b"))
+    first = cut(few(likely.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", "b"), rows))
     roots = components(verified(first, texts))
-    second = cut(_apart(likely.select("a", "b"), roots).select("a", "b").join(first, ["a", "b"], "left_anti"))
+    second = cut(few(_apart(likely.select("a", "b"), roots).select("a", "b").join(first, ["a", "b"], "left_anti"), rows))
     if not second.isEmpty():
         roots = merged(roots, verified(second, texts))
 
@@ -364,7 +384,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         own = texts.union(slim.join(small_side(more, BROADCAST_IDS), ["key", "none"]).select("vertex", "text"))
         return merged(roots, verified(pairs, own))
 
-    held = _held(tagged, counted, roots)
+    held = _held(tagged, counted, roots, rows)
     if held is not None:
         roots = checked(_cross_pairs(held, counted, sketch, roots), roots)
     remove_folder(spark, folder)
